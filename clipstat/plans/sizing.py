@@ -1,0 +1,29 @@
+"""Size bounds used to decide whether a side may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def broadcast_limit_bytes(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (``-1`` disables broadcasting)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB") or "10MB"
+    raw = raw.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
+
+
+def estimated_size_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df``'s optimized plan, or ``None`` if unavailable.
+
+    Without CBO a filter keeps its child's size, so for scans of files the estimate is
+    an upper bound of what would be broadcast - a proven bound, not a guess.
+    """
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # Spark Connect or an unexpected plan: no bound known
+        return None
