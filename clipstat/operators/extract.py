@@ -70,20 +70,23 @@ def flatten_video_items(items: DataFrame, item_col: str = "item") -> DataFrame:
         return F.when(present, value).otherwise(missing)
 
     zero, none = F.lit("0"), F.lit("None")
-    duration = get(details, "duration", F.lit(None).cast("string"))
-    out = rows.select(
-        *[c for c in items.columns if c != item_col],
+    keep = [c for c in items.columns if c != item_col]
+    # Staged projections: each field is extracted once, then the duration is parsed
+    # once and formatted from the parsed seconds (Catalyst keeps the stages apart
+    # rather than duplicate the regex work).
+    fields = rows.select(
+        *keep,
         F.when(snippet.isNull(), F.raise_error(F.lit("video item without snippet")).cast("string"))
          .otherwise(get(snippet, "title", F.lit(""))).alias("title"),
-        duration.alias("duration"),
+        get(details, "duration", F.lit(None).cast("string")).alias("duration"),
         F.col("_it.id").alias("video_id"),
         get(stats, "likeCount", zero, none).alias("like_count"),
         get(stats, "viewCount", zero, none).alias("view_count"),
         get(snippet, "publishedAt", F.lit(None).cast("string")).alias("published_at"),
         get(stats, "commentCount", zero, none).alias("comment_count"),
-        seconds_to_readable(iso8601_to_seconds(duration)).alias("duration_readable"),
     )
-    return out
+    secs = fields.withColumn("_secs", iso8601_to_seconds("duration"))
+    return secs.withColumn("duration_readable", seconds_to_readable("_secs")).drop("_secs")
 
 
 def videos_page_items(pages: DataFrame) -> DataFrame:

@@ -52,7 +52,8 @@ def stg(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
         o = o.where((F.col("o_orderdate") >= F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")) &
                     (F.col("o_orderdate") < F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz")))
     k = F.col("o_orderkey")
-    secs = order_seconds(k)
+    o = o.withColumn("_secs", order_seconds(k))
+    secs = F.col("_secs")
     return o.select(
         k.alias("extraction_id"),
         F.concat(F.lit("@"), F.col("o_orderstatus")).alias("channel_handle"),
@@ -96,7 +97,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = li.groupBy(F.col("l_orderkey").alias("page_no")).agg(F.array_sort(F.collect_list(
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")))
         .alias("_lines"))
-    last = grouped.agg(F.max("page_no")).scalar()
+    last = li.agg(F.max("l_orderkey")).scalar()
     item = lambda x: F.struct(F.struct(F.struct(x["l_partkey"].cast("string").alias("videoId"))
                                        .alias("resourceId")).alias("snippet"))
     return grouped.select(
@@ -111,6 +112,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Videos-API items (``schemas.VIDEO_ITEM``) for parts whose size is not a multiple
     of ten; column ``item``."""
     p = table(spark, sf_dir, "part").where(F.col("p_size") % 10 != 0)
+    p = p.withColumn("_secs", (F.col("p_partkey") * 37) % 4000)
     key, size = F.col("p_partkey"), F.col("p_size")
     published = F.concat(F.lit("2020-01-"), F.lpad((size % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z"))
     item = F.struct(
@@ -118,7 +120,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("title"), F.col("p_name"), F.lit("publishedAt"), published).alias("snippet"),
         F.create_map(F.lit("viewCount"), (size * 1000).cast("string"), F.lit("likeCount"), size.cast("string"),
                      F.lit("commentCount"), (key % 17).cast("string")).alias("statistics"),
-        F.create_map(F.lit("duration"), seconds_to_iso8601((key * 37) % 4000)).alias("contentDetails"),
+        F.create_map(F.lit("duration"), seconds_to_iso8601("_secs")).alias("contentDetails"),
     )
     return p.select(item.alias("item"))
 
@@ -127,7 +129,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Videos-API items as JSON text built from events; absent keys are left out:
     title when ``event_id % 11 = 0``, likeCount when ``% 5 = 0``, commentCount when
     ``% 7 = 0``."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events").withColumn("_secs", event_seconds(F.col("event_id")))
     k = F.col("event_id")
     doc = F.struct(
         F.concat(F.lit("v"), k.cast("string")).alias("id"),
@@ -136,7 +138,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.when(k % 5 != 0, (k % 97).cast("string")).alias("likeCount"),
                  (k % 1000).cast("string").alias("viewCount"),
                  F.when(k % 7 != 0, (k % 13).cast("string")).alias("commentCount")).alias("statistics"),
-        F.struct(seconds_to_iso8601(event_seconds(k)).alias("duration")).alias("contentDetails"),
+        F.struct(seconds_to_iso8601("_secs").alias("duration")).alias("contentDetails"),
     )
     return e.select(F.to_json(doc, {"ignoreNullFields": "true"}).alias("item"))
 

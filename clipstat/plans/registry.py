@@ -35,8 +35,8 @@ def iso_to_seconds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seconds_to_readable_q(spark: SparkSession, d: str) -> DataFrame:
-    e = fx.table(spark, d, "events")
-    secs = fx.event_seconds(F.col("event_id"))
+    e = fx.table(spark, d, "events").withColumn("_secs", fx.event_seconds(F.col("event_id")))
+    secs = F.col("_secs")
     return e.select(F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("video_id"),
                     secs.cast("int").alias("duration_seconds"),
                     seconds_to_readable(secs).alias("duration_readable"))

@@ -24,6 +24,7 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
     an upper bound of what would be broadcast - a proven bound, not a guess.
     """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # Spark Connect or an unexpected plan: no bound known
         return None
