@@ -1,0 +1,107 @@
+"""Scalar functions: the reference's unit vectors plus the edge cases of its semantics."""
+
+from decimal import Decimal
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from clipstat.functions import (content_type, engagement_ratio, is_short, iso8601_to_seconds,
+                                readable_to_seconds, seconds_to_iso8601, seconds_to_readable,
+                                strip_handle)
+
+
+def one(spark, col, schema, values):
+    df = spark.createDataFrame([(v,) for v in values], schema)
+    return [r[0] for r in df.select(col).collect()]
+
+
+def test_iso8601_to_seconds(spark):
+    values = ["PT1H2M3S", "PT15M", "PT45S", None, "INVALID", "", "P1DT2H", "P0D", "PT", "PT1.5S", "PT3S2M",
+              "PT10H", "PT1H30M", "XPT5S"]
+    got = one(spark, iso8601_to_seconds("x"), "x string", values)
+    assert got == [3723, 900, 45, 0, 0, 0, 0, 0, 0, 0, 3, 36000, 5400, 0]
+
+
+def test_seconds_to_readable(spark):
+    got = one(spark, seconds_to_readable("x"), "x bigint", [3723, 900, 45, 0, 90000, 3600, 59, 360000])
+    assert got == ["1:02:03", "15:00", "0:45", "0:00", "25:00:00", "1:00:00", "0:59", "100:00:00"]
+
+
+def test_seconds_to_readable_negative_follows_floor_division(spark):
+    # divmod(-1, 3600) = (-1, 3599) -> "-1:59:59"
+    assert one(spark, seconds_to_readable("x"), "x bigint", [-1]) == ["-1:59:59"]
+
+
+def test_seconds_to_iso8601(spark):
+    got = one(spark, seconds_to_iso8601("x"), "x bigint", [0, 45, 90, 3600, 3723, 90000])
+    assert got == ["PT", "PT45S", "PT1M30S", "PT1H", "PT1H2M3S", "PT25H"]
+
+
+def test_readable_to_seconds(spark):
+    got = one(spark, readable_to_seconds("x"), "x string", ["1:02:03", "25:00:00", "15:00", "0:45", None,
+                                                              "1:2:3:4"])
+    assert got == [3723, 90000, 900, 45, None, 3723]
+
+
+def test_readable_to_seconds_without_colon_fails(spark):
+    with pytest.raises(PySparkException):
+        one(spark, readable_to_seconds("x"), "x string", ["45"])
+
+
+def test_readable_to_seconds_type_is_int(spark):
+    df = spark.createDataFrame([("1:00",)], "x string").select(readable_to_seconds("x").alias("s"))
+    assert df.dtypes == [("s", "int")]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=10**6), min_size=1, max_size=20))
+def test_readable_round_trip(spark, secs):
+    df = spark.createDataFrame([(s,) for s in secs], "x bigint")
+    back = df.select(readable_to_seconds(seconds_to_readable("x")).alias("y"), "x").collect()
+    assert all(r.x == r.y for r in back)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=10**6), min_size=1, max_size=20))
+def test_iso_round_trip(spark, secs):
+    df = spark.createDataFrame([(s,) for s in secs], "x bigint")
+    back = df.select(iso8601_to_seconds(seconds_to_iso8601("x")).alias("y"), "x").collect()
+    assert all(r.x == r.y for r in back)
+
+
+def test_content_type_boundaries(spark):
+    df = spark.createDataFrame([(s,) for s in [0, 60, 61, 300, 301, None]], "s int")
+    rows = df.select(content_type("s").alias("c"), is_short("s").alias("b")).collect()
+    assert [r.c for r in rows] == ["Short", "Short", "Medium", "Medium", "Long", "Long"]
+    assert [r.b for r in rows] == [True, True, False, False, False, False]
+
+
+def test_engagement_ratio(spark):
+    rows = [(1, 0, 20000), (10, 5, 100), (1, 1, 0), (1, 1, None), (1, 1, -5), (None, None, 10),
+            (2, 1, 3), (1, 0, 30000), (1, 2, 40000)]
+    df = spark.createDataFrame(rows, "l bigint, c bigint, v bigint")
+    got = [r[0] for r in df.select(engagement_ratio("l", "c", "v")).collect()]
+    assert got == [Decimal("0.0001"), Decimal("0.1500"), Decimal("0.0000"), Decimal("0.0000"),
+                   Decimal("0.0000"), Decimal("0.0000"), Decimal("1.0000"), Decimal("0.0000"),
+                   Decimal("0.0001")]
+    assert df.select(engagement_ratio("l", "c", "v").alias("r")).dtypes == [("r", "decimal(10,4)")]
+
+
+def test_engagement_ratio_overflow_fails(spark):
+    df = spark.createDataFrame([(10**6, 0, 1)], "l bigint, c bigint, v bigint")
+    with pytest.raises(PySparkException):
+        df.select(engagement_ratio("l", "c", "v")).collect()
+
+
+def test_strip_handle(spark):
+    assert one(spark, strip_handle("h"), "h string", ["@abc", "@@abc", "abc", "a@b", None]) == \
+        ["abc", "abc", "abc", "a@b", None]
+
+
+def test_no_python_udf_in_function_plans(spark):
+    df = spark.createDataFrame([("PT1M",)], "x string").select(
+        seconds_to_readable(iso8601_to_seconds("x")).alias("r"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

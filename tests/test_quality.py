@@ -1,0 +1,63 @@
+"""Quality checks: metrics, outcomes, gate, one scan per table."""
+
+from decimal import Decimal
+
+import pytest
+
+from clipstat.operators import quality
+from clipstat.operators.quality import Check
+
+
+def test_metrics(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, "bb", 7), (4, None, 7), (5, "c", 9), (6, "c", 1)],
+                               "id int, s string, n int")
+    m = quality.compute_metrics(df, "t", [("row_count", None), ("missing_count", "s"), ("duplicate_count", "s"),
+                                          ("min", "n"), ("max", "n"), ("max_length", "s"),
+                                          ("duplicate_count", "n")])
+    got = {(r.metric, r.column_name): r.value for r in m.collect()}
+    assert got == {("row_count", None): Decimal(6), ("missing_count", "s"): Decimal(1),
+                   ("duplicate_count", "s"): Decimal(2),      # "a" and "c" occur twice; NULL ignored
+                   ("min", "n"): Decimal(1), ("max", "n"): Decimal(9), ("max_length", "s"): Decimal(2),
+                   ("duplicate_count", "n"): Decimal(1)}
+
+
+def test_fused_metrics_scan_once(spark, tmp_dir):
+    spark.range(100).selectExpr("id", "cast(id % 7 as string) s").write.parquet(tmp_dir + "/t")
+    df = spark.read.parquet(tmp_dir + "/t")
+    m = quality.compute_metrics(df, "t", [("row_count", None), ("missing_count", "s"), ("min", "id"),
+                                          ("max", "id"), ("max_length", "s")])
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 or plan.count("Scan parquet") == 1
+
+
+def test_default_check_set_shape():
+    assert len(quality.DEFAULT_CHECKS) == 26
+    per_table = {t: sum(c.table == t for c in quality.DEFAULT_CHECKS) for t in ("staging", "core", "history")}
+    assert per_table == {"staging": 8, "core": 13, "history": 5}
+    assert len({c.name for c in quality.DEFAULT_CHECKS}) == 26
+
+
+def test_outcomes_and_gate(spark):
+    good = spark.createDataFrame([("v1", 1), ("v2", 2)], "video_id string, n int")
+    empty = spark.createDataFrame([], "video_id string, n int")
+    checks = [Check("good", "row_count", None, ">", 0, "rows"),
+              Check("good", "duplicate_count", "video_id", "=", 0, "unique"),
+              Check("good", "max", "n", "<=", 1, "max n"),
+              Check("empty", "min", "n", ">=", 0, "min n"),
+              Check("empty", "row_count", None, ">", 0, "rows empty")]
+    res = quality.run_checks({"good": good, "empty": empty}, checks)
+    out = {r.check_name: r.outcome for r in res.collect()}
+    assert out == {"rows": "pass", "unique": "pass", "max n": "fail", "min n": "not_evaluated", "rows empty": "fail"}
+    with pytest.raises(quality.QualityGateError) as e:
+        quality.gate(res)
+    assert "max n" in str(e.value) and "min n" in str(e.value)
+    ok = quality.run_checks({"good": good}, quality.checks_for("good", checks[:2]))
+    assert quality.gate(ok).count() == 2
+
+
+def test_unknown_table_or_metric(spark):
+    df = spark.createDataFrame([(1,)], "x int")
+    with pytest.raises(KeyError):
+        quality.run_checks({}, [Check("t", "row_count", None, ">", 0, "r")])
+    with pytest.raises(ValueError):
+        quality.compute_metrics(df, "t", [("median", "x")])
