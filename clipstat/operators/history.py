@@ -26,12 +26,18 @@ def history_rows_today(history: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def new_history_rows(core: DataFrame, staging: DataFrame, history: DataFrame,
-                     as_of: dt.datetime) -> DataFrame:
+                     as_of: dt.datetime, newest: dt.datetime | None = None) -> DataFrame:
     """Core rows whose ``extraction_date`` equals the newest staged one and that have no
     history row on ``as_of``'s day yet (NOT EXISTS -> left anti join; a NULL key is
     kept, as in the reference).  Output: video_id, counts, recorded_at.
+
+    ``newest`` may be given as a literal (the pipeline knows it); the filter on core is
+    then pushed to the Parquet scan, otherwise it is a scalar subquery over ``staging``.
     """
-    newest = staging.agg(F.max("extraction_date")).scalar()
+    if newest is None:
+        newest = staging.agg(F.max("extraction_date")).scalar()
+    else:
+        newest = F.lit(newest).cast("timestamp_ntz")
     candidates = core.where(F.col("extraction_date") == newest).select(*HISTORY_VALUES)
     today = history_rows_today(history, as_of).select("video_id")
     return (candidates.join(today, "video_id", "left_anti")
@@ -45,6 +51,28 @@ def today_counts(core: DataFrame, history: DataFrame, as_of: dt.datetime) -> Dat
     return core_rows.select("core_rows", hist_rows.scalar().alias("history_today_rows"))
 
 
+def dense_serial_ids(rows: DataFrame, base: int, id_col: str) -> tuple[DataFrame, int]:
+    """Number ``rows`` ``base + 1 .. base + n`` without a global sort.
+
+    The rows are checkpointed to the shared checkpoint folder first, so partitions and
+    their order are fixed; one small job counts rows per partition (one result row per
+    partition), the driver turns the counts into offsets, and every row gets
+    ``offset(partition) + position in partition``.  Returns ``(rows, new high-water)``.
+    """
+    fixed = rows.checkpoint(eager=True)
+    counts = sorted(tuple(r) for r in fixed.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    offsets, top = [], base
+    for pid, n in counts:
+        offsets += [F.lit(pid), F.lit(top)]
+        top += n
+    if not offsets:
+        return fixed.withColumn(id_col, F.lit(None).cast("bigint")), base
+    pid = F.spark_partition_id()
+    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
+    offset = F.create_map(*offsets)[pid]
+    return fixed.withColumn(id_col, (offset + position + 1).cast("bigint")), top
+
+
 def with_serial_ids(rows: DataFrame, existing: DataFrame | None, id_col: str) -> DataFrame:
     """Assign ``id_col`` = (max existing id) + 1 + monotonically_increasing_id().
 

@@ -101,16 +101,21 @@ def run_update(spark: SparkSession, data_dir: str, store: TableStore, as_of: dt.
     rows = explode_envelope(snapshots.read_envelopes(spark, path), loaded_at=as_of, strict=strict)
     table_sink.append(store, "staging", rows, id_col="extraction_id")
 
-    staging = store.read("staging")
+    # Only the newest extraction is transformed, and it lies in the newest
+    # extraction_day partition: read that partition, not the whole append-only table.
+    # (Per-channel mode needs every channel's newest extraction, so it reads it all.)
+    staging = store.read_latest_day("staging") if per is None else store.read("staging")
     source = core_ops.transform_latest(staging, per)
     new_core = merge.upsert(store.read("core"), source, as_of, refresh=refresh, strategy=merge_strategy)
     version = table_sink.publish(store, new_core)
 
     core = store.read("core")  # the committed version, read back: lineage stops here
-    new_rows = history.new_history_rows(core, staging, store.read("history"), as_of)
+    newest = staging.agg(F.max("extraction_date")).first()[0]
+    today = store.read_day("history", as_of.date())
+    new_rows = history.new_history_rows(core, staging, today, as_of, newest=newest)
     table_sink.append(store, "history", new_rows, id_col="history_id")
 
-    counts = history.today_counts(store.read("core"), store.read("history"), as_of).first()
+    counts = history.today_counts(store.read("core"), store.read_day("history", as_of.date()), as_of).first()
     loaded = staging.where(F.col("loaded_at") == F.lit(as_of).cast("timestamp_ntz")).count()
     return _audit(spark, [
         ("staged", loaded, path, as_of),

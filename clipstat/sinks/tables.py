@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstat import schemas
-from clipstat.operators.history import with_serial_ids
+from clipstat.operators.history import dense_serial_ids
 from clipstat.sources.tables import PARTITION, SCHEMAS, TableStore
 
 
@@ -31,9 +31,14 @@ def enforce_constraints(df: DataFrame, table: str) -> DataFrame:
 
 
 def append(store: TableStore, table: str, rows: DataFrame, id_col: str | None = None) -> None:
-    """Append ``rows`` to an append-only table (staging, history), partitioned by day."""
+    """Append ``rows`` to an append-only table (staging, history), partitioned by day.
+
+    Ids continue from the table's high-water mark, which is moved past the new ids
+    before the data is written: a failed write leaves a gap, never a duplicate.
+    """
     if id_col:
-        rows = with_serial_ids(rows, store.read(table), id_col)
+        rows, top = dense_serial_ids(rows, store.high_water(table, id_col), id_col)
+        store.set_high_water(table, top)
     part_col, ts_col = PARTITION[table]
     out = enforce_constraints(rows, table).withColumn(part_col, F.to_date(ts_col))
     out.write.mode("append").partitionBy(part_col).parquet(store.path(table))

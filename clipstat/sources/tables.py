@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipstat import schemas
 from clipstat.sources import fs
@@ -62,12 +63,39 @@ class TableStore:
                 return self.spark.createDataFrame([], schema)
             return self.spark.read.schema(schema).parquet(self.version_path(done[-1]))
         base = self.path(name)
-        if not fs.exists(self.spark, base):
-            return self.spark.createDataFrame([], schema)
         part_col, _ = PARTITION[name]
+        if not fs.exists(self.spark, base):
+            empty = T.StructType(schema.fields + [T.StructField(part_col, T.DateType())])
+            return self.spark.createDataFrame([], empty)
         df = self.spark.read.parquet(base)
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.col(part_col))
 
+    def days(self, name: str) -> list[str]:
+        """Partition values (``YYYY-MM-DD``) of an append-only table, from the listing."""
+        part_col, _ = PARTITION[name]
+        prefix = part_col + "="
+        return sorted(n[len(prefix):] for n in fs.list_names(self.spark, self.path(name)) if n.startswith(prefix))
+
+    def read_latest_day(self, name: str) -> DataFrame:
+        """The newest day's partition only (empty table -> empty DataFrame)."""
+        days = self.days(name)
+        return self.read(name) if not days else self.read_day(name, days[-1])
+
+    # ---- serial ids --------------------------------------------------------------------
+    def high_water(self, name: str, id_col: str) -> int:
+        """Greatest id handed out for ``name``; read from the store's sequence file, or
+        computed once from the table when the file is absent."""
+        path = f"{self.path('_seq')}/{name}"
+        if fs.exists(self.spark, path):
+            return int(fs.read_text(self.spark, path).strip() or 0)
+        if not fs.exists(self.spark, self.path(name)):
+            return 0
+        top = self.read(name).agg(F.max(id_col)).first()[0]
+        return int(top or 0)
+
+    def set_high_water(self, name: str, value: int) -> None:
+        fs.write_text(self.spark, f"{self.path('_seq')}/{name}", str(int(value)))
+
     def read_day(self, name: str, day) -> DataFrame:
         """One day's partition of an append-only table (partition pruning)."""
         part_col, _ = PARTITION[name]

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clipstat import schemas
@@ -28,10 +29,12 @@ def process_envelopes(envelopes: DataFrame, store: TableStore, as_of: dt.datetim
     """One micro-batch: append staging, upsert core (new version), append history."""
     rows = explode_envelope(envelopes, loaded_at=as_of)
     table_sink.append(store, "staging", rows, id_col="extraction_id")
-    staging = store.read("staging")
+    staging = store.read_latest_day("staging")
     new_core = merge.upsert(store.read("core"), core_ops.transform_latest(staging), as_of, refresh=refresh)
     table_sink.publish(store, new_core)
-    new_rows = history.new_history_rows(store.read("core"), staging, store.read("history"), as_of)
+    newest = staging.agg(F.max("extraction_date")).first()[0]
+    new_rows = history.new_history_rows(store.read("core"), staging, store.read_day("history", as_of.date()),
+                                        as_of, newest=newest)
     table_sink.append(store, "history", new_rows, id_col="history_id")
 
 

@@ -106,3 +106,36 @@ def test_streaming_ingest(spark, tmp_dir):
     assert store.read("staging").count() == 4
     assert {r.video_id: r.view_count for r in store.read("core").collect()} == {"a": 20, "b": 20}
     assert len(store.versions()) == 2
+
+
+def test_dense_serial_ids(spark):
+    from clipstat.operators.history import dense_serial_ids
+
+    rows = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "x")
+    numbered, top = dense_serial_ids(rows, 10, "rid")
+    ids = sorted(r.rid for r in numbered.collect())
+    assert ids == list(range(11, 1011)) and top == 1010
+
+
+def test_high_water_moves_with_appends(spark, tmp_dir):
+    landed, data, store = f"{tmp_dir}/landed", f"{tmp_dir}/data", TableStore(spark, f"{tmp_dir}/tables")
+    land(landed, 1000)
+    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY1)
+    pipelines.run_update(spark, data, store, DAY1)
+    pipelines.run_update(spark, data, store, DAY2)
+    ids = sorted(r.extraction_id for r in store.read("staging").collect())
+    assert ids == [1, 2, 3, 4, 5, 6] and store.high_water("staging", "extraction_id") == 6
+
+
+def test_latest_day_read_is_pruned(spark, tmp_dir):
+    landed, data, store = f"{tmp_dir}/landed", f"{tmp_dir}/data", TableStore(spark, f"{tmp_dir}/tables")
+    land(landed, 1000)
+    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY1)
+    pipelines.run_update(spark, data, store, DAY1)
+    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY2)
+    pipelines.run_update(spark, data, store, DAY2)
+    assert store.days("staging") == ["2025-10-01", "2025-10-02"]
+    recent = store.read_latest_day("staging")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(extraction_day" in plan and "2025-10-02" in plan
+    assert recent.count() == 3
