@@ -33,7 +33,7 @@ def _plan(refresh) -> tuple[list[str], list[str]]:
 
 
 def upsert(target: DataFrame, source: DataFrame, as_of: dt.datetime, refresh=(),
-           strategy: str = "auto") -> DataFrame:
+           strategy: str = "auto", target_bucketed: bool = False) -> DataFrame:
     """New core table after upserting ``source`` (13 core columns, unique keys).
 
     ``refresh`` names sticky columns that should be overwritten too (e.g.
@@ -43,8 +43,13 @@ def upsert(target: DataFrame, source: DataFrame, as_of: dt.datetime, refresh=(),
       ``target LEFT JOIN broadcast(source)`` gives kept and updated rows,
       ``source LEFT ANTI broadcast(target keys seen in source)`` gives inserts.
     * ``"shuffle"`` - one full-outer join on the key (both sides shuffled once).
+    * ``"partitionwise"`` - for a target stored bucketed by the key:
+      ``target LEFT JOIN source`` plus ``source LEFT ANTI target keys``.  Only the source
+      is shuffled (to the target's buckets), and the result keeps the target's
+      partitioning, so it can be written back one file per bucket.
     * ``"auto"`` - broadcast when the optimizer's size bound of ``source`` is within
-      ``spark.sql.autoBroadcastJoinThreshold``, else shuffle.
+      ``spark.sql.autoBroadcastJoinThreshold``; otherwise partitionwise when
+      ``target_bucketed``, else shuffle.
     """
     overwrite, keep = _plan(refresh)
     now = F.lit(as_of).cast("timestamp_ntz")
@@ -53,9 +58,14 @@ def upsert(target: DataFrame, source: DataFrame, as_of: dt.datetime, refresh=(),
     if strategy == "auto":
         limit = broadcast_limit_bytes(source.sparkSession)
         size = estimated_size_bytes(source)
-        strategy = "broadcast" if size is not None and limit > 0 and size <= limit else "shuffle"
+        if size is not None and limit > 0 and size <= limit:
+            strategy = "broadcast"
+        else:
+            strategy = "partitionwise" if target_bucketed else "shuffle"
     if strategy == "broadcast":
-        return _upsert_broadcast(target, source, now, overwrite, keep)
+        return _upsert_split(target, source, now, overwrite, keep, F.broadcast)
+    if strategy == "partitionwise":
+        return _upsert_split(target, source, now, overwrite, keep, lambda df: df)
     if strategy == "shuffle":
         return _upsert_full_outer(target, source, now, overwrite, keep)
     raise ValueError(f"unknown strategy {strategy!r}")
@@ -75,7 +85,7 @@ def _upsert_full_outer(target, source, now, overwrite, keep) -> DataFrame:
     return joined.select(*[cols[c].alias(c) for c in OUTPUT])
 
 
-def _upsert_broadcast(target, source, now, overwrite, keep) -> DataFrame:
+def _upsert_split(target, source, now, overwrite, keep, hint) -> DataFrame:
     incoming = source.select(*[F.col(c).alias("_s_" + c) for c in source.columns])
     hit = F.col("_s_" + KEY).isNotNull()
     cols = {KEY: F.col(KEY)}
@@ -84,12 +94,15 @@ def _upsert_broadcast(target, source, now, overwrite, keep) -> DataFrame:
     for c in keep:
         cols[c] = F.col(c)
     cols["updated_at"] = F.when(hit, now).otherwise(F.col("updated_at"))
-    kept_or_updated = (target.join(F.broadcast(incoming), F.col(KEY) == F.col("_s_" + KEY), "left")
+    kept_or_updated = (target.join(hint(incoming), F.col(KEY) == F.col("_s_" + KEY), "left")
                              .select(*[cols[c].alias(c) for c in OUTPUT]))
-    seen = target.select(KEY).join(F.broadcast(source.select(KEY)), KEY, "left_semi")
-    inserted = (source.join(F.broadcast(seen), KEY, "left_anti")
-                      .withColumn("updated_at", now).select(*OUTPUT))
-    return kept_or_updated.unionByName(inserted)
+    if hint is F.broadcast:
+        # keys of the target that the (small) source touches: bounded by the source
+        seen = target.select(KEY).join(F.broadcast(source.select(KEY)), KEY, "left_semi")
+        inserted = source.join(F.broadcast(seen), KEY, "left_anti")
+    else:
+        inserted = source.join(target.select(KEY), KEY, "left_anti")
+    return kept_or_updated.unionByName(inserted.withColumn("updated_at", now).select(*OUTPUT))
 
 
 def merge_counts(target: DataFrame, source: DataFrame) -> DataFrame:

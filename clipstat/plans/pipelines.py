@@ -106,7 +106,8 @@ def run_update(spark: SparkSession, data_dir: str, store: TableStore, as_of: dt.
     # (Per-channel mode needs every channel's newest extraction, so it reads it all.)
     staging = store.read_latest_day("staging") if per is None else store.read("staging")
     source = core_ops.transform_latest(staging, per)
-    new_core = merge.upsert(store.read("core"), source, as_of, refresh=refresh, strategy=merge_strategy)
+    new_core = merge.upsert(store.read("core"), source, as_of, refresh=refresh, strategy=merge_strategy,
+                            target_bucketed=store.core_buckets > 0)
     version = table_sink.publish(store, new_core)
 
     core = store.read("core")  # the committed version, read back: lineage stops here

@@ -53,5 +53,12 @@ def publish(store: TableStore, rows: DataFrame, table: str = "core") -> int:
     """
     every = store.versions(table, committed_only=False)
     version = (every[-1] if every else 0) + 1
-    enforce_constraints(rows, table).write.mode("errorifexists").parquet(store.version_path(version, table))
+    out = enforce_constraints(rows, table)
+    if table == "core" and store.core_buckets:
+        # Rows that come from the partitionwise upsert are already laid out by bucket,
+        # so every task writes one bucket file; no extra shuffle is added here.
+        (out.write.mode("errorifexists").bucketBy(store.core_buckets, "video_id")
+            .option("path", store.version_path(version, table)).saveAsTable(store.core_table_name(version)))
+        return version
+    out.write.mode("errorifexists").parquet(store.version_path(version, table))
     return version

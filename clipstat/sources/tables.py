@@ -12,6 +12,7 @@ never visible.  Parquet cannot overwrite a table that is being read, hence versi
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,12 @@ VERSION_PREFIX = "v="
 
 @dataclass
 class TableStore:
+    """``core_buckets > 0`` stores core bucketed by ``video_id`` into that many buckets
+    (as an external catalog table per version), so the upsert joins against core
+    without shuffling it; size buckets at a few hundred MB each."""
     spark: SparkSession
     root: str
+    core_buckets: int = 0
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -61,6 +66,8 @@ class TableStore:
             done = self.versions("core")
             if not done:
                 return self.spark.createDataFrame([], schema)
+            if self.core_buckets:
+                return self.spark.table(self.register_core(done[-1]))
             return self.spark.read.schema(schema).parquet(self.version_path(done[-1]))
         base = self.path(name)
         part_col, _ = PARTITION[name]
@@ -96,6 +103,22 @@ class TableStore:
     def set_high_water(self, name: str, value: int) -> None:
         fs.write_text(self.spark, f"{self.path('_seq')}/{name}", str(int(value)))
 
+    # ---- bucketed core ------------------------------------------------------------------
+    def core_table_name(self, version: int) -> str:
+        digest = hashlib.sha1(self.root.encode("utf-8")).hexdigest()[:10]
+        return f"clipstat_core_{digest}_v{version:06d}"
+
+    def register_core(self, version: int) -> str:
+        """Declare a committed core version as a bucketed external table (catalogs that
+        do not persist tables forget them between sessions); returns its name."""
+        name = self.core_table_name(version)
+        if not self.spark.catalog.tableExists(name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.CORE.fields)
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
+                           f"CLUSTERED BY (video_id) INTO {self.core_buckets} BUCKETS "
+                           f"LOCATION '{self.version_path(version)}'")
+        return name
+
     def read_day(self, name: str, day) -> DataFrame:
         """One day's partition of an append-only table (partition pruning)."""
         part_col, _ = PARTITION[name]

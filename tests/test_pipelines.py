@@ -139,3 +139,35 @@ def test_latest_day_read_is_pruned(spark, tmp_dir):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(extraction_day" in plan and "2025-10-02" in plan
     assert recent.count() == 3
+
+
+def test_bucketed_core_matches_and_shuffles_only_the_snapshot(spark, tmp_dir):
+    from clipstat.operators import core as core_ops
+    from clipstat.operators import merge
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        results = {}
+        for buckets in (0, 4):
+            root = f"{tmp_dir}/b{buckets}"
+            landed, data, store = f"{root}/landed", f"{root}/data", TableStore(spark, f"{root}/tables", buckets)
+            land(landed, 1000)
+            pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY1)
+            pipelines.run_update(spark, data, store, DAY1)
+            land(landed, 7000)
+            pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY2)
+            pipelines.run_update(spark, data, store, DAY2)
+            results[buckets] = sorted(tuple(r) for r in store.read("core").collect())
+            if buckets:
+                latest = store.version_path(store.versions()[-1])
+                parts = [f for f in os.listdir(latest) if f.endswith(".parquet")]
+                assert len(parts) <= 4                                     # one file per bucket
+                src = core_ops.transform_latest(store.read_latest_day("staging"))
+                plan = merge.upsert(store.read("core"), src, DAY2, target_bucketed=True) \
+                    ._jdf.queryExecution().executedPlan().toString()
+                assert "Bucketed: true" in plan and "FullOuter" not in plan
+                # every exchange hashes the snapshot's keys, none re-partitions core
+                assert plan.count("Exchange hashpartitioning") <= 2
+        assert results[0] == results[4]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
