@@ -23,28 +23,28 @@ def playlist_video_ids(pages: DataFrame) -> DataFrame:
                 .select("page_no", "pos", F.col("item.snippet.resourceId.videoId").alias("video_id"))
 
 
-def stop_bounds(pages: DataFrame) -> Column:
-    """Scalar struct ``(empty, last)`` over all pages.
+MAX_PAGE = (1 << 63) - 1
 
-    ``empty`` is the first page with no ids (the crawl stops before it); ``last`` is the
-    first non-empty page without ``nextPageToken`` (the crawl stops after it).  Either
-    is NULL when no page triggers it.  One aggregate over the page listing.
+
+def last_page(pages: DataFrame) -> Column:
+    """Scalar: the last page the crawl reads, or NULL when no page stops it.
+
+    The crawl stops *before* the first page with no ids and *after* the first page
+    without ``nextPageToken`` (integer page numbers, so "before e" is "at most e - 1").
+    One aggregate over the page listing; it is referenced once by the filter, so it is
+    computed once.
     """
     empty = F.coalesce(F.size("items"), F.lit(0)) == 0
     no_token = F.col("nextPageToken").isNull() | (F.col("nextPageToken") == "")
-    bounds = pages.agg(F.struct(
-        F.min(F.when(empty, F.col("page_no"))).alias("empty"),
-        F.min(F.when(~empty & no_token, F.col("page_no"))).alias("last")).alias("b"))
-    return bounds.scalar()
+    bound = pages.agg(F.least(F.min(F.when(empty, F.col("page_no") - 1)),
+                              F.min(F.when(~empty & no_token, F.col("page_no")))))
+    return bound.scalar()
 
 
 def crawled_pages(pages: DataFrame) -> DataFrame:
     """Pages that the crawl reads, following the reference's paging loop: stop before
     the first page with no ids and after the first page without a next-page token."""
-    b = stop_bounds(pages)
-    page = F.col("page_no")
-    return pages.where((b["empty"].isNull() | (page < b["empty"])) &
-                       (b["last"].isNull() | (page <= b["last"])))
+    return pages.where(F.col("page_no") <= F.coalesce(last_page(pages), F.lit(MAX_PAGE)))
 
 
 def flatten_video_items(items: DataFrame, item_col: str = "item") -> DataFrame:
@@ -119,8 +119,9 @@ def extraction_summary(videos: DataFrame, n: int = DEFAULT_MAX_RESULTS) -> DataF
     """
     nth_page = (videos.select("page_no", "pos").orderBy("page_no", "pos").limit(n)
                       .agg(F.max("page_no").alias("p"), F.count(F.lit(1)).alias("k")))
-    p = nth_page.select(F.when(F.col("k") >= n, F.col("p"))).scalar()
-    fetched = videos.where(p.isNull() | (F.col("page_no") <= p)).agg(F.count(F.lit(1)).alias("videos_fetched"))
+    # Fewer than n videos in all: every page is fetched.  (One subquery reference.)
+    p = nth_page.select(F.when(F.col("k") >= n, F.col("p")).otherwise(F.lit(MAX_PAGE))).scalar()
+    fetched = videos.where(F.col("page_no") <= p).agg(F.count(F.lit(1)).alias("videos_fetched"))
     return fetched.select(
         "videos_fetched",
         F.least(F.col("videos_fetched"), F.lit(n).cast("bigint")).alias("videos_returned"),

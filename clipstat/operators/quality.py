@@ -12,7 +12,7 @@ import operator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VALUE_TYPE = "decimal(38,4)"
@@ -38,19 +38,20 @@ class Check:
         return self.metric if self.column is None else f"{self.metric}({self.column})"
 
 
-def _metric_expr(metric: str, column: str | None) -> Column:
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _s(text) -> str:
+    return "NULL" if text is None else "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _metric_sql(metric: str, column: str | None) -> str:
     if metric == "row_count":
-        return F.count(F.lit(1))
-    c = F.col(column)
-    if metric == "missing_count":
-        return F.count_if(c.isNull())
-    if metric == "min":
-        return F.min(c)
-    if metric == "max":
-        return F.max(c)
-    if metric == "max_length":
-        return F.max(F.length(c))
-    raise ValueError(f"unknown metric {metric!r}")
+        return "count(1)"
+    c = _q(column)
+    return {"missing_count": f"count_if({c} IS NULL)", "min": f"min({c})", "max": f"max({c})",
+            "max_length": f"max(length({c}))"}[metric]
 
 
 def _duplicate_count(df: DataFrame, column: str) -> DataFrame:
@@ -58,38 +59,38 @@ def _duplicate_count(df: DataFrame, column: str) -> DataFrame:
     return (df.select(column).where(F.col(column).isNotNull())
               .groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
               .where(F.col("_n") > 1)
-              .agg(F.count(F.lit(1)).cast(VALUE_TYPE).alias("value")))
+              .selectExpr(f"CAST(count(1) AS {VALUE_TYPE}) AS value"))
 
 
 def compute_metrics(df: DataFrame, table: str, metrics) -> DataFrame:
     """Metrics ``[(metric, column), ...]`` of one table as rows
-    ``(table_name, metric, column_name, value DECIMAL(38,4))``, in one fused scan plus
-    one aggregation per duplicate metric."""
+    ``(table_name, metric, column_name, value DECIMAL(38,4))``: one fused aggregate (a
+    single scan) unpivoted with ``stack``, plus one aggregation per duplicate metric.
+    Expressions are SQL text, so building the plan costs a few calls, not one per
+    literal."""
     metrics = [(m, c) for m, c in metrics]
     for m, _ in metrics:
         if m not in METRICS:
             raise ValueError(f"unknown metric {m!r}")
-    row = lambda i, m, c, value: F.struct(
-        F.lit(i).alias("_i"), F.lit(table).alias("table_name"), F.lit(m).alias("metric"),
-        F.lit(c).cast("string").alias("column_name"), value.cast(VALUE_TYPE).alias("value"))
+    cols = "table_name, metric, column_name, value"
+    label = lambda m, c: f"{_s(table)}, {_s(m)}, CAST({_s(c)} AS STRING)"
     fused = [(i, m, c) for i, (m, c) in enumerate(metrics) if m != "duplicate_count"]
     parts = []
     if fused:
-        agg = df.agg(*[_metric_expr(m, c).alias(f"_m{i}") for i, m, c in fused])
-        parts.append(agg.select(F.inline(F.array(*[row(i, m, c, F.col(f"_m{i}")) for i, m, c in fused]))))
-    for i, (m, c) in enumerate(metrics):
+        agg = df.selectExpr(*[f"{_metric_sql(m, c)} AS _m{i}" for i, m, c in fused])
+        body = ", ".join(f"{label(m, c)}, CAST(_m{i} AS {VALUE_TYPE})" for i, m, c in fused)
+        parts.append(agg.selectExpr(f"stack({len(fused)}, {body}) AS ({cols})"))
+    for m, c in metrics:
         if m == "duplicate_count":
-            parts.append(_duplicate_count(df, c).select(F.inline(F.array(row(i, m, c, F.col("value"))))))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.drop("_i")
+            parts.append(_duplicate_count(df, c).selectExpr(
+                f"{_s(table)} AS table_name", f"{_s(m)} AS metric", f"CAST({_s(c)} AS STRING) AS column_name", "value"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _outcome(value: Column, op: str, threshold: float) -> Column:
-    if op not in COMPARATORS:
-        raise ValueError(f"unknown comparator {op!r}")
-    t = F.lit(threshold).cast(VALUE_TYPE)
-    passed = COMPARATORS[op](value, t)
-    return F.when(value.isNull(), F.lit(NOT_EVALUATED)).when(passed, F.lit(PASS)).otherwise(F.lit(FAIL))
+_COMPARE_SQL = " OR ".join(f"(comparator = '{op}' AND value {sql} threshold)" for op, sql in
+                           [(">", ">"), (">=", ">="), ("<", "<"), ("<=", "<="), ("=", "="), ("!=", "<>")])
+OUTCOME_SQL = (f"CASE WHEN value IS NULL THEN '{NOT_EVALUATED}' WHEN {_COMPARE_SQL} THEN '{PASS}' "
+               f"ELSE '{FAIL}' END")
 
 
 def run_checks(tables: dict[str, DataFrame], checks) -> DataFrame:
@@ -103,28 +104,23 @@ def run_checks(tables: dict[str, DataFrame], checks) -> DataFrame:
     missing = {c.table for c in checks} - set(tables)
     if missing:
         raise KeyError(f"no DataFrame for tables {sorted(missing)}")
+    for c in checks:
+        if c.op not in COMPARATORS:
+            raise ValueError(f"unknown comparator {c.op!r}")
     results = []
     for table in dict.fromkeys(c.table for c in checks):
         mine = [c for c in checks if c.table == table]
         unique = list(dict.fromkeys((c.metric, c.column) for c in mine))
         values = compute_metrics(tables[table], table, unique)
-        spec = F.array(*[F.struct(F.lit(c.metric).alias("metric"),
-                                  F.lit(c.column).cast("string").alias("column_name"),
-                                  F.lit(c.name).alias("check_name"), F.lit(c.op).alias("comparator"),
-                                  F.lit(c.threshold).cast(VALUE_TYPE).alias("threshold"))
-                         for c in mine])
         # Attach the check definitions (a literal array, no join) to the metric rows.
-        joined = values.select("*", F.inline(spec).alias(
-            "s_metric", "s_column", "check_name", "comparator", "threshold")) \
-            .where((F.col("metric") == F.col("s_metric")) &
-                   F.col("column_name").eqNullSafe(F.col("s_column")))
-        outcome = reduce(
-            lambda acc, c: acc.when(F.col("check_name") == c.name,
-                                    _outcome(F.col("value"), c.op, c.threshold)),
-            mine, F.when(F.lit(False), F.lit(None).cast("string")))
-        results.append(joined.select("table_name", "check_name", "metric", "column_name",
-                                     "value", "comparator", "threshold",
-                                     outcome.alias("outcome")))
+        spec = ", ".join(
+            f"named_struct('s_metric', {_s(c.metric)}, 's_column', CAST({_s(c.column)} AS STRING), "
+            f"'check_name', {_s(c.name)}, 'comparator', {_s(c.op)}, "
+            f"'threshold', CAST({c.threshold!r} AS {VALUE_TYPE}))" for c in mine)
+        joined = (values.selectExpr("*", f"inline(array({spec}))")
+                        .where("metric = s_metric AND column_name <=> s_column"))
+        results.append(joined.selectExpr("table_name", "check_name", "metric", "column_name", "value",
+                                         "comparator", "threshold", f"{OUTCOME_SQL} AS outcome"))
     return reduce(DataFrame.unionByName, results)
 
 

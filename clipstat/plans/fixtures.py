@@ -36,6 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _read(fx, spark, sf_dir, name):
+    return fx.table(name) if fx is not None else table(spark, sf_dir, name)
+
+
 def order_seconds(k) -> "F.Column":
     return F.when(k % 3 == 0, (k * 7919) % 5400).otherwise((k * 31) % 400)
 
@@ -44,10 +48,10 @@ def event_seconds(k) -> "F.Column":
     return (k * 7919) % 90000
 
 
-def stg(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
+def stg(spark: SparkSession, sf_dir: str, year: int | None = None, fx: "Fixtures | None" = None) -> DataFrame:
     """Staging rows from orders; ``year`` keeps one extraction (a range filter on
     ``o_orderdate`` that reaches the parquet scan)."""
-    o = table(spark, sf_dir, "orders")
+    o = _read(fx, spark, sf_dir, "orders")
     if year is not None:
         o = o.where((F.col("o_orderdate") >= F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")) &
                     (F.col("o_orderdate") < F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz")))
@@ -71,29 +75,29 @@ def stg(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     )
 
 
-def core_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+def core_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Core table as left by the previous run: the CORE_YEAR extraction, deduped."""
-    rows = core_ops.core_projection(core_ops.dedupe_newest(stg(spark, sf_dir, CORE_YEAR)))
+    rows = core_ops.core_projection(core_ops.dedupe_newest(stg(spark, sf_dir, CORE_YEAR, fx)))
     return rows.withColumn("updated_at", F.lit(PRIOR_RUN).cast("timestamp_ntz"))
 
 
-def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Merge source: latest extraction of all staged rows -> dedupe -> projection."""
-    return core_ops.transform_latest(stg(spark, sf_dir))
+    return core_ops.transform_latest(stg(spark, sf_dir, fx=fx))
 
 
-def history_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """History already recorded today for the snapshot's even-like videos."""
-    rows = snapshot(spark, sf_dir).where(F.col("like_count") % 2 == 0).select(
+    rows = snapshot(spark, sf_dir, fx).where(F.col("like_count") % 2 == 0).select(
         "video_id", "like_count", "view_count", "comment_count",
         F.lit(AS_OF).cast("timestamp_ntz").alias("recorded_at"))
     return with_serial_ids(rows, None, "history_id").select(*[f.name for f in schemas.HISTORY.fields])
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Playlist pages: one per order key, items in a fixed order; every page but the
     last has a next-page token."""
-    li = table(spark, sf_dir, "lineitem")
+    li = _read(fx, spark, sf_dir, "lineitem")
     grouped = li.groupBy(F.col("l_orderkey").alias("page_no")).agg(F.array_sort(F.collect_list(
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")))
         .alias("_lines"))
@@ -108,10 +112,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def details(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Videos-API items (``schemas.VIDEO_ITEM``) for parts whose size is not a multiple
     of ten; column ``item``."""
-    p = table(spark, sf_dir, "part").where(F.col("p_size") % 10 != 0)
+    p = _read(fx, spark, sf_dir, "part").where(F.col("p_size") % 10 != 0)
     p = p.withColumn("_secs", (F.col("p_partkey") * 37) % 4000)
     key, size = F.col("p_partkey"), F.col("p_size")
     published = F.concat(F.lit("2020-01-"), F.lpad((size % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z"))
@@ -125,11 +129,11 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(item.alias("item"))
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def items(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Videos-API items as JSON text built from events; absent keys are left out:
     title when ``event_id % 11 = 0``, likeCount when ``% 5 = 0``, commentCount when
     ``% 7 = 0``."""
-    e = table(spark, sf_dir, "events").withColumn("_secs", event_seconds(F.col("event_id")))
+    e = _read(fx, spark, sf_dir, "events").withColumn("_secs", event_seconds(F.col("event_id")))
     k = F.col("event_id")
     doc = F.struct(
         F.concat(F.lit("v"), k.cast("string")).alias("id"),
@@ -143,24 +147,44 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.to_json(doc, {"ignoreNullFields": "true"}).alias("item"))
 
 
-def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def channels(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Channel listing: handle ``@<n_name>``, id = nation key, uploads = region name."""
-    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    n, r = _read(fx, spark, sf_dir, "nation"), _read(fx, spark, sf_dir, "region")
     return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.concat(F.lit("@"), F.col("n_name")).alias("handle"),
         F.col("n_nationkey").cast("string").alias("channel_id"),
         F.col("r_name").alias("uploads_playlist_id"))
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Handles to resolve: one per supplier, its nation's name behind one or two ``@``."""
-    s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    s, n = _read(fx, spark, sf_dir, "supplier"), _read(fx, spark, sf_dir, "nation")
     return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("request_id"),
         F.concat(F.repeat(F.lit("@"), (F.col("s_suppkey") % 2 + 1).cast("int")), F.col("n_name"))
          .alias("channel_handle"))
 
 
-def dq_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d, lab = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+def dq_docs(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
+    d, lab = _read(fx, spark, sf_dir, "documents"), _read(fx, spark, sf_dir, "labels")
     return d.join(lab, "doc_id", "left").select("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
+
+
+class Fixtures:
+    """The fixture views of one ``sf_dir``, each built once (table reads included) and
+    shared by every consumer of a query, so composed queries do not rebuild them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._views: dict[tuple, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = table(self.spark, self.sf_dir, name)
+        return self._tables[name]
+
+    def view(self, key: tuple, build) -> DataFrame:
+        if key not in self._views:
+            self._views[key] = build()
+        return self._views[key]

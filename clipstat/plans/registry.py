@@ -16,6 +16,22 @@ from clipstat.operators import extract, history, merge, quality
 from clipstat.plans import fixtures as fx
 from clipstat.sinks.envelope import build_envelopes
 
+def _ctx(spark: SparkSession, d: str) -> fx.Fixtures:
+    return fx.Fixtures(spark, d)
+
+
+def _stg(c: fx.Fixtures) -> DataFrame:
+    return c.view(("stg",), lambda: fx.stg(c.spark, c.sf_dir, fx=c))
+
+
+def _snapshot(c: fx.Fixtures) -> DataFrame:
+    return c.view(("snapshot",), lambda: fx.snapshot(c.spark, c.sf_dir, c))
+
+
+def _history_before(c: fx.Fixtures) -> DataFrame:
+    return c.view(("history_before",), lambda: fx.history_before(c.spark, c.sf_dir, c))
+
+
 STG_COLUMNS = ["extraction_id", "channel_handle", "extraction_date", "video_id", "title", "duration",
                "duration_readable", "like_count", "view_count", "comment_count", "published_at", "loaded_at"]
 DETAIL_COLUMNS = ["page_no", "pos", "video_id", "title", "duration", "like_count", "view_count",
@@ -57,8 +73,9 @@ def page_stop(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _detail_join(spark: SparkSession, d: str) -> DataFrame:
-    ids = extract.playlist_video_ids(extract.crawled_pages(fx.pages(spark, d)))
-    flat = extract.flatten_video_items(fx.details(spark, d))
+    c = _ctx(spark, d)
+    ids = extract.playlist_video_ids(extract.crawled_pages(fx.pages(spark, d, c)))
+    flat = extract.flatten_video_items(fx.details(spark, d, c))
     return extract.join_details(ids, flat).select(*DETAIL_COLUMNS)
 
 
@@ -101,48 +118,51 @@ def engagement_ratio(spark: SparkSession, d: str) -> DataFrame:
     return fx.snapshot(spark, d).select("video_id", "like_count", "comment_count", "view_count", "engagement_ratio")
 
 
-def _merged(spark: SparkSession, d: str, refresh=()) -> DataFrame:
-    return merge.upsert(fx.core_before(spark, d), fx.snapshot(spark, d), fx.AS_OF, refresh=refresh)
+def _merged(c: fx.Fixtures, refresh=()) -> DataFrame:
+    return c.view(("merged", tuple(refresh)), lambda: merge.upsert(
+        fx.core_before(c.spark, c.sf_dir, c), _snapshot(c), fx.AS_OF, refresh=refresh))
 
 
 def upsert_core_sticky(spark: SparkSession, d: str) -> DataFrame:
-    return _merged(spark, d)
+    return _merged(_ctx(spark, d))
 
 
 def upsert_core_refresh(spark: SparkSession, d: str) -> DataFrame:
-    return _merged(spark, d, refresh=("extraction_date",))
+    return _merged(_ctx(spark, d), refresh=("extraction_date",))
 
 
-def _new_history(spark: SparkSession, d: str, refresh=()) -> DataFrame:
-    return history.new_history_rows(_merged(spark, d, refresh), fx.stg(spark, d),
-                                    fx.history_before(spark, d), fx.AS_OF)
+def _new_history(c: fx.Fixtures, refresh=()) -> DataFrame:
+    return c.view(("new_history", tuple(refresh)), lambda: history.new_history_rows(
+        _merged(c, refresh), _stg(c), _history_before(c), fx.AS_OF).select(*HISTORY_OUT))
 
 
 def history_append_sticky(spark: SparkSession, d: str) -> DataFrame:
-    return _new_history(spark, d).select(*HISTORY_OUT)
+    return _new_history(_ctx(spark, d))
 
 
 def history_append_refresh(spark: SparkSession, d: str) -> DataFrame:
-    return _new_history(spark, d, ("extraction_date",)).select(*HISTORY_OUT)
+    return _new_history(_ctx(spark, d), ("extraction_date",))
 
 
-def _history_after(spark: SparkSession, d: str) -> DataFrame:
-    before = fx.history_before(spark, d).select(*HISTORY_OUT)
-    return before.unionByName(_new_history(spark, d).select(*HISTORY_OUT))
+def _history_after(c: fx.Fixtures) -> DataFrame:
+    return c.view(("history_after",), lambda: _history_before(c).select(*HISTORY_OUT)
+                  .unionByName(_new_history(c)))
 
 
 def history_today_count(spark: SparkSession, d: str) -> DataFrame:
-    return history.today_counts(_merged(spark, d), _history_after(spark, d), fx.AS_OF)
+    c = _ctx(spark, d)
+    return history.today_counts(_merged(c), _history_after(c), fx.AS_OF)
 
 
 # ---- quality ---------------------------------------------------------------------------
 
-def _pipeline_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {"staging": fx.stg(spark, d), "core": _merged(spark, d), "history": _history_after(spark, d)}
+def _pipeline_tables(c: fx.Fixtures) -> dict[str, DataFrame]:
+    return {"staging": _stg(c), "core": _merged(c), "history": _history_after(c)}
 
 
 def dq_row_count(spark: SparkSession, d: str) -> DataFrame:
-    tables = dict(_pipeline_tables(spark, d), dq_docs=fx.dq_docs(spark, d))
+    c = _ctx(spark, d)
+    tables = dict(_pipeline_tables(c), dq_docs=fx.dq_docs(spark, d, c))
     parts = [quality.compute_metrics(df, name, [("row_count", None)]) for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -173,7 +193,7 @@ def dq_max_length(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_check_set(spark: SparkSession, d: str) -> DataFrame:
-    return quality.run_checks(_pipeline_tables(spark, d), quality.DEFAULT_CHECKS)
+    return quality.run_checks(_pipeline_tables(_ctx(spark, d)), quality.DEFAULT_CHECKS)
 
 
 # ---- sink ------------------------------------------------------------------------------
