@@ -86,5 +86,14 @@ def strip_handle(c) -> Column:
     return F.regexp_replace(_col(c), r"^@+", "")
 
 
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive ``datetime`` (wall clock, no zone involved).
+
+    ``F.lit(datetime)`` would read a naive value in the Python process's zone and cast it
+    back in the session zone; going through ISO text keeps the wall clock whatever the
+    two zones are."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def day_of(c) -> Column:
     return F.to_date(_col(c))

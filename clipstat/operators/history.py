@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from clipstat.functions.columns import ntz
 
 HISTORY_VALUES = ["video_id", "like_count", "view_count", "comment_count"]
 
 
 def _as_date(as_of: dt.datetime):
-    return F.to_date(F.lit(as_of).cast("timestamp_ntz"))
+    return F.to_date(ntz(as_of))
 
 
 def history_rows_today(history: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -37,11 +38,11 @@ def new_history_rows(core: DataFrame, staging: DataFrame, history: DataFrame,
     if newest is None:
         newest = staging.agg(F.max("extraction_date")).scalar()
     else:
-        newest = F.lit(newest).cast("timestamp_ntz")
+        newest = ntz(newest)
     candidates = core.where(F.col("extraction_date") == newest).select(*HISTORY_VALUES)
     today = history_rows_today(history, as_of).select("video_id")
     return (candidates.join(today, "video_id", "left_anti")
-                      .withColumn("recorded_at", F.lit(as_of).cast("timestamp_ntz")))
+                      .withColumn("recorded_at", ntz(as_of)))
 
 
 def today_counts(core: DataFrame, history: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clipstat import schemas
 from clipstat.plans.sizing import broadcast_limit_bytes, estimated_size_bytes
+from clipstat.functions.columns import ntz
 
 KEY = "video_id"
 # Columns the reference's DO UPDATE SET overwrites; every other non-key
@@ -52,7 +53,7 @@ def upsert(target: DataFrame, source: DataFrame, as_of: dt.datetime, refresh=(),
       ``target_bucketed``, else shuffle.
     """
     overwrite, keep = _plan(refresh)
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ntz(as_of)
     source = source.select(*schemas.CORE_COLUMNS)
     target = target.select(*OUTPUT)
     if strategy == "auto":

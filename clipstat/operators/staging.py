@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstat import schemas
-from clipstat.functions.columns import count_from_text, parse_extraction_date, parse_published_at
+from clipstat.functions.columns import ntz, count_from_text, parse_extraction_date, parse_published_at
 
 STAGING_COLUMNS = [f.name for f in schemas.STAGING.fields]
 
@@ -35,7 +35,7 @@ def explode_envelope(envelopes: DataFrame, loaded_at: dt.datetime | None = None,
         present = lambda k: F.array_contains(F.col("keys"), k)
     else:
         present = lambda k: None
-    loaded = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
+    loaded = ntz(loaded_at) if loaded_at else F.localtimestamp()
     vid = F.col("v.video_id")
     return rows.select(
         F.col("channel_handle"),

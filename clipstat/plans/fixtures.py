@@ -23,6 +23,7 @@ from clipstat import schemas
 from clipstat.functions.durations import seconds_to_iso8601, seconds_to_readable
 from clipstat.operators import core as core_ops
 from clipstat.operators.history import with_serial_ids
+from clipstat.functions.columns import ntz
 
 # Fixed values of the fixtures: run time of the upsert / history step, time of the
 # previous run that produced ``core_before``, and the two extraction years.
@@ -53,8 +54,8 @@ def stg(spark: SparkSession, sf_dir: str, year: int | None = None, fx: "Fixtures
     ``o_orderdate`` that reaches the parquet scan)."""
     o = _read(fx, spark, sf_dir, "orders")
     if year is not None:
-        o = o.where((F.col("o_orderdate") >= F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")) &
-                    (F.col("o_orderdate") < F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz")))
+        o = o.where((F.col("o_orderdate") >= ntz(dt.datetime(year, 1, 1))) &
+                    (F.col("o_orderdate") < ntz(dt.datetime(year + 1, 1, 1))))
     k = F.col("o_orderkey")
     o = o.withColumn("_secs", order_seconds(k))
     secs = F.col("_secs")
@@ -78,7 +79,7 @@ def stg(spark: SparkSession, sf_dir: str, year: int | None = None, fx: "Fixtures
 def core_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Core table as left by the previous run: the CORE_YEAR extraction, deduped."""
     rows = core_ops.core_projection(core_ops.dedupe_newest(stg(spark, sf_dir, CORE_YEAR, fx)))
-    return rows.withColumn("updated_at", F.lit(PRIOR_RUN).cast("timestamp_ntz"))
+    return rows.withColumn("updated_at", ntz(PRIOR_RUN))
 
 
 def snapshot(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
@@ -90,7 +91,7 @@ def history_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = Non
     """History already recorded today for the snapshot's even-like videos."""
     rows = snapshot(spark, sf_dir, fx).where(F.col("like_count") % 2 == 0).select(
         "video_id", "like_count", "view_count", "comment_count",
-        F.lit(AS_OF).cast("timestamp_ntz").alias("recorded_at"))
+        ntz(AS_OF).alias("recorded_at"))
     return with_serial_ids(rows, None, "history_id").select(*[f.name for f in schemas.HISTORY.fields])
 
 

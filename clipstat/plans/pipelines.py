@@ -25,6 +25,7 @@ from clipstat.sinks import tables as table_sink
 from clipstat.sinks.envelope import write_snapshot
 from clipstat.sources import landed, snapshots
 from clipstat.sources.tables import TableStore
+from clipstat.functions.columns import ntz
 
 AUDIT_SCHEMA = "stage string, rows bigint, detail string, at timestamp_ntz"
 
@@ -117,7 +118,7 @@ def run_update(spark: SparkSession, data_dir: str, store: TableStore, as_of: dt.
     table_sink.append(store, "history", new_rows, id_col="history_id")
 
     counts = history.today_counts(store.read("core"), store.read_day("history", as_of.date()), as_of).first()
-    loaded = staging.where(F.col("loaded_at") == F.lit(as_of).cast("timestamp_ntz")).count()
+    loaded = staging.where(F.col("loaded_at") == ntz(as_of)).count()
     return _audit(spark, [
         ("staged", loaded, path, as_of),
         ("core", counts["core_rows"], f"version {version}", as_of),

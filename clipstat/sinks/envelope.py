@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstat import schemas
+from clipstat.functions.columns import ntz
 
 # Snapshot file name pattern of the reference (prefix + %Y%m%d_%H%M%S + .json).
 SNAPSHOT_PREFIX = "youtube_videos_"
@@ -64,7 +65,7 @@ def envelope_rows(videos: DataFrame, channel_handle: str, extraction_date: dt.da
     chunked by page ranges (at most 50 videos per page)."""
     tagged = videos.select(
         F.lit(channel_handle).alias("channel_handle"),
-        F.lit(extraction_date).cast("timestamp_ntz").alias("extraction_date"),
+        ntz(extraction_date).alias("extraction_date"),
         "page_no", "pos", *schemas.VIDEO_FIELDS)
     return build_envelopes(tagged, ["page_no", "pos"], F.floor(F.col("page_no") / pages_per_chunk))
 
