@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipstat.functions.columns import content_type, engagement_ratio, is_short, null_safe_count
+from clipstat.functions.columns import content_type, engagement_ratio, is_short, ntz, null_safe_count
 from clipstat.functions.durations import readable_to_seconds
 
 
-def latest_extraction(staging: DataFrame, per: str | None = None) -> DataFrame:
+def latest_extraction(staging: DataFrame, per: str | None = None, newest=None) -> DataFrame:
     """Rows of the newest ``extraction_date``.
 
     Default: one global maximum (scalar subquery), as the reference does, so only the
     newest extraction of any channel is kept.  ``per="channel_handle"`` keeps the newest
     extraction of every channel instead: a pre-aggregated max per channel joined back
     (the aggregate is one row per channel, so it is small and AQE may broadcast it).
+
+    ``newest`` may be passed as a known value (a ``datetime``): the filter is then a
+    literal that reaches the Parquet scan, and plans that use the result several times
+    are identical, so Spark reuses their exchanges.
     """
     if per is None:
-        newest = staging.agg(F.max("extraction_date")).scalar()
-        return staging.where(F.col("extraction_date") == newest)
+        if newest is None:
+            value = staging.agg(F.max("extraction_date")).scalar()
+        else:
+            value = ntz(newest)
+        return staging.where(F.col("extraction_date") == value)
     newest = staging.groupBy(per).agg(F.max("extraction_date").alias("extraction_date"))
     return staging.join(newest, [per, "extraction_date"], "left_semi")
 
@@ -58,6 +65,11 @@ def core_projection(rows: DataFrame) -> DataFrame:
     )
 
 
-def transform_latest(staging: DataFrame, per: str | None = None) -> DataFrame:
+def transform_latest(staging: DataFrame, per: str | None = None, newest=None) -> DataFrame:
     """latest -> dedupe -> project: the rows the upsert consumes."""
-    return core_projection(dedupe_newest(latest_extraction(staging, per)))
+    return core_projection(dedupe_newest(latest_extraction(staging, per, newest)))
+
+
+def newest_extraction(staging: DataFrame):
+    """The newest ``extraction_date`` as a value (one aggregate, one row)."""
+    return staging.agg(F.max("extraction_date")).first()[0]

@@ -106,13 +106,13 @@ def run_update(spark: SparkSession, data_dir: str, store: TableStore, as_of: dt.
     # extraction_day partition: read that partition, not the whole append-only table.
     # (Per-channel mode needs every channel's newest extraction, so it reads it all.)
     staging = store.read_latest_day("staging") if per is None else store.read("staging")
-    source = core_ops.transform_latest(staging, per)
+    newest = core_ops.newest_extraction(staging)
+    source = store.stage("snapshot", core_ops.transform_latest(staging, per, newest if per is None else None))
     new_core = merge.upsert(store.read("core"), source, as_of, refresh=refresh, strategy=merge_strategy,
                             target_bucketed=store.core_buckets > 0)
     version = table_sink.publish(store, new_core)
 
     core = store.read("core")  # the committed version, read back: lineage stops here
-    newest = staging.agg(F.max("extraction_date")).first()[0]
     today = store.read_day("history", as_of.date())
     new_rows = history.new_history_rows(core, staging, today, as_of, newest=newest)
     table_sink.append(store, "history", new_rows, id_col="history_id")

@@ -88,6 +88,17 @@ class TableStore:
         days = self.days(name)
         return self.read(name) if not days else self.read_day(name, days[-1])
 
+    # ---- work tables ------------------------------------------------------------------
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate result under ``_work/<name>`` and read it back.
+
+        Used for a result that several branches of the next step consume: it is computed
+        once, each reader still prunes columns, the Parquet scan carries a real size
+        bound, and lineage stops here (a lost executor recomputes nothing before it)."""
+        path = f"{self.path('_work')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     # ---- serial ids --------------------------------------------------------------------
     def high_water(self, name: str, id_col: str) -> int:
         """Greatest id handed out for ``name``; read from the store's sequence file, or

@@ -30,10 +30,11 @@ def process_envelopes(envelopes: DataFrame, store: TableStore, as_of: dt.datetim
     rows = explode_envelope(envelopes, loaded_at=as_of)
     table_sink.append(store, "staging", rows, id_col="extraction_id")
     staging = store.read_latest_day("staging")
-    new_core = merge.upsert(store.read("core"), core_ops.transform_latest(staging), as_of, refresh=refresh,
-                            target_bucketed=store.core_buckets > 0)
+    newest = core_ops.newest_extraction(staging)
+    source = store.stage("snapshot", core_ops.transform_latest(staging, newest=newest))
+    new_core = merge.upsert(store.read("core"), source, as_of,
+                            refresh=refresh, target_bucketed=store.core_buckets > 0)
     table_sink.publish(store, new_core)
-    newest = staging.agg(F.max("extraction_date")).first()[0]
     new_rows = history.new_history_rows(store.read("core"), staging, store.read_day("history", as_of.date()),
                                         as_of, newest=newest)
     table_sink.append(store, "history", new_rows, id_col="history_id")
