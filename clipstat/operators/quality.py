@@ -54,18 +54,35 @@ def _metric_sql(metric: str, column: str | None) -> str:
             "max_length": f"max(length({c}))"}[metric]
 
 
-def _duplicate_count(df: DataFrame, column: str) -> DataFrame:
-    """Number of distinct non-null values that occur more than once (one row)."""
-    return (df.select(column).where(F.col(column).isNotNull())
-              .groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > 1)
-              .selectExpr(f"CAST(count(1) AS {VALUE_TYPE}) AS value"))
+def _duplicate_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """``duplicate_count`` of several columns in one pass: the number of distinct
+    non-null values that occur more than once, per column.
+
+    Rows become ``(column, value)`` pairs, grouped with partial aggregation (a hot value
+    is collapsed before the shuffle), kept when seen more than once, then counted per
+    column - one scan and one shuffle for all columns.  Values are compared as text,
+    with floats normalised first (``-0.0`` and ``0.0`` are one value, as in SQL).
+    """
+    types = dict(df.dtypes)
+    as_text = lambda c: (F.col(c) + F.lit(0.0)) if types[c] in ("float", "double") else F.col(c)
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), as_text(c).cast("string").alias("v")) for c in columns])))
+    dup = (pairs.where(F.col("v").isNotNull())
+                .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > 1)
+                .groupBy("column_name").agg(F.count(F.lit(1)).alias("_d")))
+    # columns without duplicates have no group: give them an explicit 0
+    zero = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return (zero.join(dup, "column_name", "left")
+                .selectExpr(f"{_s(table)} AS table_name", "'duplicate_count' AS metric", "column_name",
+                            f"CAST(coalesce(_d, 0) AS {VALUE_TYPE}) AS value"))
 
 
 def compute_metrics(df: DataFrame, table: str, metrics) -> DataFrame:
     """Metrics ``[(metric, column), ...]`` of one table as rows
     ``(table_name, metric, column_name, value DECIMAL(38,4))``: one fused aggregate (a
-    single scan) unpivoted with ``stack``, plus one aggregation per duplicate metric.
+    single scan) unpivoted with ``stack``, plus one aggregation for all duplicate
+    metrics.
     Expressions are SQL text, so building the plan costs a few calls, not one per
     literal."""
     metrics = [(m, c) for m, c in metrics]
@@ -80,10 +97,9 @@ def compute_metrics(df: DataFrame, table: str, metrics) -> DataFrame:
         agg = df.selectExpr(*[f"{_metric_sql(m, c)} AS _m{i}" for i, m, c in fused])
         body = ", ".join(f"{label(m, c)}, CAST(_m{i} AS {VALUE_TYPE})" for i, m, c in fused)
         parts.append(agg.selectExpr(f"stack({len(fused)}, {body}) AS ({cols})"))
-    for m, c in metrics:
-        if m == "duplicate_count":
-            parts.append(_duplicate_count(df, c).selectExpr(
-                f"{_s(table)} AS table_name", f"{_s(m)} AS metric", f"CAST({_s(c)} AS STRING) AS column_name", "value"))
+    dup_cols = list(dict.fromkeys(c for m, c in metrics if m == "duplicate_count"))
+    if dup_cols:
+        parts.append(_duplicate_counts(df, table, dup_cols))
     return reduce(DataFrame.unionByName, parts)
 
 

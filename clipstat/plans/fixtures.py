@@ -82,20 +82,10 @@ def core_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None)
     return rows.withColumn("updated_at", ntz(PRIOR_RUN))
 
 
-def newest(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None):
-    """The newest extraction date of the staged rows, as a value (one aggregate)."""
-    if fx is not None:
-        if "_newest" not in fx._views:
-            fx._views["_newest"] = core_ops.newest_extraction(stg(spark, sf_dir, fx=fx))
-        return fx._views["_newest"]
-    return core_ops.newest_extraction(stg(spark, sf_dir))
-
-
 def snapshot(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
-    """Merge source: latest extraction of all staged rows -> dedupe -> projection.  The
-    newest extraction date is computed first, as the pipeline does."""
-    rows = stg(spark, sf_dir, fx=fx)
-    return core_ops.transform_latest(rows, newest=newest(spark, sf_dir, fx))
+    """Merge source: latest extraction of all staged rows -> dedupe -> projection (the
+    newest extraction date is a scalar subquery, executed inside the query)."""
+    return core_ops.transform_latest(stg(spark, sf_dir, fx=fx))
 
 
 def history_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:

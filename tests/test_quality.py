@@ -61,3 +61,16 @@ def test_unknown_table_or_metric(spark):
         quality.run_checks({}, [Check("t", "row_count", None, ">", 0, "r")])
     with pytest.raises(ValueError):
         quality.compute_metrics(df, "t", [("median", "x")])
+
+
+def test_duplicate_counts_fused_and_float_normalised(spark):
+    df = spark.createDataFrame([(0.0, "a", 1), (-0.0, "a", 2), (1.5, None, 3), (float("nan"), "b", 3),
+                                (float("nan"), "c", 4)], "f double, s string, n int")
+    m = quality.compute_metrics(df, "t", [("duplicate_count", "f"), ("duplicate_count", "s"),
+                                          ("duplicate_count", "n"), ("row_count", None)])
+    got = {(r.metric, r.column_name): r.value for r in m.collect()}
+    assert got[("duplicate_count", "f")] == 2          # 0.0/-0.0 and NaN/NaN
+    assert got[("duplicate_count", "s")] == 1
+    assert got[("duplicate_count", "n")] == 1
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_count") >= 1
