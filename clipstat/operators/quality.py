@@ -71,11 +71,13 @@ def _duplicate_counts(df: DataFrame, table: str, columns: list[str]) -> DataFram
                 .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > 1)
                 .groupBy("column_name").agg(F.count(F.lit(1)).alias("_d")))
-    # columns without duplicates have no group: give them an explicit 0
-    zero = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    return (zero.join(dup, "column_name", "left")
-                .selectExpr(f"{_s(table)} AS table_name", "'duplicate_count' AS metric", "column_name",
-                            f"CAST(coalesce(_d, 0) AS {VALUE_TYPE}) AS value"))
+    # one value per column (0 when a column has no duplicate group), from a global
+    # aggregate over the tiny per-column result - no join
+    wide = dup.selectExpr(*[f"coalesce(max(CASE WHEN column_name = {_s(c)} THEN _d END), 0) AS _d{i}"
+                            for i, c in enumerate(columns)])
+    body = ", ".join(f"{_s(table)}, 'duplicate_count', CAST({_s(c)} AS STRING), CAST(_d{i} AS {VALUE_TYPE})"
+                     for i, c in enumerate(columns))
+    return wide.selectExpr(f"stack({len(columns)}, {body}) AS (table_name, metric, column_name, value)")
 
 
 def compute_metrics(df: DataFrame, table: str, metrics) -> DataFrame:
