@@ -90,12 +90,16 @@ class TableStore:
 
     # ---- work tables ------------------------------------------------------------------
     def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Write an intermediate result under ``_work/<name>`` and read it back.
+        """Write an intermediate result to the cluster's shared checkpoint folder
+        (``spark.checkpoint.dir``) and read it back.
 
         Used for a result that several branches of the next step consume: it is computed
         once, each reader still prunes columns, the Parquet scan carries a real size
         bound, and lineage stops here (a lost executor recomputes nothing before it)."""
-        path = f"{self.path('_work')}/{name}"
+        from clipstat.session import ensure_checkpoint_dir
+
+        digest = hashlib.sha1(self.root.encode("utf-8")).hexdigest()[:10]
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/clipstat-work-{digest}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
