@@ -100,7 +100,7 @@ def pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> Dat
     """Playlist pages: one per order key, items in a fixed order; every page but the
     last has a next-page token."""
     li = _read(fx, spark, sf_dir, "lineitem")
-    grouped = li.groupBy(F.col("l_orderkey").alias("page_no")).agg(F.array_sort(F.collect_list(
+    grouped = li.groupBy(F.col("l_orderkey").alias("page_no")).agg(F.sort_array(F.collect_list(
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")))
         .alias("_lines"))
     last = li.agg(F.max("l_orderkey")).scalar()

@@ -50,7 +50,7 @@ def build_envelopes(videos: DataFrame, order, chunk_by) -> DataFrame:
     totals = videos.groupBy(*SNAPSHOT_KEYS).agg(F.count(F.lit(1)).cast("int").alias("total_videos"))
     grouped = (videos.withColumn("_chunk", chunk_by)
                      .groupBy(*SNAPSHOT_KEYS, "_chunk")
-                     .agg(F.array_sort(F.collect_list(F.struct(*order, record.alias("_v")))).alias("_vs")))
+                     .agg(F.sort_array(F.collect_list(F.struct(*order, record.alias("_v")))).alias("_vs")))
     return grouped.join(totals, SNAPSHOT_KEYS).select(
         "channel_handle",
         iso_text("extraction_date").alias("extraction_date"),
