@@ -186,3 +186,26 @@ def test_quality_scope_latest(spark, tmp_dir):
     assert res[("staging", "row_count", None)] == 3 and res[("history", "row_count", None)] == 3
     assert store.read_day("history", "2025-10-02").count() == 3
     assert store.read_day("history", "1999-01-01").count() == 0
+
+
+def test_streaming_ingest_resumes_from_checkpoint(spark, tmp_dir):
+    data, store, ckpt = f"{tmp_dir}/incoming", TableStore(spark, f"{tmp_dir}/tables"), f"{tmp_dir}/ckpt"
+    os.makedirs(data)
+
+    def drop(day, views):
+        payload = {"channel_handle": "@c", "extraction_date": f"2025-10-0{day}T08:00:00", "total_videos": 1,
+                   "videos": [{"title": "x", "duration": "PT2M", "video_id": "a", "like_count": "1",
+                               "view_count": str(views), "published_at": "2025-09-01T00:00:00Z",
+                               "comment_count": "0", "duration_readable": "2:00"}]}
+        with open(f"{data}/youtube_videos_2025100{day}_080000.json", "w") as f:
+            json.dump(payload, f)
+
+    drop(1, 10)
+    start_ingest(spark, data, store, checkpoint_location=ckpt, clock=lambda: DAY1).awaitTermination(120)
+    assert store.read("staging").count() == 1
+    # restart with the same checkpoint: only the new file is read
+    drop(2, 20)
+    start_ingest(spark, data, store, checkpoint_location=ckpt, clock=lambda: DAY2).awaitTermination(120)
+    assert store.read("staging").count() == 2
+    assert store.read("core").first().view_count == 20
+    assert sorted(r.extraction_id for r in store.read("staging").collect()) == [1, 2]
