@@ -60,6 +60,9 @@ def dense_serial_ids(rows: DataFrame, base: int, id_col: str) -> tuple[DataFrame
     partition), the driver turns the counts into offsets, and every row gets
     ``offset(partition) + position in partition``.  Returns ``(rows, new high-water)``.
     """
+    from clipstat.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(rows.sparkSession)
     fixed = rows.checkpoint(eager=True)
     counts = sorted(tuple(r) for r in fixed.groupBy(F.spark_partition_id().alias("p")).count().collect())
     offsets, top = [], base

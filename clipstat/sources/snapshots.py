@@ -27,7 +27,14 @@ def latest_snapshot_path(spark: SparkSession, data_dir: str) -> str:
     names = [n for n in fs.list_names(spark, data_dir) if n.endswith(SNAPSHOT_SUFFIX)]
     if not names:
         raise SnapshotSourceError(f"no {SNAPSHOT_SUFFIX} file in {data_dir}")
-    return data_dir.rstrip("/") + "/" + max(names)
+    # A snapshot folder written by Spark is complete only once its job committed
+    # (_SUCCESS); a folder whose write died midway is passed over.  Only names from the
+    # top down are checked, so the cost does not grow with the number of snapshots.
+    for name in sorted(names, reverse=True):
+        path = data_dir.rstrip("/") + "/" + name
+        if not fs.is_dir(spark, path) or fs.exists(spark, path + "/_SUCCESS"):
+            return path
+    raise SnapshotSourceError(f"no complete {SNAPSHOT_SUFFIX} snapshot in {data_dir}")
 
 
 def read_envelopes(spark: SparkSession, path: str, raw: bool = True) -> DataFrame:

@@ -71,10 +71,10 @@ class TableStore:
             return self.spark.read.schema(schema).parquet(self.version_path(done[-1]))
         base = self.path(name)
         part_col, _ = PARTITION[name]
+        full = T.StructType(schema.fields + [T.StructField(part_col, T.DateType())])
         if not fs.exists(self.spark, base):
-            empty = T.StructType(schema.fields + [T.StructField(part_col, T.DateType())])
-            return self.spark.createDataFrame([], empty)
-        df = self.spark.read.parquet(base)
+            return self.spark.createDataFrame([], full)
+        df = self.spark.read.schema(full).parquet(base)
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.col(part_col))
 
     def days(self, name: str) -> list[str]:

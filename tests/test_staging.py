@@ -118,3 +118,12 @@ def test_envelope_iso_text_without_fraction(spark):
 def test_empty_snapshot_refused(spark, tmp_dir):
     with pytest.raises(EmptySnapshotError):
         write_snapshot(flat_videos(spark, 1, 1).limit(0), tmp_dir, "@c", AS_OF)
+
+
+def test_incomplete_snapshot_folder_is_skipped(spark, tmp_dir):
+    at = dt.datetime(2025, 10, 3, 12, 0, 0)
+    done = write_snapshot(flat_videos(spark, 1, 2), tmp_dir, "@c", at)
+    broken = os.path.join(tmp_dir, "youtube_videos_20251004_120000.json")
+    os.makedirs(broken)                                   # a write that died before its commit
+    open(os.path.join(broken, "part-00000.json"), "w").close()
+    assert snapshots.latest_snapshot_path(spark, tmp_dir) == done
