@@ -7,7 +7,6 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from clipstat import schemas
 from clipstat.operators import extract
 from clipstat.plans.pipelines import LandedLayout, channel_videos
 from clipstat.sources import landed

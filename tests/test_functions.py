@@ -5,7 +5,6 @@ from decimal import Decimal
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from clipstat.functions import (content_type, engagement_ratio, is_short, iso8601_to_seconds,
                                 readable_to_seconds, seconds_to_iso8601, seconds_to_readable,

@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from clipstat.plans import pipelines
 from clipstat.sinks import tables as table_sink
