@@ -3,7 +3,7 @@ flattening of video items, channel resolution and the run summary."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions.columns import strip_handle
@@ -26,6 +26,12 @@ def playlist_video_ids(pages: DataFrame) -> DataFrame:
 MAX_PAGE = (1 << 63) - 1
 
 
+def playlist_video_ids_by(pages: DataFrame, by) -> DataFrame:
+    """Like :func:`playlist_video_ids`, keeping the playlist key columns ``by``."""
+    return pages.select(*by, "page_no", F.posexplode("items").alias("pos", "item")) \
+                .select(*by, "page_no", "pos", F.col("item.snippet.resourceId.videoId").alias("video_id"))
+
+
 def last_page(pages: DataFrame) -> Column:
     """Scalar: the last page the crawl reads, or NULL when no page stops it.
 
@@ -41,10 +47,26 @@ def last_page(pages: DataFrame) -> Column:
     return bound.scalar()
 
 
-def crawled_pages(pages: DataFrame) -> DataFrame:
+def _stop_bound(pages: DataFrame) -> Column:
+    empty = F.coalesce(F.size("items"), F.lit(0)) == 0
+    no_token = F.col("nextPageToken").isNull() | (F.col("nextPageToken") == "")
+    return F.least(F.min(F.when(empty, F.col("page_no") - 1)),
+                   F.min(F.when(~empty & no_token, F.col("page_no"))))
+
+
+def crawled_pages(pages: DataFrame, by=None) -> DataFrame:
     """Pages that the crawl reads, following the reference's paging loop: stop before
-    the first page with no ids and after the first page without a next-page token."""
-    return pages.where(F.col("page_no") <= F.coalesce(last_page(pages), F.lit(MAX_PAGE)))
+    the first page with no ids and after the first page without a next-page token.
+
+    ``by`` (e.g. ``["playlist_id"]``) crawls many playlists at once: the bound is one
+    aggregate row per playlist, joined back on the key (small, so AQE broadcasts it).
+    """
+    if not by:
+        return pages.where(F.col("page_no") <= F.coalesce(last_page(pages), F.lit(MAX_PAGE)))
+    by = list(by)
+    bounds = pages.groupBy(*by).agg(_stop_bound(pages).alias("_last"))
+    return (pages.join(bounds, by, "inner")
+                 .where(F.col("page_no") <= F.coalesce(F.col("_last"), F.lit(MAX_PAGE))).drop("_last"))
 
 
 def flatten_video_items(items: DataFrame, item_col: str = "item") -> DataFrame:
@@ -105,18 +127,43 @@ def join_details(ids: DataFrame, details: DataFrame) -> DataFrame:
     return ids.join(details, "video_id", "inner")
 
 
-def first_n(videos: DataFrame, n: int = DEFAULT_MAX_RESULTS) -> DataFrame:
-    """First ``n`` videos in paging order (``TakeOrderedAndProject``: a bounded top-n)."""
-    return videos.orderBy("page_no", "pos").limit(n)
+def _rank_in(videos: DataFrame, by) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy("page_no", "pos")
+    return videos.withColumn("_rank", F.row_number().over(w))
+
+
+def first_n(videos: DataFrame, n: int = DEFAULT_MAX_RESULTS, by=None) -> DataFrame:
+    """First ``n`` videos in paging order (``TakeOrderedAndProject``: a bounded top-n).
+
+    With ``by`` the first ``n`` of every playlist: ``row_number() <= n`` is planned as a
+    partial ``WindowGroupLimit`` before the shuffle, so a channel holding a third of all
+    rows still sends at most ``n`` rows per map task.
+    """
+    if not by:
+        return videos.orderBy("page_no", "pos").limit(n)
+    return _rank_in(videos, list(by)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def extraction_summary(videos: DataFrame, n: int = DEFAULT_MAX_RESULTS) -> DataFrame:
+def extraction_summary(videos: DataFrame, n: int = DEFAULT_MAX_RESULTS, by=None) -> DataFrame:
     """One row: videos fetched (whole pages until at least ``n``), videos returned and the
     estimated quota ``(fetched // 50) * 2``.
 
     The page holding the n-th video is found with a bounded top-n; every page up to it is
-    fetched, so ``fetched`` is a plain filtered count - no global window.
+    fetched, so ``fetched`` is a plain filtered count - no global window.  With ``by``,
+    one row per playlist: the n-th video's page comes from the windowed top-n (one row
+    per playlist), joined back on the key.
     """
+    if by:
+        by = list(by)
+        nth = (_rank_in(videos.select(*by, "page_no", "pos"), by).where(F.col("_rank") == n)
+                     .select(*by, F.col("page_no").alias("_p")))
+        counted = (videos.join(nth, by, "left")
+                         .where(F.col("_p").isNull() | (F.col("page_no") <= F.col("_p")))
+                         .groupBy(*by).agg(F.count(F.lit(1)).alias("videos_fetched")))
+        return counted.select(
+            *by, "videos_fetched",
+            F.least(F.col("videos_fetched"), F.lit(n).cast("bigint")).alias("videos_returned"),
+            (F.floor(F.col("videos_fetched") / PAGE_SIZE) * 2).cast("bigint").alias("quota_units"))
     nth_page = (videos.select("page_no", "pos").orderBy("page_no", "pos").limit(n)
                       .agg(F.max("page_no").alias("p"), F.count(F.lit(1)).alias("k")))
     # Fewer than n videos in all: every page is fetched.  (One subquery reference.)

@@ -165,3 +165,29 @@ def test_unknown_channel_fails(spark, tmp_dir):
     land_channel(tmp_dir, pages={1: (["vid1"], None)}, videos={1: []})
     with pytest.raises(Exception):
         channel_videos(spark, LandedLayout(tmp_dir), "@Nobody")
+
+
+def test_many_playlists_match_one_at_a_time(spark):
+    """Per-playlist crawl, first n and summary equal running each playlist alone."""
+    spec = {"A": [(1, ["a1", "a2"], "t"), (2, ["a3"], "t"), (3, [], "t"), (4, ["a4"], None)],
+            "B": [(1, ["b1"], None), (2, ["b2"], "t")],
+            "C": [(n, [f"c{n}_{i}" for i in range(3)], "t") for n in range(1, 40)]}     # a hot playlist
+    rows = [(pl, n, [{"snippet": {"resourceId": {"videoId": v}}} for v in ids], tok)
+            for pl, pages in spec.items() for n, ids, tok in pages]
+    pages = spark.createDataFrame(rows, "playlist_id string, page_no bigint, items array<struct<snippet:struct<"
+                                        "resourceId:struct<videoId:string>>>>, nextPageToken string")
+    crawled = extract.crawled_pages(pages, by=["playlist_id"])
+    ids = extract.playlist_video_ids_by(crawled, ["playlist_id"])
+    many_first = sorted(tuple(r) for r in extract.first_n(ids, 5, by=["playlist_id"]).collect())
+    many_summary = {r.playlist_id: (r.videos_fetched, r.videos_returned, r.quota_units)
+                    for r in extract.extraction_summary(ids, 5, by=["playlist_id"]).collect()}
+    for pl in spec:
+        one_pages = pages.where(F.col("playlist_id") == pl).drop("playlist_id")
+        one_ids = extract.playlist_video_ids(extract.crawled_pages(one_pages))
+        want_first = sorted((pl,) + tuple(r) for r in extract.first_n(one_ids, 5).collect())
+        assert [r for r in many_first if r[0] == pl] == want_first
+        s = extract.extraction_summary(one_ids, 5).first()
+        assert many_summary[pl] == (s.videos_fetched, s.videos_returned, s.quota_units)
+    assert many_summary["A"] == (3, 3, 0) and many_summary["B"] == (1, 1, 0) and many_summary["C"] == (6, 5, 0)
+    plan = extract.first_n(ids, 5, by=["playlist_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
