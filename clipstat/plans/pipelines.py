@@ -22,7 +22,8 @@ from clipstat.operators import core as core_ops
 from clipstat.operators import extract, history, merge, quality
 from clipstat.operators.staging import explode_envelope
 from clipstat.sinks import tables as table_sink
-from clipstat.sinks.envelope import write_snapshot
+from clipstat.sinks.envelope import (DEFAULT_PAGES_PER_CHUNK, EmptySnapshotError, build_envelopes,
+                                     snapshot_name, write_snapshot)
 from clipstat.sources import landed, snapshots
 from clipstat.sources.tables import TableStore
 from clipstat.functions.columns import ntz
@@ -88,6 +89,42 @@ def extract_to_snapshot(spark: SparkSession, landed_root: str, out_dir: str, cha
     return path, audit
 
 
+def extract_channels_to_snapshot(spark: SparkSession, landed_root: str, out_dir: str, handles: DataFrame,
+                                 max_results: int = extract.DEFAULT_MAX_RESULTS,
+                                 extraction_date: dt.datetime | None = None,
+                                 pages_per_chunk: int = DEFAULT_PAGES_PER_CHUNK) -> tuple[str, DataFrame]:
+    """PIPE-1 for many channels in one job.
+
+    ``handles`` is a DataFrame with ``channel_handle``.  Every handle is resolved (an
+    unknown one fails the job), all playlists' landed pages are read in one scan, and
+    the crawl stop, detail join, first ``max_results`` and summary run per playlist.
+    The result is one snapshot folder holding every channel's envelopes (chunked), which
+    :func:`run_update` loads like any other snapshot.  Returns ``(path, summary)`` with
+    one summary row per channel.
+    """
+    at = extraction_date or dt.datetime.now()
+    layout = LandedLayout(landed_root)
+    resolved = extract.resolve_channels(handles.select("channel_handle"),
+                                        landed.read_channel_listing(spark, layout.channels()), strict=True)
+    wanted = resolved.select("channel_handle", F.col("uploads_playlist_id").alias("playlist_id"))
+    pages = landed.read_all_playlist_pages(spark, f"{landed_root}/playlists").join(wanted, "playlist_id")
+    keys = ["playlist_id"]
+    ids = extract.playlist_video_ids_by(extract.crawled_pages(pages, by=keys), ["playlist_id", "channel_handle"])
+    details = extract.flatten_video_items(
+        extract.videos_page_items(landed.read_all_videos_pages(spark, f"{landed_root}/videos")))
+    joined = ids.join(details, ["playlist_id", "page_no", "video_id"], "inner").select(
+        "playlist_id", "channel_handle", "page_no", "pos", *schemas.VIDEO_FIELDS)
+    videos = extract.first_n(joined, max_results, by=keys)
+    summary = extract.extraction_summary(joined, max_results, by=["playlist_id", "channel_handle"])
+    if videos.isEmpty():
+        raise EmptySnapshotError("no video to save")
+    tagged = videos.withColumn("extraction_date", ntz(at))
+    envelopes = build_envelopes(tagged, ["page_no", "pos"], F.floor(F.col("page_no") / pages_per_chunk))
+    path = f"{out_dir.rstrip('/')}/{snapshot_name(at)}"
+    envelopes.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    return path, summary
+
+
 def run_update(spark: SparkSession, data_dir: str, store: TableStore, as_of: dt.datetime | None = None,
                refresh=(), per: str | None = None, strict: bool = False,
                merge_strategy: str = "auto") -> DataFrame:

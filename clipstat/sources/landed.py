@@ -48,3 +48,21 @@ def read_channel_listing(spark: SparkSession, path: str) -> DataFrame:
         first["id"].alias("channel_id"),
         first["contentDetails"]["relatedPlaylists"]["uploads"].alias("uploads_playlist_id"),
     )
+
+
+def _with_playlist_id(df: DataFrame) -> DataFrame:
+    # .../<playlist_id>/page_<n>.json -> playlist_id from the parent folder name
+    return df.withColumn("playlist_id", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+
+
+def read_all_playlist_pages(spark: SparkSession, root: str) -> DataFrame:
+    """``(playlist_id, page_no, items, nextPageToken)`` of every playlist under ``root``
+    (``<root>/<playlist_id>/page_<n>.json``), read as one parallel scan."""
+    df = _with_playlist_id(_with_page_no(_read(spark, f"{root}/*", schemas.PLAYLIST_PAGE)))
+    return df.select("playlist_id", "page_no", "items", "nextPageToken")
+
+
+def read_all_videos_pages(spark: SparkSession, root: str) -> DataFrame:
+    """``(playlist_id, page_no, items)`` of every playlist's videos responses."""
+    df = _with_playlist_id(_with_page_no(_read(spark, f"{root}/*", schemas.VIDEOS_PAGE)))
+    return df.select("playlist_id", "page_no", "items")

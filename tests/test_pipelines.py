@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from clipstat.plans import pipelines
 from clipstat.sinks import tables as table_sink
@@ -208,3 +209,36 @@ def test_streaming_ingest_resumes_from_checkpoint(spark, tmp_dir):
     assert store.read("staging").count() == 2
     assert store.read("core").first().view_count == 20
     assert sorted(r.extraction_id for r in store.read("staging").collect()) == [1, 2]
+
+
+def test_many_channels_in_one_job(spark, tmp_dir):
+    landed, data, store = f"{tmp_dir}/landed", f"{tmp_dir}/data", TableStore(spark, f"{tmp_dir}/tables")
+    for ch, pl, views in (("One", "UU_1", 10), ("Two", "UU_2", 20), ("Three", "UU_3", 30)):
+        write_channel = {"items": [{"id": f"UC_{ch}", "contentDetails": {"relatedPlaylists": {"uploads": pl}}}]}
+        os.makedirs(f"{landed}/channels", exist_ok=True)
+        with open(f"{landed}/channels/{ch}.json", "w") as f:
+            json.dump(write_channel, f)
+        vids = [f"{ch}_{i}" for i in range(4)]
+        for n, chunk in enumerate((vids[:2], vids[2:]), start=1):
+            page = {"items": [{"snippet": {"resourceId": {"videoId": v}}} for v in chunk]}
+            if n == 1:
+                page["nextPageToken"] = "next"
+            os.makedirs(f"{landed}/playlists/{pl}", exist_ok=True)
+            os.makedirs(f"{landed}/videos/{pl}", exist_ok=True)
+            with open(f"{landed}/playlists/{pl}/page_{n:05d}.json", "w") as f:
+                json.dump(page, f)
+            with open(f"{landed}/videos/{pl}/page_{n:05d}.json", "w") as f:
+                json.dump({"items": [api_video(v, views, 2) for v in chunk]}, f)
+    handles = spark.createDataFrame([("@One",), ("@@Two",), ("@Three",)], "channel_handle string")
+    path, summary = pipelines.extract_channels_to_snapshot(spark, landed, data, handles, max_results=3,
+                                                           extraction_date=DAY1)
+    got = {r.channel_handle: (r.videos_fetched, r.videos_returned) for r in summary.collect()}
+    assert got == {"@One": (4, 3), "@@Two": (4, 3), "@Three": (4, 3)}
+    pipelines.run_update(spark, data, store, DAY1)
+    core = store.read("core")
+    assert core.count() == 9
+    assert {r.channel_handle: r.n for r in core.groupBy("channel_handle").agg(F.count("*").alias("n")).collect()} \
+        == {"@One": 3, "@@Two": 3, "@Three": 3}
+    bad = spark.createDataFrame([("@Nobody",)], "channel_handle string")
+    with pytest.raises(Exception):
+        pipelines.extract_channels_to_snapshot(spark, landed, f"{tmp_dir}/d2", bad, extraction_date=DAY2)
