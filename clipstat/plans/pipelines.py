@@ -22,7 +22,7 @@ from clipstat.operators import core as core_ops
 from clipstat.operators import extract, history, merge, quality
 from clipstat.operators.staging import explode_envelope
 from clipstat.sinks import tables as table_sink
-from clipstat.sinks.envelope import (DEFAULT_PAGES_PER_CHUNK, EmptySnapshotError, build_envelopes,
+from clipstat.sinks.envelope import (DEFAULT_PAGES_PER_CHUNK, build_envelopes, publish_envelopes,
                                      snapshot_name, write_snapshot)
 from clipstat.sources import landed, snapshots
 from clipstat.sources.tables import TableStore
@@ -116,12 +116,9 @@ def extract_channels_to_snapshot(spark: SparkSession, landed_root: str, out_dir:
         "playlist_id", "channel_handle", "page_no", "pos", *schemas.VIDEO_FIELDS)
     videos = extract.first_n(joined, max_results, by=keys)
     summary = extract.extraction_summary(joined, max_results, by=["playlist_id", "channel_handle"])
-    if videos.isEmpty():
-        raise EmptySnapshotError("no video to save")
     tagged = videos.withColumn("extraction_date", ntz(at))
     envelopes = build_envelopes(tagged, ["page_no", "pos"], F.floor(F.col("page_no") / pages_per_chunk))
-    path = f"{out_dir.rstrip('/')}/{snapshot_name(at)}"
-    envelopes.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    path = publish_envelopes(spark, envelopes, f"{out_dir.rstrip('/')}/{snapshot_name(at)}")
     return path, summary
 
 

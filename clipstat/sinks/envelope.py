@@ -70,6 +70,26 @@ def envelope_rows(videos: DataFrame, channel_handle: str, extraction_date: dt.da
     return build_envelopes(tagged, ["page_no", "pos"], F.floor(F.col("page_no") / pages_per_chunk))
 
 
+def publish_envelopes(spark, envelopes: DataFrame, path: str) -> str:
+    """Write envelope rows as the snapshot folder ``path``.
+
+    The rows are written under ``path + ".tmp"`` (not a ``.json`` name, so readers skip
+    it), checked for emptiness on the written files (cheap: no recomputation of the
+    extraction), then renamed into place - the snapshot appears whole or not at all.
+    An empty result is refused, as the reference refuses to save no data.
+    """
+    from clipstat.sources import fs
+
+    tmp = path + ".tmp"
+    envelopes.write.mode("errorifexists").option("ignoreNullFields", False).option("encoding", "UTF-8").json(tmp)
+    if spark.read.text(tmp).isEmpty():
+        fs.delete(spark, tmp)
+        raise EmptySnapshotError("no video to save")
+    if not fs.rename(spark, tmp, path):
+        raise RuntimeError(f"could not publish snapshot {path}")
+    return path
+
+
 def write_snapshot(videos: DataFrame, out_dir: str, channel_handle: str,
                    extraction_date: dt.datetime, pages_per_chunk: int = DEFAULT_PAGES_PER_CHUNK) -> str:
     """Write the snapshot as ``<out_dir>/youtube_videos_<ts>.json/`` (JSON-lines parts).
@@ -77,10 +97,6 @@ def write_snapshot(videos: DataFrame, out_dir: str, channel_handle: str,
     Refuses an empty dataset.  Nulls are written (``ignoreNullFields=false``) and text is
     UTF-8, unescaped.  Returns the snapshot path.
     """
-    if videos.isEmpty():
-        raise EmptySnapshotError("no video to save")
     path = f"{out_dir.rstrip('/')}/{snapshot_name(extraction_date)}"
     rows = envelope_rows(videos, channel_handle, extraction_date, pages_per_chunk)
-    (rows.write.mode("errorifexists").option("ignoreNullFields", False)
-         .option("encoding", "UTF-8").json(path))
-    return path
+    return publish_envelopes(videos.sparkSession, rows, path)

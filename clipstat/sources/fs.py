@@ -53,3 +53,13 @@ def read_text(spark: SparkSession, path: str) -> str:
         return "\n".join(lines)
     finally:
         stream.close()
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, p = _fs(spark, src)
+    return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
