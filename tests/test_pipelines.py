@@ -242,3 +242,19 @@ def test_many_channels_in_one_job(spark, tmp_dir):
     bad = spark.createDataFrame([("@Nobody",)], "channel_handle string")
     with pytest.raises(Exception):
         pipelines.extract_channels_to_snapshot(spark, landed, f"{tmp_dir}/d2", bad, extraction_date=DAY2)
+
+
+def test_constraints_fail_the_write(spark, tmp_dir):
+    from clipstat.plans import fixtures as fx
+
+    store = TableStore(spark, tmp_dir)
+    core = fx.core_before(spark, "/root/testdata/sf0.001")
+    too_long = core.withColumn("video_id", F.concat(F.col("video_id"), F.lit("x" * 20)))
+    with pytest.raises(Exception) as e:
+        table_sink.publish(store, too_long)
+    assert "longer than 20" in str(e.value)
+    no_title = core.withColumn("title", F.lit(None).cast("string"))
+    with pytest.raises(Exception) as e:
+        table_sink.publish(store, no_title)
+    assert "core.title is NULL" in str(e.value)
+    assert store.versions() == []                       # nothing became visible
