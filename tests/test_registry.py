@@ -42,3 +42,11 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert canon(df.columns, rows) == canon(cols, cur.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_has_no_python_and_no_cross_join(spark, name):
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+               "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert op not in plan, (name, op)
