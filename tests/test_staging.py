@@ -127,3 +127,13 @@ def test_incomplete_snapshot_folder_is_skipped(spark, tmp_dir):
     os.makedirs(broken)                                   # a write that died before its commit
     open(os.path.join(broken, "part-00000.json"), "w").close()
     assert snapshots.latest_snapshot_path(spark, tmp_dir) == done
+
+
+def test_typed_envelope_read(spark, tmp_dir):
+    path = write_envelope(tmp_dir, "s.json", [video("a"), video("b", duration=None)])
+    env = snapshots.read_envelopes(spark, path, raw=False)
+    assert dict(env.dtypes)["extraction_date"] == "timestamp_ntz"
+    rows = {r.video_id: r for r in snapshots.envelope_videos(env).collect()}
+    assert rows["a"].channel_handle == "@MrChannel" and rows["a"].total_videos == 2
+    assert rows["a"].extraction_date == dt.datetime(2025, 10, 3, 12, 30, 45, 123456)
+    assert rows["b"].duration is None and rows["a"].like_count == "10"
