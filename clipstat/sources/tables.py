@@ -55,6 +55,14 @@ class TableStore:
             out.append(int(digits))
         return sorted(out)
 
+    def latest_version(self, name: str = "core") -> int | None:
+        """Newest committed version, checked from the top down: normally one existence
+        check, however many versions are kept."""
+        for version in reversed(self.versions(name, committed_only=False)):
+            if fs.exists(self.spark, f"{self.version_path(version, name)}/_SUCCESS"):
+                return version
+        return None
+
     def version_path(self, version: int, name: str = "core") -> str:
         return f"{self.path(name)}/{VERSION_PREFIX}{version:06d}"
 
@@ -63,12 +71,12 @@ class TableStore:
         """Whole table with its declared schema; an absent table reads as empty."""
         schema = SCHEMAS[name]
         if name == "core":
-            done = self.versions("core")
-            if not done:
+            latest = self.latest_version("core")
+            if latest is None:
                 return self.spark.createDataFrame([], schema)
             if self.core_buckets:
-                return self.spark.table(self.register_core(done[-1]))
-            return self.spark.read.schema(schema).parquet(self.version_path(done[-1]))
+                return self.spark.table(self.register_core(latest))
+            return self.spark.read.schema(schema).parquet(self.version_path(latest))
         base = self.path(name)
         part_col, _ = PARTITION[name]
         full = T.StructType(schema.fields + [T.StructField(part_col, T.DateType())])
