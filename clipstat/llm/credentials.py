@@ -171,15 +171,15 @@ def mask_secrets(docs: DataFrame, owner: str = "source", repo: Column | None = N
         return pd.Series([mask(t, [(s, e) for _, s, e, v in candidates(t, min_entropy) if _value_hash(v) not in known])
                           for t, known in zip(texts, (set(x) if x is not None else set() for x in examples))], dtype=object)
 
-    tagged = docs.withColumn("_values", F.coalesce(values(F.coalesce("text", F.lit(""))), F.array().cast("array<string>")))
-    plain = tagged.where(F.size("_values") == 0).drop("_values")
-    hit = stage(tagged.where(F.size("_values") > 0).withColumns({
-        "_row": F.monotonically_increasing_id(), "_owner": F.col(owner), "_repo": _repo(owner, repo)}), "secret-rows")
-    held = ownership(hit.select(F.col("_owner").alias("owner"), F.col("_repo").alias("repo"), F.col("_values").alias("values")))
-    known = (hit.select("_row", F.explode("_values").alias("value"))
+    tagged = docs.withColumn("_llm_values", F.coalesce(values(F.coalesce("text", F.lit(""))), F.array().cast("array<string>")))
+    plain = tagged.where(F.size("_llm_values") == 0).drop("_llm_values")
+    hit = stage(tagged.where(F.size("_llm_values") > 0).withColumns({
+        "_llm_row": F.monotonically_increasing_id(), "_llm_owner": F.col(owner), "_llm_repo": _repo(owner, repo)}), "secret-rows")
+    held = ownership(hit.select(F.col("_llm_owner").alias("owner"), F.col("_llm_repo").alias("repo"), F.col("_llm_values").alias("values")))
+    known = (hit.select("_llm_row", F.explode("_llm_values").alias("value"))
              .join(held.where(_example(example_owners, example_repos)).select("value"), "value")
-             .groupBy("_row").agg(F.collect_set("value").alias("_examples")))
-    done = hit.join(known, "_row", "left").withColumn("text", masked("text", "_examples"))
+             .groupBy("_llm_row").agg(F.collect_set("value").alias("_llm_examples")))
+    done = hit.join(known, "_llm_row", "left").withColumn("text", masked("text", "_llm_examples"))
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return plain.unionByName(done.select(*names))

@@ -233,5 +233,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
     """``docs`` without the rows whose language cannot be told: no letters, or a score under ``min_score``."""
     rows, guess = _predicted(docs, F.col("text"))
-    judged = rows.withColumn("_guess", guess)
-    return judged.where((F.col("_guess.lang_pred") != "und") & (F.col("_guess.score") >= min_score)).drop("_guess")
+    judged = rows.withColumn("_llm_guess", guess)
+    return judged.where((F.col("_llm_guess.lang_pred") != "und") & (F.col("_llm_guess.score") >= min_score)).drop("_llm_guess")

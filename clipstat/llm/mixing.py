@@ -106,10 +106,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: st
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken (texts move once)."""
     planned = plan(docs, weights, max_copies, seed)
-    copies = planned.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("size").alias("_size"), "copies")
+    copies = planned.where("copies > 0").select(F.col("doc_id").alias("_llm_id"), F.col("source").alias("_llm_s"), F.col("size").alias("_llm_size"), "copies")
     # rows that are equal in these three are ranked side by side and share their copies evenly (rounded)
-    copies = copies.groupBy("_id", "_s", "_size").agg(F.sum("copies").alias("_sum"), F.count("*").alias("_n"), F.max("copies").alias("_most"))
-    keyed = docs.withColumn("_w", words(F.col("text")))
-    joined = keyed.join(copies, keyed["doc_id"].eqNullSafe(F.col("_id")) & keyed["source"].eqNullSafe(F.col("_s")) & (F.col("_w") == F.col("_size")))
-    times = F.round(F.col("_sum") / F.col("_n")).cast("int")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), times)))).select(*[F.col(c) for c in docs.columns])
+    copies = copies.groupBy("_llm_id", "_llm_s", "_llm_size").agg(F.sum("copies").alias("_llm_sum"), F.count("*").alias("_llm_n"))
+    keyed = docs.withColumn("_llm_w", words(F.col("text")))
+    joined = keyed.join(copies, keyed["doc_id"].eqNullSafe(F.col("_llm_id")) & keyed["source"].eqNullSafe(F.col("_llm_s")) & (F.col("_llm_w") == F.col("_llm_size")))
+    times = F.round(F.col("_llm_sum") / F.col("_llm_n")).cast("int")
+    return joined.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), times)))).select(*[F.col(c) for c in docs.columns])

@@ -61,12 +61,12 @@ QUERIES = {f.__name__: f for f in (op1_url_ratio, op2_ctph, op3_simhash, op4_sec
 
 _TOPK = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-           list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
+           list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5

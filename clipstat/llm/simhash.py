@@ -212,7 +212,7 @@ def _tasks(nodes: DataFrame, max_bits: int, node_limit: int) -> DataFrame:
         size, kids = {}, {}
         for b, n, c in under.groupBy("band", node(depth).alias("child")).count().collect():
             size[b, n] = c
-            kids.setdefault((b, n >> step), []).append(n)
+            kids.setdefault((b, (n & ((1 << 64) - 1)) >> step), []).append(n)  # at depth 64 n is signed
         done, todo = [], []
         for b, p, q, e in pairs:
             for x in kids.get((b, p), ()):
@@ -327,6 +327,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -
     stays (one row, if that id is repeated).  Rows without an id cannot be named as the smallest;
     they stay, once per text."""
     found = near_duplicates(docs, shingle, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept"))
-    named = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_llm_kept"))
+    named = docs.join(kept, docs["doc_id"] == kept["_llm_kept"], "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))

@@ -147,7 +147,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
     for which the column ``is_query`` over ``vec_id`` holds) with all other rows, ties to the smaller id.
 
     Rows without an id and vectors that are null or hold null or non-finite components take no part;
-    shorter vectors count as padded with zeros; components are clipped to +-2**40 after scaling.  A row
+    shorter vectors count as padded with zeros; components are clipped to
+    +-2**40 after scaling and scores to +-2**62.  A row
     is a query's own if it has its id, so of rows that repeat an id none finds another; a repeated
     query gives one result, from the vector that sorts first.  With fewer candidates than ``k`` all are
     returned; an empty table gives an empty result.

@@ -1,0 +1,43 @@
+"""Small tables with every awkward case the operators must take."""
+
+import os
+
+import pytest
+
+SF = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+# extra columns whose names the operators use themselves
+CLASH = ["fingerprint", "component_id", "fp", "row", "value", "size", "rank", "_row", "_part", "_key", "owner"]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, rows, clash=False):
+    """``documents`` from ``(doc_id, text, lang, source)``; n_chars follows from the text."""
+    df = spark.createDataFrame([(i, t, la, s, len(t) if t is not None else None) for i, t, la, s in rows], DOCS)
+    if clash:
+        from pyspark.sql import functions as F
+
+        for c in CLASH:
+            df = df.withColumn(c, F.lit("x"))
+    return df
+
+
+def awkward(long_words=30_000):
+    """Nulls in every column, empty and very long texts, ties, repeated rows."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    long_text = " ".join(f"{words[i * 7 % 10]}{i % 997}" for i in range(long_words))
+    base = [
+        (1, "The quick brown fox jumps over the lazy dog and runs far away", "en", "a"),
+        (2, "The quick brown fox jumps over the lazy dog and runs far away", "en", "b"),
+        (3, None, "en", "a"), (4, "", None, "b"), (5, " \t\n\x0b\x0c\r ", "fr", None), (6, "!!! ??? 123", None, None),
+        (7, long_text, "en", "a"), (8, "été là-bas où l'école reçoit ses élèves", "fr", "b"),
+        (9, "word", "en", "a"), (10, "\u00a0nbsp is no break\u2003here", "en", "c"), (11, "emoji 😀 text 😀😀", "en", "c"),
+        (None, "The quick brown fox jumps over the lazy dog and runs far away", "en", "a"), (None, None, None, None),
+        (12, "token = \"abcdefgh12345678\" end", "en", "a"), (12, "token = \"abcdefgh12345678\" end", "en", "a"),
+    ]
+    return base
+
+
+def load(spark, name, sf=SF):
+    return spark.read.parquet(f"{sf}/{name}.parquet")

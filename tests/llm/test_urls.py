@@ -1,0 +1,111 @@
+"""URL filter: parsing, rules, and the language model against a plain dictionary version."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from clipstat.llm import urls
+from tests.llm.helpers import load, needs_tables
+
+SCHEMA = "page_id long, url string, html string"
+AWKWARD = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.Net/en/x", "http://sub.Example.com/de/a?q#f", "x://net/", "x://net",
+           "http://ÀB.org/fr/1", "http://a.org?x/fr/", "http://notexample.net/en/1", "http://xnet/", "a://b://c.net/d", "http://net#/",
+           "http://org/fr/" + "y" * 5000]
+
+
+def plain_judgement(url):
+    """Host, path and rule, straight from the contract."""
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    best = None
+    for kind, rule in urls.RULES:
+        domain, _, tail = rule.partition("/")
+        if (host == domain or host.endswith("." + domain)) and path.startswith("/" + tail) and (best is None or len(rule) > len(best[1])):
+            best = (kind, rule)
+    return host, path, best
+
+
+def plain_scores(train, order, alpha, texts):
+    """The recursive model with exact dictionaries."""
+    tables = {0: Counter(), 1: Counter()}
+    for url, cls in train:
+        chars = ["^"] * order + list(url) + ["$"]
+        for i in range(order, len(chars)):
+            for k in range(order + 1):
+                ctx = tuple(chars[i - k:i])
+                tables[cls][k, ctx] += 1
+                tables[cls][k, ctx, chars[i]] += 1
+    out = []
+    for url in texts:
+        chars = ["^"] * order + list(url or "") + ["$"]
+        total = 0.0
+        for i in range(order, len(chars)):
+            for cls, sign in ((1, 1), (0, -1)):
+                p = 1.0 / urls.ALPHABET
+                for k in range(order + 1):
+                    ctx = tuple(chars[i - k:i])
+                    p = (tables[cls][k, ctx, chars[i]] + alpha * p) / (tables[cls][k, ctx] + alpha)
+                total += sign * math.log(p)
+        out.append(total / (len(chars) - order))
+    return out
+
+
+def test_parsing_and_rules(spark):
+    df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(AWKWARD)], SCHEMA)
+    got = {r["page_id"]: r for r in urls.judge(df).collect()}
+    assert len(got) == len(AWKWARD)
+    for i, u in enumerate(AWKWARD):
+        host, path, best = plain_judgement(u)
+        r = got[i]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, best and best[1]), u
+        assert r["verdict"] in ("allow", "block") and (best is None or r["verdict"] == best[0])
+
+
+def test_longest_rule_wins(spark):
+    df = spark.createDataFrame([(1, "http://example.net/en/a", ""), (2, "http://example.net/fr/a", ""), (3, "http://q.example.com/de/", "")], SCHEMA)
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(df).collect()}
+    assert got == {1: ("example.net/en/", "allow"), 2: ("net/", "block"), 3: ("example.com/de/", "block")}
+
+
+def test_model_equals_plain_version(spark):
+    good = [f"http://site{i % 5}.org/news/{i}" for i in range(40)]
+    bad = [f"http://casino{i % 5}.biz/win?x={i}" for i in range(40)]
+    rows = [(u, True) for u in good] + [(u, False) for u in bad]
+    import zlib
+
+    model = urls.fit(spark.createDataFrame(rows, "url string, accepted boolean"), order=3, cells=1 << 18)
+    train = [(u, int(c)) for u, c in rows if zlib.crc32(u.encode()) % 5]
+    texts = good[:3] + bad[:3] + ["", None, "http://new.org/news/é😀", "http://casino9.biz/win"]
+    assert np.allclose(model.scores(texts), plain_scores(train, 3, model.alpha, texts), atol=1e-3)
+    p = model.probability(model.scores(["http://site9.org/news/99", "http://casino9.biz/win?x=1"]))
+    assert p[0] > 0.5 > p[1] and model.slope > 0
+
+
+def test_one_class_or_none(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert urls.judge(empty).count() == 0
+    one = urls.judge(spark.createDataFrame([(1, "http://example.com/x", "")] * 2, SCHEMA)).collect()
+    assert [r["verdict"] for r in one] == ["allow"] * 2 and one[0]["score"] == 0.0 and one[0]["p_allow"] == 0.5
+
+
+@needs_tables
+def test_whole_table_separates_ruled_urls(spark):
+    rows = urls.judge(load(spark, "pages")).collect()
+    assert len(rows) == load(spark, "pages").count()
+    ruled = [r for r in rows if r["rule"]]
+    assert np.mean([(r["p_allow"] >= 0.5) == (r["verdict"] == "allow") for r in ruled]) > 0.85
+
+
+@pytest.mark.parametrize("order", [0, 2])
+def test_cells_of_every_order(order):
+    pair, ctx, owner = urls.context_cells(["ab", "", None, "ab"], order, 1 << 16)
+    assert pair.shape == ctx.shape == (order + 1, 8)
+    assert owner.tolist() == [0, 0, 0, 1, 2, 3, 3, 3]
+    assert (pair[:, :3] == pair[:, 5:]).all()  # equal URLs, equal cells
