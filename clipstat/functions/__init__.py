@@ -5,5 +5,5 @@ from clipstat.functions.durations import (  # noqa: F401
 )
 from clipstat.functions.columns import (  # noqa: F401
     count_from_text, null_safe_count, content_type, is_short, engagement_ratio,
-    parse_published_at, parse_extraction_date, strip_handle, day_of,
+    parse_published_at, parse_extraction_date, strip_handle,
 )

@@ -62,13 +62,13 @@ def engagement_ratio(likes, comments, views) -> Column:
 
 
 def parse_published_at(c, strict: bool = True) -> Column:
-    """ISO-8601 text (``Z`` or offset) -> TIMESTAMP_NTZ holding UTC wall-clock.
-
-    Parsed as an instant first and converted in the (UTC) session zone, so an offset is
-    applied rather than dropped.  NULL fails the query when ``strict``.
+    """ISO-8601 text (``Z`` or offset) -> TIMESTAMP_NTZ holding UTC wall-clock, whatever the
+    session zone; text without a zone keeps its wall clock.  NULL fails the query when ``strict``.
     """
     c = _col(c)
-    parsed = F.to_timestamp(c).cast("timestamp_ntz")
+    aware = c.rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(c).cast("timestamp_ntz"))
+    parsed = F.when(aware, utc).otherwise(F.to_timestamp_ntz(c))
     if not strict:
         return parsed
     return F.when(c.isNull(), F.raise_error(F.lit("published_at is null")).cast("timestamp_ntz")).otherwise(parsed)
@@ -93,7 +93,3 @@ def ntz(value) -> Column:
     back in the session zone; going through ISO text keeps the wall clock whatever the
     two zones are."""
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
-
-
-def day_of(c) -> Column:
-    return F.to_date(_col(c))

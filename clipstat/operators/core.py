@@ -27,8 +27,9 @@ def latest_extraction(staging: DataFrame, per: str | None = None, newest=None) -
         else:
             value = ntz(newest)
         return staging.where(F.col("extraction_date") == value)
-    newest = staging.groupBy(per).agg(F.max("extraction_date").alias("extraction_date"))
-    return staging.join(newest, [per, "extraction_date"], "left_semi")
+    dates = staging.groupBy(F.col(per).alias("_per")).agg(F.max("extraction_date").alias("_newest"))
+    return staging.join(dates, staging[per].eqNullSafe(F.col("_per")) &
+                        (staging["extraction_date"] == F.col("_newest")), "left_semi")
 
 
 def dedupe_newest(rows: DataFrame, key: str = "video_id",

@@ -26,28 +26,12 @@ def playlist_video_ids(pages: DataFrame) -> DataFrame:
 MAX_PAGE = (1 << 63) - 1
 
 
-def playlist_video_ids_by(pages: DataFrame, by) -> DataFrame:
-    """Like :func:`playlist_video_ids`, keeping the playlist key columns ``by``."""
-    return pages.select(*by, "page_no", F.posexplode("items").alias("pos", "item")) \
-                .select(*by, "page_no", "pos", F.col("item.snippet.resourceId.videoId").alias("video_id"))
-
-
-def last_page(pages: DataFrame) -> Column:
-    """Scalar: the last page the crawl reads, or NULL when no page stops it.
+def _stop_bound() -> Column:
+    """Aggregate: the last page the crawl reads, NULL when no page stops it.
 
     The crawl stops *before* the first page with no ids and *after* the first page
     without ``nextPageToken`` (integer page numbers, so "before e" is "at most e - 1").
-    One aggregate over the page listing; it is referenced once by the filter, so it is
-    computed once.
     """
-    empty = F.coalesce(F.size("items"), F.lit(0)) == 0
-    no_token = F.col("nextPageToken").isNull() | (F.col("nextPageToken") == "")
-    bound = pages.agg(F.least(F.min(F.when(empty, F.col("page_no") - 1)),
-                              F.min(F.when(~empty & no_token, F.col("page_no")))))
-    return bound.scalar()
-
-
-def _stop_bound(pages: DataFrame) -> Column:
     empty = F.coalesce(F.size("items"), F.lit(0)) == 0
     no_token = F.col("nextPageToken").isNull() | (F.col("nextPageToken") == "")
     return F.least(F.min(F.when(empty, F.col("page_no") - 1)),
@@ -55,16 +39,17 @@ def _stop_bound(pages: DataFrame) -> Column:
 
 
 def crawled_pages(pages: DataFrame, by=None) -> DataFrame:
-    """Pages that the crawl reads, following the reference's paging loop: stop before
-    the first page with no ids and after the first page without a next-page token.
+    """Pages that the crawl reads, following the paging loop: stop before the first page
+    with no ids and after the first page without a next-page token.
 
     ``by`` (e.g. ``["playlist_id"]``) crawls many playlists at once: the bound is one
     aggregate row per playlist, joined back on the key (small, so AQE broadcasts it).
     """
     if not by:
-        return pages.where(F.col("page_no") <= F.coalesce(last_page(pages), F.lit(MAX_PAGE)))
+        bound = pages.agg(_stop_bound()).scalar()
+        return pages.where(F.col("page_no") <= F.coalesce(bound, F.lit(MAX_PAGE)))
     by = list(by)
-    bounds = pages.groupBy(*by).agg(_stop_bound(pages).alias("_last"))
+    bounds = pages.groupBy(*by).agg(_stop_bound().alias("_last"))
     return (pages.join(bounds, by, "inner")
                  .where(F.col("page_no") <= F.coalesce(F.col("_last"), F.lit(MAX_PAGE))).drop("_last"))
 
@@ -117,14 +102,22 @@ def videos_page_items(pages: DataFrame) -> DataFrame:
     return pages.select(*keep, F.explode("items").alias("item"))
 
 
-def join_details(ids: DataFrame, details: DataFrame) -> DataFrame:
-    """Inner equi-join of playlist ids with flattened details; ids without detail vanish.
+def page_videos(pages: DataFrame, detail_pages: DataFrame, by=()) -> DataFrame:
+    """Videos of the crawled ``pages``: the items of each page's detail response, flattened,
+    with ``page_no`` and their position ``pos`` *in the response* (and the key columns ``by``).
 
-    No broadcast hint: the detail side grows with the catalogue, so the choice is left
-    to AQE, which broadcasts only when the runtime size is under the threshold and
-    splits skewed keys otherwise.
+    As the crawl appends response items as they come, order and multiplicity follow the
+    response and not the id list: an id without an item vanishes, an id asked twice and
+    answered once counts once.  Only the keys of the crawled pages are joined; a response
+    is never matched row by row.  An item without ``id`` fails the query.
     """
-    return ids.join(details, "video_id", "inner")
+    keys = [*by, "page_no"]
+    answered = detail_pages.join(pages.select(*keys), keys, "left_semi")
+    items = answered.select(*keys, F.posexplode("items").alias("pos", "item"))
+    flat = flatten_video_items(items)
+    return flat.withColumn("video_id", F.when(
+        F.col("video_id").isNull(), F.raise_error(F.lit("video item without id")).cast("string"))
+        .otherwise(F.col("video_id")))
 
 
 def _rank_in(videos: DataFrame, by) -> DataFrame:
@@ -132,48 +125,53 @@ def _rank_in(videos: DataFrame, by) -> DataFrame:
     return videos.withColumn("_rank", F.row_number().over(w))
 
 
-def first_n(videos: DataFrame, n: int = DEFAULT_MAX_RESULTS, by=None) -> DataFrame:
-    """First ``n`` videos in paging order (``TakeOrderedAndProject``: a bounded top-n).
+def first_n(videos: DataFrame, n: int | None = DEFAULT_MAX_RESULTS, by=None) -> DataFrame:
+    """First ``n`` videos in paging order (``TakeOrderedAndProject``: a bounded top-n);
+    ``None`` keeps all.
 
     With ``by`` the first ``n`` of every playlist: ``row_number() <= n`` is planned as a
     partial ``WindowGroupLimit`` before the shuffle, so a channel holding a third of all
-    rows still sends at most ``n`` rows per map task.
+    rows still sends at most ``n`` rows per map task.  Spark plans it up to a session
+    threshold only, which is raised to ``n`` here.
     """
+    if n is None:
+        return videos
     if not by:
         return videos.orderBy("page_no", "pos").limit(n)
+    conf, key = videos.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(key, "1000")) < n:
+        conf.set(key, str(n))
     return _rank_in(videos, list(by)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def extraction_summary(videos: DataFrame, n: int = DEFAULT_MAX_RESULTS, by=None) -> DataFrame:
-    """One row: videos fetched (whole pages until at least ``n``), videos returned and the
-    estimated quota ``(fetched // 50) * 2``.
+def _summary_row(n: int | None, *keys) -> list:
+    fetched = F.col("videos_fetched")
+    returned = fetched if n is None else F.least(fetched, F.lit(n).cast("bigint"))
+    return [*keys, "videos_fetched", returned.alias("videos_returned"),
+            (F.floor(fetched / PAGE_SIZE) * 2).cast("bigint").alias("quota_units")]
 
-    The page holding the n-th video is found with a bounded top-n; every page up to it is
-    fetched, so ``fetched`` is a plain filtered count - no global window.  With ``by``,
-    one row per playlist: the n-th video's page comes from the windowed top-n (one row
-    per playlist), joined back on the key.
+
+def extraction_summary(videos: DataFrame, n: int | None = DEFAULT_MAX_RESULTS, by=None) -> DataFrame:
+    """One row (with ``by``: one per playlist): videos fetched (whole pages until at least
+    ``n``), videos returned and the estimated quota ``(fetched // 50) * 2``.
+
+    Works on one row per page: a page is fetched while the pages before it hold fewer than
+    ``n`` videos.  One playlist has its running count through a bounded top-n of pages; many
+    have it through a window per playlist over pages that were counted before the shuffle.
     """
-    if by:
-        by = list(by)
-        nth = (_rank_in(videos.select(*by, "page_no", "pos"), by).where(F.col("_rank") == n)
-                     .select(*by, F.col("page_no").alias("_p")))
-        counted = (videos.join(nth, by, "left")
-                         .where(F.col("_p").isNull() | (F.col("page_no") <= F.col("_p")))
-                         .groupBy(*by).agg(F.count(F.lit(1)).alias("videos_fetched")))
-        return counted.select(
-            *by, "videos_fetched",
-            F.least(F.col("videos_fetched"), F.lit(n).cast("bigint")).alias("videos_returned"),
-            (F.floor(F.col("videos_fetched") / PAGE_SIZE) * 2).cast("bigint").alias("quota_units"))
-    nth_page = (videos.select("page_no", "pos").orderBy("page_no", "pos").limit(n)
-                      .agg(F.max("page_no").alias("p"), F.count(F.lit(1)).alias("k")))
-    # Fewer than n videos in all: every page is fetched.  (One subquery reference.)
-    p = nth_page.select(F.when(F.col("k") >= n, F.col("p")).otherwise(F.lit(MAX_PAGE))).scalar()
-    fetched = videos.where(F.col("page_no") <= p).agg(F.count(F.lit(1)).alias("videos_fetched"))
-    return fetched.select(
-        "videos_fetched",
-        F.least(F.col("videos_fetched"), F.lit(n).cast("bigint")).alias("videos_returned"),
-        (F.floor(F.col("videos_fetched") / PAGE_SIZE) * 2).cast("bigint").alias("quota_units"),
-    )
+    by = list(by or ())
+    if n is None:
+        counted = videos.groupBy(*by).agg(F.count(F.lit(1)).alias("videos_fetched"))
+        return counted.select(*_summary_row(n, *by))
+    per_page = videos.groupBy(*by, "page_no").agg(F.count(F.lit(1)).alias("_k"))
+    if not by:
+        # at least one video a page, so the first n pages always suffice
+        per_page = per_page.orderBy("page_no").limit(n)
+    w = Window.partitionBy(*by).orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_k").over(w), F.lit(0))
+    fetched = (per_page.withColumn("_before", before).where(F.col("_before") < n)
+                       .groupBy(*by).agg(F.coalesce(F.sum("_k"), F.lit(0)).cast("bigint").alias("videos_fetched")))
+    return fetched.select(*_summary_row(n, *by))
 
 
 def resolve_channels(requests: DataFrame, channels: DataFrame, strict: bool = False) -> DataFrame:
@@ -182,15 +180,31 @@ def resolve_channels(requests: DataFrame, channels: DataFrame, strict: bool = Fa
     ``requests`` has ``channel_handle``; ``channels`` is the landed channel listing with
     ``handle``, ``channel_id`` and ``uploads_playlist_id``.  All leading ``@`` are stripped
     on both sides for matching; the stored handle keeps its ``@``.  Unresolved handles
-    give NULL ids, or fail the query when ``strict``.
+    give NULL ids.  With ``strict`` reading either id of an unknown handle, or the playlist
+    of a channel without uploads, fails the query (each id carries its own check, so column
+    pruning cannot remove it).
     """
     listing = channels.select(strip_handle("handle").alias("_name"), "channel_id", "uploads_playlist_id")
     joined = requests.withColumn("_name", strip_handle("channel_handle")) \
                      .join(listing, "_name", "left").drop("_name")
     if strict:
-        joined = joined.withColumn(
-            "channel_id",
-            F.when(F.col("channel_id").isNull(),
-                   F.raise_error(F.concat(F.lit("no channel for handle "), F.col("channel_handle"))).cast("string"))
-             .otherwise(F.col("channel_id")))
+        def fail(text):
+            return F.raise_error(F.concat(F.lit(text), F.col("channel_handle"))).cast("string")
+
+        channel, uploads = F.col("channel_id"), F.col("uploads_playlist_id")
+        joined = joined.withColumns({
+            "channel_id": F.when(channel.isNull(), fail("no channel for handle ")).otherwise(channel),
+            "uploads_playlist_id": F.when(channel.isNull(), fail("no channel for handle "))
+                                    .when(uploads.isNull(), fail("no uploads playlist for handle ")).otherwise(uploads)})
     return joined
+
+
+def require_resolved(resolved: DataFrame) -> None:
+    """Raise for unknown handles and for channels without an uploads playlist; names the
+    first few (a bounded look, whatever the number of handles)."""
+    bad = resolved.where("channel_id IS NULL OR uploads_playlist_id IS NULL") \
+                  .select("channel_handle", "channel_id").orderBy("channel_handle").limit(5).collect()
+    if bad:
+        raise ValueError("; ".join(
+            (f"no channel for handle {r.channel_handle}" if r.channel_id is None
+             else f"no uploads playlist for handle {r.channel_handle}") for r in bad))

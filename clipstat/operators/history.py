@@ -26,20 +26,24 @@ def history_rows_today(history: DataFrame, as_of: dt.datetime) -> DataFrame:
     return history.where(F.to_date("recorded_at") == _as_date(as_of))
 
 
-def new_history_rows(core: DataFrame, staging: DataFrame, history: DataFrame,
-                     as_of: dt.datetime, newest: dt.datetime | None = None) -> DataFrame:
+def new_history_rows(core: DataFrame, staging: DataFrame, history: DataFrame, as_of: dt.datetime,
+                     newest: dt.datetime | None = None, per: str | None = None) -> DataFrame:
     """Core rows whose ``extraction_date`` equals the newest staged one and that have no
     history row on ``as_of``'s day yet (NOT EXISTS -> left anti join; a NULL key is
     kept, as in the reference).  Output: video_id, counts, recorded_at.
 
     ``newest`` may be given as a literal (the pipeline knows it); the filter on core is
     then pushed to the Parquet scan, otherwise it is a scalar subquery over ``staging``.
+    With ``per`` (a channel column) each channel's own newest extraction counts.
     """
-    if newest is None:
-        newest = staging.agg(F.max("extraction_date")).scalar()
+    if per is not None:
+        dates = staging.groupBy(F.col(per).alias("_per")).agg(F.max("extraction_date").alias("_newest"))
+        current = core.join(dates, core[per].eqNullSafe(F.col("_per")) &
+                            (core["extraction_date"] == F.col("_newest")), "left_semi")
     else:
-        newest = ntz(newest)
-    candidates = core.where(F.col("extraction_date") == newest).select(*HISTORY_VALUES)
+        value = staging.agg(F.max("extraction_date")).scalar() if newest is None else ntz(newest)
+        current = core.where(F.col("extraction_date") == value)
+    candidates = current.select(*HISTORY_VALUES)
     today = history_rows_today(history, as_of).select("video_id")
     return (candidates.join(today, "video_id", "left_anti")
                       .withColumn("recorded_at", ntz(as_of)))
@@ -52,38 +56,17 @@ def today_counts(core: DataFrame, history: DataFrame, as_of: dt.datetime) -> Dat
     return core_rows.select("core_rows", hist_rows.scalar().alias("history_today_rows"))
 
 
-def dense_serial_ids(rows: DataFrame, base: int, id_col: str) -> tuple[DataFrame, int]:
-    """Number ``rows`` ``base + 1 .. base + n`` without a global sort.
-
-    The rows are checkpointed to the shared checkpoint folder first, so partitions and
-    their order are fixed; one small job counts rows per partition (one result row per
-    partition), the driver turns the counts into offsets, and every row gets
-    ``offset(partition) + position in partition``.  Returns ``(rows, new high-water)``.
-    """
-    from clipstat.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(rows.sparkSession)
-    fixed = rows.checkpoint(eager=True)
-    counts = sorted(tuple(r) for r in fixed.groupBy(F.spark_partition_id().alias("p")).count().collect())
-    offsets, top = [], base
-    for pid, n in counts:
-        offsets += [F.lit(pid), F.lit(top)]
-        top += n
-    if not offsets:
-        return fixed.withColumn(id_col, F.lit(None).cast("bigint")), base
-    pid = F.spark_partition_id()
-    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    offset = F.create_map(*offsets)[pid]
-    return fixed.withColumn(id_col, (offset + position + 1).cast("bigint")), top
-
-
-def with_serial_ids(rows: DataFrame, existing: DataFrame | None, id_col: str) -> DataFrame:
-    """Assign ``id_col`` = (max existing id) + 1 + monotonically_increasing_id().
-
-    Unique and increasing, not dense - like a SERIAL after gaps.  No global sort and no
-    single-partition step: ids come from partition index and row position.
+def serial_ids(rows: DataFrame, base: int, id_col: str) -> DataFrame:
+    """Number ``rows`` from ``base + 1`` by partition and place in it: unique and increasing,
+    with gaps, like a SERIAL.  No sort, no count, no second pass; a partition or a number of
+    partitions beyond what one reservation holds fails the write.
     """
-    base = F.lit(0).cast("bigint")
-    if existing is not None:
-        base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()
-    return rows.withColumn(id_col, base + 1 + F.monotonically_increasing_id())
+    from clipstat.sources.tables import PARTITIONS_PER_APPEND, ROWS_PER_PARTITION
+
+    mono = F.monotonically_increasing_id()
+    part = F.shiftright(mono, 33)
+    place = mono.bitwiseAND(F.lit((1 << 33) - 1))
+    fits = (part < PARTITIONS_PER_APPEND) & (place < ROWS_PER_PARTITION)
+    number = F.lit(base + 1) + part * ROWS_PER_PARTITION + place
+    return rows.withColumn(id_col, F.when(fits, number).otherwise(
+        F.raise_error(F.lit("append too large for one id reservation: repartition it")).cast("bigint")))

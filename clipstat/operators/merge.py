@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstat import schemas
-from clipstat.plans.sizing import broadcast_limit_bytes, estimated_size_bytes
 from clipstat.functions.columns import ntz
 
 KEY = "video_id"
@@ -34,39 +33,26 @@ def _plan(refresh) -> tuple[list[str], list[str]]:
 
 
 def upsert(target: DataFrame, source: DataFrame, as_of: dt.datetime, refresh=(),
-           strategy: str = "auto", target_bucketed: bool = False) -> DataFrame:
+           strategy: str = "auto") -> DataFrame:
     """New core table after upserting ``source`` (13 core columns, unique keys).
 
     ``refresh`` names sticky columns that should be overwritten too (e.g.
     ``("extraction_date",)`` for a real daily history).  ``strategy``:
 
-    * ``"broadcast"`` - split form, no shuffle of the target:
-      ``target LEFT JOIN broadcast(source)`` gives kept and updated rows,
-      ``source LEFT ANTI broadcast(target keys seen in source)`` gives inserts.
+    * ``"split"`` - ``target LEFT JOIN source`` gives kept and updated rows,
+      ``source LEFT ANTI target keys`` gives inserts.  No hint: AQE broadcasts the source
+      when its size at run time allows (the target is then not shuffled) and shuffles
+      otherwise.  A target stored bucketed by the key keeps its partitioning either way, so
+      it can be written back one file per bucket.
     * ``"shuffle"`` - one full-outer join on the key (both sides shuffled once).
-    * ``"partitionwise"`` - for a target stored bucketed by the key:
-      ``target LEFT JOIN source`` plus ``source LEFT ANTI target keys``.  Only the source
-      is shuffled (to the target's buckets), and the result keeps the target's
-      partitioning, so it can be written back one file per bucket.
-    * ``"auto"`` - broadcast when the optimizer's size bound of ``source`` is within
-      ``spark.sql.autoBroadcastJoinThreshold``; otherwise partitionwise when
-      ``target_bucketed``, else shuffle.
+    * ``"auto"`` - split.
     """
     overwrite, keep = _plan(refresh)
     now = ntz(as_of)
     source = source.select(*schemas.CORE_COLUMNS)
     target = target.select(*OUTPUT)
-    if strategy == "auto":
-        limit = broadcast_limit_bytes(source.sparkSession)
-        size = estimated_size_bytes(source)
-        if size is not None and limit > 0 and size <= limit:
-            strategy = "broadcast"
-        else:
-            strategy = "partitionwise" if target_bucketed else "shuffle"
-    if strategy == "broadcast":
-        return _upsert_split(target, source, now, overwrite, keep, F.broadcast)
-    if strategy == "partitionwise":
-        return _upsert_split(target, source, now, overwrite, keep, lambda df: df)
+    if strategy in ("auto", "split"):
+        return _upsert_split(target, source, now, overwrite, keep)
     if strategy == "shuffle":
         return _upsert_full_outer(target, source, now, overwrite, keep)
     raise ValueError(f"unknown strategy {strategy!r}")
@@ -86,7 +72,7 @@ def _upsert_full_outer(target, source, now, overwrite, keep) -> DataFrame:
     return joined.select(*[cols[c].alias(c) for c in OUTPUT])
 
 
-def _upsert_split(target, source, now, overwrite, keep, hint) -> DataFrame:
+def _upsert_split(target, source, now, overwrite, keep) -> DataFrame:
     incoming = source.select(*[F.col(c).alias("_s_" + c) for c in source.columns])
     hit = F.col("_s_" + KEY).isNotNull()
     cols = {KEY: F.col(KEY)}
@@ -95,24 +81,7 @@ def _upsert_split(target, source, now, overwrite, keep, hint) -> DataFrame:
     for c in keep:
         cols[c] = F.col(c)
     cols["updated_at"] = F.when(hit, now).otherwise(F.col("updated_at"))
-    kept_or_updated = (target.join(hint(incoming), F.col(KEY) == F.col("_s_" + KEY), "left")
+    kept_or_updated = (target.join(incoming, F.col(KEY) == F.col("_s_" + KEY), "left")
                              .select(*[cols[c].alias(c) for c in OUTPUT]))
-    if hint is F.broadcast:
-        # keys of the target that the (small) source touches: bounded by the source
-        seen = target.select(KEY).join(F.broadcast(source.select(KEY)), KEY, "left_semi")
-        inserted = source.join(F.broadcast(seen), KEY, "left_anti")
-    else:
-        inserted = source.join(target.select(KEY), KEY, "left_anti")
+    inserted = source.join(target.select(KEY), KEY, "left_anti")
     return kept_or_updated.unionByName(inserted.withColumn("updated_at", now).select(*OUTPUT))
-
-
-def merge_counts(target: DataFrame, source: DataFrame) -> DataFrame:
-    """One row: untouched / inserted / updated key counts (an audit of an upsert)."""
-    t = target.select(F.col(KEY).alias("_t"))
-    s = source.select(F.col(KEY).alias("_s"))
-    j = t.join(s, F.col("_t") == F.col("_s"), "full_outer")
-    return j.agg(
-        F.count_if(F.col("_s").isNull()).alias("untouched"),
-        F.count_if(F.col("_t").isNull()).alias("inserted"),
-        F.count_if(F.col("_t").isNotNull() & F.col("_s").isNotNull()).alias("updated"),
-    )

@@ -54,6 +54,11 @@ def _metric_sql(metric: str, column: str | None) -> str:
             "max_length": f"max(length({c}))"}[metric]
 
 
+def _short(text):
+    """A long value stands for itself by its SHA-256, so that no long text is shuffled."""
+    return F.when(F.length(text) > 64, F.concat(F.lit("h"), F.sha2(text, 256))).otherwise(F.concat(F.lit("v"), text))
+
+
 def _duplicate_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """``duplicate_count`` of several columns in one pass: the number of distinct
     non-null values that occur more than once, per column.
@@ -66,7 +71,7 @@ def _duplicate_counts(df: DataFrame, table: str, columns: list[str]) -> DataFram
     types = dict(df.dtypes)
     as_text = lambda c: (F.col(c) + F.lit(0.0)) if types[c] in ("float", "double") else F.col(c)
     pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), as_text(c).cast("string").alias("v")) for c in columns])))
+        F.struct(F.lit(c).alias("column_name"), _short(as_text(c).cast("string")).alias("v")) for c in columns])))
     dup = (pairs.where(F.col("v").isNotNull())
                 .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > 1)

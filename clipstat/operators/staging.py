@@ -17,16 +17,20 @@ def explode_envelope(envelopes: DataFrame, loaded_at: dt.datetime | None = None,
                      strict: bool = False) -> DataFrame:
     """Unnest ``videos`` of raw envelopes (``schemas.ENVELOPE_RAW``) into staging rows.
 
-    Envelope fields repeat on every row.  ``extraction_id`` is not assigned here (the
+    Envelope fields repeat on every row; an envelope without one of them fails.  ``extraction_id`` is not assigned here (the
     sink does it at append time).  Counts: a missing key is 0; with ``strict`` a key that
     is present with JSON null fails the query, as the reference does.  ``published_at``
     must be present.  ``raw_data`` keeps each video object's JSON text.
     """
+    def required(name: str, kind: str):
+        missing = F.raise_error(F.lit(f"envelope without {name}")).cast(kind)
+        return F.when(F.col(name).isNull(), missing).otherwise(F.col(name))
+
     rows = envelopes.select(
-        F.col("channel_handle"),
+        required("channel_handle", "string").alias("channel_handle"),
         parse_extraction_date("extraction_date").alias("extraction_date"),
-        F.col("total_videos"),
-        F.explode("videos").alias("raw_data"),
+        required("total_videos", "int").alias("total_videos"),
+        F.explode(required("videos", "array<string>")).alias("raw_data"),
     )
     video = F.from_json("raw_data", schemas.VIDEO_RECORD)
     rows = rows.withColumn("v", video)

@@ -22,15 +22,16 @@ from pyspark.sql import functions as F
 from clipstat import schemas
 from clipstat.functions.durations import seconds_to_iso8601, seconds_to_readable
 from clipstat.operators import core as core_ops
-from clipstat.operators.history import with_serial_ids
+from clipstat.sources.tables import work_table
 from clipstat.functions.columns import ntz
 
 # Fixed values of the fixtures: run time of the upsert / history step, time of the
-# previous run that produced ``core_before``, and the two extraction years.
+# previous run that produced ``core_before``, and the number of videos asked for.
 AS_OF = dt.datetime(2002, 1, 2, 3, 4, 5)
 PRIOR_RUN = dt.datetime(2001, 1, 1, 6, 0, 0)
-CORE_YEAR, SNAPSHOT_YEAR = 2000, 2001
 MAX_RESULTS = 200
+CHANNEL_RESULTS = 25
+PLAYLISTS = 101
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,13 +50,21 @@ def event_seconds(k) -> "F.Column":
     return (k * 7919) % 90000
 
 
-def stg(spark: SparkSession, sf_dir: str, year: int | None = None, fx: "Fixtures | None" = None) -> DataFrame:
-    """Staging rows from orders; ``year`` keeps one extraction (a range filter on
-    ``o_orderdate`` that reaches the parquet scan)."""
+def event_duration(k, secs) -> "F.Column":
+    """Duration texts of events: most are whole, the rest are what a prefix match makes of
+    fractions, days, units out of order, trailing text, and none at all."""
+    case = k % 17
+    return (F.when(case == 0, F.concat(F.lit("PT"), (k % 50).cast("string"), F.lit(".5S")))
+             .when(case == 1, F.lit("P1DT2H"))
+             .when(case == 2, F.concat(F.lit("PT"), (k % 50 + 1).cast("string"), F.lit("S2M")))
+             .when(case == 3, F.lit(None).cast("string"))
+             .when(case == 4, F.concat(F.lit("PT"), (k % 20 + 1).cast("string"), F.lit("H or so")))
+             .otherwise(seconds_to_iso8601(secs)))
+
+
+def stg(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
+    """Staging rows from orders."""
     o = _read(fx, spark, sf_dir, "orders")
-    if year is not None:
-        o = o.where((F.col("o_orderdate") >= ntz(dt.datetime(year, 1, 1))) &
-                    (F.col("o_orderdate") < ntz(dt.datetime(year + 1, 1, 1))))
     k = F.col("o_orderkey")
     o = o.withColumn("_secs", order_seconds(k))
     secs = F.col("_secs")
@@ -77,9 +86,13 @@ def stg(spark: SparkSession, sf_dir: str, year: int | None = None, fx: "Fixtures
 
 
 def core_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
-    """Core table as left by the previous run: the CORE_YEAR extraction, deduped."""
-    rows = core_ops.core_projection(core_ops.dedupe_newest(stg(spark, sf_dir, CORE_YEAR, fx)))
-    return rows.withColumn("updated_at", ntz(PRIOR_RUN))
+    """Core table as left by the previous runs: the newest row of every video over all
+    extractions before the newest one, but for the videos whose id ends in 7, which were
+    removed from it and so are inserted anew."""
+    rows = stg(spark, sf_dir, fx=fx)
+    earlier = rows.where(F.col("extraction_date") < rows.agg(F.max("extraction_date")).scalar())
+    earlier = earlier.where(~F.col("video_id").endswith("7"))
+    return core_ops.core_projection(core_ops.dedupe_newest(earlier)).withColumn("updated_at", ntz(PRIOR_RUN))
 
 
 def snapshot(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
@@ -88,32 +101,85 @@ def snapshot(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) ->
     return core_ops.transform_latest(stg(spark, sf_dir, fx=fx))
 
 
-def history_before(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
-    """History already recorded today for the snapshot's even-like videos."""
-    rows = snapshot(spark, sf_dir, fx).where(F.col("like_count") % 2 == 0).select(
-        "video_id", "like_count", "view_count", "comment_count",
-        ntz(AS_OF).alias("recorded_at"))
-    return with_serial_ids(rows, None, "history_id").select(*[f.name for f in schemas.HISTORY.fields])
+def history_rows(snapshot_rows: DataFrame) -> DataFrame:
+    """History as found: videos with even likes were recorded earlier today, videos whose
+    likes divide by three on the day before (these do not keep today's row away)."""
+    cols = ["video_id", "like_count", "view_count", "comment_count"]
+    today = snapshot_rows.where(F.col("like_count") % 2 == 0).select(*cols, ntz(AS_OF).alias("recorded_at"))
+    before = snapshot_rows.where(F.col("like_count") % 3 == 0).select(
+        *cols, ntz(AS_OF - dt.timedelta(days=1)).alias("recorded_at"))
+    return today.unionByName(before)
 
 
 def pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
-    """Playlist pages: one per order key, items in a fixed order; every page but the
-    last has a next-page token."""
+    """Playlist pages ``(playlist_id, page_no, items, nextPageToken)``: one per order key,
+    items in a fixed order.  Pages whose key leaves 13 modulo 97 have no items, pages whose
+    key leaves 5 modulo 89 have no next-page token."""
     li = _read(fx, spark, sf_dir, "lineitem")
     grouped = li.groupBy(F.col("l_orderkey").alias("page_no")).agg(F.sort_array(F.collect_list(
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")))
         .alias("_lines"))
-    last = li.agg(F.max("l_orderkey")).scalar()
     item = lambda x: F.struct(F.struct(F.struct(x["l_partkey"].cast("string").alias("videoId"))
                                        .alias("resourceId")).alias("snippet"))
+    key = F.col("page_no")
+    asked = F.transform("_lines", item)
     return grouped.select(
+        F.concat(F.lit("U"), (key % PLAYLISTS).cast("string")).alias("playlist_id"),
         "page_no",
-        F.transform("_lines", item).alias("items"),
-        F.when(F.col("page_no") == last, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("p"), (F.col("page_no") + 1).cast("string"))).alias("nextPageToken"),
+        F.when(key % 97 == 13, F.slice(asked, 1, 0)).otherwise(asked).alias("items"),
+        F.when(key % 89 != 5, F.concat(F.lit("p"), (key + 1).cast("string"))).alias("nextPageToken"),
     )
 
 
+def one_playlist(pages: DataFrame) -> DataFrame:
+    """All pages as one playlist that is not cut too early: only the largest key that leaves
+    13 modulo 97 has no items, only the largest that leaves 5 modulo 89 has no token."""
+    key = F.col("page_no")
+    top = pages.agg(F.max(F.when(key % 97 == 13, key)), F.max(F.when(key % 89 == 5, key)))
+    empty, last = (top.select(c).scalar() for c in top.columns)
+    return pages.select(
+        "page_no",
+        F.when((key % 97 == 13) & (key != empty), F.array(F.struct(F.struct(F.struct(
+            F.lit("none").alias("videoId")).alias("resourceId")).alias("snippet")))).otherwise(F.col("items")).alias("items"),
+        F.when((key % 89 == 5) & (key != last), F.lit("more")).otherwise(F.col("nextPageToken")).alias("nextPageToken"))
+
+
+def detail_pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
+    """Detail responses ``(playlist_id, page_no, items)``: each part of an order once, largest
+    key first, without those that have no details."""
+    li = _read(fx, spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page_no"), "l_partkey").distinct()
+    found = details(spark, sf_dir, fx).withColumn("_part", F.col("item.id").cast("bigint"))
+    grouped = (li.join(found, F.col("l_partkey") == F.col("_part"))
+                 .groupBy("page_no").agg(F.collect_list(F.struct((-F.col("_part")).alias("_part"), "item")).alias("_found")))
+    # maps cannot be sorted: order the keys, then take the items in that order
+    items = F.transform(F.array_sort("_found", lambda x, y: F.when(x["_part"] < y["_part"], -1)
+                                     .when(x["_part"] > y["_part"], 1).otherwise(0)), lambda x: x["item"])
+    return grouped.select(F.concat(F.lit("U"), (F.col("page_no") % PLAYLISTS).cast("string")).alias("playlist_id"),
+                          "page_no", items.alias("items"))
+
+
+def envelopes(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
+    """Snapshot envelopes as JSON text (column ``value``) built from orders: one for each
+    channel, extraction and thousand order keys.  Publication times come with ``Z``, with an
+    offset, with a fraction, or without a zone; keys may be absent (title, likeCount)."""
+    o = _read(fx, spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    base = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    published = (F.when(k % 4 == 0, F.concat(base, F.lit("Z"))).when(k % 4 == 1, F.concat(base, F.lit("+05:30")))
+                  .when(k % 4 == 2, F.concat(base, F.lit(".123456Z"))).otherwise(base))
+    video = F.struct(
+        F.when(k % 11 != 0, F.col("o_orderpriority")).alias("title"), F.lit("PT1M").alias("duration"),
+        F.concat(F.lit("v"), F.col("o_custkey").cast("string")).alias("video_id"),
+        F.when(k % 5 != 0, (k % 77).cast("string")).alias("like_count"), (k % 1000).cast("string").alias("view_count"),
+        published.alias("published_at"), (k % 13).cast("string").alias("comment_count"), F.lit("1:00").alias("duration_readable"))
+    rows = o.select(F.concat(F.lit("@"), F.col("o_orderstatus")).alias("channel_handle"),
+                    F.concat(F.year("o_orderdate").cast("string"), F.lit("-01-01T00:00:00.5")).alias("extraction_date"),
+                    F.floor(k / 1000).alias("_chunk"), video.alias("v"))
+    grouped = rows.groupBy("channel_handle", "extraction_date", "_chunk").agg(F.collect_list("v").alias("videos"))
+    return grouped.select(F.to_json(F.struct("channel_handle", "extraction_date", F.size("videos").alias("total_videos"), "videos"),
+                                    {"ignoreNullFields": "true"}).alias("value"))
+
+
 def details(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Videos-API items (``schemas.VIDEO_ITEM``) for parts whose size is not a multiple
     of ten; column ``item``."""
@@ -144,7 +210,7 @@ def items(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> Dat
         F.struct(F.when(k % 5 != 0, (k % 97).cast("string")).alias("likeCount"),
                  (k % 1000).cast("string").alias("viewCount"),
                  F.when(k % 7 != 0, (k % 13).cast("string")).alias("commentCount")).alias("statistics"),
-        F.struct(seconds_to_iso8601("_secs").alias("duration")).alias("contentDetails"),
+        F.struct(event_duration(k, F.col("_secs")).alias("duration")).alias("contentDetails"),
     )
     return e.select(F.to_json(doc, {"ignoreNullFields": "true"}).alias("item"))
 
@@ -159,12 +225,13 @@ def channels(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) ->
 
 
 def requests(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
-    """Handles to resolve: one per supplier, its nation's name behind one or two ``@``."""
+    """Handles to resolve: one per supplier, its nation's name behind one or two ``@``;
+    every fifth asks for a channel that does not exist."""
     s, n = _read(fx, spark, sf_dir, "supplier"), _read(fx, spark, sf_dir, "nation")
     return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("request_id"),
-        F.concat(F.repeat(F.lit("@"), (F.col("s_suppkey") % 2 + 1).cast("int")), F.col("n_name"))
-         .alias("channel_handle"))
+        F.concat(F.repeat(F.lit("@"), (F.col("s_suppkey") % 2 + 1).cast("int")), F.col("n_name"),
+                 F.when(F.col("s_suppkey") % 5 == 0, "?").otherwise("")).alias("channel_handle"))
 
 
 def dq_docs(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
@@ -173,8 +240,8 @@ def dq_docs(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> D
 
 
 class Fixtures:
-    """The fixture views of one ``sf_dir``, each built once (table reads included) and
-    shared by every consumer of a query, so composed queries do not rebuild them."""
+    """The fixture views of one ``sf_dir`` for one composed query.  Table reads are shared;
+    a staged view is computed once, written to a work table and read by all its consumers."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -186,7 +253,8 @@ class Fixtures:
             self._tables[name] = table(self.spark, self.sf_dir, name)
         return self._tables[name]
 
-    def view(self, key: tuple, build) -> DataFrame:
+    def view(self, key: tuple, build, staged: bool = False) -> DataFrame:
         if key not in self._views:
-            self._views[key] = build()
+            df = build()
+            self._views[key] = work_table(df, str(key[0])) if staged else df
         return self._views[key]

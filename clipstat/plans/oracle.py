@@ -9,12 +9,15 @@ caller.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from clipstat.operators.quality import DEFAULT_CHECKS
 from clipstat.plans import fixtures as fx
 from clipstat.plans import registry as reg
 
 AS_OF = f"TIMESTAMP '{fx.AS_OF:%Y-%m-%d %H:%M:%S}'"
 AS_OF_DATE = f"DATE '{fx.AS_OF:%Y-%m-%d}'"
+DAY_BEFORE = f"TIMESTAMP '{fx.AS_OF - dt.timedelta(days=1):%Y-%m-%d %H:%M:%S}'"
 PRIOR_RUN = f"TIMESTAMP '{fx.PRIOR_RUN:%Y-%m-%d %H:%M:%S}'"
 
 
@@ -37,6 +40,14 @@ def _ratio(l: str, c: str, v: str) -> str:
 _CORE_COLS = ("video_id, title, duration_seconds, duration_formatted, like_count, view_count, comment_count, "
               "published_at, channel_handle, content_type, engagement_ratio, is_short, extraction_date")
 _STG_COLS = ", ".join(reg.STG_COLUMNS)
+_DETAILS = ", ".join(reg.DETAIL_COLUMNS)
+
+
+_PROJ = f"""video_id, title, CAST(secs AS INTEGER) AS duration_seconds, duration_readable AS duration_formatted,
+         like_count, view_count, comment_count, published_at, channel_handle,
+         CASE WHEN secs <= 60 THEN 'Short' WHEN secs <= 300 THEN 'Medium' ELSE 'Long' END AS content_type,
+         {_ratio('like_count', 'comment_count', 'view_count')} AS engagement_ratio,
+         secs <= 60 AS is_short, extraction_date"""
 
 
 def _merge_sql(refresh: bool) -> str:
@@ -75,40 +86,65 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY video_id, extraction_date
                                ORDER BY loaded_at DESC, extraction_id DESC) AS rn
   FROM stg),
-proj AS (
-  SELECT video_id, title, CAST(secs AS INTEGER) AS duration_seconds, duration_readable AS duration_formatted,
-         like_count, view_count, comment_count, published_at, channel_handle,
-         CASE WHEN secs <= 60 THEN 'Short' WHEN secs <= 300 THEN 'Medium' ELSE 'Long' END AS content_type,
-         {_ratio('like_count', 'comment_count', 'view_count')} AS engagement_ratio,
-         secs <= 60 AS is_short, extraction_date
-  FROM ranked WHERE rn = 1),
-snap AS (SELECT * FROM proj WHERE extraction_date = (SELECT max(extraction_date) FROM stg)),
-core_before AS (
-  SELECT *, {PRIOR_RUN} AS updated_at FROM proj WHERE year(extraction_date) = {fx.CORE_YEAR}),
+newest AS (SELECT max(extraction_date) AS d FROM stg),
+earlier AS (
+  SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY loaded_at DESC, extraction_id DESC) AS rn
+  FROM stg, newest WHERE extraction_date < d AND video_id NOT LIKE '%7'),
+snap AS (SELECT {_PROJ} FROM ranked, newest WHERE rn = 1 AND extraction_date = d),
+core_before AS (SELECT {_PROJ}, {PRIOR_RUN} AS updated_at FROM earlier WHERE rn = 1),
 merged_sticky AS ({_merge_sql(False)}),
 merged_refresh AS ({_merge_sql(True)}),
 history_before AS (
-  SELECT video_id, like_count, view_count, comment_count, {AS_OF} AS recorded_at FROM snap WHERE like_count % 2 = 0),
+  SELECT video_id, like_count, view_count, comment_count, {AS_OF} AS recorded_at FROM snap WHERE like_count % 2 = 0
+  UNION ALL
+  SELECT video_id, like_count, view_count, comment_count, {DAY_BEFORE} FROM snap WHERE like_count % 3 = 0),
 hist_new_sticky AS ({_history_new('merged_sticky')}),
 hist_new_refresh AS ({_history_new('merged_refresh')}),
 history_after AS (SELECT * FROM history_before UNION ALL SELECT * FROM hist_new_sticky),
-ev AS (SELECT *, (event_id * 7919) % 90000 AS secs FROM events),
+ev_src AS (SELECT *, (event_id * 7919) % 90000 AS whole FROM events),
+ev AS (
+  SELECT *, CASE event_id % 17 WHEN 0 THEN 'PT' || (event_id % 50) || '.5S' WHEN 1 THEN 'P1DT2H'
+              WHEN 2 THEN 'PT' || (event_id % 50 + 1) || 'S2M' WHEN 3 THEN NULL
+              WHEN 4 THEN 'PT' || (event_id % 20 + 1) || 'H or so' ELSE {_iso('whole')} END AS duration,
+         CASE event_id % 17 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN event_id % 50 + 1 WHEN 3 THEN 0
+              WHEN 4 THEN (event_id % 20 + 1) * 3600 ELSE whole END AS secs
+  FROM ev_src),
 ids AS (
   SELECT l_orderkey AS page_no,
          CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
                                  l_extendedprice, l_quantity) - 1 AS INTEGER) AS pos,
          CAST(l_partkey AS VARCHAR) AS video_id
-  FROM lineitem),
+  FROM lineitem WHERE l_orderkey % 97 <> 13),
 det AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS video_id, p_name AS title, {_iso('d')} AS duration,
+  SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS video_id, p_name AS title, {_iso('d')} AS duration,
          CAST(p_size AS VARCHAR) AS like_count, CAST(p_size * 1000 AS VARCHAR) AS view_count,
          '2020-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' AS published_at,
          CAST(p_partkey % 17 AS VARCHAR) AS comment_count, {_readable('d')} AS duration_readable
   FROM (SELECT *, (p_partkey * 37) % 4000 AS d FROM part WHERE p_size % 10 <> 0)),
+page AS (
+  SELECT l_orderkey AS page_no, 'U' || (l_orderkey % {fx.PLAYLISTS}) AS playlist_id, count(*) AS n,
+         l_orderkey % 97 = 13 AS is_empty, l_orderkey % 89 = 5 AS is_last
+  FROM lineitem GROUP BY l_orderkey),
+single_stop AS (
+  SELECT least(max(page_no) FILTER (is_empty) - 1, max(page_no) FILTER (is_last)) AS stop FROM page),
+single AS (
+  SELECT page_no, n, is_last AND page_no = (SELECT max(page_no) FROM page WHERE is_last) AS ends FROM page, single_stop
+  WHERE stop IS NULL OR page_no <= stop),
+crawl AS (
+  SELECT * FROM (SELECT *, count(*) FILTER (is_empty) OVER before + count(*) FILTER (is_last AND NOT is_empty) OVER earlier AS ended
+                 FROM page WINDOW before AS (PARTITION BY playlist_id ORDER BY page_no),
+                 earlier AS (PARTITION BY playlist_id ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  WHERE coalesce(ended, 0) = 0),
+answer AS (
+  SELECT page_no, CAST(row_number() OVER (PARTITION BY page_no ORDER BY p_partkey DESC) - 1 AS INTEGER) AS pos, det.*
+  FROM (SELECT DISTINCT l_orderkey AS page_no, l_partkey FROM lineitem) JOIN det ON l_partkey = p_partkey),
 joined AS (
-  SELECT ids.page_no, ids.pos, ids.video_id, det.title, det.duration, det.like_count, det.view_count,
-         det.published_at, det.comment_count, det.duration_readable
-  FROM ids JOIN det ON ids.video_id = det.video_id),
+  SELECT {_DETAILS} FROM answer JOIN single USING (page_no)),
+channel_joined AS (
+  SELECT playlist_id, {_DETAILS} FROM answer JOIN crawl USING (page_no)),
+channel_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY playlist_id ORDER BY page_no, pos) AS place,
+         count(*) OVER (PARTITION BY playlist_id) AS total FROM channel_joined),
 dq_docs AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
@@ -163,24 +199,23 @@ def _check_set() -> str:
 ORACLE = {
     "flatten_items": _with(
         "SELECT CASE WHEN event_id % 11 <> 0 THEN event_type ELSE '' END AS title, "
-        f"{_iso('secs')} AS duration, 'v' || CAST(event_id AS VARCHAR) AS video_id, "
+        "duration, 'v' || CAST(event_id AS VARCHAR) AS video_id, "
         "CASE WHEN event_id % 5 <> 0 THEN CAST(event_id % 97 AS VARCHAR) ELSE '0' END AS like_count, "
         "CAST(event_id % 1000 AS VARCHAR) AS view_count, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at, "
         "CASE WHEN event_id % 7 <> 0 THEN CAST(event_id % 13 AS VARCHAR) ELSE '0' END AS comment_count, "
         f"{_readable('secs')} AS duration_readable FROM ev"),
     "iso_to_seconds": _with(
-        f"SELECT 'v' || CAST(event_id AS VARCHAR) AS video_id, {_iso('secs')} AS duration, "
-        "CAST(secs AS INTEGER) AS duration_seconds FROM ev"),
+        "SELECT 'v' || CAST(event_id AS VARCHAR) AS video_id, duration, CAST(secs AS INTEGER) AS duration_seconds FROM ev"),
     "seconds_to_readable": _with(
-        "SELECT 'v' || CAST(event_id AS VARCHAR) AS video_id, CAST(secs AS INTEGER) AS duration_seconds, "
-        f"{_readable('secs')} AS duration_readable FROM ev"),
+        "SELECT 'v' || CAST(event_id AS VARCHAR) AS video_id, CAST(whole AS INTEGER) AS duration_seconds, "
+        f"{_readable('whole')} AS duration_readable FROM ev"),
     "readable_to_seconds": _with(
         "SELECT extraction_id, duration_readable, CAST(secs AS INTEGER) AS duration_seconds FROM stg"),
     "playlist_ids": _with("SELECT page_no, pos, video_id FROM ids"),
     "page_stop": _with(
-        "SELECT l_orderkey AS page_no, CAST(count(*) AS INTEGER) AS n_ids, "
-        "CASE WHEN l_orderkey = (SELECT max(l_orderkey) FROM lineitem) THEN NULL "
-        "ELSE 'p' || CAST(l_orderkey + 1 AS VARCHAR) END AS next_page_token FROM lineitem GROUP BY l_orderkey"),
+        "SELECT page_no, CAST(CASE WHEN is_empty THEN 1 ELSE n END AS INTEGER) AS n_ids, CASE WHEN ends THEN NULL "
+        "WHEN is_last THEN 'more' ELSE 'p' || CAST(page_no + 1 AS VARCHAR) END AS next_page_token "
+        "FROM single JOIN (SELECT page_no, is_empty, is_last FROM page) USING (page_no)"),
     "detail_join": _with("SELECT * FROM joined"),
     "first_n_videos": _with(f"SELECT * FROM (SELECT * FROM joined ORDER BY page_no, pos LIMIT {fx.MAX_RESULTS})"),
     "extraction_summary": _with(
@@ -189,20 +224,40 @@ ORACLE = {
         "SELECT count(*) AS videos_fetched FROM joined, "
         f"(SELECT max(page_no) AS p, count(*) AS k FROM (SELECT page_no FROM joined ORDER BY page_no, pos "
         f"LIMIT {fx.MAX_RESULTS})) nth WHERE nth.k < {fx.MAX_RESULTS} OR joined.page_no <= nth.p)"),
+    "channel_extract": _with(
+        f"SELECT playlist_id, {_DETAILS} FROM channel_ranked WHERE place <= {fx.CHANNEL_RESULTS}"),
+    "channel_summary": _with(
+        f"SELECT playlist_id, videos_fetched, least(videos_fetched, {fx.CHANNEL_RESULTS}) AS videos_returned, "
+        "(videos_fetched // 50) * 2 AS quota_units FROM (SELECT playlist_id, count(*) AS videos_fetched FROM "
+        f"channel_joined c WHERE page_no <= (SELECT max(page_no) FROM channel_ranked r WHERE r.playlist_id = c.playlist_id "
+        f"AND place <= {fx.CHANNEL_RESULTS}) GROUP BY playlist_id)"),
     "channel_lookup": _with(
-        "SELECT s.s_suppkey AS request_id, repeat('@', CAST(s.s_suppkey % 2 + 1 AS INTEGER)) || n.n_name "
-        "AS channel_handle, CAST(c.n_nationkey AS VARCHAR) AS channel_id, c.r_name AS uploads_playlist_id "
-        "FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey "
-        "LEFT JOIN (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey) c ON c.n_name = n.n_name"),
+        "SELECT s.s_suppkey AS request_id, repeat('@', CAST(s.s_suppkey % 2 + 1 AS INTEGER)) || n.n_name || "
+        "CASE WHEN s.s_suppkey % 5 = 0 THEN '?' ELSE '' END AS channel_handle, CAST(c.n_nationkey AS VARCHAR) AS channel_id, "
+        "c.r_name AS uploads_playlist_id FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey "
+        "LEFT JOIN (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey) c "
+        "ON c.n_name = n.n_name AND s.s_suppkey % 5 <> 0"),
+    "staging_rows": _with(
+        "SELECT '@' || o_orderstatus AS channel_handle, "
+        "make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0.5) AS extraction_date, "
+        "CAST(count(*) OVER (PARTITION BY o_orderstatus, year(o_orderdate), o_orderkey // 1000) AS INTEGER) AS total_videos, "
+        "'v' || CAST(o_custkey AS VARCHAR) AS video_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS title, "
+        "'PT1M' AS duration, '1:00' AS duration_readable, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 77 ELSE 0 END AS like_count, "
+        "o_orderkey % 1000 AS view_count, o_orderkey % 13 AS comment_count, "
+        "CASE o_orderkey % 4 WHEN 1 THEN o_orderdate - INTERVAL 330 MINUTE WHEN 2 THEN o_orderdate + INTERVAL 123456 MICROSECOND "
+        f"ELSE o_orderdate END AS published_at, {AS_OF} AS loaded_at, 'v' || CAST(o_custkey AS VARCHAR) AS raw_video_id FROM orders"),
     "latest_extraction": _with(
         f"SELECT {_STG_COLS} FROM stg WHERE extraction_date = (SELECT max(extraction_date) FROM stg)"),
     "dedupe_newest": _with(
         f"SELECT {_STG_COLS} FROM ranked WHERE rn = 1 "
         "AND extraction_date = (SELECT max(extraction_date) FROM stg)"),
     "core_projection": _with(f"SELECT {_CORE_COLS} FROM snap"),
-    "content_type": _with("SELECT video_id, duration_seconds, content_type, is_short FROM snap"),
+    "content_type": _with(
+        "SELECT extraction_id, CAST(secs AS INTEGER) AS duration_seconds, CASE WHEN secs <= 60 THEN 'Short' "
+        "WHEN secs <= 300 THEN 'Medium' ELSE 'Long' END AS content_type, secs <= 60 AS is_short FROM stg"),
     "engagement_ratio": _with(
-        "SELECT video_id, like_count, comment_count, view_count, engagement_ratio FROM snap"),
+        "SELECT extraction_id, like_count, comment_count, view_count, "
+        f"{_ratio('like_count', 'comment_count', 'view_count')} AS engagement_ratio FROM stg"),
     "upsert_core_sticky": _with("SELECT * FROM merged_sticky"),
     "upsert_core_refresh": _with("SELECT * FROM merged_refresh"),
     "history_append_sticky": _with("SELECT * FROM hist_new_sticky"),
@@ -221,4 +276,9 @@ ORACLE = {
     "snapshot_envelope_counts": _with(
         "SELECT channel_handle, extraction_date, CAST(count(*) AS INTEGER) AS total_videos, "
         "count(*) AS n_videos FROM stg GROUP BY channel_handle, extraction_date"),
+    "envelope_roundtrip": _with(
+        "SELECT channel_handle, extraction_date, CAST(count(*) OVER (PARTITION BY channel_handle, extraction_date) AS INTEGER) "
+        "AS total_videos, title, duration, video_id, CAST(like_count AS VARCHAR) AS like_count, CAST(view_count AS VARCHAR) "
+        "AS view_count, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, CAST(comment_count AS VARCHAR) "
+        "AS comment_count, duration_readable FROM stg"),
 }

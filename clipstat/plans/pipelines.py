@@ -17,7 +17,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat import schemas
 from clipstat.operators import core as core_ops
 from clipstat.operators import extract, history, merge, quality
 from clipstat.operators.staging import explode_envelope
@@ -25,7 +24,7 @@ from clipstat.sinks import tables as table_sink
 from clipstat.sinks.envelope import (DEFAULT_PAGES_PER_CHUNK, build_envelopes, publish_envelopes,
                                      snapshot_name, write_snapshot)
 from clipstat.sources import landed, snapshots
-from clipstat.sources.tables import TableStore
+from clipstat.sources.tables import TableStore, work_table
 from clipstat.functions.columns import ntz
 
 AUDIT_SCHEMA = "stage string, rows bigint, detail string, at timestamp_ntz"
@@ -55,27 +54,29 @@ class LandedLayout:
         return f"{self.root}/videos/{playlist_id}"
 
 
+def _resolved(spark: SparkSession, layout: LandedLayout, handles: DataFrame) -> DataFrame:
+    """``channel_handle, playlist_id`` of every handle asked for (once each); an unknown handle
+    or a channel without uploads is an error."""
+    asked = handles.select("channel_handle").distinct()
+    found = work_table(extract.resolve_channels(asked, landed.read_channel_listing(spark, layout.channels())), "resolved")
+    extract.require_resolved(found)
+    return found.select("channel_handle", F.col("uploads_playlist_id").alias("playlist_id"))
+
+
 def channel_videos(spark: SparkSession, layout: LandedLayout, channel_handle: str,
-                   max_results: int = extract.DEFAULT_MAX_RESULTS) -> tuple[DataFrame, DataFrame]:
-    """Resolve the channel, crawl its uploads playlist, join details, keep the first
-    ``max_results``.  Returns ``(videos, summary)``."""
+                   max_results: int | None = extract.DEFAULT_MAX_RESULTS) -> tuple[DataFrame, DataFrame]:
+    """Resolve the channel, crawl its uploads playlist, take the detail responses of the
+    crawled pages in their order, keep the first ``max_results`` (``None``: all).  Returns
+    ``(videos, summary)``; the landed pages are read once for both."""
     request = spark.createDataFrame([(channel_handle,)], "channel_handle string")
-    resolved = extract.resolve_channels(request, landed.read_channel_listing(spark, layout.channels()),
-                                        strict=True).first()
-    if resolved is None or not resolved["uploads_playlist_id"]:
-        raise ValueError(f"no uploads playlist for {channel_handle}")
-    playlist_id = resolved["uploads_playlist_id"]
-    pages = landed.read_playlist_pages(spark, layout.playlist(playlist_id))
-    ids = extract.playlist_video_ids(extract.crawled_pages(pages))
-    detail_pages = landed.read_videos_pages(spark, layout.videos(playlist_id))
-    details = extract.flatten_video_items(extract.videos_page_items(detail_pages))
-    joined = ids.join(details, ["page_no", "video_id"], "inner").select(
-        "page_no", "pos", *schemas.VIDEO_FIELDS)
-    return extract.first_n(joined, max_results), extract.extraction_summary(joined, max_results)
+    playlist_id = _resolved(spark, layout, request).first()["playlist_id"]
+    pages = extract.crawled_pages(landed.read_playlist_pages(spark, layout.playlist(playlist_id)))
+    videos = work_table(extract.page_videos(pages, landed.read_videos_pages(spark, layout.videos(playlist_id))), "videos")
+    return extract.first_n(videos, max_results), extract.extraction_summary(videos, max_results)
 
 
 def extract_to_snapshot(spark: SparkSession, landed_root: str, out_dir: str, channel_handle: str,
-                        max_results: int = extract.DEFAULT_MAX_RESULTS,
+                        max_results: int | None = extract.DEFAULT_MAX_RESULTS,
                         extraction_date: dt.datetime | None = None) -> tuple[str, DataFrame]:
     """PIPE-1: extract and save one snapshot; returns ``(path, audit)``."""
     at = extraction_date or dt.datetime.now()
@@ -90,33 +91,29 @@ def extract_to_snapshot(spark: SparkSession, landed_root: str, out_dir: str, cha
 
 
 def extract_channels_to_snapshot(spark: SparkSession, landed_root: str, out_dir: str, handles: DataFrame,
-                                 max_results: int = extract.DEFAULT_MAX_RESULTS,
-                                 extraction_date: dt.datetime | None = None,
+                                 max_results: int | None, extraction_date: dt.datetime | None = None,
                                  pages_per_chunk: int = DEFAULT_PAGES_PER_CHUNK) -> tuple[str, DataFrame]:
     """PIPE-1 for many channels in one job.
 
-    ``handles`` is a DataFrame with ``channel_handle``.  Every handle is resolved (an
-    unknown one fails the job), all playlists' landed pages are read in one scan, and
-    the crawl stop, detail join, first ``max_results`` and summary run per playlist.
-    The result is one snapshot folder holding every channel's envelopes (chunked), which
-    :func:`run_update` loads like any other snapshot.  Returns ``(path, summary)`` with
-    one summary row per channel.
+    ``handles`` is a DataFrame with ``channel_handle``.  An unknown handle or a channel
+    without uploads fails the job before anything is read.  All playlists' landed pages are
+    read in one scan; the crawl stop, first ``max_results`` (``None``: all) and summary run
+    per playlist, and handles that name the same channel each get its videos.  The result is
+    one snapshot folder holding every channel's envelopes (chunked), which :func:`run_update`
+    loads like any other snapshot.  Returns ``(path, summary)`` with one summary row per
+    handle; a channel without landed pages or videos has zeros.
     """
     at = extraction_date or dt.datetime.now()
-    layout = LandedLayout(landed_root)
-    resolved = extract.resolve_channels(handles.select("channel_handle"),
-                                        landed.read_channel_listing(spark, layout.channels()), strict=True)
-    wanted = resolved.select("channel_handle", F.col("uploads_playlist_id").alias("playlist_id"))
-    pages = landed.read_all_playlist_pages(spark, f"{landed_root}/playlists").join(wanted, "playlist_id")
-    keys = ["playlist_id"]
-    ids = extract.playlist_video_ids_by(extract.crawled_pages(pages, by=keys), ["playlist_id", "channel_handle"])
-    details = extract.flatten_video_items(
-        extract.videos_page_items(landed.read_all_videos_pages(spark, f"{landed_root}/videos")))
-    joined = ids.join(details, ["playlist_id", "page_no", "video_id"], "inner").select(
-        "playlist_id", "channel_handle", "page_no", "pos", *schemas.VIDEO_FIELDS)
-    videos = extract.first_n(joined, max_results, by=keys)
-    summary = extract.extraction_summary(joined, max_results, by=["playlist_id", "channel_handle"])
-    tagged = videos.withColumn("extraction_date", ntz(at))
+    layout, by = LandedLayout(landed_root), ["playlist_id"]
+    wanted = _resolved(spark, layout, handles)
+    asked = wanted.select("playlist_id").distinct()
+    pages = landed.read_all_playlist_pages(spark, f"{landed_root}/playlists").join(asked, by, "left_semi")
+    videos = work_table(extract.page_videos(
+        extract.crawled_pages(pages, by), landed.read_all_videos_pages(spark, f"{landed_root}/videos"), by), "videos")
+    counted = extract.extraction_summary(videos, max_results, by)
+    summary = wanted.join(counted, by, "left").na.fill(0, ["videos_fetched", "videos_returned", "quota_units"])
+    kept = extract.first_n(videos, max_results, by).join(wanted, by)
+    tagged = kept.withColumn("extraction_date", ntz(at))
     envelopes = build_envelopes(tagged, ["page_no", "pos"], F.floor(F.col("page_no") / pages_per_chunk))
     path = publish_envelopes(spark, envelopes, f"{out_dir.rstrip('/')}/{snapshot_name(at)}")
     return path, summary
@@ -133,31 +130,45 @@ def run_update(spark: SparkSession, data_dir: str, store: TableStore, as_of: dt.
     """
     as_of = as_of or dt.datetime.now()
     path = snapshots.latest_snapshot_path(spark, data_dir)
-    rows = explode_envelope(snapshots.read_envelopes(spark, path), loaded_at=as_of, strict=strict)
-    table_sink.append(store, "staging", rows, id_col="extraction_id")
+    loaded = load_staging(store, snapshots.read_envelopes(spark, path), as_of, strict)
+    version = transform(store, as_of, refresh, per, merge_strategy)
+    counts = history.today_counts(store.read("core"), store.read_day("history", as_of.date()), as_of).first()
+    return _audit(spark, [
+        ("staged", loaded, path, as_of),
+        ("core", counts["core_rows"], f"version {version}", as_of),
+        ("history_today", counts["history_today_rows"], None, as_of),
+    ])
+
+
+def load_staging(store: TableStore, envelopes: DataFrame, as_of: dt.datetime, strict: bool = False) -> int:
+    """Append the videos of raw envelopes to staging; returns the rows appended."""
+    return table_sink.append(store, "staging", explode_envelope(envelopes, loaded_at=as_of, strict=strict),
+                             id_col="extraction_id")
 
+
+def transform(store: TableStore, as_of: dt.datetime, refresh=(), per: str | None = None,
+              merge_strategy: str = "auto", newest: dt.datetime | None = None) -> int:
+    """Newest staged extraction (or ``newest``) -> core -> history; returns core's version."""
     # Only the newest extraction is transformed, and it lies in the newest
     # extraction_day partition: read that partition, not the whole append-only table.
     # (Per-channel mode needs every channel's newest extraction, so it reads it all.)
-    staging = store.read_latest_day("staging") if per is None else store.read("staging")
-    newest = core_ops.newest_extraction(staging)
+    if per is not None:
+        staging = store.read("staging")
+    elif newest is not None:
+        staging = store.read_day("staging", newest.date())
+    else:
+        staging = store.read_latest_day("staging")
+    if per is None and newest is None:
+        newest = core_ops.newest_extraction(staging)
     source = store.stage("snapshot", core_ops.transform_latest(staging, per, newest if per is None else None))
-    new_core = merge.upsert(store.read("core"), source, as_of, refresh=refresh, strategy=merge_strategy,
-                            target_bucketed=store.core_buckets > 0)
-    version = table_sink.publish(store, new_core)
-
+    table_sink.assert_unique(source, "video_id", "upsert source")
+    version = table_sink.publish(store, merge.upsert(store.read("core"), source, as_of, refresh=refresh,
+                                                     strategy=merge_strategy))
     core = store.read("core")  # the committed version, read back: lineage stops here
     today = store.read_day("history", as_of.date())
-    new_rows = history.new_history_rows(core, staging, today, as_of, newest=newest)
+    new_rows = history.new_history_rows(core, staging, today, as_of, newest=newest, per=per)
     table_sink.append(store, "history", new_rows, id_col="history_id")
-
-    counts = history.today_counts(store.read("core"), store.read_day("history", as_of.date()), as_of).first()
-    loaded = staging.where(F.col("loaded_at") == ntz(as_of)).count()
-    return _audit(spark, [
-        ("staged", loaded, path, as_of),
-        ("core", counts["core_rows"], f"version {version}", as_of),
-        ("history_today", counts["history_today_rows"], None, as_of),
-    ])
+    return version
 
 
 def run_quality(spark: SparkSession, store: TableStore, checks=None, gate: bool = True,
@@ -167,7 +178,7 @@ def run_quality(spark: SparkSession, store: TableStore, checks=None, gate: bool
     ``scope="all"`` checks whole tables, as the reference does.  ``scope="latest"``
     checks only the newest day of the two append-only tables (whose older days were
     checked when they were written) and the whole core table, so the cost of a run stops
-    growing with the retained history.
+    growing with the retained history; it is a report and never gates.
     """
     if scope == "all":
         tables = {name: store.read(name) for name in ("staging", "core", "history")}
@@ -177,4 +188,4 @@ def run_quality(spark: SparkSession, store: TableStore, checks=None, gate: bool
     else:
         raise ValueError(f"unknown scope {scope!r}")
     results = quality.run_checks(tables, checks or quality.DEFAULT_CHECKS)
-    return quality.gate(results) if gate else results
+    return quality.gate(results) if gate and scope == "all" else results

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipstat import schemas
+from clipstat.functions import columns
 from clipstat.functions.durations import iso8601_to_seconds, readable_to_seconds, seconds_to_readable
 from clipstat.operators import core as core_ops
 from clipstat.operators import extract, history, merge, quality
+from clipstat.operators.staging import explode_envelope
 from clipstat.plans import fixtures as fx
 from clipstat.sinks.envelope import build_envelopes
 
@@ -25,11 +27,11 @@ def _stg(c: fx.Fixtures) -> DataFrame:
 
 
 def _snapshot(c: fx.Fixtures) -> DataFrame:
-    return c.view(("snapshot",), lambda: fx.snapshot(c.spark, c.sf_dir, c))
+    return c.view(("snapshot",), lambda: fx.snapshot(c.spark, c.sf_dir, c), staged=True)
 
 
 def _history_before(c: fx.Fixtures) -> DataFrame:
-    return c.view(("history_before",), lambda: fx.history_before(c.spark, c.sf_dir, c))
+    return c.view(("history_before",), lambda: fx.history_rows(_snapshot(c)))
 
 
 STG_COLUMNS = ["extraction_id", "channel_handle", "extraction_date", "video_id", "title", "duration",
@@ -68,27 +70,47 @@ def playlist_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_stop(spark: SparkSession, d: str) -> DataFrame:
-    kept = extract.crawled_pages(fx.pages(spark, d))
+    """One playlist: the crawl ends at the last page without ids or without a token."""
+    c = _ctx(spark, d)
+    kept = extract.crawled_pages(fx.one_playlist(fx.pages(spark, d, c)))
     return kept.select("page_no", F.size("items").alias("n_ids"), F.col("nextPageToken").alias("next_page_token"))
 
 
-def _detail_join(spark: SparkSession, d: str) -> DataFrame:
-    c = _ctx(spark, d)
-    ids = extract.playlist_video_ids(extract.crawled_pages(fx.pages(spark, d, c)))
-    flat = extract.flatten_video_items(fx.details(spark, d, c))
-    return extract.join_details(ids, flat).select(*DETAIL_COLUMNS)
+def _detail_join(c: fx.Fixtures, staged: bool = False) -> DataFrame:
+    def build():
+        pages = extract.crawled_pages(fx.one_playlist(fx.pages(c.spark, c.sf_dir, c)))
+        return extract.page_videos(pages, fx.detail_pages(c.spark, c.sf_dir, c)).select(*DETAIL_COLUMNS)
+
+    return c.view(("details",), build, staged)
 
 
 def detail_join(spark: SparkSession, d: str) -> DataFrame:
-    return _detail_join(spark, d)
+    return _detail_join(_ctx(spark, d))
 
 
 def first_n_videos(spark: SparkSession, d: str) -> DataFrame:
-    return extract.first_n(_detail_join(spark, d), fx.MAX_RESULTS)
+    return extract.first_n(_detail_join(_ctx(spark, d)), fx.MAX_RESULTS)
 
 
 def extraction_summary(spark: SparkSession, d: str) -> DataFrame:
-    return extract.extraction_summary(_detail_join(spark, d), fx.MAX_RESULTS)
+    return extract.extraction_summary(_detail_join(_ctx(spark, d)), fx.MAX_RESULTS)
+
+
+def _channel_videos(c: fx.Fixtures) -> DataFrame:
+    """Every playlist's crawl: both stop rules cut some playlist."""
+    by = ["playlist_id"]
+    pages = extract.crawled_pages(fx.pages(c.spark, c.sf_dir, c), by)
+    return extract.page_videos(pages, fx.detail_pages(c.spark, c.sf_dir, c), by)
+
+
+def channel_extract(spark: SparkSession, d: str) -> DataFrame:
+    """First videos of every playlist."""
+    return extract.first_n(_channel_videos(_ctx(spark, d)), fx.CHANNEL_RESULTS, ["playlist_id"]).select(
+        "playlist_id", *DETAIL_COLUMNS)
+
+
+def channel_summary(spark: SparkSession, d: str) -> DataFrame:
+    return extract.extraction_summary(_channel_videos(_ctx(spark, d)), fx.CHANNEL_RESULTS, ["playlist_id"])
 
 
 def channel_lookup(spark: SparkSession, d: str) -> DataFrame:
@@ -111,16 +133,28 @@ def core_projection(spark: SparkSession, d: str) -> DataFrame:
 
 
 def content_type(spark: SparkSession, d: str) -> DataFrame:
-    return fx.snapshot(spark, d).select("video_id", "duration_seconds", "content_type", "is_short")
+    secs = readable_to_seconds("duration_readable")
+    return fx.stg(spark, d).select("extraction_id", secs.alias("duration_seconds")).select(
+        "extraction_id", "duration_seconds", columns.content_type("duration_seconds").alias("content_type"),
+        columns.is_short("duration_seconds").alias("is_short"))
 
 
 def engagement_ratio(spark: SparkSession, d: str) -> DataFrame:
-    return fx.snapshot(spark, d).select("video_id", "like_count", "comment_count", "view_count", "engagement_ratio")
+    return fx.stg(spark, d).select(
+        "extraction_id", "like_count", "comment_count", "view_count",
+        columns.engagement_ratio("like_count", "comment_count", "view_count").alias("engagement_ratio"))
+
 
+def staging_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Envelopes as JSON text -> all staging columns (the raw JSON by the id it carries)."""
+    raw = fx.envelopes(spark, d).select(F.from_json("value", schemas.ENVELOPE_RAW, {"mode": "FAILFAST"}).alias("e")).select("e.*")
+    return explode_envelope(raw, loaded_at=fx.AS_OF).withColumn(
+        "raw_video_id", F.get_json_object("raw_data", "$.video_id")).drop("raw_data")
 
-def _merged(c: fx.Fixtures, refresh=()) -> DataFrame:
+
+def _merged(c: fx.Fixtures, refresh=(), staged: bool = False) -> DataFrame:
     return c.view(("merged", tuple(refresh)), lambda: merge.upsert(
-        fx.core_before(c.spark, c.sf_dir, c), _snapshot(c), fx.AS_OF, refresh=refresh))
+        fx.core_before(c.spark, c.sf_dir, c), _snapshot(c), fx.AS_OF, refresh=refresh), staged)
 
 
 def upsert_core_sticky(spark: SparkSession, d: str) -> DataFrame:
@@ -131,9 +165,9 @@ def upsert_core_refresh(spark: SparkSession, d: str) -> DataFrame:
     return _merged(_ctx(spark, d), refresh=("extraction_date",))
 
 
-def _new_history(c: fx.Fixtures, refresh=()) -> DataFrame:
+def _new_history(c: fx.Fixtures, refresh=(), staged: bool = False) -> DataFrame:
     return c.view(("new_history", tuple(refresh)), lambda: history.new_history_rows(
-        _merged(c, refresh), _stg(c), _history_before(c), fx.AS_OF).select(*HISTORY_OUT))
+        _merged(c, refresh, staged), _stg(c), _history_before(c), fx.AS_OF).select(*HISTORY_OUT), staged)
 
 
 def history_append_sticky(spark: SparkSession, d: str) -> DataFrame:
@@ -145,19 +179,22 @@ def history_append_refresh(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _history_after(c: fx.Fixtures) -> DataFrame:
+    """Old and new history; core and the new rows are work tables here, as several metrics read them."""
     return c.view(("history_after",), lambda: _history_before(c).select(*HISTORY_OUT)
-                  .unionByName(_new_history(c)))
+                  .unionByName(_new_history(c, staged=True)))
 
 
 def history_today_count(spark: SparkSession, d: str) -> DataFrame:
     c = _ctx(spark, d)
-    return history.today_counts(_merged(c), _history_after(c), fx.AS_OF)
+    after = _history_after(c)
+    return history.today_counts(_merged(c), after, fx.AS_OF)
 
 
 # ---- quality ---------------------------------------------------------------------------
 
 def _pipeline_tables(c: fx.Fixtures) -> dict[str, DataFrame]:
-    return {"staging": _stg(c), "core": _merged(c), "history": _history_after(c)}
+    after = _history_after(c)
+    return {"staging": _stg(c), "core": _merged(c), "history": after}
 
 
 def dq_row_count(spark: SparkSession, d: str) -> DataFrame:
@@ -201,18 +238,32 @@ def dq_check_set(spark: SparkSession, d: str) -> DataFrame:
 ENVELOPE_CHUNK_ROWS = 100_000
 
 
-def snapshot_envelope_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Build an envelope per (channel, extraction) from staged rows, then read the
-    envelopes back: declared ``total_videos`` next to the videos actually carried."""
-    rows = fx.stg(spark, d)
-    text = rows.select(
-        "channel_handle", "extraction_date", "extraction_id",
-        *[F.col(c).cast("string").alias(c) for c in schemas.VIDEO_FIELDS])
+def _envelope_lines(c: fx.Fixtures) -> DataFrame:
+    """An envelope per (channel, extraction, chunk) from staged rows, as the JSON text that a
+    snapshot holds (column ``value``)."""
+    text = _stg(c).select("channel_handle", "extraction_date", "extraction_id",
+                          *[F.col(x).cast("string").alias(x) for x in schemas.VIDEO_FIELDS])
     env = build_envelopes(text, ["extraction_id"], F.floor(F.col("extraction_id") / ENVELOPE_CHUNK_ROWS))
-    back = env.select("channel_handle", F.to_timestamp_ntz("extraction_date").alias("extraction_date"),
-                      "total_videos", F.size("videos").alias("_n"))
+    return env.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def _read_back(lines: DataFrame) -> DataFrame:
+    return lines.select(F.from_json("value", schemas.ENVELOPE, {"mode": "FAILFAST"}).alias("e")).select(
+        "e.channel_handle", F.to_timestamp_ntz("e.extraction_date").alias("extraction_date"), "e.total_videos", "e.videos")
+
+
+def snapshot_envelope_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Declared ``total_videos`` of the serialised envelopes next to the videos they carry."""
+    back = _read_back(_envelope_lines(_ctx(spark, d)))
     return back.groupBy("channel_handle", "extraction_date").agg(
-        F.max("total_videos").alias("total_videos"), F.sum("_n").cast("bigint").alias("n_videos"))
+        F.max("total_videos").alias("total_videos"), F.sum(F.size("videos")).cast("bigint").alias("n_videos"))
+
+
+def envelope_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Every video field after serialising the envelopes and parsing them again."""
+    back = _read_back(_envelope_lines(_ctx(spark, d)))
+    return back.select("channel_handle", "extraction_date", "total_videos", F.explode("videos").alias("v")).select(
+        "channel_handle", "extraction_date", "total_videos", "v.*")
 
 
 QUERIES = {
@@ -225,7 +276,10 @@ QUERIES = {
     "detail_join": detail_join,
     "first_n_videos": first_n_videos,
     "extraction_summary": extraction_summary,
+    "channel_extract": channel_extract,
+    "channel_summary": channel_summary,
     "channel_lookup": channel_lookup,
+    "staging_rows": staging_rows,
     "latest_extraction": latest_extraction,
     "dedupe_newest": dedupe_newest,
     "core_projection": core_projection,
@@ -243,4 +297,5 @@ QUERIES = {
     "dq_max_length": dq_max_length,
     "dq_check_set": dq_check_set,
     "snapshot_envelope_counts": snapshot_envelope_counts,
+    "envelope_roundtrip": envelope_roundtrip,
 }

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clipstat import schemas
-from clipstat.operators.history import dense_serial_ids
+from clipstat.operators.history import serial_ids
 from clipstat.sources.tables import PARTITION, SCHEMAS, TableStore
 
 
@@ -30,18 +30,28 @@ def enforce_constraints(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def append(store: TableStore, table: str, rows: DataFrame, id_col: str | None = None) -> None:
-    """Append ``rows`` to an append-only table (staging, history), partitioned by day.
+def append(store: TableStore, table: str, rows: DataFrame, id_col: str | None = None) -> int:
+    """Append ``rows`` to an append-only table (staging, history), partitioned by day;
+    returns the number of rows written (counted by the write itself).
 
-    Ids continue from the table's high-water mark, which is moved past the new ids
-    before the data is written: a failed write leaves a gap, never a duplicate.
+    Ids are reserved before the data is written: a failed write leaves a gap, never a
+    duplicate.
     """
     if id_col:
-        rows, top = dense_serial_ids(rows, store.high_water(table, id_col), id_col)
-        store.set_high_water(table, top)
+        rows = serial_ids(rows, store.reserve_ids(table, id_col), id_col)
     part_col, ts_col = PARTITION[table]
-    out = enforce_constraints(rows, table).withColumn(part_col, F.to_date(ts_col))
+    written = Observation()
+    out = enforce_constraints(rows, table).withColumn(part_col, F.to_date(ts_col)) \
+        .observe(written, F.count(F.lit(1)).alias("rows"))
     out.write.mode("append").partitionBy(part_col).parquet(store.path(table))
+    return int(written.get["rows"])
+
+
+def assert_unique(df: DataFrame, key: str, what: str) -> None:
+    """Fail if ``key`` repeats in ``df`` (a grouped count with partial aggregation; names a few)."""
+    again = df.groupBy(key).count().where("count > 1").limit(3).collect()
+    if again:
+        raise ValueError(f"{what}: {key} is not unique: {[r[0] for r in again]}")
 
 
 def publish(store: TableStore, rows: DataFrame, table: str = "core") -> int:

@@ -30,29 +30,18 @@ def is_dir(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists already (one of several creators wins)."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    if fs.exists(p):
+        return False
     try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
+        fs.create(p, False).close()
+        return True
+    except Exception as e:  # lost the race: somebody else created it in between
+        if "exist" in str(e).lower():
+            return False
+        raise
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> bool:

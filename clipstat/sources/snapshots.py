@@ -50,14 +50,3 @@ def read_envelopes(spark: SparkSession, path: str, raw: bool = True) -> DataFram
     if fs.is_dir(spark, path):
         return reader.option("multiLine", False).option("pathGlobFilter", "*.json").json(path)
     return reader.option("multiLine", True).json(path)
-
-
-def read_latest_envelope(spark: SparkSession, data_dir: str) -> DataFrame:
-    return read_envelopes(spark, latest_snapshot_path(spark, data_dir))
-
-
-def envelope_videos(envelopes: DataFrame) -> DataFrame:
-    """Typed envelope (``schemas.ENVELOPE``) -> one row per video with envelope fields."""
-    return envelopes.select("channel_handle", "extraction_date", "total_videos",
-                            F.explode("videos").alias("v")).select(
-        "channel_handle", "extraction_date", "total_videos", "v.*")

@@ -13,6 +13,7 @@ never visible.  Parquet cannot overwrite a table that is being read, hence versi
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,27 @@ SCHEMAS = {"staging": schemas.STAGING, "core": schemas.CORE, "history": schemas.
 PARTITION = {"staging": ("extraction_day", "extraction_date"),
              "history": ("recorded_date", "recorded_at")}
 VERSION_PREFIX = "v="
+# Ids of one append: partition number * ROWS_PER_PARTITION + row in the partition.
+ROWS_PER_PARTITION = 1 << 24
+PARTITIONS_PER_APPEND = 1 << 16
+IDS_PER_APPEND = ROWS_PER_PARTITION * PARTITIONS_PER_APPEND
+KEPT_RESERVATIONS = 8
+
+
+def work_table(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to a fresh folder under the cluster's shared checkpoint
+    folder (``spark.checkpoint.dir``) and read it back.
+
+    Used for a result that several branches of the next step consume: it is computed
+    once, each reader still prunes columns, and lineage stops here (a lost executor
+    recomputes nothing before it).  Every call has a folder of its own, so concurrent
+    runs on one store do not meet."""
+    from clipstat.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clipstat-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @dataclass
@@ -98,33 +120,40 @@ class TableStore:
 
     # ---- work tables ------------------------------------------------------------------
     def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Write an intermediate result to the cluster's shared checkpoint folder
-        (``spark.checkpoint.dir``) and read it back.
-
-        Used for a result that several branches of the next step consume: it is computed
-        once, each reader still prunes columns, the Parquet scan carries a real size
-        bound, and lineage stops here (a lost executor recomputes nothing before it)."""
-        from clipstat.session import ensure_checkpoint_dir
-
-        digest = hashlib.sha1(self.root.encode("utf-8")).hexdigest()[:10]
-        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/clipstat-work-{digest}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        """:func:`work_table`: computed once for all branches that read it."""
+        return work_table(df, name)
 
     # ---- serial ids --------------------------------------------------------------------
-    def high_water(self, name: str, id_col: str) -> int:
-        """Greatest id handed out for ``name``; read from the store's sequence file, or
-        computed once from the table when the file is absent."""
-        path = f"{self.path('_seq')}/{name}"
-        if fs.exists(self.spark, path):
-            return int(fs.read_text(self.spark, path).strip() or 0)
-        if not fs.exists(self.spark, self.path(name)):
-            return 0
-        top = self.read(name).agg(F.max(id_col)).first()[0]
-        return int(top or 0)
-
-    def set_high_water(self, name: str, value: int) -> None:
-        fs.write_text(self.spark, f"{self.path('_seq')}/{name}", str(int(value)))
+    def reserve_ids(self, name: str, id_col: str) -> int:
+        """Reserve the next ``IDS_PER_APPEND`` ids of ``name`` and return the last id before them.
+
+        A reservation is an empty file named by its greatest id, created exclusively: of
+        several appenders one gets each range, a failed write leaves a gap and never a
+        duplicate, and there is no content that could be torn.  Without a reservation (a
+        store that was filled otherwise) ids continue after the table's own maximum.
+        """
+        folder = self.path(f"_seq/{name}")
+        taken = [int(n) for n in fs.list_names(self.spark, folder) if n.isdigit()]
+        if taken:
+            base = max(taken)
+        elif fs.exists(self.spark, self.path(name)):
+            base = int(self.read(name).agg(F.max(id_col)).first()[0] or 0)
+        else:
+            base = 0
+        while not fs.create_new(self.spark, f"{folder}/{base + IDS_PER_APPEND}"):
+            base += IDS_PER_APPEND
+        for old in sorted(taken)[:-KEPT_RESERVATIONS]:
+            fs.delete(self.spark, f"{folder}/{old}")
+        return base
+
+    # ---- finished micro-batches ---------------------------------------------------------
+    def epoch_done(self, stream: str, epoch: int) -> bool:
+        """Whether staging already holds micro-batch ``epoch`` of the stream with this id."""
+        return fs.exists(self.spark, self.path(f"_epochs/{stream}/{epoch}"))
+
+    def mark_epoch(self, stream: str, epoch: int) -> None:
+        fs.create_new(self.spark, self.path(f"_epochs/{stream}/{epoch}"))
+        fs.delete(self.spark, self.path(f"_epochs/{stream}/{epoch - 8}"))
 
     # ---- bucketed core ------------------------------------------------------------------
     def core_table_name(self, version: int) -> str:

@@ -1,11 +1,14 @@
 """File-source stream of snapshot envelopes -> staging -> core -> history.
 
-A Spark-side addition (the reference runs as a daily batch): new ``*.json`` envelopes in a
-folder are picked up one file per micro-batch (``maxFilesPerTrigger=1``) with
-``trigger(availableNow=True)``, and each micro-batch runs the same steps as
-:func:`clipstat.plans.pipelines.run_update`.  Progress is kept in a checkpoint under
-the cluster's shared ``spark.checkpoint.dir``, so a restarted query resumes where it
-stopped.
+A Spark-side addition (the reference runs as a daily batch): new snapshots in a folder
+(single ``*.json`` documents, and the snapshot folders that
+:func:`clipstat.sinks.envelope.publish_envelopes` writes) are picked up with
+``trigger(availableNow=True)``, and each micro-batch runs the steps of
+:func:`clipstat.plans.pipelines.run_update` for each of its extractions in turn.
+
+Progress is kept beside the store it fills, so a restarted application resumes where the
+last one stopped; a micro-batch that is replayed after a failure does not load staging a
+second time.
 """
 
 from __future__ import annotations
@@ -13,45 +16,54 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clipstat import schemas
-from clipstat.operators import core as core_ops
-from clipstat.operators import history, merge
-from clipstat.operators.staging import explode_envelope
-from clipstat.session import ensure_checkpoint_dir
-from clipstat.sinks import tables as table_sink
+from clipstat.functions.columns import parse_extraction_date
+from clipstat.plans import pipelines
 from clipstat.sources.tables import TableStore
 
 
-def process_envelopes(envelopes: DataFrame, store: TableStore, as_of: dt.datetime, refresh=()) -> None:
-    """One micro-batch: append staging, upsert core (new version), append history."""
-    rows = explode_envelope(envelopes, loaded_at=as_of)
-    table_sink.append(store, "staging", rows, id_col="extraction_id")
-    staging = store.read_latest_day("staging")
-    newest = core_ops.newest_extraction(staging)
-    source = store.stage("snapshot", core_ops.transform_latest(staging, newest=newest))
-    new_core = merge.upsert(store.read("core"), source, as_of,
-                            refresh=refresh, target_bucketed=store.core_buckets > 0)
-    table_sink.publish(store, new_core)
-    new_rows = history.new_history_rows(store.read("core"), staging, store.read_day("history", as_of.date()),
-                                        as_of, newest=newest)
-    table_sink.append(store, "history", new_rows, id_col="history_id")
+def process_envelopes(envelopes: DataFrame, store: TableStore, as_of: dt.datetime, refresh=(),
+                      epoch: tuple[str, int] | None = None) -> None:
+    """One micro-batch: append staging, then upsert core and append history for each of its
+    extractions, oldest first (their number is bounded by the files of a batch).  ``epoch`` is
+    the stream's id and the batch's number: staging is loaded once for each."""
+    at = envelopes.select(parse_extraction_date("extraction_date").alias("at")).distinct()
+    extractions = sorted(r["at"] for r in at.collect())
+    if epoch is None or not store.epoch_done(*epoch):
+        pipelines.load_staging(store, envelopes, as_of)
+        if epoch is not None:
+            store.mark_epoch(*epoch)
+    for newest in extractions:
+        pipelines.transform(store, as_of, refresh, newest=newest)
+
+
+def read_stream(spark: SparkSession, data_dir: str, files_per_batch: int = 1) -> DataFrame:
+    """Raw envelopes (``schemas.ENVELOPE_RAW``) of new files.  A file directly in ``data_dir``
+    is one JSON document; files inside a ``*.json`` folder hold one envelope a line; a folder
+    still being written (``*.tmp``) is passed over."""
+    files = (spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+                  .option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_batch).load(data_dir))
+    path = F.col("_metadata.file_path")
+    in_folder = path.rlike(r"[.]json/[^/]+$")
+    docs = F.when(in_folder, F.filter(F.split("value", "\n"), lambda x: F.length(x) > 0)).otherwise(F.array("value"))
+    parsed = F.from_json("doc", schemas.ENVELOPE_RAW, {"mode": "FAILFAST"})
+    return (files.where(~path.rlike(r"[.]tmp/[^/]+$")).select(F.explode(docs).alias("doc"))
+                 .select(parsed.alias("e")).select("e.*"))
 
 
 def start_ingest(spark: SparkSession, data_dir: str, store: TableStore, checkpoint_location: str | None = None,
                  clock=dt.datetime.now, refresh=(), files_per_batch: int = 1) -> StreamingQuery:
     """Start the ingest; returns the query (``awaitTermination()`` to wait for it)."""
-    location = checkpoint_location or ensure_checkpoint_dir(spark).rstrip("/") + "/clipstat-ingest"
-    stream = (spark.readStream.schema(schemas.ENVELOPE_RAW)
-                   .option("multiLine", True).option("mode", "FAILFAST")
-                   .option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_batch)
-                   .json(data_dir))
+    location = checkpoint_location or store.path("_stream")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        if df.isEmpty():
-            return
-        process_envelopes(df, store, clock(), refresh)
+        if not df.isEmpty():
+            # the id belongs to the checkpoint: a new checkpoint starts a new count
+            stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            process_envelopes(df, store, clock(), refresh, (str(stream), epoch_id))
 
-    return (stream.writeStream.foreachBatch(batch).option("checkpointLocation", location)
-                  .trigger(availableNow=True).start())
+    return (read_stream(spark, data_dir, files_per_batch).writeStream.foreachBatch(batch)
+            .option("checkpointLocation", location).trigger(availableNow=True).start())

@@ -74,7 +74,7 @@ def core_df(spark, rows, with_updated=True):
     return spark.createDataFrame(data, schema)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", ["split", "shuffle"])
 def test_upsert_sticky(spark, strategy):
     target = core_df(spark, [dict(video_id="keep", updated_at=T0),
                              dict(video_id="upd", updated_at=T0, title="old", like_count=1)])
@@ -90,7 +90,7 @@ def test_upsert_sticky(spark, strategy):
     assert out["ins"].extraction_date == D2 and out["ins"].updated_at == T2
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", ["split", "shuffle"])
 def test_upsert_refresh(spark, strategy):
     target = core_df(spark, [dict(video_id="upd", updated_at=T0)])
     source = core_df(spark, [dict(video_id="upd", extraction_date=D2, channel_handle="@other")], with_updated=False)
@@ -102,44 +102,28 @@ def test_upsert_strategies_agree_and_are_idempotent(spark):
     target = core_df(spark, [dict(video_id=f"t{i}", updated_at=T0, like_count=i) for i in range(30)])
     source = core_df(spark, [dict(video_id=f"t{i}", like_count=100 + i, extraction_date=D2) for i in range(20, 40)],
                      with_updated=False)
-    a = merge.upsert(target, source, T2, strategy="broadcast")
+    a = merge.upsert(target, source, T2, strategy="split")
     b = merge.upsert(target, source, T2, strategy="shuffle")
     key = lambda df: sorted(tuple(r) for r in df.collect())
     assert key(a) == key(b) and a.count() == 40
     again = merge.upsert(a, source, T2)
     assert key(again) == key(a)
-    counts = merge.merge_counts(target, source).first()
-    assert (counts.untouched, counts.inserted, counts.updated) == (20, 10, 10)
-
-
-def test_broadcast_plan_does_not_shuffle_target(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        target = core_df(spark, [dict(video_id="a", updated_at=T0)])
-        source = core_df(spark, [dict(video_id="b")], with_updated=False)
-        plan = merge.upsert(target, source, T2, strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-        assert "hashpartitioning" not in plan
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_auto_strategy_respects_threshold(spark, tmp_dir):
-    target = core_df(spark, [dict(video_id="a", updated_at=T0)])
-    # a DataFrame from local rows has no size bound; a parquet scan has one
-    core_df(spark, [dict(video_id="b")], with_updated=False).write.parquet(tmp_dir + "/src")
-    source = spark.read.parquet(tmp_dir + "/src")
-    unbounded = core_df(spark, [dict(video_id="b")], with_updated=False)
-    plan = merge.upsert(target, unbounded, T2)._jdf.queryExecution().executedPlan().toString()
-    assert "FullOuter" in plan
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = merge.upsert(target, source, T2)._jdf.queryExecution().executedPlan().toString()
-        assert "FullOuter" in plan
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    plan = merge.upsert(target, source, T2)._jdf.queryExecution().executedPlan().toString()
-    assert "FullOuter" not in plan
+
+
+def test_small_source_is_broadcast_at_run_time_and_large_is_not(spark, tmp_dir):
+    core_df(spark, [dict(video_id=f"t{i}", updated_at=T0) for i in range(200)]).write.parquet(tmp_dir + "/t")
+    core_df(spark, [dict(video_id="b")], with_updated=False).write.parquet(tmp_dir + "/s")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = {}
+    for threshold in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            out = merge.upsert(spark.read.parquet(tmp_dir + "/t"), spark.read.parquet(tmp_dir + "/s"), T2)
+            assert out.count() == 201
+            plans[threshold] = out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plans["10MB"] and "BroadcastHashJoin" not in plans["-1"]
 
 
 HIST = "history_id bigint, video_id string, like_count bigint, view_count bigint, comment_count bigint, recorded_at timestamp_ntz"
@@ -161,8 +145,23 @@ def test_history_once_per_day_for_latest_extraction(spark):
     assert (counts.core_rows, counts.history_today_rows) == (4, 1)
 
 
-def test_serial_ids_unique_and_after_existing(spark):
+def test_history_per_channel_uses_each_channels_newest_extraction(spark):
+    core = core_df(spark, [dict(video_id="a", channel_handle="@a", extraction_date=D1, updated_at=T1),
+                           dict(video_id="b", channel_handle="@b", extraction_date=D2, updated_at=T1),
+                           dict(video_id="b_old", channel_handle="@b", extraction_date=D1, updated_at=T1),
+                           dict(video_id="none", channel_handle=None, extraction_date=D1, updated_at=T1)])
+    stg = spark.createDataFrame([("@a", D1), ("@b", D1), ("@b", D2), (None, D1)], "channel_handle string, extraction_date timestamp_ntz")
+    hist = spark.createDataFrame([], HIST)
+    rows = history.new_history_rows(core, stg, hist, T2, per="channel_handle").collect()
+    assert sorted(r.video_id for r in rows) == ["a", "b", "none"]
+
+
+def test_serial_ids_unique_and_after_base(spark, monkeypatch):
     rows = spark.range(1000).repartition(7).withColumnRenamed("id", "x")
-    existing = spark.createDataFrame([(41,)], "history_id bigint")
-    ids = [r.history_id for r in history.with_serial_ids(rows, existing, "history_id").collect()]
+    ids = [r.rid for r in history.serial_ids(rows, 41, "rid").collect()]
     assert len(set(ids)) == 1000 and min(ids) == 42
+    from clipstat.sources import tables
+
+    monkeypatch.setattr(tables, "ROWS_PER_PARTITION", 10)
+    with pytest.raises(Exception, match="append too large"):
+        history.serial_ids(rows, 41, "rid").collect()

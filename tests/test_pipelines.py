@@ -101,30 +101,49 @@ def test_streaming_ingest(spark, tmp_dir):
         with open(f"{data}/youtube_videos_2025100{day}_080000.json", "w") as f:
             json.dump(payload, f, indent=2)
     clock = iter([DAY1, DAY2, DAY2, DAY2])
-    q = start_ingest(spark, data, store, checkpoint_location=f"{tmp_dir}/ckpt", clock=lambda: next(clock))
-    q.awaitTermination(120)
+    start_ingest(spark, data, store, clock=lambda: next(clock)).awaitTermination(120)
     assert store.read("staging").count() == 4
     assert {r.video_id: r.view_count for r in store.read("core").collect()} == {"a": 20, "b": 20}
     assert len(store.versions()) == 2
 
 
-def test_dense_serial_ids(spark):
-    from clipstat.operators.history import dense_serial_ids
+def test_ids_grow_with_appends_and_survive_lost_reservations(spark, tmp_dir):
+    landed, data, store = f"{tmp_dir}/landed", f"{tmp_dir}/data", TableStore(spark, f"{tmp_dir}/tables")
+    land(landed, 1000)
+    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY1)
+    seen = set()
+    for run in range(3):
+        pipelines.run_update(spark, data, store, DAY1)
+        ids = {r.extraction_id for r in store.read("staging").collect()}
+        assert len(ids) == 3 * (run + 1) and min(ids - seen) > max(seen, default=0)
+        seen = ids
+        if run == 1:  # reservations lost: ids go on after the table's own maximum
+            for name in os.listdir(f"{tmp_dir}/tables/_seq/staging"):
+                os.remove(f"{tmp_dir}/tables/_seq/staging/{name}")
 
-    rows = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "x")
-    numbered, top = dense_serial_ids(rows, 10, "rid")
-    ids = sorted(r.rid for r in numbered.collect())
-    assert ids == list(range(11, 1011)) and top == 1010
 
+def test_reservations_are_exclusive(spark, tmp_dir):
+    store, other = TableStore(spark, tmp_dir), TableStore(spark, tmp_dir)
+    got = [s.reserve_ids("staging", "extraction_id") for s in (store, other) * 8]
+    assert got == sorted(set(got)) and len(os.listdir(f"{tmp_dir}/_seq/staging")) < 30
 
-def test_high_water_moves_with_appends(spark, tmp_dir):
+
+def test_audit_counts_the_rows_of_this_load(spark, tmp_dir):
     landed, data, store = f"{tmp_dir}/landed", f"{tmp_dir}/data", TableStore(spark, f"{tmp_dir}/tables")
     land(landed, 1000)
-    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY1)
-    pipelines.run_update(spark, data, store, DAY1)
-    pipelines.run_update(spark, data, store, DAY2)
-    ids = sorted(r.extraction_id for r in store.read("staging").collect())
-    assert ids == [1, 2, 3, 4, 5, 6] and store.high_water("staging", "extraction_id") == 6
+    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY2)
+    counts = [{r.stage: r.rows for r in pipelines.run_update(spark, data, store, DAY2).collect()}["staged"] for _ in range(2)]
+    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", max_results=1, extraction_date=DAY1)
+    os.rename(f"{data}/youtube_videos_20251001_080000.json", f"{data}/zzz.json")  # older, but chosen by name
+    counts.append({r.stage: r.rows for r in pipelines.run_update(spark, data, store, DAY2).collect()}["staged"])
+    assert counts == [3, 3, 1]
+
+
+def test_repeated_keys_in_the_upsert_source_fail(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "video_id string")
+    with pytest.raises(ValueError, match="not unique"):
+        table_sink.assert_unique(df, "video_id", "upsert source")
+    table_sink.assert_unique(df.distinct(), "video_id", "upsert source")
 
 
 def test_latest_day_read_is_pruned(spark, tmp_dir):
@@ -164,7 +183,7 @@ def test_bucketed_core_matches_and_shuffles_only_the_snapshot(spark, tmp_dir):
                 parts = [f for f in os.listdir(latest) if f.endswith(".parquet")]
                 assert len(parts) <= 4                                     # one file per bucket
                 src = core_ops.transform_latest(store.read_latest_day("staging"))
-                plan = merge.upsert(store.read("core"), src, DAY2, target_bucketed=True) \
+                plan = merge.upsert(store.read("core"), src, DAY2) \
                     ._jdf.queryExecution().executedPlan().toString()
                 assert "Bucketed: true" in plan and "FullOuter" not in plan
                 # every exchange hashes the snapshot's keys, none re-partitions core
@@ -208,7 +227,7 @@ def test_streaming_ingest_resumes_from_checkpoint(spark, tmp_dir):
     start_ingest(spark, data, store, checkpoint_location=ckpt, clock=lambda: DAY2).awaitTermination(120)
     assert store.read("staging").count() == 2
     assert store.read("core").first().view_count == 20
-    assert sorted(r.extraction_id for r in store.read("staging").collect()) == [1, 2]
+    assert store.read("staging").select("extraction_id").distinct().count() == 2
 
 
 def test_many_channels_in_one_job(spark, tmp_dir):
@@ -239,9 +258,51 @@ def test_many_channels_in_one_job(spark, tmp_dir):
     assert core.count() == 9
     assert {r.channel_handle: r.n for r in core.groupBy("channel_handle").agg(F.count("*").alias("n")).collect()} \
         == {"@One": 3, "@@Two": 3, "@Three": 3}
-    bad = spark.createDataFrame([("@Nobody",)], "channel_handle string")
-    with pytest.raises(Exception):
-        pipelines.extract_channels_to_snapshot(spark, landed, f"{tmp_dir}/d2", bad, extraction_date=DAY2)
+    for bad, message in (("@Nobody", "no channel for handle @Nobody"), ("@Empty", "no uploads playlist for handle @Empty")):
+        with open(f"{landed}/channels/Empty.json", "w") as f:
+            json.dump({"items": [{"id": "UC_E", "contentDetails": {"relatedPlaylists": {}}}]}, f)
+        asked = spark.createDataFrame([("@One",), (bad,)], "channel_handle string")
+        with pytest.raises(ValueError, match=message):
+            pipelines.extract_channels_to_snapshot(spark, landed, f"{tmp_dir}/d2", asked, 3, extraction_date=DAY2)
+    # two names of one channel each get its videos; a channel without pages is in the summary
+    with open(f"{landed}/channels/Quiet.json", "w") as f:
+        json.dump({"items": [{"id": "UC_Q", "contentDetails": {"relatedPlaylists": {"uploads": "UU_Q"}}}]}, f)
+    asked = spark.createDataFrame([("@One",), ("@@One",), ("@Quiet",)], "channel_handle string")
+    path, summary = pipelines.extract_channels_to_snapshot(spark, landed, f"{tmp_dir}/d3", asked, 2, extraction_date=DAY2)
+    got = {r.channel_handle: (r.videos_fetched, r.videos_returned) for r in summary.collect()}
+    assert got == {"@One": (2, 2), "@@One": (2, 2), "@Quiet": (0, 0)}
+    env = spark.read.json(path)
+    assert {r.channel_handle: len(r.videos) for r in env.collect()} == {"@One": 2, "@@One": 2}
+
+
+@pytest.mark.parametrize("per_batch", [1, 2])
+def test_stream_gives_the_same_tables_for_any_batch_size(spark, tmp_dir, per_batch):
+    """Two extractions with different videos, one of them a snapshot folder of several parts."""
+    landed, data, store = f"{tmp_dir}/landed", f"{tmp_dir}/data", TableStore(spark, f"{tmp_dir}/tables")
+    land(landed, 10)
+    pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY1)
+    payload = {"channel_handle": "@MrChannel", "extraction_date": DAY2.isoformat(), "total_videos": 1,
+               "videos": [{"title": "x", "duration": "PT1M", "video_id": "new", "like_count": "1", "view_count": "20",
+                           "published_at": "2025-09-01T00:00:00Z", "comment_count": "0", "duration_readable": "1:00"}]}
+    with open(f"{data}/youtube_videos_20251002_080000.json", "w") as f:
+        json.dump(payload, f, indent=2)
+    for _ in range(2):  # a restarted application finds its progress beside the store
+        start_ingest(spark, data, store, clock=lambda: DAY2, files_per_batch=per_batch).awaitTermination(120)
+    assert store.read("staging").count() == 4
+    assert sorted(r.video_id for r in store.read("core").collect()) == ["a", "b", "c", "new"]
+    assert sorted(r.video_id for r in store.read("history").collect()) == ["a", "b", "c", "new"]
+
+
+def test_replayed_batch_loads_staging_once(spark, tmp_dir):
+    from clipstat import schemas
+    from clipstat.streaming.ingest import process_envelopes
+
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    video = json.dumps({"title": "x", "video_id": "a", "published_at": "2025-09-01T00:00:00Z"})
+    env = spark.createDataFrame([("@c", DAY1.isoformat(), 1, [video])], schemas.ENVELOPE_RAW)
+    for epoch in (("s", 0), ("s", 0), ("s", 1), ("t", 0)):
+        process_envelopes(env, store, DAY1, epoch=epoch)
+    assert store.read("staging").count() == 3 and store.read("core").count() == 1
 
 
 def test_constraints_fail_the_write(spark, tmp_dir):

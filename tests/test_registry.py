@@ -4,8 +4,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from clipstat.functions import durations
+from clipstat.operators import staging
 from clipstat.plans import oracle, registry
 from scripts.compare_oracle import TABLES, canon
 
@@ -52,3 +55,41 @@ def test_plan_has_no_python_and_no_cross_join(spark, name):
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert op not in plan, (name, op)
+
+
+# ---- every rule shows: without it some registered query leaves its oracle ------------------
+def _no_rule(name):
+    """``(module, attribute, replacement)`` with one rule of an operator taken out."""
+    from clipstat.operators import core, extract, history, quality
+    from clipstat.functions import columns
+
+    return {
+        "page stop": (extract, "crawled_pages", lambda pages, by=None: pages),
+        "first n": (extract, "first_n", lambda videos, n=None, by=None: videos),
+        "once a day": (history, "history_rows_today", lambda rows, as_of: rows),
+        "newest row": (core, "dedupe_newest", lambda rows, **_: rows),
+        "newest extraction": (core, "latest_extraction", lambda rows, *_, **__: rows),
+        "leading @": (extract, "strip_handle", lambda c: F.col(c)),
+        "unmatched handles": (extract, "resolve_channels", lambda req, ch, strict=False, f=extract.resolve_channels:
+                              f(req, ch).where("channel_id is not null")),
+        "prefix durations": (registry, "iso8601_to_seconds", lambda c: F.when(
+            F.col(c).rlike("^PT([0-9]+H)?([0-9]+M)?([0-9]+S)?$"), durations.iso8601_to_seconds(c)).otherwise(0)),
+        "time zones": (staging, "parse_published_at", lambda c: F.to_timestamp_ntz(F.substring(c, 1, 19))),
+        "missing counts": (staging, "count_from_text", lambda c, *_: F.col(c).cast("bigint")),
+        "duplicates": (quality, "_short", lambda c: F.substring(c, 1, 1)),
+        "content class": (columns, "SHORT_MAX_SECONDS", 59),
+    }[name]
+
+
+@pytest.mark.parametrize("rule,query", [
+    ("page stop", "page_stop"), ("page stop", "detail_join"), ("page stop", "channel_extract"), ("page stop", "channel_summary"),
+    ("first n", "first_n_videos"), ("first n", "channel_extract"), ("once a day", "history_append_sticky"),
+    ("once a day", "history_append_refresh"), ("newest row", "dedupe_newest"), ("newest row", "core_projection"),
+    ("newest extraction", "latest_extraction"), ("leading @", "channel_lookup"), ("unmatched handles", "channel_lookup"),
+    ("prefix durations", "iso_to_seconds"), ("time zones", "staging_rows"), ("missing counts", "staging_rows"),
+    ("duplicates", "dq_duplicates"), ("content class", "content_type")])
+def test_without_the_rule_the_query_leaves_its_oracle(spark, con, monkeypatch, rule, query):
+    monkeypatch.setattr(*_no_rule(rule))
+    df = registry.QUERIES[query](spark, SF_SMALL)
+    cur = con.execute(oracle.ORACLE[query])
+    assert canon(df.columns, [tuple(r) for r in df.collect()]) != canon([d[0] for d in cur.description], cur.fetchall())

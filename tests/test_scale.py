@@ -54,7 +54,7 @@ def test_results_do_not_depend_on_time_zones(spark):
     os.environ["TZ"] = "America/New_York"
     time.tzset()
     try:
-        for name in ("flatten_items", "upsert_core_sticky", "history_append_refresh", "dq_check_set"):
+        for name in ("flatten_items", "upsert_core_sticky", "history_append_refresh", "dq_check_set", "staging_rows"):
             df = entry.queries()[name](spark, SF_SMALL)
             cur = con.execute(entry.oracle_sql()[name])
             cols = [d[0] for d in cur.description]

@@ -133,7 +133,34 @@ def test_typed_envelope_read(spark, tmp_dir):
     path = write_envelope(tmp_dir, "s.json", [video("a"), video("b", duration=None)])
     env = snapshots.read_envelopes(spark, path, raw=False)
     assert dict(env.dtypes)["extraction_date"] == "timestamp_ntz"
-    rows = {r.video_id: r for r in snapshots.envelope_videos(env).collect()}
+    rows = {r.video_id: r for r in env.select("channel_handle", "extraction_date", "total_videos", F.explode("videos").alias("v"))
+            .select("*", "v.*").collect()}
     assert rows["a"].channel_handle == "@MrChannel" and rows["a"].total_videos == 2
     assert rows["a"].extraction_date == dt.datetime(2025, 10, 3, 12, 30, 45, 123456)
     assert rows["b"].duration is None and rows["a"].like_count == "10"
+
+
+@pytest.mark.parametrize("key", ["channel_handle", "extraction_date", "total_videos", "videos"])
+def test_envelope_without_a_required_key_fails(spark, tmp_dir, key):
+    doc = {"channel_handle": "@c", "extraction_date": "2025-10-03T12:00:00", "total_videos": 1, "videos": [video("a")]}
+    del doc[key]
+    path = os.path.join(tmp_dir, "s.json")
+    with open(path, "w") as f:
+        json.dump(doc, f)
+    with pytest.raises(Exception, match=key):
+        explode_envelope(snapshots.read_envelopes(spark, path), AS_OF).collect()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_publication_time_is_utc_in_every_session_zone(spark, zone):
+    from clipstat.functions.columns import parse_published_at
+
+    texts = ["2025-10-03T10:00:00Z", "2025-10-03T10:00:00+05:30", "2025-10-03T10:00:00.25Z", "2025-10-03T10:00:00"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_published_at("t").alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ten = dt.datetime(2025, 10, 3, 10)
+    assert {r.t: r.p for r in rows} == {texts[0]: ten, texts[1]: dt.datetime(2025, 10, 3, 4, 30),
+                                        texts[2]: ten + dt.timedelta(milliseconds=250), texts[3]: ten}
