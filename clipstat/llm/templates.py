@@ -254,12 +254,10 @@ def extract(pages: DataFrame, chunk_pages: int = CHUNK_PAGES) -> DataFrame:
     n = rows.count()
     # Hosts with more than a quarter of a task's even share: 4 x partitions of them at most.
     share = max(chunk_pages, n // (4 * parts))
-    hot = rows.groupBy("_host").count().where(F.col("count") > share).collect()
-    lot = F.lit(1)
-    if hot:
-        lots = F.create_map(*[F.lit(x) for r in hot for x in (r["_host"], -(-r["count"] // share))])
-        lot = F.coalesce(F.try_element_at(lots, F.col("_host")), F.lit(1))
-    rows = rows.withColumn("_lot", F.pmod(F.xxhash64("page_id", "url"), lot))
+    hot = rows.groupBy("_host").count().where(F.col("count") > share).select(
+        "_host", F.ceil(F.col("count") / share).alias("_lots"))
+    rows = rows.join(F.broadcast(hot), "_host", "left").select("page_id", "url", "html", "_host", F.pmod(
+        F.xxhash64("page_id", "url"), F.coalesce("_lots", F.lit(1))).alias("_lot"))
     dealt = rows.repartition(parts, "_host", "_lot").sortWithinPartitions("_host", "_lot", "page_id")
 
     def texts(it: Iterator[tuple]) -> Iterable[tuple]:
