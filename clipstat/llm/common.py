@@ -15,6 +15,17 @@ from clipstat.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows handed on at once by the Python stages; bounds what a worker holds beside its input batch.
 ROWS_OUT = 2000
+# Rows of a text table that Spark hands to a Python worker at once (its default is 10,000, whatever
+# their length); batches stand in the JVM's and the worker's memory at the same time.
+BATCH_ROWS = 1024
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session to ``BATCH_ROWS`` rows (a smaller setting stays)."""
+    now = int(spark.conf.get(_BATCH_KEY, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +79,7 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterable[tuple]],
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    small_batches(df.sparkSession)
     target = _parse_datatype_string(schema)
     out_schema = to_arrow_schema(target)
     names = df.columns

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import map_rows, stage
+from clipstat.llm.common import map_rows, small_batches, stage
 
 # Fixed by the contract.
 ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -160,6 +160,7 @@ def mask_secrets(docs: DataFrame, owner: str = "source", repo: Column | None = N
     Only rows that hold a candidate are staged; the values that look like examples are joined back
     to them by hash.  All other texts pass through unmoved.
     """
+    small_batches(docs.sparkSession)
     names = docs.columns
 
     @F.pandas_udf("array<string>")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipstat.llm.common import map_rows
+from clipstat.llm.common import map_rows, small_batches
 from clipstat.llm.hilbert import hilbert_index
 
 LENGTH = 1024
@@ -93,6 +93,7 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id:
     equal key are ordered by id and place in the table; an empty table gives an empty result; other
     columns are ignored.  A range is streamed: a worker holds one document and the sequence being filled.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
     order: list[Column] = [F.col("_key"), F.col("doc_id").asc_nulls_last(), F.col("_row")]
     ranged = rows.withColumn("_key", _key("text")).repartitionByRange(*order).sortWithinPartitions(*order)
