@@ -24,12 +24,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import map_rows, stage
+from clipstat.llm.common import map_rows, ordered_stage, stage, with_rank
 
 SCALE = 256
 BLOCK = 64           # rows of a block
-GROUP = 16384        # rows of a group of blocks
-CHUNK = 1024         # queries of a chunk
+GROUP = 8192         # rows of a group of blocks
+CHUNK = 512          # queries of a chunk
+PAIRS = 2            # pairs of a group and a chunk in a task, which holds them at once
 PIVOTS = 128         # bounded sample that orders the rows; any order gives the same results
 SAFE = 1 << 52       # inner products up to here are exact in doubles
 
@@ -116,17 +117,17 @@ def _unpack(b: bytes, dim: int) -> np.ndarray:
     return np.frombuffer(b, dtype=np.int64).reshape(-1, dim)
 
 
-def _groups(rows: DataFrame, dim: int, n: int, size: int, name: str) -> DataFrame:
-    """Rows in pivot order as ``grp, ids, weights, high, low``: about ``size`` rows a group."""
+def _groups(rows: DataFrame, dim: int, size: int, name: str) -> DataFrame:
+    """Rows in pivot order, ``size`` at a time, as ``grp, ids, weights, high, low``."""
     def gather(it: Iterator[tuple]) -> Iterable[tuple]:
         held_id, held, grp = [], [], None
 
         def out():
             w = _matrix(held, dim)
-            return grp, _pack(np.array(held_id)), _pack(w), _pack(w.max(axis=0)), _pack(w.min(axis=0)), len(held)
+            return grp, _pack(np.array(held_id)), _pack(w), _pack(w.max(axis=0)), _pack(w.min(axis=0))
 
         for g, i, v in it:
-            if held and (g != grp or len(held) >= 2 * size):
+            if held and g != grp:
                 yield out()
                 held_id, held = [], []
             grp = g
@@ -135,10 +136,10 @@ def _groups(rows: DataFrame, dim: int, n: int, size: int, name: str) -> DataFram
         if held:
             yield out()
 
-    cut = rows.repartitionByRange(max(1, -(-n // size)), "near", "vec_id").sortWithinPartitions("near", "vec_id")
-    cut = cut.select(F.spark_partition_id().alias("grp"), "vec_id", "v")
-    made = map_rows(cut, gather, "part int, ids binary, weights binary, high binary, low binary, n long")
-    return stage(made.select(F.monotonically_increasing_id().alias("grp"), "*").drop("part"), name)
+    ranked = with_rank(ordered_stage(rows.select("near", "vec_id", "v"), [F.col("near"), F.col("vec_id")], f"{name}-order"))
+    cut = ranked.select(F.expr(f"_rank div {size}").alias("grp"), "_rank", "vec_id", "v")
+    cut = cut.repartition("grp").sortWithinPartitions("grp", "_rank").select("grp", "vec_id", "v")
+    return stage(map_rows(cut, gather, "grp long, ids binary, weights binary, high binary, low binary"), name)
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -174,12 +175,11 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
             yield i, v, int(place[np.argmax(unit @ w)])
 
     ordered = stage(map_rows(data, nearest, "vec_id long, v array<long>, near int"), "ordered")
-    groups = _groups(ordered, dim, n, group, "blocks")
+    groups = _groups(ordered, dim, group, "blocks")
     asked = ordered.where(is_query).groupBy("vec_id").agg(F.min(F.struct("near", "v")).alias("q")).select("vec_id", "q.*")
-    n_asked = asked.count()
-    if not n_asked:
+    if asked.isEmpty():
         return spark.createDataFrame([], result)
-    chunks = _groups(asked, dim, n_asked, chunk, "queries")
+    chunks = _groups(asked, dim, chunk, "queries")
 
     def run(pairs: DataFrame, floors: DataFrame | None) -> DataFrame:
         """Search the groups for the chunks they are paired with; starts from ``floors`` if given."""
@@ -189,7 +189,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
             work = work.join(floors, "chunk", "left")
         else:
             work = work.withColumn("floor_ids", F.lit(None).cast("array<long>")).withColumn("floor", F.lit(None).cast("array<long>"))
-        work = work.select("ids", "weights", "q_ids", "q", "floor_ids", "floor").repartition(max(1, pairs.count()))
+        work = work.select("ids", "weights", "q_ids", "q", "floor_ids", "floor").repartition(-(-pairs.count() // PAIRS) or 1)
 
         def rows(it: Iterator[tuple]) -> Iterable[tuple]:
             for ids, weights, q_ids, q, floor_ids, floor in it:
