@@ -19,7 +19,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat import schemas
 from clipstat.functions.durations import seconds_to_iso8601, seconds_to_readable
 from clipstat.operators import core as core_ops
 from clipstat.sources.tables import work_table

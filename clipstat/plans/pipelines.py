@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipstat.operators import core as core_ops
-from clipstat.operators import extract, history, merge, quality
+from clipstat.operators import extract, history, quality
 from clipstat.operators.staging import explode_envelope
 from clipstat.sinks import tables as table_sink
 from clipstat.sinks.envelope import (DEFAULT_PAGES_PER_CHUNK, build_envelopes, publish_envelopes,
@@ -147,8 +147,9 @@ def load_staging(store: TableStore, envelopes: DataFrame, as_of: dt.datetime, st
 
 
 def transform(store: TableStore, as_of: dt.datetime, refresh=(), per: str | None = None,
-              merge_strategy: str = "auto", newest: dt.datetime | None = None) -> int:
-    """Newest staged extraction (or ``newest``) -> core -> history; returns core's version."""
+              merge_strategy: str = "auto", newest: dt.datetime | None = None, only_new: bool = False) -> int:
+    """Newest staged extraction (or ``newest``) -> core -> history; returns core's version.
+    With ``only_new`` videos that core has already are left as they are."""
     # Only the newest extraction is transformed, and it lies in the newest
     # extraction_day partition: read that partition, not the whole append-only table.
     # (Per-channel mode needs every channel's newest extraction, so it reads it all.)
@@ -160,10 +161,12 @@ def transform(store: TableStore, as_of: dt.datetime, refresh=(), per: str | None
         staging = store.read_latest_day("staging")
     if per is None and newest is None:
         newest = core_ops.newest_extraction(staging)
-    source = store.stage("snapshot", core_ops.transform_latest(staging, per, newest if per is None else None))
+    rows = core_ops.transform_latest(staging, per, newest if per is None else None)
+    if only_new:
+        rows = rows.join(store.read("core").select("video_id"), "video_id", "left_anti")
+    source = store.stage("snapshot", rows)
     table_sink.assert_unique(source, "video_id", "upsert source")
-    version = table_sink.publish(store, merge.upsert(store.read("core"), source, as_of, refresh=refresh,
-                                                     strategy=merge_strategy))
+    version = table_sink.upsert_core(store, source, as_of, refresh, merge_strategy)
     core = store.read("core")  # the committed version, read back: lineage stops here
     today = store.read_day("history", as_of.date())
     new_rows = history.new_history_rows(core, staging, today, as_of, newest=newest, per=per)

@@ -19,10 +19,23 @@ REQUIRED_CONF = {
 }
 
 
-def build_session(master: str | None = None, app_name: str = "clipstat",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+# A shuffle partition is planned for about so many bytes.
+PARTITION_BYTES = 128 << 20
+
+
+def planned_partitions(shuffle_bytes: int) -> int:
+    """Shuffle partitions for a largest shuffle of ``shuffle_bytes`` (at least Spark's 200; AQE
+    coalesces what turns out smaller)."""
+    return max(200, -(-shuffle_bytes // PARTITION_BYTES))
+
+
+def build_session(master: str | None = None, app_name: str = "clipstat", shuffle_partitions: int | None = None,
+                  extra: dict | None = None, shuffle_bytes: int | None = None) -> SparkSession:
     """Create (or reuse) a session with clipstat's required settings.
 
+    Spark's default of 200 shuffle partitions is far too few for large windows and joins: pass
+    the number, or the size of the largest shuffle expected (``shuffle_bytes``).
+
     On a cluster ``master`` stays ``None`` so spark-submit decides.  The web UI is kept
     off: jobs are inspected through ``explain()`` and the event log.
     """
@@ -31,6 +44,8 @@ def build_session(master: str | None = None, app_name: str = "clipstat",
         builder = builder.master(master)
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
+    if shuffle_partitions is None and shuffle_bytes:
+        shuffle_partitions = planned_partitions(shuffle_bytes)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():

@@ -1,13 +1,16 @@
-"""Table writes: constraint checks, appends with serial ids, versioned publish."""
+"""Table writes: constraint checks, appends with serial ids, core by touched buckets."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clipstat import schemas
+from clipstat.operators import merge
 from clipstat.operators.history import serial_ids
-from clipstat.sources.tables import PARTITION, SCHEMAS, TableStore
+from clipstat.sources.tables import BUCKET, PARTITION, SCHEMAS, TableStore
 
 
 def enforce_constraints(df: DataFrame, table: str) -> DataFrame:
@@ -54,21 +57,33 @@ def assert_unique(df: DataFrame, key: str, what: str) -> None:
         raise ValueError(f"{what}: {key} is not unique: {[r[0] for r in again]}")
 
 
-def publish(store: TableStore, rows: DataFrame, table: str = "core") -> int:
-    """Write ``rows`` as the next version of ``table``; returns the version number.
+def upsert_core(store: TableStore, source: DataFrame, as_of: dt.datetime, refresh=(), strategy: str = "auto") -> int:
+    """Upsert ``source`` (unique keys) into core; returns the new version.
+
+    Only the buckets that the source's keys fall into are read, merged and written; all
+    others stay where they are.  The list of touched buckets is bounded by their number.
+    """
+    manifest = store.manifest()
+    touched = sorted(r[0] for r in source.select(store.bucket_of(manifest).alias("b")).distinct().collect())
+    merged = merge.upsert(store.read_core(manifest, touched), source, as_of, refresh=refresh, strategy=strategy)
+    return _write_buckets(store, merged, manifest, touched)
+
+
+def publish(store: TableStore, rows: DataFrame) -> int:
+    """Replace core by ``rows``: every bucket is written anew; returns the version."""
+    manifest = store.manifest()
+    return _write_buckets(store, rows, manifest, range(manifest["buckets"]))
+
+
+def _write_buckets(store: TableStore, rows: DataFrame, manifest: dict, touched) -> int:
+    """Write the touched buckets, one file each, as a new version and commit it.
 
-    The new version becomes visible only when Spark's job commit writes ``_SUCCESS``;
-    a failed publish leaves an uncommitted folder that readers skip and the next
-    publish steps over.
+    A failed write leaves a folder that no manifest names: readers skip it and the next
+    publish steps over it.
     """
-    every = store.versions(table, committed_only=False)
-    version = (every[-1] if every else 0) + 1
-    out = enforce_constraints(rows, table)
-    if table == "core" and store.core_buckets:
-        # Rows that come from the partitionwise upsert are already laid out by bucket,
-        # so every task writes one bucket file; no extra shuffle is added here.
-        (out.write.mode("errorifexists").bucketBy(store.core_buckets, "video_id")
-            .option("path", store.version_path(version, table)).saveAsTable(store.core_table_name(version)))
-        return version
-    out.write.mode("errorifexists").parquet(store.version_path(version, table))
+    version = store.next_version()
+    out = enforce_constraints(rows, "core").withColumn(BUCKET, store.bucket_of(manifest))
+    (out.repartition(max(1, len(touched)), BUCKET).write.mode("errorifexists").partitionBy(BUCKET)
+        .parquet(store.version_path(version)))
+    store.commit_core(version, manifest, set(touched))
     return version

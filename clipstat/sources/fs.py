@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -44,6 +46,33 @@ def create_new(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole or not at all; False if it exists already."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    part = _fs(spark, f"{path}.{uuid.uuid4().hex[:8]}.tmp")[1]
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.rename(part, p):
+        return True
+    fs.delete(part, False)
+    return False
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p = _fs(spark, src)
     return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))

@@ -1,18 +1,21 @@
-"""The table store: staging and history append-only, core as published versions.
+"""The table store: staging and history append-only, core in hash buckets under a manifest.
 
 Layout under ``root``::
 
     staging/extraction_day=YYYY-MM-DD/part-*.parquet
     history/recorded_date=YYYY-MM-DD/part-*.parquet
-    core/v=000001/part-*.parquet   (+ _SUCCESS once the job committed)
+    core/v=000007/_bucket=12/part-*.parquet   rows of bucket 12 as version 7 wrote them
+    core/_manifest/000007.json                which version holds each bucket's current rows
 
-Readers take the newest *committed* core version, so a publish that died midway is
-never visible.  Parquet cannot overwrite a table that is being read, hence versions.
+A publish writes the buckets it touches as a new version folder, then the manifest that
+names them together with the untouched buckets' older folders.  Readers follow the newest
+manifest, so a publish that died midway is never visible, and no file that is being read is
+overwritten.  A snapshot of few videos rewrites few buckets, however large core is.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -27,6 +30,7 @@ SCHEMAS = {"staging": schemas.STAGING, "core": schemas.CORE, "history": schemas.
 PARTITION = {"staging": ("extraction_day", "extraction_date"),
              "history": ("recorded_date", "recorded_at")}
 VERSION_PREFIX = "v="
+BUCKET = "_bucket"
 # Ids of one append: partition number * ROWS_PER_PARTITION + row in the partition.
 ROWS_PER_PARTITION = 1 << 24
 PARTITIONS_PER_APPEND = 1 << 16
@@ -52,53 +56,86 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
 
 @dataclass
 class TableStore:
-    """``core_buckets > 0`` stores core bucketed by ``video_id`` into that many buckets
-    (as an external catalog table per version), so the upsert joins against core
-    without shuffling it; size buckets at a few hundred MB each."""
+    """``core_buckets``: buckets of a new core table (an existing one keeps its number); size
+    them at a few hundred MB.  ``keep_versions``: manifests kept for readers; bucket folders
+    that none of them names are removed."""
     spark: SparkSession
     root: str
-    core_buckets: int = 0
+    core_buckets: int = 16
+    keep_versions: int = 5
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
     # ---- versions of core -------------------------------------------------------------
-    def versions(self, name: str = "core", committed_only: bool = True) -> list[int]:
-        base = self.path(name)
-        out = []
-        for entry in fs.list_names(self.spark, base):
-            if not entry.startswith(VERSION_PREFIX):
-                continue
-            digits = entry[len(VERSION_PREFIX):]
-            if not digits.isdigit():
-                continue
-            if committed_only and not fs.exists(self.spark, f"{base}/{entry}/_SUCCESS"):
-                continue
-            out.append(int(digits))
-        return sorted(out)
-
-    def latest_version(self, name: str = "core") -> int | None:
-        """Newest committed version, checked from the top down: normally one existence
-        check, however many versions are kept."""
-        for version in reversed(self.versions(name, committed_only=False)):
-            if fs.exists(self.spark, f"{self.version_path(version, name)}/_SUCCESS"):
-                return version
-        return None
-
-    def version_path(self, version: int, name: str = "core") -> str:
-        return f"{self.path(name)}/{VERSION_PREFIX}{version:06d}"
+    def versions(self) -> list[int]:
+        """Committed versions of core that are kept, from the manifest names."""
+        names = fs.list_names(self.spark, self.path("core/_manifest"))
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def version_path(self, version: int) -> str:
+        return f"{self.path('core')}/{VERSION_PREFIX}{version:06d}"
+
+    def manifest(self, version: int | None = None) -> dict:
+        """``{"version": v, "buckets": B, "at": {bucket: version}}`` of a version (default: the
+        newest; an empty table has version 0 and no bucket)."""
+        kept = self.versions()
+        if version is None and not kept:
+            return {"version": 0, "buckets": self.core_buckets, "at": {}}
+        version = version or kept[-1]
+        found = json.loads(fs.read_text(self.spark, self.path(f"core/_manifest/{version:06d}.json")))
+        return {"version": version, "buckets": found["buckets"], "at": {int(b): v for b, v in found["at"].items()}}
+
+    def next_version(self) -> int:
+        """Past every manifest and every folder of a publish that did not finish."""
+        folders = [n[len(VERSION_PREFIX):] for n in fs.list_names(self.spark, self.path("core")) if n.startswith(VERSION_PREFIX)]
+        return max([0, *self.versions(), *(int(n) for n in folders if n.isdigit())]) + 1
+
+    def bucket_folder(self, bucket: int, version: int) -> str:
+        return f"{self.version_path(version)}/{BUCKET}={bucket}"
+
+    def bucket_of(self, manifest: dict):
+        return F.pmod(F.xxhash64("video_id"), F.lit(manifest["buckets"])).cast("int")
+
+    def read_core(self, manifest: dict, buckets=None) -> DataFrame:
+        """Core as ``manifest`` has it, or some of its buckets only."""
+        paths = [self.bucket_folder(b, v) for b, v in sorted(manifest["at"].items()) if buckets is None or b in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], schemas.CORE)
+        return self.spark.read.schema(schemas.CORE).parquet(*paths)
+
+    def commit_core(self, version: int, manifest: dict, touched) -> None:
+        """Make the touched buckets that ``version`` wrote current, then retire old folders.
+        Fails if another publish was committed since ``manifest`` was read."""
+        if self.manifest()["version"] != manifest["version"]:
+            raise RuntimeError(f"another publish changed core after version {manifest['version']}")
+        written = {int(n.split("=")[1]) for n in fs.list_names(self.spark, self.version_path(version)) if n.startswith(BUCKET + "=")}
+        at = {b: v for b, v in manifest["at"].items() if b not in touched} | {b: version for b in written}
+        target = self.path(f"core/_manifest/{version:06d}.json")
+        if not fs.write_new(self.spark, target, json.dumps({"buckets": manifest["buckets"], "at": at})):
+            raise RuntimeError(f"another publish committed version {version} of core")
+        kept = self.versions()
+        for old in kept[:-self.keep_versions]:
+            fs.delete(self.spark, self.path(f"core/_manifest/{old:06d}.json"))
+        kept = kept[-self.keep_versions:]
+        named = {(b, v) for k in kept for b, v in self.manifest(k)["at"].items()}
+        for folder in fs.list_names(self.spark, self.path("core")):
+            number = folder[len(VERSION_PREFIX):]
+            # folders after the oldest kept manifest may belong to a publish that is still writing
+            if folder.startswith(VERSION_PREFIX) and number.isdigit() and int(number) < kept[0]:
+                inside = [n for n in fs.list_names(self.spark, f"{self.path('core')}/{folder}") if n.startswith(BUCKET + "=")]
+                gone = [n for n in inside if (int(n.split("=")[1]), int(number)) not in named]
+                for n in gone:
+                    fs.delete(self.spark, f"{self.path('core')}/{folder}/{n}")
+                if len(gone) == len(inside):
+                    fs.delete(self.spark, f"{self.path('core')}/{folder}")
 
     # ---- reads -------------------------------------------------------------------------
     def read(self, name: str) -> DataFrame:
         """Whole table with its declared schema; an absent table reads as empty."""
         schema = SCHEMAS[name]
         if name == "core":
-            latest = self.latest_version("core")
-            if latest is None:
-                return self.spark.createDataFrame([], schema)
-            if self.core_buckets:
-                return self.spark.table(self.register_core(latest))
-            return self.spark.read.schema(schema).parquet(self.version_path(latest))
+            return self.read_core(self.manifest())
         base = self.path(name)
         part_col, _ = PARTITION[name]
         full = T.StructType(schema.fields + [T.StructField(part_col, T.DateType())])
@@ -155,22 +192,6 @@ class TableStore:
         fs.create_new(self.spark, self.path(f"_epochs/{stream}/{epoch}"))
         fs.delete(self.spark, self.path(f"_epochs/{stream}/{epoch - 8}"))
 
-    # ---- bucketed core ------------------------------------------------------------------
-    def core_table_name(self, version: int) -> str:
-        digest = hashlib.sha1(self.root.encode("utf-8")).hexdigest()[:10]
-        return f"clipstat_core_{digest}_v{version:06d}"
-
-    def register_core(self, version: int) -> str:
-        """Declare a committed core version as a bucketed external table (catalogs that
-        do not persist tables forget them between sessions); returns its name."""
-        name = self.core_table_name(version)
-        if not self.spark.catalog.tableExists(name):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.CORE.fields)
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
-                           f"CLUSTERED BY (video_id) INTO {self.core_buckets} BUCKETS "
-                           f"LOCATION '{self.version_path(version)}'")
-        return name
-
     def read_day(self, name: str, day) -> DataFrame:
         """One day's partition of an append-only table.  Only that folder is listed
         (``basePath`` keeps the partition column), so the cost does not grow with the

@@ -20,24 +20,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clipstat import schemas
-from clipstat.functions.columns import parse_extraction_date
+from clipstat.functions.columns import ntz, parse_extraction_date
 from clipstat.plans import pipelines
 from clipstat.sources.tables import TableStore
 
 
+def _newest_other(store: TableStore, dates: list[dt.datetime]) -> dt.datetime | None:
+    """The newest staged extraction besides ``dates``; looks at one day's folder after another,
+    newest first."""
+    for day in reversed(store.days("staging")):
+        rows = store.read_day("staging", day)
+        found = rows.where(~F.col("extraction_date").isin([ntz(d) for d in dates])).agg(F.max("extraction_date")).first()[0]
+        if found is not None:
+            return found
+    return None
+
+
 def process_envelopes(envelopes: DataFrame, store: TableStore, as_of: dt.datetime, refresh=(),
                       epoch: tuple[str, int] | None = None) -> None:
     """One micro-batch: append staging, then upsert core and append history for each of its
     extractions, oldest first (their number is bounded by the files of a batch).  ``epoch`` is
-    the stream's id and the batch's number: staging is loaded once for each."""
+    the stream's id and the batch's number: staging is loaded once for each.  An extraction that
+    arrives after a newer one adds the videos core does not have and updates none."""
     at = envelopes.select(parse_extraction_date("extraction_date").alias("at")).distinct()
     extractions = sorted(r["at"] for r in at.collect())
     if epoch is None or not store.epoch_done(*epoch):
         pipelines.load_staging(store, envelopes, as_of)
         if epoch is not None:
             store.mark_epoch(*epoch)
+    ahead = _newest_other(store, extractions)
     for newest in extractions:
-        pipelines.transform(store, as_of, refresh, newest=newest)
+        pipelines.transform(store, as_of, refresh, newest=newest, only_new=ahead is not None and newest < ahead)
 
 
 def read_stream(spark: SparkSession, data_dir: str, files_per_batch: int = 1) -> DataFrame:

@@ -1,5 +1,7 @@
-"""Summarize the physical plan of every registered query (after execution, so AQE's
-final choices show) into a Markdown table.
+"""Summarize the physical plan of every registered query of the core into a Markdown table.
+
+The plan that is printed is the one that ran: its own RDD is executed, and of the adaptive
+plan only the final part is counted.
 
 Usage: python scripts/plan_summary.py [sf_dir] > PLANS.md
 """
@@ -32,9 +34,15 @@ def summarize(plan: str) -> dict:
     }
 
 
+def final_part(plan: str) -> str:
+    """The final part of every adaptive plan in ``plan`` (subqueries have their own)."""
+    assert "isFinalPlan=false" not in plan, "not executed"
+    return re.sub(r"== Initial Plan ==.*?(?=\n\S|\Z)", "", plan, flags=re.S)
+
+
 def main():
     from clipstat.session import build_session
-    import __spark_entry__ as entry
+    from clipstat.plans import registry
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=16)
@@ -42,10 +50,11 @@ def main():
     print("| query | shuffle exchanges | single-partition (global agg) | broadcasts | joins | reused | top-n | "
           "window limit | Python | parquet scans | max cols read |")
     print("|---|---|---|---|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in registry.QUERIES.items():
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        plan = final_part(execution.executedPlan().toString())
         s = summarize(plan)
         print(f"| `{name}` | {s['shuffles']} | {s['single']} | {s['broadcast']} | {s['joins']} | {s['reused']} | "
               f"{s['topn']} | {s['wgl']} | {s['python']} | {s['scans']} | {s['max_cols']} |")

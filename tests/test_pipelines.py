@@ -35,7 +35,7 @@ def test_store_versions_skip_uncommitted(spark, tmp_dir):
     store = TableStore(spark, tmp_dir)
     assert store.read("core").count() == 0
     os.makedirs(store.version_path(1))                       # a publish that died midway
-    assert store.versions() == [] and store.versions(committed_only=False) == [1]
+    assert store.versions() == [] and store.next_version() == 2
     from clipstat.plans import fixtures as fx
     core = fx.core_before(spark, "/root/testdata/sf0.001")
     assert table_sink.publish(store, core) == 2
@@ -161,36 +161,57 @@ def test_latest_day_read_is_pruned(spark, tmp_dir):
     assert recent.count() == 3
 
 
-def test_bucketed_core_matches_and_shuffles_only_the_snapshot(spark, tmp_dir):
-    from clipstat.operators import core as core_ops
-    from clipstat.operators import merge
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        results = {}
-        for buckets in (0, 4):
-            root = f"{tmp_dir}/b{buckets}"
-            landed, data, store = f"{root}/landed", f"{root}/data", TableStore(spark, f"{root}/tables", buckets)
-            land(landed, 1000)
-            pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY1)
-            pipelines.run_update(spark, data, store, DAY1)
-            land(landed, 7000)
-            pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=DAY2)
-            pipelines.run_update(spark, data, store, DAY2)
-            results[buckets] = sorted(tuple(r) for r in store.read("core").collect())
-            if buckets:
-                latest = store.version_path(store.versions()[-1])
-                parts = [f for f in os.listdir(latest) if f.endswith(".parquet")]
-                assert len(parts) <= 4                                     # one file per bucket
-                src = core_ops.transform_latest(store.read_latest_day("staging"))
-                plan = merge.upsert(store.read("core"), src, DAY2) \
-                    ._jdf.queryExecution().executedPlan().toString()
-                assert "Bucketed: true" in plan and "FullOuter" not in plan
-                # every exchange hashes the snapshot's keys, none re-partitions core
-                assert plan.count("Exchange hashpartitioning") <= 2
-        assert results[0] == results[4]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def core_files(store):
+    return {(b, v): sorted(f for f in os.listdir(store.bucket_folder(b, v)) if f.endswith(".parquet"))
+            for b, v in store.manifest()["at"].items()}
+
+
+def test_publish_rewrites_touched_buckets_only(spark, tmp_dir):
+    from clipstat.plans import fixtures as fx
+
+    store = TableStore(spark, tmp_dir, core_buckets=8, keep_versions=2)
+    core = fx.core_before(spark, "/root/testdata/sf0.001")
+    table_sink.publish(store, core)
+    whole = {r.video_id: r for r in store.read("core").collect()}
+    before = core_files(store)
+    assert len(before) == 8 and all(len(f) == 1 for f in before.values())
+    victim = sorted(whole)[0]
+    source = core.where(F.col("video_id") == victim).withColumn("title", F.lit("changed")).drop("updated_at")
+    for run in range(10):
+        assert table_sink.upsert_core(store, source, DAY1) == run + 2
+        after = core_files(store)
+        assert len(after) == 8 and all(len(f) == 1 for f in after.values())     # the file count stays
+        assert len(set(before) - set(after)) == 1                               # one bucket moved
+    now = {r.video_id: r for r in store.read("core").collect()}
+    assert set(now) == set(whole) and now[victim].title == "changed"
+    assert all(now[v] == whole[v] for v in whole if v != victim)
+    assert store.versions() == [10, 11]                                         # retention
+    folders = [f for f in os.listdir(f"{tmp_dir}/core") if f.startswith("v=")]
+    assert len(folders) <= 4                                                    # the first, and the kept ones
+
+
+@pytest.mark.parametrize("strategy", ["split", "shuffle"])
+@pytest.mark.parametrize("buckets", [1, 8])
+def test_core_does_not_depend_on_buckets_or_strategy(spark, tmp_dir, buckets, strategy):
+    landed, data = f"{tmp_dir}/landed", f"{tmp_dir}/data"
+    store = TableStore(spark, f"{tmp_dir}/tables", buckets)
+    for day, views in ((DAY1, 1000), (DAY2, 7000)):
+        land(landed, views)
+        pipelines.extract_to_snapshot(spark, landed, data, "@MrChannel", extraction_date=day)
+        pipelines.run_update(spark, data, store, day, merge_strategy=strategy)
+    got = {r.video_id: (r.view_count, r.extraction_date, r.updated_at) for r in store.read("core").collect()}
+    assert got == {v: (7000, DAY1, DAY2) for v in "abc"}
+    assert TableStore(spark, f"{tmp_dir}/tables", 3).manifest()["buckets"] == buckets  # the table keeps its number
+
+
+def test_two_publishers_do_not_overwrite_each_other(spark, tmp_dir):
+    from clipstat.plans import fixtures as fx
+
+    store = TableStore(spark, tmp_dir, core_buckets=2)
+    core = fx.core_before(spark, "/root/testdata/sf0.001")
+    assert table_sink.publish(store, core) == 1
+    with pytest.raises(RuntimeError, match="another publish"):
+        store.commit_core(1, store.manifest(), {0, 1})
 
 
 def test_quality_scope_latest(spark, tmp_dir):
@@ -293,6 +314,18 @@ def test_stream_gives_the_same_tables_for_any_batch_size(spark, tmp_dir, per_bat
     assert sorted(r.video_id for r in store.read("history").collect()) == ["a", "b", "c", "new"]
 
 
+def test_late_extraction_adds_and_does_not_overwrite(spark, tmp_dir):
+    from clipstat import schemas
+    from clipstat.streaming.ingest import process_envelopes
+
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    video = lambda v, n: json.dumps({"title": "x", "video_id": v, "view_count": str(n), "published_at": "2025-09-01T00:00:00Z"})
+    for day, videos in ((DAY2, [video("a", 20)]), (DAY1, [video("a", 10), video("old", 5)])):
+        process_envelopes(spark.createDataFrame([("@c", day.isoformat(), len(videos), videos)], schemas.ENVELOPE_RAW), store, DAY2)
+    assert {r.video_id: r.view_count for r in store.read("core").collect()} == {"a": 20, "old": 5}
+    assert store.read("staging").count() == 3
+
+
 def test_replayed_batch_loads_staging_once(spark, tmp_dir):
     from clipstat import schemas
     from clipstat.streaming.ingest import process_envelopes
