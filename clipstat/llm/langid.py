@@ -127,16 +127,20 @@ def fit_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     return math.exp((lo + hi) / 2)
 
 
-def _sample(docs: DataFrame, share: dict[str, float], bound: int, salt: int) -> DataFrame:
-    """``doc_id, text, lang`` of at most ``bound`` rows, about ``share[lang]`` of each language, by hash.
+def _sample(docs: DataFrame, size: dict[str, int], bound: int, salt: int) -> DataFrame:
+    """``text, lang`` of at most ``bound`` rows by hash, as even over the languages as their sizes allow.
 
-    Repeated texts count once.  What moves is the rows under the share, not the corpus.
+    ``size`` has the distinct texts of each language.  The part of the hash range that lies before a text,
+    times the size of its language, is about the text's rank in its language; the lowest ranks of all
+    languages are drawn, so a language with few texts keeps them however large the others are.
+    Repeated texts count once.  What moves is the rows of low rank, not the corpus.
     """
     h = F.xxhash64(F.lit(salt), "text")
-    limit = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv]), F.col("lang"))
+    sizes = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(size.items()) for x in kv]), F.col("lang"))
     place = (F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53))
-    picked = docs.withColumn("_h", h).where(place < limit).dropDuplicates(["text", "lang"])
-    return picked.orderBy("_h", "lang").limit(bound).select("text", "lang")
+    ranked = docs.withColumn("_h", h).withColumn("_at", place * sizes)
+    picked = ranked.where(F.col("_at") < 1.5 * bound / len(size)).dropDuplicates(["text", "lang"])
+    return picked.orderBy("_at", "_h", "lang").limit(bound).select("text", "lang")
 
 
 def learn(docs: DataFrame, cells: int = FEATURES, max_train: int = MAX_TRAIN, max_calibrate: int = MAX_CALIBRATE,
@@ -144,12 +148,13 @@ def learn(docs: DataFrame, cells: int = FEATURES, max_train: int = MAX_TRAIN, ma
     """Model from ``text, lang`` rows (both not null); a plain dict, so that it can be broadcast."""
     idf_df, n = document_frequency(docs, cells)
     idf = np.log((1.0 + n) / (1.0 + idf_df)) + 1.0
-    per_lang = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    per_lang = docs.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("text").alias("texts")).orderBy(
+        F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     langs = sorted(r["lang"] for r in per_lang)
     model = {"langs": langs, "idf": idf, "w": np.zeros((cells, len(langs))), "t": 1.0}
     if not langs or not n:
         return model
-    size = {r["lang"]: r["count"] for r in per_lang}
+    size = {r["lang"]: max(1, r["texts"]) for r in per_lang}
     # the hash's upper part trains and its lower part calibrates, so no text does both
     split = (F.crc32(F.col("text").cast("binary")) % 10) == 9
     spark = docs.sparkSession
@@ -157,8 +162,7 @@ def learn(docs: DataFrame, cells: int = FEATURES, max_train: int = MAX_TRAIN, ma
     place = {lang: i for i, lang in enumerate(langs)}
 
     def drawn(rows: DataFrame, bound: int, salt: int) -> list[tuple]:
-        share = {lang: min(1.0, 1.5 * bound / len(langs) / max(1, size[lang])) for lang in langs}
-        picked = stage(_sample(rows, share, bound, salt), "sample")
+        picked = stage(_sample(rows, size, bound, salt), "sample")
 
         def made(it: Iterator[tuple]) -> Iterable[tuple]:
             for text, lang in it:

@@ -98,6 +98,23 @@ def test_awkward_rows(spark):
     assert all(by_id[i]["lang_pred"] in ("en", "fr") for i in (1, 2, 7, 8, 9, 10, 11))
 
 
+def test_a_language_a_thousand_times_smaller_keeps_its_share(spark, monkeypatch):
+    drawn, stage = [], langid.stage
+
+    def seen(df, name):
+        out = stage(df, name)
+        drawn.append({r["lang"]: r["count"] for r in out.groupBy("lang").count().collect()})
+        return out
+
+    monkeypatch.setattr(langid, "stage", seen)
+    rows = [(f"text {i} of {lang}", lang) for lang in ("a", "b", "c", "d", "e") for i in range(4000)] + [("copied text", "f")] * 4000
+    rows += [(f"text {i} of f", "f") for i in range(4000)] + [(f"rare text {i}", "rare") for i in range(4)]
+    langid.learn(spark.createDataFrame(rows, "text string, lang string"), max_train=140)
+    few = sum(zlib.crc32(f"rare text {i}".encode()) % 10 != 9 for i in range(4))
+    assert drawn[0]["rare"] == few > 0 and sum(drawn[0].values()) == 140
+    assert all(12 <= drawn[0][lang] <= 35 for lang in "abcdef"), drawn[0]
+
+
 def test_nothing_to_learn_from(spark):
     assert langid.identify(documents(spark, [])).count() == 0
     got = langid.identify(documents(spark, [(1, "text", None, "a"), (2, "more text", None, "b")])).collect()
