@@ -7,14 +7,19 @@ each range is tokenised and packed in order: documents follow one another, each
 and are cut wherever a sequence of ``length`` tokens is full.  What is left at the end of a range is
 cut into sequences whose lengths are powers of two, so that no padding is needed.
 
-Tokens: the byte-level BPE vocabulary of the public ``byte_bpe_50k.json``, special strings being
-ordinary text.  By default the same vocabulary is run from its rank file by ``tiktoken``, which gives
-the same ids about five times as fast; ``engine="tokenizers"`` uses the JSON file itself.
+Tokens: those of ``tokenizers`` with the public ``byte_bpe_50k.json``, ``add_special_tokens=False``; an
+added token of that file (``<|endoftext|>``) that a text holds gets its own id.  By default the same
+vocabulary is run from its rank file by ``tiktoken``, which is about five times as fast, for texts on
+which both give the same ids: those without an added token and without a run of more than ``MAX_SPACE``
+white-space characters (on very long ones ``tiktoken`` fails).  All other texts, and with
+``engine="tokenizers"`` all texts, go through ``tokenizers``.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -33,6 +38,7 @@ HASHED = 1024
 BITS = 10
 DIMS = 3
 SEED = 7
+MAX_SPACE = 10_000  # longer runs of white space are not given to tiktoken, which overflows its stack between 700,000 and 1,000,000
 
 
 def _projection() -> np.ndarray:
@@ -61,20 +67,44 @@ def _key(texts: pd.Series) -> pd.Series:
 
 
 def encoder(path: str | None = None, engine: str = "tiktoken"):
-    """A function from a text to its token ids."""
+    """A function from a text to its token ids.
+
+    ``path`` is the JSON file with ``engine="tokenizers"``, else the rank file, beside which the JSON file
+    stands under the same name.
+    """
     import public_tokenizers as public
 
-    if engine == "tokenizers":
-        from tokenizers import Tokenizer
+    ranked = engine != "tokenizers"
+    if ranked:
+        path = path or public.path("byte_bpe_50k.tiktoken")
+    whole = path.removesuffix(".tiktoken") + ".json" if ranked else path or public.path("byte_bpe_50k.json")
+    tok = None
+
+    def plain(text):
+        nonlocal tok
+        if tok is None:
+            from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path or public.path("byte_bpe_50k.json"))
-        tok.encode_special_tokens = True
-        return lambda text: tok.encode(text, add_special_tokens=False).ids
+            tok = Tokenizer.from_file(whole)
+        return tok.encode(text, add_special_tokens=False).ids
+
+    if not ranked:
+        return plain
     import tiktoken
 
-    with open(path or public.path("byte_bpe_50k.tiktoken"), "rb") as f:
+    with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    with open(whole, encoding="utf-8") as f:
+        added = [t["content"] for t in json.load(f)["added_tokens"]]
+    # tried at the start of each run only; Python's white space includes that of both libraries
+    spaces = re.compile(rf"\s(?<!\s\s)\s{{{MAX_SPACE}}}")
+
+    def encode(text):
+        unlike = any(t in text for t in added) or (len(text) > MAX_SPACE and spaces.search(text))
+        return plain(text) if unlike else fast(text)
+
+    return encode
 
 
 def plan_lengths(left: int, length: int) -> list[int]:

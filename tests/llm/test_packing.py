@@ -65,6 +65,19 @@ def test_empty_texts_have_a_key():
     assert len(packing.curve_key([])) == 0
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b<|endoftext|>", "<|endoftext|>", "a" + " " * 1_000_000 + "b", "\n" * 1_000_000,
+                                  "a" + " \t\u3000" * 4000 + "b", "<|endoftext", ""])
+def test_ids_are_those_of_a_plain_tokenizers_call(spark, text):
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    want = Tokenizer.from_file(public.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    assert list(packing.encoder()(text)) == want == list(packing.encoder(engine="tokenizers")(text))
+    got = sorted(packing.pack(documents(spark, [(1, text, "en", "a")])).collect(), key=lambda r: r["start"])
+    assert [x for r in got for x in r["ids"]] == [*want, packing.END_ID]
+    assert all(r["doc_tokens"] == len(want) + 1 for r in got)
+
+
 @needs_tables
 def test_whole_table_and_both_engines(spark):
     docs = load(spark, "documents")
