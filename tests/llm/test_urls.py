@@ -88,6 +88,19 @@ def test_model_equals_plain_version(spark):
     assert p[0] > 0.5 > p[1] and model.slope > 0
 
 
+def test_more_ngrams_than_cells_equal_plain_version(spark):
+    import random
+    import zlib
+
+    rng = random.Random(7)
+    rows = [("http://" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60)) + ".org", i % 2 == 0) for i in range(3000)]
+    train = [(u, int(c)) for u, c in rows if zlib.crc32(u.encode()) % 5]
+    assert len({u[i:i + 5] for u, _ in train for i in range(len(u) - 4)}) > 1 << 16
+    model = urls.fit(spark.createDataFrame(rows, "url string, accepted boolean").repartition(3))
+    texts = [u for u, _ in rows[:40]] + ["http://new.org/", None]
+    assert np.allclose(model.scores(texts), plain_scores(train, urls.ORDER, model.alpha, texts), atol=1e-6)
+
+
 def test_one_class_or_none(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert urls.judge(empty).count() == 0
