@@ -14,6 +14,11 @@ sidebars, forms, scripts, adverts, notices and reader comments are dropped.  If
 host whose pages share none, the page) has an article, main or article-body element, its slots are
 the main text, otherwise all slots that are left, without the template's own words.
 
+Inside the main region the pages of the host decide: a block that has the same text on every page that
+has it, and is on at least half of them, holds no slot and is dropped whatever its class is called; a
+block that only its class, id or role marks is dropped if ``MIN_PAGES`` pages have it, so that a section
+of one article stays.  Where the pages are too few for a template, the marks alone decide.
+
 Pages meet in chunks of ``CHUNK_PAGES`` to twice as many of one host (fewer only if the host has
 fewer), so a task never holds a host, and a host with a large share of all rows is dealt over many
 tasks.
@@ -50,6 +55,8 @@ DROP_WORD = set("ad ads advert adverts advertisement banner breadcrumb breadcrum
                 "popup promo promotion related replies reply respond share sidebar signup social sponsor sponsored subscribe "
                 "toolbar widget".split())
 MAIN_WORD = set("articlebody main".split())
+# Elements of the main region that are dropped if the host has them with one and the same text.
+REGION = set("details div header ol section table ul".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -69,7 +76,9 @@ def _marks(attrs: str) -> tuple[str, frozenset]:
 
 
 class Page:
-    """Tokens of one page: ``items`` are (is tag, value, path number, drop, in main, name)."""
+    """Tokens of one page: ``items`` are (is tag, value, path number, drop, in main, name).
+
+    ``drop`` is a tuple of path numbers inside the main region, if only words mark the elements there."""
 
     def __init__(self, source: str, paths: dict):
         self.items: list[tuple] = []
@@ -98,13 +107,15 @@ class Page:
             self.items.append((True, f"{name} {text}", path, dropped, main, name))
             if name in CONTAINER and not m["attrs"].endswith("/"):
                 opens = (name in ("article", "main") or bool(marks & MAIN_WORD)) and "comment" not in marks and "comments" not in marks
-                drops = name in DROP_ELEMENT or bool(marks & DROP_WORD) or (name == "header" and not main)
+                named = name in DROP_ELEMENT or (name == "header" and not main)
+                drops = named or bool(marks & DROP_WORD)
+                number = paths.setdefault((path, name, text), len(paths))
                 if opens and not drops and not (main and dropped):
                     dropped, main = False, True  # also leaves regions that were never closed
                     self.has_main = True
                 elif drops:
-                    dropped = True
-                stack.append((name, dropped, main, paths.setdefault((path, name, text), len(paths))))
+                    dropped = True if named or not main or dropped is True else (*(dropped or ()), number)
+                stack.append((name, dropped, main, number))
         if at < len(source):
             self.items.append((False, source[at:], stack[-1][3], stack[-1][1], stack[-1][2], ""))
         self.units: list[tuple] | None = None
@@ -188,9 +199,39 @@ def _nested(vector: tuple, members: list, places: list, marks: list[list[int]])
     return True
 
 
-def render(page: Page, known: set, main: bool) -> str:
-    """Text of the page's slots: of its main region if ``main``, else of all that are not dropped, without
-    stretches that consist of template words only."""
+def regions(pages: list[Page], paths: dict) -> tuple[set, set]:
+    """Path numbers inside the main region that hold no slot (with all beneath them), and those on ``MIN_PAGES`` pages."""
+    above = {number: key for key, number in paths.items()}
+    on, texts = Counter(), defaultdict(set)
+    for page in pages:
+        own: dict[int, list] = defaultdict(list)
+        inner = set()
+        for tag, value, path, _, inside, _ in page.items:
+            own[path]  # also paths without text
+            if inside:
+                inner.add(path)
+            if not tag and (words := value.split()):
+                own[path] += words
+        beneath: dict[int, list] = defaultdict(list)
+        for path in sorted(own, reverse=True):  # a path has a larger number than the one above it
+            whole = hash((" ".join(own[path]), *beneath[path]))
+            on[path] += 1
+            if above[path]:
+                beneath[above[path][0]].append(whole)
+            if path in inner:
+                texts[path].add(whole)
+    fixed = {path for path, seen in texts.items() if len(seen) == 1 and on[path] >= MIN_PAGES and 2 * on[path] >= len(pages)
+             and above[path] and above[path][1] in REGION and above[path][0] in texts}
+    for path in sorted(texts):
+        if above[path] and above[path][0] in fixed:
+            fixed.add(path)
+    return fixed, {path for path, n in on.items() if n >= MIN_PAGES}
+
+
+def render(page: Page, known: set, main: bool, fixed: set = frozenset(), repeated: set | None = None) -> str:
+    """Text of the page's slots: of its main region if ``main``, without ``fixed`` paths, else of all that are
+    not dropped, without stretches that consist of template words only.  What only words mark inside the main
+    region is dropped if it is ``repeated`` (None: in any case)."""
     blocks: list[str] = []
     open_: list[str] = []
 
@@ -207,7 +248,10 @@ def render(page: Page, known: set, main: bool) -> str:
                 flush()
             elif name == "br":
                 open_.append(" ")
-        elif not dropped and (inside or not main):
+            continue
+        if isinstance(dropped, tuple) and repeated is not None:
+            dropped = not repeated.isdisjoint(dropped)
+        if not dropped and (inside or not main) and not (main and path in fixed):
             if not main and known and all((path, w) in known for w in value.split()):
                 continue
             open_.append(entities.unescape(value))
@@ -226,7 +270,12 @@ def extract_chunk(sources: list[str]) -> list[str]:
     anchored = {(path, "<" + value) for p in parsed.values() if p.has_main for tag, value, path, _, _, name in p.items
                 if tag and value[0] != "/" and (name in ("article", "main") or MAIN_WORD & _marks_of(value))}
     shared = bool(tags & anchored)
-    done = {s: render(p, known, p.has_main and (shared or not tags or not _template_text(p, known))) for s, p in parsed.items()}
+    fixed, repeated = regions(list(parsed.values()), paths) if len(tokens) >= MIN_PAGES else (set(), None)
+    done = {}
+    for s, p in parsed.items():
+        main = p.has_main and (shared or not tags or not _template_text(p, known))
+        # a main region that is the same on all pages is still the text
+        done[s] = render(p, known, main, fixed, repeated) or render(p, known, main, repeated=repeated)
     return [done[s] for s in sources]
 
 

@@ -65,6 +65,23 @@ def test_template_words_outside_an_article_go(spark):
     assert texts(spark, rows) == want
 
 
+def test_blocks_of_the_host_inside_main_go_whatever_their_class(spark):
+    rng = random.Random(6)
+    blocks = {i: article(rng) for i in range(20)}
+    shell = ("<main><div class='c1'><ul><li>Start</li><li>Arkiv</li></ul></div><div class='x7f3'>Kjøp nå</div><div class='c2'>ARTICLE</div>"
+             "<div class='c1'>Kontakt</div></main>")
+    rows = [(i, "http://h.org/", page(rng, b, shell)) for i, b in blocks.items()]
+    assert texts(spark, rows) == {i: "\n".join(b) for i, b in blocks.items()}
+
+
+def test_section_of_one_article_stays_under_a_listed_word(spark):
+    rng = random.Random(8)
+    blocks = {i: article(rng) for i in range(20)}
+    rows = [(i, "http://h.org/", page(rng, b, f"<article>ARTICLE{'<section class=related>Own section</section>' if i == 3 else ''}"
+                                      f"<div class='share'>Send {i}</div></article>")) for i, b in blocks.items()]
+    assert texts(spark, rows) == {i: "\n".join(b + ["Own section"] * (i == 3)) for i, b in blocks.items()}
+
+
 def test_references_and_white_space(spark):
     body = "<article><h1>A &amp;amp; B</h1><p>x&nbsp;&nbsp;y\n\t z<b>w</b>v<br>u &lt;p&gt; &#233;&#x1F600; &copy &unknown;</p><p> </p><p>a < b</article>"
     assert texts(spark, [(1, "http://h.org/", body)]) == {1: "A &amp; B\nx y zwv u <p> é😀 © &unknown;\na < b"}
