@@ -3,7 +3,7 @@
 Base detectors (fixed by the contract): ``assign`` (a keyword, ``:`` or ``=``, a value of 8 or more
 characters), ``access`` (``AKIA`` key ids of 16 or more) and ``hex`` (runs of 32 or more), each
 leftmost and non-overlapping by kind over the whole text.  ``token`` adds what no pattern names: a
-run of 20 to 512 key characters that mixes upper case, lower case and digits, looks random
+run of 20 or more key characters that mixes upper case, lower case and digits, looks random
 (``min_entropy`` bits a character) and overlaps no base span.
 
 Ownership: the hash of every candidate's value is counted over the corpus by distinct owners and
@@ -60,7 +60,7 @@ def candidates(text: str | None, min_entropy: float = 3.5) -> list[tuple[str, in
             reach = max(reach, base[at][1])
             at += 1
         v = m[0]
-        if (reach <= m.start() and len(v) <= 512 and any(map(str.isdigit, v)) and not (v.islower() or v.isupper())
+        if (reach <= m.start() and any(map(str.isdigit, v)) and not (v.islower() or v.isupper())
                 and any(map(str.islower, v)) and any(map(str.isupper, v)) and entropy(v) >= min_entropy):
             found.append(("token", m.start(), m.end(), v))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))

@@ -96,3 +96,14 @@ def test_whole_table(spark):
         base = plain_base(r["text"])
         assert got[r["doc_id"]]["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest()
     assert sum(g["n_assign"] for g in got.values()) > 0
+
+
+def test_a_private_key_on_one_line_is_found_and_masked(spark):
+    import base64
+    import random
+
+    key = base64.b64encode(random.Random(1).randbytes(1700)).decode()
+    text = f"key {key} end"
+    assert credentials.candidates(text) == [("token", 4, 4 + len(key), key)]
+    masked = credentials.mask_secrets(documents(spark, [(1, text, "en", "a")])).collect()
+    assert [r["text"] for r in masked] == [f"key {credentials.MASK} end"]
