@@ -159,6 +159,12 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap
     are encoded like all others; other columns are ignored; an empty table gives an empty result.  A worker
     holds one text while it cuts it and else chunks of ``chunk + overlap`` code points; only chunks joined
     for want of a shared boundary are held together."""
+    short, long = _pieces(docs, path, chunk, overlap)
+    return short.unionByName(long)
+
+
+def _pieces(docs: DataFrame, path: str | None, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
+    """The pieces that are whole texts, and those of texts that were cut."""
     if not 0 < overlap < chunk:
         raise ValueError("the overlap has to be shorter than a chunk")
     small_batches(docs.sparkSession)
@@ -200,7 +206,7 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap
     columns = ["row", "doc_id", F.col("run").alias("piece"), "chunk", "start", "stop", "text"]
     single = map_rows(cut.where("alone").select(*columns), alone, schema)
     several = cut.where("not alone").select(*columns).repartition("row", "piece").sortWithinPartitions("row", "piece", "chunk")
-    return short.unionByName(single).unionByName(map_rows(several, joined, schema))
+    return short, single.unionByName(map_rows(several, joined, schema))
 
 
 def _ids(raw: bytes) -> list[int]:
@@ -220,11 +226,11 @@ def decode(pieces: DataFrame, path: str | None = None) -> DataFrame:
                     f"row long, doc_id {kind}, piece long, whole boolean, bytes binary")
 
 
-def digests(pieces: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text from the pieces of :func:`encode`:
-    SHA-256 of the decimal ids joined by commas and of the decoded bytes, both streamed piece by piece.
-    Pieces of whole texts stay where they are; the others are brought together as ids."""
-    kind = pieces.schema["doc_id"].dataType.simpleString()
+def digests(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text (cases as in :func:`encode`): SHA-256 of
+    the decimal ids joined by commas and of the bytes that the ids decode to, both streamed piece by piece.
+    Pieces that are whole texts stay where they are; the others are brought together as ids."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(it: Iterator[tuple]) -> Iterable[tuple]:
         back, key = decoder(path), None
@@ -244,6 +250,6 @@ def digests(pieces: DataFrame, path: str | None = None) -> DataFrame:
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     columns = ["row", "doc_id", "piece", "ids"]
-    at_once = map_rows(pieces.where("whole").select(*columns), rows, schema)
-    parts = pieces.where("not whole").select(*columns).repartition("row").sortWithinPartitions("row", "piece")
-    return at_once.unionByName(map_rows(parts, rows, schema))
+    short, long = (x.select(*columns) for x in _pieces(docs, path, chunk, overlap))
+    together = long.repartition("row").sortWithinPartitions("row", "piece")
+    return map_rows(short, rows, schema).unionByName(map_rows(together, rows, schema))

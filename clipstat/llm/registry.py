@@ -55,7 +55,7 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bytebpe.digests(bytebpe.encode(table(spark, sf_dir, "documents")))
+    return bytebpe.digests(table(spark, sf_dir, "documents"))
 
 
 def op13_fptree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,143 @@
+"""Vector codes against a plain Lloyd in Python integers."""
+
+import hashlib
+import math
+import random
+import struct
+
+import duckdb
+import numpy as np
+import pytest
+
+from clipstat.llm import codes, registry
+from scripts.compare_oracle import canon
+from tests.llm.helpers import SF, load, needs_tables
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+DOUBLES = "vec_id long, embedding array<double>, label int"
+
+
+def f32(x):
+    return struct.unpack("f", struct.pack("f", x))[0]
+
+
+def plain(rows, parts=8, entries=16, rounds=6, single=True):
+    """``(vec_id, code, error, label_error, digest)`` of every kept row, by the definition."""
+    from fractions import Fraction
+
+    kept = [(i, [f32(x) if single else x for x in v], la) for i, v, la in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not kept:
+        return []
+    dim = max(len(v) for _, v, _ in kept)
+    width = max(1, -(-dim // parts))
+    whole = [(i, [math.floor(Fraction(x) * 4096) for x in v] + [0] * (parts * width - len(v)), la) for i, v, la in kept]
+    cut = [(i, [v[p * width:(p + 1) * width] for p in range(parts)], la) for i, v, la in whole]
+    first = sorted(zip(kept, cut), key=lambda x: (x[0][0] is None, x[0][0] or 0, x[0][1]))[:entries]
+    books = [[c[1][p] for _, c in first] for p in range(parts)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            mine = [nearest(c[1][p], books[p])[1] for c in cut]
+            for k in range(len(books[p])):
+                group = [c[1][p] for c, m in zip(cut, mine) if m == k]
+                if group:
+                    books[p][k] = [sum(x) // len(group) for x in zip(*group)]
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    out, sums = [], {}
+    for i, v, la in cut:
+        best = [nearest(v[p], books[p]) for p in range(parts)]
+        out.append((i, "".join("%02x" % k for _, k in best), sum(d for d, _ in best), la))
+        sums[la] = sums.get(la, 0) + out[-1][2]
+    big = lambda x: x if x < 1 << 63 else None
+    lost = {la for _, _, e, la in out if big(e) is None}
+    return sorted(((i, c, big(e), None if la in lost else big(sums[la]), digest) for i, c, e, la in out), key=repr)
+
+
+def found(df):
+    return sorted((tuple(r) for r in codes.codes_with_errors(df).collect()), key=repr)
+
+
+def cloud(n, dim, seed, spread=0.3):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(dim)] for _ in range(6)]
+    return [(i, [c + rng.gauss(0, spread) for c in rng.choice(centres)], rng.choice([0, 1, None])) for i in range(n)]
+
+
+def test_equals_plain_lloyd(spark):
+    rows = cloud(150, 16, 1)
+    rows += [(150 + i, rows[0][1], 0) for i in range(60)]  # a third are copies
+    df = spark.createDataFrame(rows, SCHEMA)
+    for c in ("code", "dist", "kind", "id", "vec", "part", "a.b"):  # clashing and odd names
+        df = df.withColumns({c: df.vec_id.cast("string")})
+    assert found(df.repartition(5)) == plain(rows)
+
+
+def test_rounds_compare_moved_entries_only_and_ties_go_low(spark):
+    # 14 tight groups settle at once, three entries share a wide one: later rounds compare less than everything
+    rng = random.Random(3)
+    rows = [(i, [100.0 * (i % 16) + rng.choice([0.0, 0.001]) if i % 16 < 13 else 3000 + rng.random() * 100 for _ in range(8)], 0) for i in range(400)]
+    coded, books = codes.compress(spark.createDataFrame(rows, SCHEMA))
+    full = 400 * 8 * 16
+    assert books.compared[0] == full and len(books.compared) > 2 and books.compared[-1] < full / 2, books.compared
+    assert sorted((r.vec_id, r.code, r.error) for r in coded.collect()) == sorted(r[:3] for r in plain(rows))
+    same = [(i, [1.0] * 8, 0) for i in range(30)]  # all entries equal: index 0
+    assert {r[1] for r in found(spark.createDataFrame(same, SCHEMA))} == {"00" * 8}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_nearest_with_memory_equals_a_full_scan(seed):
+    rng = np.random.default_rng(seed)
+    x, book = rng.integers(-3, 4, (60, 2)), rng.integers(-3, 4, (5, 2))  # a small grid: many ties
+    code, dist, _ = codes.nearest(x, book, np.ones(5, dtype=bool))
+    moved = rng.random(5) < 0.4
+    book = np.where(moved[:, None], rng.integers(-3, 4, (5, 2)), book)
+    again = codes.nearest(x, book, moved, code, dist)
+    whole = codes.nearest(x, book, np.ones(5, dtype=bool))
+    assert (again[0] == whole[0]).all() and (again[1] == whole[1]).all() and again[2] <= whole[2]
+
+
+def test_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0, 3.0], 0), (1, None, 0), (2, [nan, 1.0], 0), (3, [inf, 1.0], 0), (4, [None, 1.0], 0), (None, [1.0, 1.0], 0),
+            (5, [0.5], None), (6, [], None), (10, [-1.0, 3.0, -0.00001], 0), (7, [1.0, 2.0], 0), (7, [1.0, -2.0], 0), (7, [1.0, 2.0], 0), (None, None, None)]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, 0)], [(1, [], 0)], [(None, [0.5], None)]])
+def test_few_rows(spark, rows):
+    assert found(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+
+
+@pytest.mark.parametrize("size", [1e4, 3e12, 1e38])
+def test_large_components_stay_exact(spark, size):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * (size if i % 7 == 0 else 1.0) for _ in range(8)], i % 2) for i in range(60)]
+    assert found(spark.createDataFrame(rows, SCHEMA).repartition(3)) == plain(rows)
+
+
+def test_doubles_near_the_largest(spark):
+    rows = [(i, [1.7e308 if i == 3 else -1e300 if i == 5 else i / 3 for _ in range(8)], 0) for i in range(20)]
+    assert found(spark.createDataFrame(rows, DOUBLES)) == plain(rows, single=False)
+
+
+def test_decode_is_near_the_vector(spark):
+    rows = cloud(300, 16, 6, spread=0.05)
+    coded, books = codes.compress(spark.createDataFrame(rows, SCHEMA))
+    back = {r.vec_id: books.decode(r.code) for r in coded.collect()}
+    away = np.mean([np.square(np.array(v) - back[i]).sum() for i, v, _ in rows])
+    assert away < 0.3 * np.mean([np.square(v).sum() for _, v, _ in rows])
+
+
+@needs_tables
+def test_whole_table_and_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
+    cur = con.execute(registry.ORACLE["op11_codes"])
+    df = registry.op11_codes(spark, SF)
+    rows = [tuple(r) for r in df.collect()]
+    assert canon(df.columns, rows) == canon([d[0] for d in cur.description], cur.fetchall())
+    assert len(rows) == load(spark, "embeddings").count()
