@@ -26,30 +26,36 @@ def playlist_video_ids(pages: DataFrame) -> DataFrame:
 MAX_PAGE = (1 << 63) - 1
 
 
-def _stop_bound() -> Column:
+def page_heads(pages: DataFrame, by=()) -> DataFrame:
+    """What the crawl needs of a page: ``(*by, page_no, n_ids, nextPageToken)``.  Staged once it spares
+    :func:`crawled_pages`, which looks at the pages twice, from parsing them twice."""
+    return pages.select(*by, "page_no", F.coalesce(F.size("items"), F.lit(0)).alias("n_ids"), "nextPageToken")
+
+
+def _stop_bound(columns) -> Column:
     """Aggregate: the last page the crawl reads, NULL when no page stops it.
 
     The crawl stops *before* the first page with no ids and *after* the first page
     without ``nextPageToken`` (integer page numbers, so "before e" is "at most e - 1").
     """
-    empty = F.coalesce(F.size("items"), F.lit(0)) == 0
+    empty = (F.col("n_ids") if "n_ids" in columns else F.coalesce(F.size("items"), F.lit(0))) == 0
     no_token = F.col("nextPageToken").isNull() | (F.col("nextPageToken") == "")
     return F.least(F.min(F.when(empty, F.col("page_no") - 1)),
                    F.min(F.when(~empty & no_token, F.col("page_no"))))
 
 
 def crawled_pages(pages: DataFrame, by=None) -> DataFrame:
-    """Pages that the crawl reads, following the paging loop: stop before the first page
-    with no ids and after the first page without a next-page token.
+    """Pages (or their :func:`page_heads`) that the crawl reads, following the paging loop: stop before
+    the first page with no ids and after the first page without a next-page token.
 
     ``by`` (e.g. ``["playlist_id"]``) crawls many playlists at once: the bound is one
     aggregate row per playlist, joined back on the key (small, so AQE broadcasts it).
     """
     if not by:
-        bound = pages.agg(_stop_bound()).scalar()
+        bound = pages.agg(_stop_bound(pages.columns)).scalar()
         return pages.where(F.col("page_no") <= F.coalesce(bound, F.lit(MAX_PAGE)))
     by = list(by)
-    bounds = pages.groupBy(*by).agg(_stop_bound().alias("_last"))
+    bounds = pages.groupBy(*by).agg(_stop_bound(pages.columns).alias("_last"))
     return (pages.join(bounds, by, "inner")
                  .where(F.col("page_no") <= F.coalesce(F.col("_last"), F.lit(MAX_PAGE))).drop("_last"))
 
@@ -179,12 +185,15 @@ def resolve_channels(requests: DataFrame, channels: DataFrame, strict: bool = Fa
 
     ``requests`` has ``channel_handle``; ``channels`` is the landed channel listing with
     ``handle``, ``channel_id`` and ``uploads_playlist_id``.  All leading ``@`` are stripped
-    on both sides for matching; the stored handle keeps its ``@``.  Unresolved handles
+    on both sides for matching; the stored handle keeps its ``@``.  Of several listings that
+    strip to one name the first counts (by landed name), so a request gives one row.  Unresolved handles
     give NULL ids.  With ``strict`` reading either id of an unknown handle, or the playlist
     of a channel without uploads, fails the query (each id carries its own check, so column
     pruning cannot remove it).
     """
-    listing = channels.select(strip_handle("handle").alias("_name"), "channel_id", "uploads_playlist_id")
+    listing = channels.groupBy(strip_handle("handle").alias("_name")).agg(
+        F.min(F.struct("handle", "channel_id", "uploads_playlist_id")).alias("_first")).select(
+        "_name", "_first.channel_id", "_first.uploads_playlist_id")
     joined = requests.withColumn("_name", strip_handle("channel_handle")) \
                      .join(listing, "_name", "left").drop("_name")
     if strict:

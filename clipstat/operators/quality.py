@@ -110,14 +110,51 @@ def compute_metrics(df: DataFrame, table: str, metrics) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# ---- metrics by unit: a table's are merged from those of its parts -----------------------
+UNIT_METRICS = "metric string, column_name string, value decimal(38,4)"
+_MERGED = {"row_count": "sum", "missing_count": "sum", "duplicate_count": "sum", "min": "min", "max": "max", "max_length": "max"}
+
+
+def unit_metrics(df: DataFrame, unit: str, metrics) -> DataFrame:
+    """Metrics of every value of the column ``unit`` as rows ``(unit, metric, column_name, value)``: one fused
+    aggregate over a single scan, and one more for each duplicate metric, which counts the values that
+    repeat inside a unit."""
+    metrics = list(metrics)
+    fused = [(i, m, c) for i, (m, c) in enumerate(metrics) if m != "duplicate_count"]
+    parts = []
+    if fused:
+        agg = df.groupBy(unit).agg(*[F.expr(f"{_metric_sql(m, c)} AS _m{i}") for i, m, c in fused])
+        body = ", ".join(f"{_s(m)}, CAST({_s(c)} AS STRING), CAST(_m{i} AS {VALUE_TYPE})" for i, m, c in fused)
+        parts.append(agg.selectExpr(_q(unit), f"stack({len(fused)}, {body}) AS (metric, column_name, value)"))
+    for m, c in metrics:
+        if m == "duplicate_count":
+            seen = df.groupBy(unit, c).agg(F.count(c).alias("_n"))
+            parts.append(seen.groupBy(unit).agg(F.count_if(F.col("_n") > 1).alias("_d")).selectExpr(
+                _q(unit), "'duplicate_count' AS metric", f"{_s(c)} AS column_name", f"CAST(_d AS {VALUE_TYPE}) AS value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def merge_metrics(units: DataFrame, table: str, metrics) -> DataFrame:
+    """The rows of :func:`compute_metrics` for a table from those of :func:`unit_metrics` (no unit: counts
+    are 0, all else NULL).  A duplicate metric merges only if equal values share a unit."""
+    metrics = list(metrics)
+    aggs = []
+    for i, (m, c) in enumerate(metrics):
+        own = f"{_MERGED[m]}(CASE WHEN metric = {_s(m)} AND column_name <=> {_s(c)} THEN value END)"
+        aggs.append(f"{f'coalesce({own}, 0)' if _MERGED[m] == 'sum' else own} AS _m{i}")
+    body = ", ".join(f"{_s(table)}, {_s(m)}, CAST({_s(c)} AS STRING), CAST(_m{i} AS {VALUE_TYPE})" for i, (m, c) in enumerate(metrics))
+    return units.selectExpr(*aggs).selectExpr(f"stack({len(metrics)}, {body}) AS (table_name, metric, column_name, value)")
+
+
 _COMPARE_SQL = " OR ".join(f"(comparator = '{op}' AND value {sql} threshold)" for op, sql in
                            [(">", ">"), (">=", ">="), ("<", "<"), ("<=", "<="), ("=", "="), ("!=", "<>")])
 OUTCOME_SQL = (f"CASE WHEN value IS NULL THEN '{NOT_EVALUATED}' WHEN {_COMPARE_SQL} THEN '{PASS}' "
                f"ELSE '{FAIL}' END")
 
 
-def run_checks(tables: dict[str, DataFrame], checks) -> DataFrame:
-    """Evaluate ``checks`` against ``tables`` (name -> DataFrame).
+def run_checks(tables: dict[str, DataFrame], checks, metrics=None) -> DataFrame:
+    """Evaluate ``checks`` against ``tables`` (name -> DataFrame); ``metrics(table, list)`` may give a table's
+    metric rows in place of :func:`compute_metrics` (``tables`` then only names them).
 
     Output rows: table_name, check_name, metric, column_name, value DECIMAL(38,4),
     comparator, threshold, outcome (pass / fail / not_evaluated).  A metric over an
@@ -134,7 +171,7 @@ def run_checks(tables: dict[str, DataFrame], checks) -> DataFrame:
     for table in dict.fromkeys(c.table for c in checks):
         mine = [c for c in checks if c.table == table]
         unique = list(dict.fromkeys((c.metric, c.column) for c in mine))
-        values = compute_metrics(tables[table], table, unique)
+        values = metrics(table, unique) if metrics else compute_metrics(tables[table], table, unique)
         # Attach the check definitions (a literal array, no join) to the metric rows.
         spec = ", ".join(
             f"named_struct('s_metric', {_s(c.metric)}, 's_column', CAST({_s(c.column)} AS STRING), "
@@ -201,9 +238,9 @@ _DEFAULT = [
 ]
 
 
-def _name(table, metric, column, op, threshold) -> str:
+def check_name(table, metric, column, op, threshold) -> str:
     target = metric if column is None else f"{metric}({column})"
     return f"{table}: {target} {op} {threshold:g}"
 
 
-DEFAULT_CHECKS = [Check(t, m, c, op, float(th), _name(t, m, c, op, th)) for t, m, c, op, th in _DEFAULT]
+DEFAULT_CHECKS = [Check(t, m, c, op, float(th), check_name(t, m, c, op, th)) for t, m, c, op, th in _DEFAULT]

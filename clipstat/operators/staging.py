@@ -56,3 +56,19 @@ def explode_envelope(envelopes: DataFrame, loaded_at: dt.datetime | None = None,
         F.col("raw_data"),
         loaded.alias("loaded_at"),
     )
+
+
+def raw_fields(rows: DataFrame, raw_col: str = "raw_data", fields=tuple(schemas.VIDEO_FIELDS), keep=()) -> DataFrame:
+    """Every field of the kept JSON objects as a row ``(*keep, field, state, value)``.
+
+    The text is parsed once into a VARIANT; ``state`` tells a key that is ``missing`` from one that holds
+    JSON ``null`` and from a ``value`` (as text).  Text that is no JSON fails the query."""
+    parsed = rows.select(*keep, F.parse_json(raw_col).alias("_raw"))
+
+    def field(name: str):
+        at = "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        got = F.try_variant_get("_raw", at, "variant")
+        state = F.when(got.isNull(), "missing").when(F.is_variant_null(got), "null").otherwise("value")
+        return F.struct(F.lit(name).alias("field"), state.alias("state"), F.try_variant_get("_raw", at, "string").alias("value"))
+
+    return parsed.select(*keep, F.inline(F.array(*[field(n) for n in fields])))

@@ -29,7 +29,7 @@ from clipstat.functions.columns import ntz
 AS_OF = dt.datetime(2002, 1, 2, 3, 4, 5)
 PRIOR_RUN = dt.datetime(2001, 1, 1, 6, 0, 0)
 MAX_RESULTS = 200
-CHANNEL_RESULTS = 25
+CHANNEL_RESULTS = 49
 PLAYLISTS = 101
 
 
@@ -62,11 +62,16 @@ def event_duration(k, secs) -> "F.Column":
 
 
 def stg(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
-    """Staging rows from orders."""
+    """Staging rows from orders.  Every count, the duration and the publication time are missing from
+    some rows, some views are negative or fewer than the likes, and load times repeat (quarters), so that
+    each rule about nulls, ties and failing checks meets rows that need it."""
     o = _read(fx, spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    o = o.withColumn("_secs", order_seconds(k))
+    o = o.withColumn("_secs", F.when(k % 37 != 5, order_seconds(k)))
     secs = F.col("_secs")
+    quarter = F.make_timestamp_ntz(F.year("o_orderdate"), F.quarter("o_orderdate") * 3 - 2, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    views = (F.when(k % 29 == 2, F.lit(None)).when(k % 41 == 7, -(k % 7) - 1).when(k % 10 == 9, k % 50)
+              .otherwise((k % 1000) * 100))
     return o.select(
         k.alias("extraction_id"),
         F.concat(F.lit("@"), F.col("o_orderstatus")).alias("channel_handle"),
@@ -74,13 +79,13 @@ def stg(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataF
          .alias("extraction_date"),
         F.concat(F.lit("v"), F.col("o_custkey").cast("string")).alias("video_id"),
         F.col("o_orderpriority").alias("title"),
-        seconds_to_iso8601(secs).alias("duration"),
-        seconds_to_readable(secs).alias("duration_readable"),
-        (k % 77).alias("like_count"),
-        ((k % 1000) * 100).alias("view_count"),
-        (k % 13).alias("comment_count"),
-        F.col("o_orderdate").alias("published_at"),
-        F.col("o_orderdate").alias("loaded_at"),
+        F.when(secs.isNotNull(), seconds_to_iso8601(secs)).alias("duration"),
+        F.when(secs.isNotNull(), seconds_to_readable(secs)).alias("duration_readable"),
+        F.when(k % 23 != 1, k % 77).alias("like_count"),
+        views.alias("view_count"),
+        F.when(k % 31 != 3, k % 13).alias("comment_count"),
+        F.when(k % 43 != 8, F.col("o_orderdate")).alias("published_at"),
+        quarter.alias("loaded_at"),
     )
 
 
@@ -130,16 +135,14 @@ def pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> Dat
     )
 
 
-def one_playlist(pages: DataFrame) -> DataFrame:
-    """All pages as one playlist that is not cut too early: only the largest key that leaves
-    13 modulo 97 has no items, only the largest that leaves 5 modulo 89 has no token."""
+def one_playlist(heads: DataFrame) -> DataFrame:
+    """All pages' heads as one playlist that is not cut too early: only the largest key that leaves
+    13 modulo 97 has no items (the others one), only the largest that leaves 5 modulo 89 has no token."""
     key = F.col("page_no")
-    top = pages.agg(F.max(F.when(key % 97 == 13, key)), F.max(F.when(key % 89 == 5, key)))
+    top = heads.agg(F.max(F.when(key % 97 == 13, key)), F.max(F.when(key % 89 == 5, key)))
     empty, last = (top.select(c).scalar() for c in top.columns)
-    return pages.select(
-        "page_no",
-        F.when((key % 97 == 13) & (key != empty), F.array(F.struct(F.struct(F.struct(
-            F.lit("none").alias("videoId")).alias("resourceId")).alias("snippet")))).otherwise(F.col("items")).alias("items"),
+    return heads.select(
+        "page_no", F.when((key % 97 == 13) & (key != empty), 1).otherwise(F.col("n_ids")).alias("n_ids"),
         F.when((key % 89 == 5) & (key != last), F.lit("more")).otherwise(F.col("nextPageToken")).alias("nextPageToken"))
 
 
@@ -160,17 +163,22 @@ def detail_pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None)
 def envelopes(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
     """Snapshot envelopes as JSON text (column ``value``) built from orders: one for each
     channel, extraction and thousand order keys.  Publication times come with ``Z``, with an
-    offset, with a fraction, or without a zone; keys may be absent (title, likeCount)."""
+    offset, with a fraction, or without a zone; keys may be absent (title, like_count, comment_count) or
+    hold an explicit null (title, view_count)."""
     o = _read(fx, spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     base = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     published = (F.when(k % 4 == 0, F.concat(base, F.lit("Z"))).when(k % 4 == 1, F.concat(base, F.lit("+05:30")))
                   .when(k % 4 == 2, F.concat(base, F.lit(".123456Z"))).otherwise(base))
-    video = F.struct(
-        F.when(k % 11 != 0, F.col("o_orderpriority")).alias("title"), F.lit("PT1M").alias("duration"),
-        F.concat(F.lit("v"), F.col("o_custkey").cast("string")).alias("video_id"),
-        F.when(k % 5 != 0, (k % 77).cast("string")).alias("like_count"), (k % 1000).cast("string").alias("view_count"),
-        published.alias("published_at"), (k % 13).cast("string").alias("comment_count"), F.lit("1:00").alias("duration_readable"))
+    always = F.lit(True)
+    keys = [("title", F.when(k % 13 != 4, F.col("o_orderpriority")), k % 11 != 0), ("duration", F.lit("PT1M"), always),
+            ("video_id", F.concat(F.lit("v"), F.col("o_custkey").cast("string")), always),
+            ("like_count", (k % 77).cast("string"), k % 5 != 0),
+            ("view_count", F.when(k % 17 != 6, (k % 1000).cast("string")), always), ("published_at", published, always),
+            ("comment_count", (k % 13).cast("string"), k % 19 != 3), ("duration_readable", F.lit("1:00"), always)]
+    entries = F.filter(F.array(*[F.struct(F.lit(n).alias("key"), v.alias("value"), there.alias("there")) for n, v, there in keys]),
+                       lambda e: e["there"])
+    video = F.map_from_arrays(F.transform(entries, lambda e: e["key"]), F.transform(entries, lambda e: e["value"]))
     rows = o.select(F.concat(F.lit("@"), F.col("o_orderstatus")).alias("channel_handle"),
                     F.concat(F.year("o_orderdate").cast("string"), F.lit("-01-01T00:00:00.5")).alias("extraction_date"),
                     F.floor(k / 1000).alias("_chunk"), video.alias("v"))

@@ -22,17 +22,18 @@ PRIOR_RUN = f"TIMESTAMP '{fx.PRIOR_RUN:%Y-%m-%d %H:%M:%S}'"
 
 
 def _readable(s: str) -> str:
-    return (f"CASE WHEN {s} >= 3600 THEN printf('%d:%02d:%02d', {s} // 3600, ({s} % 3600) // 60, {s} % 60) "
+    return (f"CASE WHEN {s} IS NULL THEN NULL WHEN {s} >= 3600 THEN printf('%d:%02d:%02d', {s} // 3600, ({s} % 3600) // 60, {s} % 60) "
             f"ELSE printf('%d:%02d', {s} // 60, {s} % 60) END")
 
 
 def _iso(s: str) -> str:
     h, m, x = f"({s} // 3600)", f"(({s} % 3600) // 60)", f"({s} % 60)"
     part = lambda v, u: f"CASE WHEN {v} > 0 THEN CAST({v} AS VARCHAR) || '{u}' ELSE '' END"
-    return f"('PT' || {part(h, 'H')} || {part(m, 'M')} || {part(x, 'S')})"
+    return f"CASE WHEN {s} IS NOT NULL THEN ('PT' || {part(h, 'H')} || {part(m, 'M')} || {part(x, 'S')}) END"
 
 
 def _ratio(l: str, c: str, v: str) -> str:
+    l, c = f"coalesce({l}, 0)", f"coalesce({c}, 0)"
     return (f"CASE WHEN {v} > 0 THEN CAST(CAST((({l} + {c}) * 20000 + {v}) // (2 * {v}) AS DOUBLE) / 10000 "
             f"AS DECIMAL(10,4)) ELSE CAST(0 AS DECIMAL(10,4)) END")
 
@@ -44,10 +45,11 @@ _DETAILS = ", ".join(reg.DETAIL_COLUMNS)
 
 
 _PROJ = f"""video_id, title, CAST(secs AS INTEGER) AS duration_seconds, duration_readable AS duration_formatted,
-         like_count, view_count, comment_count, published_at, channel_handle,
+         coalesce(like_count, 0) AS like_count, coalesce(view_count, 0) AS view_count,
+         coalesce(comment_count, 0) AS comment_count, published_at, channel_handle,
          CASE WHEN secs <= 60 THEN 'Short' WHEN secs <= 300 THEN 'Medium' ELSE 'Long' END AS content_type,
          {_ratio('like_count', 'comment_count', 'view_count')} AS engagement_ratio,
-         secs <= 60 AS is_short, extraction_date"""
+         coalesce(secs <= 60, FALSE) AS is_short, extraction_date"""
 
 
 def _merge_sql(refresh: bool) -> str:
@@ -72,15 +74,20 @@ def _history_new(merged: str) -> str:
 
 CTES = f"""
 stg_src AS (
-  SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN (o_orderkey * 7919) % 5400 ELSE (o_orderkey * 31) % 400 END AS secs
+  SELECT *, CASE WHEN o_orderkey % 37 = 5 THEN NULL WHEN o_orderkey % 3 = 0 THEN (o_orderkey * 7919) % 5400
+                 ELSE (o_orderkey * 31) % 400 END AS secs
   FROM orders),
 stg AS (
   SELECT o_orderkey AS extraction_id, '@' || o_orderstatus AS channel_handle,
          make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0) AS extraction_date,
          'v' || CAST(o_custkey AS VARCHAR) AS video_id, o_orderpriority AS title,
          {_iso('secs')} AS duration, {_readable('secs')} AS duration_readable,
-         o_orderkey % 77 AS like_count, (o_orderkey % 1000) * 100 AS view_count, o_orderkey % 13 AS comment_count,
-         o_orderdate AS published_at, o_orderdate AS loaded_at, secs
+         CASE WHEN o_orderkey % 23 <> 1 THEN o_orderkey % 77 END AS like_count,
+         CASE WHEN o_orderkey % 29 = 2 THEN NULL WHEN o_orderkey % 41 = 7 THEN -(o_orderkey % 7) - 1
+              WHEN o_orderkey % 10 = 9 THEN o_orderkey % 50 ELSE (o_orderkey % 1000) * 100 END AS view_count,
+         CASE WHEN o_orderkey % 31 <> 3 THEN o_orderkey % 13 END AS comment_count,
+         CASE WHEN o_orderkey % 43 <> 8 THEN o_orderdate END AS published_at,
+         CAST(date_trunc('quarter', o_orderdate) AS TIMESTAMP) AS loaded_at, secs
   FROM stg_src),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY video_id, extraction_date
@@ -181,11 +188,26 @@ def _metrics(table: str, source: str, metrics) -> str:
 _PIPELINE_SOURCES = {"staging": "stg", "core": "merged_sticky", "history": "history_after"}
 
 
-def _check_set() -> str:
+def _raw_fields() -> str:
+    """What each key of a video object holds, from the order it was made of."""
+    time = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')"
+    keys = {"title": ("CASE WHEN o_orderkey % 13 <> 4 THEN o_orderpriority END", "o_orderkey % 11 <> 0"),
+            "duration": ("'PT1M'", "TRUE"), "video_id": ("'v' || o_custkey", "TRUE"),
+            "like_count": ("CAST(o_orderkey % 77 AS VARCHAR)", "o_orderkey % 5 <> 0"),
+            "view_count": ("CASE WHEN o_orderkey % 17 <> 6 THEN CAST(o_orderkey % 1000 AS VARCHAR) END", "TRUE"),
+            "published_at": (f"{time} || CASE o_orderkey % 4 WHEN 0 THEN 'Z' WHEN 1 THEN '+05:30' WHEN 2 THEN '.123456Z' ELSE '' END", "TRUE"),
+            "comment_count": ("CAST(o_orderkey % 13 AS VARCHAR)", "o_orderkey % 19 <> 3"), "duration_readable": ("'1:00'", "TRUE")}
+    return "\nUNION ALL\n".join(
+        f"SELECT channel_handle, video_id, field, CASE WHEN NOT there THEN 'missing' WHEN value IS NULL THEN 'null' ELSE 'value' END AS state, "
+        f"CASE WHEN there THEN value END AS value FROM (SELECT '@' || o_orderstatus AS channel_handle, 'v' || o_custkey AS video_id, "
+        f"'{k}' AS field, {value} AS value, {there} AS there FROM orders)" for k, (value, there) in keys.items())
+
+
+def _check_set(checks=None, sources=None) -> str:
     ops = {">": ">", ">=": ">=", "<": "<", "<=": "<=", "=": "=", "!=": "<>"}
     rows = []
-    for c in DEFAULT_CHECKS:
-        m = _metric_sql(c.table, _PIPELINE_SOURCES[c.table], c.metric, c.column)
+    for c in checks or DEFAULT_CHECKS:
+        m = _metric_sql(c.table, (sources or _PIPELINE_SOURCES)[c.table], c.metric, c.column)
         name = c.name.replace("'", "''")
         rows.append(
             f"SELECT table_name, '{name}' AS check_name, metric, column_name, value, '{c.op}' AS comparator, "
@@ -241,11 +263,14 @@ ORACLE = {
         "SELECT '@' || o_orderstatus AS channel_handle, "
         "make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0.5) AS extraction_date, "
         "CAST(count(*) OVER (PARTITION BY o_orderstatus, year(o_orderdate), o_orderkey // 1000) AS INTEGER) AS total_videos, "
-        "'v' || CAST(o_custkey AS VARCHAR) AS video_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS title, "
+        "'v' || CAST(o_custkey AS VARCHAR) AS video_id, CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 4 "
+        "THEN o_orderpriority END AS title, "
         "'PT1M' AS duration, '1:00' AS duration_readable, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 77 ELSE 0 END AS like_count, "
-        "o_orderkey % 1000 AS view_count, o_orderkey % 13 AS comment_count, "
+        "CASE WHEN o_orderkey % 17 <> 6 THEN o_orderkey % 1000 ELSE 0 END AS view_count, "
+        "CASE WHEN o_orderkey % 19 <> 3 THEN o_orderkey % 13 ELSE 0 END AS comment_count, "
         "CASE o_orderkey % 4 WHEN 1 THEN o_orderdate - INTERVAL 330 MINUTE WHEN 2 THEN o_orderdate + INTERVAL 123456 MICROSECOND "
         f"ELSE o_orderdate END AS published_at, {AS_OF} AS loaded_at, 'v' || CAST(o_custkey AS VARCHAR) AS raw_video_id FROM orders"),
+    "raw_fields": _raw_fields(),
     "latest_extraction": _with(
         f"SELECT {_STG_COLS} FROM stg WHERE extraction_date = (SELECT max(extraction_date) FROM stg)"),
     "dedupe_newest": _with(
@@ -254,7 +279,7 @@ ORACLE = {
     "core_projection": _with(f"SELECT {_CORE_COLS} FROM snap"),
     "content_type": _with(
         "SELECT extraction_id, CAST(secs AS INTEGER) AS duration_seconds, CASE WHEN secs <= 60 THEN 'Short' "
-        "WHEN secs <= 300 THEN 'Medium' ELSE 'Long' END AS content_type, secs <= 60 AS is_short FROM stg"),
+        "WHEN secs <= 300 THEN 'Medium' ELSE 'Long' END AS content_type, coalesce(secs <= 60, FALSE) AS is_short FROM stg"),
     "engagement_ratio": _with(
         "SELECT extraction_id, like_count, comment_count, view_count, "
         f"{_ratio('like_count', 'comment_count', 'view_count')} AS engagement_ratio FROM stg"),
@@ -273,6 +298,7 @@ ORACLE = {
     "dq_min_max": _metrics("dq_docs", "dq_docs", reg.DQ_MIN_MAX),
     "dq_max_length": _metrics("dq_docs", "dq_docs", reg.DQ_MAX_LENGTH),
     "dq_check_set": _check_set(),
+    "dq_outcomes": _check_set(reg.OUTCOME_CHECKS, {"dq_docs": "dq_docs", "none": "(SELECT * FROM dq_docs WHERE n_chars < 0)"}),
     "snapshot_envelope_counts": _with(
         "SELECT channel_handle, extraction_date, CAST(count(*) AS INTEGER) AS total_videos, "
         "count(*) AS n_videos FROM stg GROUP BY channel_handle, extraction_date"),

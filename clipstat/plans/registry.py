@@ -14,7 +14,7 @@ from clipstat.functions import columns
 from clipstat.functions.durations import iso8601_to_seconds, readable_to_seconds, seconds_to_readable
 from clipstat.operators import core as core_ops
 from clipstat.operators import extract, history, merge, quality
-from clipstat.operators.staging import explode_envelope
+from clipstat.operators.staging import explode_envelope, raw_fields
 from clipstat.plans import fixtures as fx
 from clipstat.sinks.envelope import build_envelopes
 
@@ -71,15 +71,18 @@ def playlist_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def page_stop(spark: SparkSession, d: str) -> DataFrame:
     """One playlist: the crawl ends at the last page without ids or without a token."""
-    c = _ctx(spark, d)
-    kept = extract.crawled_pages(fx.one_playlist(fx.pages(spark, d, c)))
-    return kept.select("page_no", F.size("items").alias("n_ids"), F.col("nextPageToken").alias("next_page_token"))
+    return _crawled(_ctx(spark, d)).select("page_no", "n_ids", F.col("nextPageToken").alias("next_page_token"))
+
+
+def _crawled(c: fx.Fixtures) -> DataFrame:
+    """Heads of the pages that one playlist's crawl reads; the pages are built once."""
+    heads = c.view(("heads",), lambda: extract.page_heads(fx.pages(c.spark, c.sf_dir, c)), staged=True)
+    return extract.crawled_pages(fx.one_playlist(heads))
 
 
 def _detail_join(c: fx.Fixtures, staged: bool = False) -> DataFrame:
     def build():
-        pages = extract.crawled_pages(fx.one_playlist(fx.pages(c.spark, c.sf_dir, c)))
-        return extract.page_videos(pages, fx.detail_pages(c.spark, c.sf_dir, c)).select(*DETAIL_COLUMNS)
+        return extract.page_videos(_crawled(c), fx.detail_pages(c.spark, c.sf_dir, c)).select(*DETAIL_COLUMNS)
 
     return c.view(("details",), build, staged)
 
@@ -99,8 +102,8 @@ def extraction_summary(spark: SparkSession, d: str) -> DataFrame:
 def _channel_videos(c: fx.Fixtures) -> DataFrame:
     """Every playlist's crawl: both stop rules cut some playlist."""
     by = ["playlist_id"]
-    pages = extract.crawled_pages(fx.pages(c.spark, c.sf_dir, c), by)
-    return extract.page_videos(pages, fx.detail_pages(c.spark, c.sf_dir, c), by)
+    heads = c.view(("all_heads",), lambda: extract.page_heads(fx.pages(c.spark, c.sf_dir, c), by), staged=True)
+    return extract.page_videos(extract.crawled_pages(heads, by), fx.detail_pages(c.spark, c.sf_dir, c), by)
 
 
 def channel_extract(spark: SparkSession, d: str) -> DataFrame:
@@ -145,10 +148,19 @@ def engagement_ratio(spark: SparkSession, d: str) -> DataFrame:
         columns.engagement_ratio("like_count", "comment_count", "view_count").alias("engagement_ratio"))
 
 
+def _staged(spark: SparkSession, d: str) -> DataFrame:
+    raw = fx.envelopes(spark, d).select(F.from_json("value", schemas.ENVELOPE_RAW, {"mode": "FAILFAST"}).alias("e")).select("e.*")
+    return explode_envelope(raw, loaded_at=fx.AS_OF)
+
+
+def raw_fields_q(spark: SparkSession, d: str) -> DataFrame:
+    """Every key of every video object kept in ``raw_data``: its value, null, or missing."""
+    return raw_fields(_staged(spark, d), keep=("channel_handle", "video_id"))
+
+
 def staging_rows(spark: SparkSession, d: str) -> DataFrame:
     """Envelopes as JSON text -> all staging columns (the raw JSON by the id it carries)."""
-    raw = fx.envelopes(spark, d).select(F.from_json("value", schemas.ENVELOPE_RAW, {"mode": "FAILFAST"}).alias("e")).select("e.*")
-    return explode_envelope(raw, loaded_at=fx.AS_OF).withColumn(
+    return _staged(spark, d).withColumn(
         "raw_video_id", F.get_json_object("raw_data", "$.video_id")).drop("raw_data")
 
 
@@ -233,6 +245,22 @@ def dq_check_set(spark: SparkSession, d: str) -> DataFrame:
     return quality.run_checks(_pipeline_tables(_ctx(spark, d)), quality.DEFAULT_CHECKS)
 
 
+# Checks whose outcomes differ: every comparator on both sides of the value, and a table without rows.
+OUTCOME_CHECKS = [quality.Check(t, m, c, op, float(th), quality.check_name(t, m, c, op, th)) for t, m, c, op, th in [
+    *(("dq_docs", "min", "doc_id", op, th) for op in quality.COMPARATORS for th in (-1, 0, 1)),
+    *(("dq_docs", "max", "quality", op, th) for op in quality.COMPARATORS for th in (0, 1, 2)),
+    ("dq_docs", "row_count", None, ">", 0), ("dq_docs", "row_count", None, "<", 10), ("dq_docs", "missing_count", "toxic", "=", 0),
+    ("dq_docs", "missing_count", "doc_id", "=", 0), ("dq_docs", "duplicate_count", "source", "!=", 0), ("dq_docs", "max_length", "text", "<=", 200),
+    ("none", "row_count", None, ">", 0), ("none", "row_count", None, "=", 0), ("none", "missing_count", "text", "=", 0),
+    ("none", "duplicate_count", "text", "=", 0), ("none", "min", "n_chars", ">=", 0), ("none", "max", "n_chars", "<=", 90000),
+    ("none", "max_length", "text", "<=", 200)]]
+
+
+def dq_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    docs = fx.dq_docs(spark, d)
+    return quality.run_checks({"dq_docs": docs, "none": docs.where(F.col("n_chars") < 0)}, OUTCOME_CHECKS)
+
+
 # ---- sink ------------------------------------------------------------------------------
 
 ENVELOPE_CHUNK_ROWS = 100_000
@@ -280,6 +308,7 @@ QUERIES = {
     "channel_summary": channel_summary,
     "channel_lookup": channel_lookup,
     "staging_rows": staging_rows,
+    "raw_fields": raw_fields_q,
     "latest_extraction": latest_extraction,
     "dedupe_newest": dedupe_newest,
     "core_projection": core_projection,
@@ -296,6 +325,7 @@ QUERIES = {
     "dq_min_max": dq_min_max,
     "dq_max_length": dq_max_length,
     "dq_check_set": dq_check_set,
+    "dq_outcomes": dq_outcomes,
     "snapshot_envelope_counts": snapshot_envelope_counts,
     "envelope_roundtrip": envelope_roundtrip,
 }

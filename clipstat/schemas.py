@@ -109,6 +109,14 @@ HISTORY = T.StructType([
     T.StructField("recorded_at", T.TimestampNTZType()),
 ])
 
+# What a run did: one row for each step (and, in a stream, each extraction).
+AUDIT = T.StructType([
+    T.StructField("stage", S),
+    T.StructField("rows", T.LongType()),
+    T.StructField("detail", S),
+    T.StructField("at", T.TimestampNTZType()),
+])
+
 # Column length limits of the reference's DDL, enforced before every write.
 # VARCHAR widths of the three tables.
 VARCHAR_LIMITS = {

@@ -1,8 +1,9 @@
-"""Table writes: constraint checks, appends with serial ids, core by touched buckets."""
+"""Table writes: constraint checks, atomic appends with serial ids, core by touched buckets."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -10,7 +11,11 @@ from pyspark.sql import functions as F
 from clipstat import schemas
 from clipstat.operators import merge
 from clipstat.operators.history import serial_ids
-from clipstat.sources.tables import BUCKET, PARTITION, SCHEMAS, TableStore
+from clipstat.sources.tables import PARTITION, SCHEMAS, TableStore
+
+# Parquet writer settings of staging and history: filters for point lookups of a video, as large as a
+# row group's distinct ids ask for.
+LOOKUP_OPTIONS = {"parquet.bloom.filter.enabled#video_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
 
 def enforce_constraints(df: DataFrame, table: str) -> DataFrame:
@@ -33,20 +38,29 @@ def enforce_constraints(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def append(store: TableStore, table: str, rows: DataFrame, id_col: str | None = None) -> int:
-    """Append ``rows`` to an append-only table (staging, history), partitioned by day;
-    returns the number of rows written (counted by the write itself).
+def append(store: TableStore, table: str, rows: DataFrame, id_col: str | None = None, token: str | None = None) -> int:
+    """Append ``rows`` to an append-only table (staging, history) in one atomic step; returns the number of
+    rows (counted by the write itself).
 
-    Ids are reserved before the data is written: a failed write leaves a gap, never a
-    duplicate.
+    The rows are written to a hidden folder, partitioned by day and sorted by video, and published by
+    one rename.  ``token`` names the append: if it was published already nothing is written, whenever the
+    run before died, and the rows it holds are counted.  Ids are reserved before the data is written: a
+    failed write leaves a gap, never a duplicate.
     """
+    token = token or uuid.uuid4().hex[:12]
+    done = store.find_load(table, token)
+    if done:
+        return store.read_loads(table, [done.folder]).count()
     if id_col:
         rows = serial_ids(rows, store.reserve_ids(table, id_col), id_col)
     part_col, ts_col = PARTITION[table]
     written = Observation()
     out = enforce_constraints(rows, table).withColumn(part_col, F.to_date(ts_col)) \
         .observe(written, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("append").partitionBy(part_col).parquet(store.path(table))
+    keyed = "video_id" in out.columns
+    (out.sortWithinPartitions(part_col, *["video_id"][:keyed]).write.options(**(LOOKUP_OPTIONS if keyed else {})).partitionBy(part_col)
+        .parquet(store.writing_path(table, token)))
+    store.publish_load(table, token)
     return int(written.get["rows"])
 
 
@@ -57,33 +71,28 @@ def assert_unique(df: DataFrame, key: str, what: str) -> None:
         raise ValueError(f"{what}: {key} is not unique: {[r[0] for r in again]}")
 
 
-def upsert_core(store: TableStore, source: DataFrame, as_of: dt.datetime, refresh=(), strategy: str = "auto") -> int:
+def touched_buckets(store: TableStore, source: DataFrame, manifest: dict) -> list[int]:
+    """The buckets that the source's keys fall into (bounded by their number)."""
+    return sorted(r[0] for r in source.select(store.bucket_of(manifest).alias("b")).distinct().collect())
+
+
+def upsert_core(store: TableStore, source: DataFrame, as_of: dt.datetime, refresh=()) -> int:
     """Upsert ``source`` (unique keys) into core; returns the new version.
 
-    Only the buckets that the source's keys fall into are read, merged and written; all
-    others stay where they are.  The list of touched buckets is bounded by their number.
+    Only the buckets that the source's keys fall into are read, merged and written; all others stay
+    where they are.  The buckets are read as a table clustered by the key, so the outer join moves the
+    source only, and a bucket is merged and written by one task as one file.
     """
     manifest = store.manifest()
-    touched = sorted(r[0] for r in source.select(store.bucket_of(manifest).alias("b")).distinct().collect())
-    merged = merge.upsert(store.read_core(manifest, touched), source, as_of, refresh=refresh, strategy=strategy)
-    return _write_buckets(store, merged, manifest, touched)
+    touched = touched_buckets(store, source, manifest)
+    with store.bucketed_core(manifest, touched) as target:
+        merged = merge.upsert(target, source, as_of, refresh=refresh, strategy="shuffle")
+        folder = store.write_buckets(enforce_constraints(merged, "core"), manifest)
+    return store.commit_core(folder, manifest, set(touched))
 
 
 def publish(store: TableStore, rows: DataFrame) -> int:
-    """Replace core by ``rows``: every bucket is written anew; returns the version."""
+    """Replace core by ``rows``: every bucket is written anew, one file each; returns the version."""
     manifest = store.manifest()
-    return _write_buckets(store, rows, manifest, range(manifest["buckets"]))
-
-
-def _write_buckets(store: TableStore, rows: DataFrame, manifest: dict, touched) -> int:
-    """Write the touched buckets, one file each, as a new version and commit it.
-
-    A failed write leaves a folder that no manifest names: readers skip it and the next
-    publish steps over it.
-    """
-    version = store.next_version()
-    out = enforce_constraints(rows, "core").withColumn(BUCKET, store.bucket_of(manifest))
-    (out.repartition(max(1, len(touched)), BUCKET).write.mode("errorifexists").partitionBy(BUCKET)
-        .parquet(store.version_path(version)))
-    store.commit_core(version, manifest, set(touched))
-    return version
+    dealt = enforce_constraints(rows, "core").repartition(manifest["buckets"], "video_id")
+    return store.commit_core(store.write_buckets(dealt, manifest), manifest, set(range(manifest["buckets"])))

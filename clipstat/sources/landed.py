@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipstat import schemas
+from clipstat.sources import fs
 
 PAGE_NO_PATTERN = r"([0-9]+)\.json$"
 
@@ -50,19 +52,38 @@ def read_channel_listing(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _with_playlist_id(df: DataFrame) -> DataFrame:
-    # .../<playlist_id>/page_<n>.json -> playlist_id from the parent folder name
-    return df.withColumn("playlist_id", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+PLAYLIST = "playlist_id"
+# So many playlists are named to the scan; of more, Spark lists the folders and prunes them at run time.
+NAMED = 1000
 
 
-def read_all_playlist_pages(spark: SparkSession, root: str) -> DataFrame:
-    """``(playlist_id, page_no, items, nextPageToken)`` of every playlist under ``root``
-    (``<root>/<playlist_id>/page_<n>.json``), read as one parallel scan."""
-    df = _with_playlist_id(_with_page_no(_read(spark, f"{root}/*", schemas.PLAYLIST_PAGE)))
-    return df.select("playlist_id", "page_no", "items", "nextPageToken")
+def _pages_of(spark: SparkSession, root: str, schema, wanted: DataFrame, named: int) -> DataFrame:
+    """Pages under ``<root>/playlist_id=<id>/`` of the playlists in ``wanted`` (column ``playlist_id``).
 
+    Only their folders are read: few are named to the scan; many are met by a join on the partition
+    column, from whose broadcast side Spark prunes the folders (dynamic partition pruning)."""
+    full = T.StructType([*schema.fields, T.StructField(PLAYLIST, T.StringType())])
+    asked = wanted.select(PLAYLIST).where(F.length(PLAYLIST) > 0).distinct()
+    few = [r[0] for r in asked.limit(named + 1).collect()]
+    if len(few) <= named:
+        landed = {n[len(PLAYLIST) + 1:] for n in fs.list_names(spark, root)}
+        paths = [f"{root}/{PLAYLIST}={x}" for x in sorted(few) if x in landed]
+        if not paths:
+            return spark.createDataFrame([], T.StructType([*full.fields, T.StructField("page_no", T.LongType())]))
+    else:
+        paths = [root]
+    pages = (spark.read.schema(full).option("multiLine", True).option("mode", "FAILFAST")
+                  .option("pathGlobFilter", "*.json").option("basePath", root).json(paths))
+    pages = _with_page_no(pages)
+    return pages if len(few) <= named else pages.join(asked, PLAYLIST, "left_semi")
 
-def read_all_videos_pages(spark: SparkSession, root: str) -> DataFrame:
-    """``(playlist_id, page_no, items)`` of every playlist's videos responses."""
-    df = _with_playlist_id(_with_page_no(_read(spark, f"{root}/*", schemas.VIDEOS_PAGE)))
-    return df.select("playlist_id", "page_no", "items")
+
+def read_playlists(spark: SparkSession, root: str, wanted: DataFrame, named: int = NAMED) -> DataFrame:
+    """``(playlist_id, page_no, items, nextPageToken)`` of the wanted playlists
+    (``<root>/playlist_id=<id>/page_<n>.json``), read as one parallel scan."""
+    return _pages_of(spark, root, schemas.PLAYLIST_PAGE, wanted, named).select(PLAYLIST, "page_no", "items", "nextPageToken")
+
+
+def read_videos(spark: SparkSession, root: str, wanted: DataFrame, named: int = NAMED) -> DataFrame:
+    """``(playlist_id, page_no, items)`` of the wanted playlists' videos responses."""
+    return _pages_of(spark, root, schemas.VIDEOS_PAGE, wanted, named).select(PLAYLIST, "page_no", "items")

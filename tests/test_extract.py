@@ -133,14 +133,14 @@ def land_channel(root, handle="MrChannel", playlist="UU_X", pages=None, videos=N
         page = {"items": [{"snippet": {"resourceId": {"videoId": v}}} for v in ids]}
         if token:
             page["nextPageToken"] = token
-        write_json(f"{root}/playlists/{playlist}/page_{n:05d}.json", page)
+        write_json(f"{root}/playlists/playlist_id={playlist}/page_{n:05d}.json", page)
     for n, items in (videos or {}).items():
-        write_json(f"{root}/videos/{playlist}/page_{n:05d}.json", {"items": items})
+        write_json(f"{root}/videos/playlist_id={playlist}/page_{n:05d}.json", {"items": items})
 
 
 def test_landed_pages_read(spark, tmp_dir):
     land_channel(tmp_dir, pages={1: (["a", "b"], "tok"), 2: (["c"], None)})
-    pages = landed.read_playlist_pages(spark, f"{tmp_dir}/playlists/UU_X")
+    pages = landed.read_playlist_pages(spark, f"{tmp_dir}/playlists/playlist_id=UU_X")
     got = sorted((r.page_no, len(r["items"]), r.nextPageToken) for r in pages.collect())
     assert got == [(1, 2, "tok"), (2, 1, None)]
     listing = landed.read_channel_listing(spark, f"{tmp_dir}/channels").first()
@@ -206,3 +206,38 @@ def test_many_playlists_match_one_at_a_time(spark):
     for n in (5, 1500):  # beyond Spark's default threshold as well
         plan = extract.first_n(ids, n, by=["playlist_id"])._jdf.queryExecution().executedPlan().toString()
         assert "WindowGroupLimit" in plan
+
+
+def test_first_of_several_landed_names_counts(spark):
+    """``@A`` and ``A`` both landed: a request still gives one row, from the first by name."""
+    listing = spark.createDataFrame([("A", "id2", "UU_2"), ("@A", "id1", "UU_1"), ("B", "id3", None)],
+                                    "handle string, channel_id string, uploads_playlist_id string")
+    req = spark.createDataFrame([(1, "@@A"), (2, "B"), (3, "C")], "request_id int, channel_handle string")
+    rows = {r.request_id: (r.channel_id, r.uploads_playlist_id) for r in extract.resolve_channels(req, listing).collect()}
+    assert rows == {1: ("id1", "UU_1"), 2: ("id3", None), 3: (None, None)}
+    assert extract.resolve_channels(req, listing).count() == 3
+
+
+@pytest.mark.parametrize("named", [1000, 1])
+def test_only_the_playlists_asked_for_are_read(spark, tmp_dir, named):
+    """Two of 200 landed playlists: their two folders are read, named to the scan or pruned by the join."""
+    from tests.test_store import leaves
+
+    root = f"{tmp_dir}/playlists"
+    for n in range(200):
+        write_json(f"{root}/playlist_id=UU_{n}/page_00001.json", {"items": [{"snippet": {"resourceId": {"videoId": f"v{n}"}}}]})
+    wanted = spark.createDataFrame([("UU_7",), ("UU_150",), ("UU_nothing_landed",), ("UU_7",)], "playlist_id string")
+    wanted.write.parquet(f"{tmp_dir}/wanted")
+    pages = landed.read_playlists(spark, root, spark.read.parquet(f"{tmp_dir}/wanted"), named=named)
+    ids = pages.select("playlist_id", "page_no", F.col("items")[0]["snippet"]["resourceId"]["videoId"].alias("v"))
+    assert sorted(map(tuple, ids.collect())) == [("UU_150", 1, "v150"), ("UU_7", 1, "v7")]
+    read = [m["numFiles"] for name, m in leaves(ids) if name.startswith("Scan json")]
+    assert read == [2]
+    assert landed.read_playlists(spark, root, wanted.where("false"), named=named).count() == 0
+
+
+def test_crawl_from_heads_equals_the_crawl_from_pages(spark):
+    pages = pages_df(spark, [(1, ["a"], "t"), (2, ["b"], "t"), (3, [], "t"), (4, ["c"], "t")])
+    heads = extract.page_heads(pages)
+    assert heads.columns == ["page_no", "n_ids", "nextPageToken"]
+    assert sorted(r.page_no for r in extract.crawled_pages(heads).collect()) == sorted(r.page_no for r in extract.crawled_pages(pages).collect()) == [1, 2]

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -78,10 +79,28 @@ def _no_rule(name):
         "missing counts": (staging, "count_from_text", lambda c, *_: F.col(c).cast("bigint")),
         "duplicates": (quality, "_short", lambda c: F.substring(c, 1, 1)),
         "content class": (columns, "SHORT_MAX_SECONDS", 59),
+        "null counts": (core, "null_safe_count", lambda c: F.col(c)),
+        "null duration, class": (core, "content_type", lambda s: F.when(F.col(s) <= 60, "Short").when(F.col(s) <= 300, "Medium")
+                                 .when(F.col(s).isNotNull(), "Long")),
+        "null duration, short": (core, "is_short", lambda s: F.col(s) <= 60),
+        "ties": (core, "dedupe_newest", lambda rows, **_: _first_of_ties(rows)),
+        "quota": (extract, "PAGE_SIZE", 49),
+        "outcome": (quality, "OUTCOME_SQL", "'pass'"),
+        "not evaluated": (quality, "OUTCOME_SQL", quality.OUTCOME_SQL.replace("'not_evaluated'", "'fail'")),
+        "comparators": (quality, "OUTCOME_SQL", quality.OUTCOME_SQL.replace("value >= threshold", "value > threshold")),
+        "missing and null keys": (staging.F, "is_variant_null", lambda c: F.lit(False)),
     }[name]
 
 
+def _first_of_ties(rows):
+    newest = Window.partitionBy("video_id").orderBy(F.desc("loaded_at"), F.asc("extraction_id"))
+    return rows.withColumn("rn", F.row_number().over(newest)).where("rn = 1").drop("rn")
+
+
 @pytest.mark.parametrize("rule,query", [
+    ("null counts", "core_projection"), ("null duration, class", "core_projection"), ("null duration, short", "core_projection"),
+    ("ties", "dedupe_newest"), ("ties", "core_projection"), ("quota", "channel_summary"), ("outcome", "dq_check_set"),
+    ("outcome", "dq_outcomes"), ("not evaluated", "dq_outcomes"), ("comparators", "dq_outcomes"), ("missing and null keys", "raw_fields"),
     ("page stop", "page_stop"), ("page stop", "detail_join"), ("page stop", "channel_extract"), ("page stop", "channel_summary"),
     ("first n", "first_n_videos"), ("first n", "channel_extract"), ("once a day", "history_append_sticky"),
     ("once a day", "history_append_refresh"), ("newest row", "dedupe_newest"), ("newest row", "core_projection"),

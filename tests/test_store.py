@@ -1,0 +1,423 @@
+"""The table store: atomic loads, zones of core, merge without moving core, kept results, lookups."""
+
+import datetime as dt
+import json
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clipstat import schemas
+from clipstat.operators import history, quality
+from clipstat.plans import pipelines
+from clipstat.sinks import tables as table_sink
+from clipstat.sources import fs, state
+from clipstat.sources.tables import TableStore
+from clipstat.streaming.ingest import IngestListener, process_envelopes, start_ingest
+
+DAY = [dt.datetime(2025, 10, d, 8, 0, 0) for d in range(1, 8)]
+
+
+def video(vid, views=10, title="x"):
+    return json.dumps({"title": title, "duration": "PT1M", "video_id": vid, "like_count": "1", "view_count": str(views),
+                       "published_at": "2025-09-01T00:00:00Z", "comment_count": "0", "duration_readable": "1:00"})
+
+
+def envelopes(spark, *rows):
+    """``(channel, extraction, [video])``"""
+    return spark.createDataFrame([(c, at.isoformat(), len(v), v) for c, at, v in rows], schemas.ENVELOPE_RAW)
+
+
+def staged(store):
+    return sorted((r.video_id, r.channel_handle, r.extraction_date, r.view_count) for r in store.read("staging").collect())
+
+
+def leaves(df):
+    """Executed leaf nodes of a DataFrame that was run: ``(name, {metric: value})``."""
+    def below(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return below(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return below(plan.plan())
+        children, out = plan.children().iterator(), []
+        while children.hasNext():
+            out += below(children.next())
+        return out if plan.children().size() else [plan]
+
+    found = []
+    for node in below(df._jdf.queryExecution().executedPlan()):
+        metrics, entries = {}, node.metrics().iterator()
+        while entries.hasNext():
+            e = entries.next()
+            metrics[e._1()] = e._2().value()
+        found.append((node.nodeName(), metrics))
+    return found
+
+
+# ---- exactly once ---------------------------------------------------------------------------
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("point", ["before the write", "after the write", "after the rename", "in core", "in history"])
+def test_a_crash_at_any_point_and_a_replay_give_the_same_tables(spark, tmp_dir, monkeypatch, point):
+    env = envelopes(spark, ("@c", DAY[0], [video("a"), video("b")]), ("@c", DAY[1], [video("a", 20), video("c")]))
+    plain = TableStore(spark, f"{tmp_dir}/plain")
+    process_envelopes(env, plain, DAY[1], epoch=("s", 0))
+    store = TableStore(spark, f"{tmp_dir}/tables")
+
+    def crash(*_, **__):
+        raise Crash
+
+    real, seen = fs.rename, []
+
+    def crash_after(*a):
+        real(*a)
+        raise Crash
+
+    with monkeypatch.context() as m:
+        if point == "before the write":
+            m.setattr(table_sink, "enforce_constraints", crash)
+        elif point == "after the write":
+            m.setattr(fs, "rename", crash)
+        elif point == "after the rename":
+            m.setattr(fs, "rename", crash_after)
+        elif point == "in core":
+            m.setattr(TableStore, "commit_core", crash)
+        else:
+            m.setattr(pipelines.history, "new_history_rows", crash)
+        with pytest.raises(Crash):
+            process_envelopes(env, store, DAY[1], epoch=("s", 0))
+    assert len(staged(store)) == (0 if point in ("before the write", "after the write") else 4)
+    seen.append(process_envelopes(env, store, DAY[1], epoch=("s", 0)))
+    process_envelopes(env, store, DAY[1], epoch=("s", 0))  # and once more
+    assert staged(store) == staged(plain) and len(staged(store)) == 4
+    core = lambda s: sorted((r.video_id, r.view_count, r.extraction_date) for r in s.read("core").collect())
+    assert core(store) == core(plain)
+    days = lambda s: sorted((r.video_id, r.recorded_at) for r in s.read("history").collect())
+    assert days(store) == days(plain)
+    assert not [n for n in os.listdir(f"{tmp_dir}/tables/staging") if n.startswith("_writing")]
+
+
+def test_loads_of_several_days_are_read_by_day(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    pipelines.load_staging(store, envelopes(spark, ("@c", DAY[0], [video("a")]), ("@c", DAY[2], [video("b")])), DAY[2])
+    pipelines.load_staging(store, envelopes(spark, ("@c", DAY[1], [video("c")])), DAY[2])
+    assert store.days("staging") == ["2025-10-01", "2025-10-02", "2025-10-03"]
+    assert [r.video_id for r in store.read_day("staging", DAY[1].date()).collect()] == ["c"]
+    got = store.read_days("staging", [DAY[0].date(), DAY[1].date()])
+    assert sorted(r.video_id for r in got.collect()) == ["a", "c"] and len(got.inputFiles()) == 2
+    assert [r.video_id for r in store.read_latest_day("staging").collect()] == ["b"]
+
+
+def test_lookup_skips_row_groups(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", str(16 << 10))
+    try:
+        rows = spark.range(40_000).select(
+            F.concat(F.lit("v"), F.sha2(F.col("id").cast("string"), 256).substr(1, 10)).alias("video_id"), F.col("id").alias("view_count"),
+            F.lit("@c").alias("channel_handle"), F.lit(DAY[0].isoformat()).cast("timestamp_ntz").alias("extraction_date"),
+            F.lit(1).alias("total_videos"), *[F.lit("x").alias(c) for c in ("title", "duration", "duration_readable", "raw_data")],
+            *[F.lit(1).cast("bigint").alias(c) for c in ("like_count", "comment_count")],
+            *[F.lit(DAY[0].isoformat()).cast("timestamp_ntz").alias(c) for c in ("published_at", "loaded_at")])
+        table_sink.append(store, "staging", rows.coalesce(2), id_col="extraction_id")
+    finally:
+        conf.unset("parquet.block.size")
+    one = store.read("staging").where("view_count = 31234").first().video_id
+    for ids, hits in (([one], 1), ([one[:-1] + "~"], 0)):  # the second lies between stored ids: only the filter tells
+        found = store.lookup("staging", ids)
+        assert found.count() == hits
+        rows = found.select("extraction_id")
+        rows.collect()
+        read = [m["numOutputRows"] for name, m in leaves(rows) if name.startswith("Scan parquet")]
+        assert len(read) == 1 and (read[0] < 10_000 if hits else read[0] == 0), read
+
+
+# ---- zones ----------------------------------------------------------------------------------
+
+def test_zones_follow_the_rows(spark, tmp_dir):
+    from clipstat.plans import fixtures as fx
+
+    store = TableStore(spark, tmp_dir, core_buckets=8)
+    core = fx.core_before(spark, "/root/testdata/sf0.001")
+    table_sink.publish(store, core)
+    manifest, rows = store.manifest(), core.collect()
+    bucket = {r.video_id: r.b for r in core.select("video_id", store.bucket_of(manifest).alias("b")).collect()}
+    for b, zone in manifest["zones"].items():
+        mine = [r for r in rows if bucket[r.video_id] == b]
+        assert zone["rows"] == len(mine)
+        for c in ("extraction_date", "channel_handle", "published_at", "engagement_ratio"):
+            text = lambda v: v.isoformat() if isinstance(v, dt.datetime) else str(v)
+            values = [r[c] for r in mine if r[c] is not None]
+            assert zone[c] == [text(min(values)), text(max(values))]
+    for ranges in ({"published_at": (dt.datetime(1994, 1, 1), dt.datetime(1994, 3, 1))}, {"channel_handle": ("@P", "@P")},
+                   {"engagement_ratio": (0.5, None)}, {"extraction_date": (None, dt.datetime(1993, 1, 1)), "engagement_ratio": (None, 0)},
+                   {"published_at": (dt.datetime(2050, 1, 1), None)}):
+        inside = lambda r: all(r[c] is not None and (lo is None or r[c] >= lo) and (hi is None or r[c] <= hi)
+                               for c, (lo, hi) in ranges.items())
+        got = store.core_where(**ranges)
+        assert sorted(r.video_id for r in got.collect()) == sorted(r.video_id for r in rows if inside(r))
+        assert {int(re.search(r"_bucket=(\d+)", f)[1]) for f in got.inputFiles()} == set(store.buckets_where(manifest, **ranges))
+    with pytest.raises(ValueError, match="no zones"):
+        store.core_where(title=("a", "b"))
+
+
+def test_history_opens_the_buckets_of_the_newest_extraction_only(spark, tmp_dir, monkeypatch):
+    store = TableStore(spark, tmp_dir, core_buckets=32)
+    first = [video(f"v{i}") for i in range(200)]
+    process_envelopes(envelopes(spark, ("@c", DAY[0], first)), store, DAY[0])
+    seen = []
+    real = history.new_history_rows
+
+    def spy(core, *a, **k):
+        seen.append(core)
+        return real(core, *a, **k)
+
+    monkeypatch.setattr(pipelines.history, "new_history_rows", spy)
+    process_envelopes(envelopes(spark, ("@c", DAY[1], [video("new1"), video("new2"), video("v3", 99)])), store, DAY[1])
+    opened = {int(re.search(r"_bucket=(\d+)", f)[1]) for f in seen[0].inputFiles()}
+    manifest = store.manifest()
+    where = lambda *ids: {r.b for r in spark.createDataFrame([(i,) for i in ids], "video_id string").select(
+        store.bucket_of(manifest).alias("b")).collect()}
+    assert opened == where("new1", "new2")  # v3 was updated, but keeps its first extraction
+    whole = real(store.read("core"), store.read("staging"), store.read("history").where("false"), DAY[1])
+    assert sorted(r.video_id for r in whole.collect()) == ["new1", "new2"]
+    today = store.read_day("history", DAY[1].date())
+    assert sorted(r.video_id for r in today.collect()) == ["new1", "new2"]
+
+
+def test_late_extraction_reads_touched_buckets_only(spark, tmp_dir, monkeypatch):
+    store = TableStore(spark, tmp_dir, core_buckets=32)
+    process_envelopes(envelopes(spark, ("@c", DAY[3], [video(f"v{i}") for i in range(200)])), store, DAY[3])
+    asked = []
+    real = TableStore.read_core
+
+    def spy(self, manifest, buckets=None):
+        asked.append(buckets)
+        return real(self, manifest, buckets)
+
+    monkeypatch.setattr(TableStore, "read_core", spy)
+    process_envelopes(envelopes(spark, ("@c", DAY[1], [video("v3", 1), video("old", 5)])), store, DAY[3])
+    assert asked and all(b is not None and len(b) <= 2 for b in asked)
+    monkeypatch.undo()
+    core = {r.video_id: r.view_count for r in store.read("core").collect()}
+    assert len(core) == 201 and core["v3"] == 10 and core["old"] == 5
+
+
+# ---- merge ------------------------------------------------------------------------------------
+
+def test_merge_does_not_move_core(spark, tmp_dir, monkeypatch):
+    store = TableStore(spark, tmp_dir, core_buckets=8)
+    process_envelopes(envelopes(spark, ("@c", DAY[0], [video(f"v{i}") for i in range(400)])), store, DAY[0])
+    plans = []
+    real = TableStore.write_buckets
+
+    def spy(self, rows, manifest):
+        rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan()
+        plans.append(plan.toString())
+        return real(self, rows, manifest)
+
+    monkeypatch.setattr(TableStore, "write_buckets", spy)
+    monkeypatch.setattr(spark, "conf", spark.conf)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    version = pipelines.transform(store, DAY[1], newest=DAY[0], refresh=("extraction_date",))
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+    plan = plans[0].split("== Initial Plan ==")[0]
+    join = plan[plan.index("SortMergeJoin"):]
+    scans = re.split(r"(?=FileScan parquet )", join)
+    core_side = next(i for i, part in enumerate(scans) if "Bucketed: true" in part)
+    above = scans[0] if core_side == 1 else scans[0] + "".join(scans[1:core_side])
+    assert "FullOuter" in join
+    # the only exchange is on the source's side: the core scan reaches the join through sort and projection
+    assert plan.count("Exchange hashpartitioning") == 1 and above.count("Exchange") <= 1
+    manifest = store.manifest(version)
+    files = {b: [f for f in os.listdir(store.bucket_folder(b, v)) if f.endswith(".parquet")] for b, v in manifest["at"].items()}
+    assert len(files) == 8 and all(len(f) == 1 for f in files.values())
+    assert store.read("core").count() == 400 and store.read("core").select("video_id").distinct().count() == 400
+
+
+def test_core_has_the_same_rows_with_any_shuffle_partitions(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("1", "7", "31"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            store = TableStore(spark, f"{tmp_dir}/{n}", core_buckets=5)
+            for d in range(3):
+                process_envelopes(envelopes(spark, ("@c", DAY[d], [video(f"v{i}", d) for i in range(d * 10, 40)])), store, DAY[d])
+            got.append(sorted(map(tuple, store.read("core").collect())))
+            assert all(len([f for f in os.listdir(store.bucket_folder(b, v)) if f.endswith(".parquet")]) == 1
+                       for b, v in store.manifest()["at"].items())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 40
+
+
+def test_the_second_of_two_publishers_fails(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir, core_buckets=2)
+    process_envelopes(envelopes(spark, ("@c", DAY[0], [video("a")])), store, DAY[0])
+    read = store.manifest()
+    rows = store.read("core")
+    one, two = store.write_buckets(rows, read), None
+    two = store.write_buckets(rows.withColumn("title", F.lit("second")), read)
+    assert one != two and store.commit_core(two, read, set(read["at"])) == read["version"] + 1
+    with pytest.raises(RuntimeError, match="another publish"):
+        store.commit_core(one, read, set(read["at"]))
+    assert [r.title for r in store.read("core").collect()] == ["second"]
+
+
+# ---- kept results -------------------------------------------------------------------------------
+
+def test_per_channel_update_reads_only_the_days_it_names(spark, tmp_dir, monkeypatch):
+    store, plain = TableStore(spark, f"{tmp_dir}/a"), TableStore(spark, f"{tmp_dir}/b")
+    loads = [("@a", DAY[0], [video("a1"), video("a2")]), ("@b", DAY[1], [video("b1")]), ("@a", DAY[2], [video("a1", 30), video("a3")]),
+             ("@c", DAY[3], [video("c1")])]
+    for s in (store, plain):
+        for x in loads:
+            pipelines.load_staging(s, envelopes(spark, x), x[1])
+    read, computed = [], []
+    real, real_loads = TableStore.read_days, TableStore.read_loads
+    monkeypatch.setattr(TableStore, "read_days", lambda self, name, days: read.append((name, sorted(map(str, days)))) or real(self, name, days))
+    monkeypatch.setattr(TableStore, "read_loads", lambda self, name, f: computed.append(len(list(f))) or real_loads(self, name, f))
+    pipelines.transform(store, DAY[4], per="channel_handle")
+    assert [d for n, d in read if n == "staging"] == [["2025-10-02", "2025-10-03", "2025-10-04"]]  # day 1 is nobody's newest
+    assert computed == [4]
+    # the same from the whole table
+    monkeypatch.undo()
+    monkeypatch.setattr(TableStore, "read_days", lambda self, name, days: self.read("staging") if name == "staging" else real(self, name, days))
+    pipelines.transform(plain, DAY[4], per="channel_handle")
+    monkeypatch.undo()
+    for name, cols in (("core", ["video_id", "view_count", "extraction_date"]), ("history", ["video_id", "view_count"])):
+        assert sorted(map(tuple, store.read(name).select(*cols).collect())) == sorted(map(tuple, plain.read(name).select(*cols).collect()))
+    assert sorted(r.video_id for r in store.read("core").collect()) == ["a1", "a3", "b1", "c1"]
+    # a load that no run has seen yet is added, the others are not read again; a late one changes nothing
+    for late in (("@b", DAY[4], [video("b2")]), ("@a", DAY[0], [video("a0")])):
+        pipelines.load_staging(store, envelopes(spark, late), DAY[4])
+    monkeypatch.setattr(TableStore, "read_loads", lambda self, name, f: computed.append(len(list(f))) or real_loads(self, name, f))
+    got = {r.channel_handle: r.newest for r in state.newest_per_channel(store).collect()}
+    assert got == {"@a": DAY[2], "@b": DAY[4], "@c": DAY[3]} and computed == [4, 2]
+    with pytest.raises(ValueError, match="channel_handle"):
+        pipelines.transform(store, DAY[4], per="title")
+
+
+def test_incremental_checks_equal_the_full_ones_and_read_new_units(spark, tmp_dir, monkeypatch):
+    store = TableStore(spark, tmp_dir, core_buckets=4)
+    read = []
+    real, real_core = TableStore.read_loads, state._core_units
+    monkeypatch.setattr(TableStore, "read_loads", lambda self, name, f: read.append((name, len(list(f)))) or real(self, name, f))
+    monkeypatch.setattr(state, "_core_units", lambda s, m, some=None: read.append(("core", len(some))) or real_core(s, m, some))
+    steps = [("@c", DAY[1], [video(f"v{i}") for i in range(40)]), ("@c", DAY[2], [video("v1", -5), video("n" + "e" * 10)]),
+             ("@c", DAY[0], [video("late", title="t" * 300)])]  # a late day; negative views; a title that is too long
+    for n, x in enumerate(steps):
+        process_envelopes(envelopes(spark, x), store, x[1])
+        read.clear()
+        full = sorted(map(tuple, pipelines.run_quality(spark, store, gate=False).collect()))
+        assert not read
+        part = sorted(map(tuple, pipelines.run_quality(spark, store, gate=False, scope="incremental").collect()))
+        assert part == full and len(part) == 26
+        assert ("staging", 1) in read and ("history", 1) in read
+        assert [k for t, k in read if t == "core"] == [4] if n == 0 else [k for t, k in read if t == "core"][0] <= 2
+        read.clear()
+        assert sorted(map(tuple, pipelines.run_quality(spark, store, gate=False, scope="incremental").collect())) == full
+        assert not read  # nothing is new
+    outcomes = {r[1]: r[7] for r in full}
+    assert outcomes["core: max_length(title) <= 200"] == "fail" and outcomes["staging: min(view_count) >= 0"] == "fail"
+    with pytest.raises(quality.QualityGateError):
+        pipelines.run_quality(spark, store, scope="incremental")
+
+
+def test_incremental_checks_of_an_empty_store(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    full = sorted(map(repr, pipelines.run_quality(spark, store, gate=False).collect()))
+    part = sorted(map(repr, pipelines.run_quality(spark, store, gate=False, scope="incremental").collect()))
+    assert part == full
+
+
+def test_duplicates_merge_for_the_key_of_core(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir, core_buckets=4)
+    process_envelopes(envelopes(spark, ("@c", DAY[0], [video(f"v{i}") for i in range(20)])), store, DAY[0])
+    rows = store.read("core")
+    table_sink.publish(store, rows.unionByName(rows.where("video_id in ('v1', 'v2', 'v3')")))  # what no upsert writes
+    metrics = [("duplicate_count", "video_id"), ("duplicate_count", "title"), ("row_count", None)]
+    got = {(r.metric, r.column_name): int(r.value) for r in state.incremental_metrics(store, "core", metrics).collect()}
+    assert got == {("duplicate_count", "video_id"): 3, ("duplicate_count", "title"): 1, ("row_count", None): 23}
+
+
+# ---- audit of the stream --------------------------------------------------------------------------
+
+@pytest.mark.parametrize("per_batch", [1, 3])
+def test_stream_audit_equals_the_batch_runs(spark, tmp_dir, per_batch):
+    data, store, batch = f"{tmp_dir}/in", TableStore(spark, f"{tmp_dir}/s"), TableStore(spark, f"{tmp_dir}/b")
+    os.makedirs(data)
+    want = []
+    for n, (day, vids) in enumerate(((DAY[0], ["a", "b"]), (DAY[1], ["a", "c", "d"]), (DAY[2], ["e"]))):
+        body = {"channel_handle": "@c", "extraction_date": day.isoformat(), "total_videos": len(vids),
+                "videos": [json.loads(video(v, n)) for v in vids]}
+        with open(f"{data}/youtube_videos_2025100{n + 1}_080000.json", "w") as f:
+            json.dump(body, f, indent=1)
+        os.utime(f"{data}/youtube_videos_2025100{n + 1}_080000.json", (1_700_000_000 + n, 1_700_000_000 + n))
+        want += [(r.stage, r.rows) for r in pipelines.run_update(spark, data, batch, DAY[3]).collect()]
+    listener = IngestListener()
+    spark.streams.addListener(listener)
+    try:
+        start_ingest(spark, data, store, clock=lambda: DAY[3], files_per_batch=per_batch).awaitTermination(180)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(listener)
+    audit = store.read("audit").collect()
+    # batch runs see the history of all runs of the day so far, as the stream does
+    assert sorted((r.stage, r.rows) for r in audit) == sorted(want)
+    assert len(audit) == 9 and {r.at for r in audit} == {DAY[3]}
+    assert sum(n for _, n in listener.batches.values()) == sum(r.rows for r in audit if r.stage == "staged") == 6
+    assert sum(n for n, _ in listener.batches.values()) == 3
+
+
+# ---- catalog ------------------------------------------------------------------------------------
+
+def test_sql_over_the_store(spark, tmp_dir):
+    from clipstat.sinks import catalog
+
+    store = TableStore(spark, f"{tmp_dir}/tables", core_buckets=4)
+    try:
+        catalog.create_tables(store)
+        catalog.create_tables(store)  # they exist: nothing happens
+        assert spark.sql("SELECT count(*) FROM core.youtube_videos").first()[0] == 0
+        for d, vids in ((0, ["a", "b"]), (1, ["b", "c", "d"])):
+            process_envelopes(envelopes(spark, ("@c", DAY[d], [video(v, d + 1) for v in vids])), store, DAY[d])
+            catalog.refresh(store)
+        got = spark.sql("""SELECT c.video_id, c.view_count, count(DISTINCT s.extraction_id) AS n, count(DISTINCT h.history_id) AS days
+                           FROM core.youtube_videos c JOIN staging.youtube_videos_raw s ON s.video_id = c.video_id
+                           LEFT JOIN core.youtube_videos_history h ON h.video_id = c.video_id GROUP BY ALL""").collect()
+        assert sorted(map(tuple, got)) == [("a", 1, 1, 1), ("b", 2, 2, 1), ("c", 2, 1, 1), ("d", 2, 1, 1)]
+        # an insert that leaves the load time out gets the default, and the pipelines see the row
+        before = dt.datetime.now() - dt.timedelta(days=2)
+        spark.sql("""INSERT INTO staging.youtube_videos_raw (extraction_id, channel_handle, extraction_date, total_videos, video_id, title,
+                     duration_readable, view_count, published_at, extraction_day)
+                     VALUES (-1, '@sql', TIMESTAMP_NTZ'2025-10-03 08:00:00', 1, 'fromsql', 'x', '1:00', 7, TIMESTAMP_NTZ'2025-09-01 00:00:00', DATE'2025-10-03')""")
+        row = store.read("staging").where("video_id = 'fromsql'").first()
+        assert row.loaded_at > before and row.like_count is None
+        assert store.days("staging") == ["2025-10-01", "2025-10-02", "2025-10-03"]
+        pipelines.transform(store, DAY[2])
+        assert store.read("core").where("video_id = 'fromsql'").first().view_count == 7
+        known = {r.channel_handle: r.newest for r in state.newest_per_channel(store).collect()}
+        assert known == {"@c": DAY[1], "@sql": DAY[2]}
+        spark.sql("""INSERT INTO staging.youtube_videos_raw (extraction_id, channel_handle, extraction_date, video_id, extraction_day)
+                     VALUES (-2, '@sql', TIMESTAMP_NTZ'2025-10-04 08:00:00', 'later', DATE'2025-10-04')""")
+        assert {r.channel_handle: r.newest for r in state.newest_per_channel(store).collect()} == {"@c": DAY[1], "@sql": DAY[3]}
+        full = sorted(map(tuple, pipelines.run_quality(spark, store, gate=False).collect()))
+        assert sorted(map(tuple, pipelines.run_quality(spark, store, gate=False, scope="incremental").collect())) == full
+        with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|length"):
+            spark.sql(f"""INSERT INTO staging.youtube_videos_raw (extraction_id, video_id, extraction_day)
+                          VALUES (-3, '{'v' * 21}', DATE'2025-10-04')""")
+        # a join on the key reads core without moving it
+        plan = spark.sql("""SELECT /*+ MERGE(h) */ c.title FROM core.youtube_videos c JOIN core.youtube_videos_history h
+                            ON h.video_id = c.video_id""")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    finally:
+        catalog.drop_tables(store)
+    assert store.read("core").count() == 5 and store.read("staging").count() == 7
