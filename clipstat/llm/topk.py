@@ -33,6 +33,7 @@ CHUNK = 512          # queries of a chunk
 PAIRS = 2            # pairs of a group and a chunk in a task, which holds them at once
 PIVOTS = 128         # bounded sample that orders the rows; any order gives the same results
 SAFE = 1 << 52       # inner products up to here are exact in doubles
+MOST = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -40,7 +41,7 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     x = F.col(vec_col)
     usable = F.col(id_col).isNotNull() & x.isNotNull() & F.forall(
         x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
-    big = float(1 << 40)  # beyond it a product of two components would leave 64 bits
+    big = float((1 << 63) - 1024)  # the largest double below 2**63
     return vectors.where(usable).select(
         F.col(id_col).alias("vec_id"),
         F.transform(x, lambda c: F.floor(F.greatest(F.lit(-big), F.least(F.lit(big), c.cast("double") * scale)))).alias("v"))
@@ -76,8 +77,8 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
     if most < 2.0 ** 62:
         return a @ b.T
-    exact = a.astype(object) @ b.T.astype(object)  # scores beyond 64 bits are clipped to them
-    return np.clip(exact, -(1 << 62), 1 << 62).astype(np.int64)
+    exact = a.astype(object) @ b.T.astype(object)  # only what 64 bits cannot hold becomes their limit
+    return np.clip(exact, -MOST, MOST).astype(np.int64)
 
 
 def search(index: BlockIndex, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int):
@@ -148,8 +149,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
     for which the column ``is_query`` over ``vec_id`` holds) with all other rows, ties to the smaller id.
 
     Rows without an id and vectors that are null or hold null or non-finite components take no part;
-    shorter vectors count as padded with zeros; components are clipped to
-    +-2**40 after scaling and scores to +-2**62.  A row
+    shorter vectors count as padded with zeros; scores
+    are exact wherever 64 bits hold them and the scaled components (else those are set to their limit).  A row
     is a query's own if it has its id, so of rows that repeat an id none finds another; a repeated
     query gives one result, from the vector that sorts first.  With fewer candidates than ``k`` all are
     returned; an empty table gives an empty result.
@@ -196,7 +197,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
                 index = BlockIndex(np.frombuffer(ids, dtype=np.int64), _unpack(weights, dim), block)
                 q_ids = np.frombuffer(q_ids, dtype=np.int64)
                 known = dict(zip(floor_ids or (), floor or ()))
-                start = np.array([known.get(x, -(1 << 62)) for x in q_ids.tolist()], dtype=np.int64)
+                start = np.array([known.get(x, -MOST) for x in q_ids.tolist()], dtype=np.int64)
                 yield from search(index, q_ids, _unpack(q, dim), start, k)
 
         return map_rows(work, rows, "query_id long, vec_id long, score long")
@@ -220,14 +221,14 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
             for _, c, ids, weights, floor_ids, floor, tops in it:
                 q, q_ids = _unpack(weights, dim), np.frombuffer(ids, dtype=np.int64).tolist()
                 known = dict(zip(floor_ids or (), floor or ()))
-                start = np.array([known.get(x, -(1 << 62)) for x in q_ids], dtype=np.int64)
+                start = np.array([known.get(x, -MOST) for x in q_ids], dtype=np.int64)
                 high = np.concatenate([_unpack(t["high"], dim) for t in tops])
                 low = np.concatenate([_unpack(t["low"], dim) for t in tops])
                 bound = _product(np.maximum(q, 0), high) + _product(np.minimum(q, 0), low)
                 mean = _product(q.sum(axis=0, keepdims=True), high + low)[0]
                 for g, t in enumerate(tops):
                     if (bound[:, g] >= start).any():
-                        yield t["grp"], c, int(np.clip(mean[g], -(1 << 62), 1 << 62))
+                        yield t["grp"], c, int(np.clip(mean[g], -MOST, MOST))
 
         order = ["list", "chunk", "ids", "weights", "floor_ids", "floor", "tops"]
         return map_rows(dealt.select(*order), rows, "grp long, chunk long, best long")

@@ -61,6 +61,16 @@ def test_large_components_stay_exact(spark):
     assert found(spark.createDataFrame(rows, SCHEMA), 10) == plain(rows, 10)
 
 
+def test_components_of_any_size_are_not_clipped(spark):
+    rows = [(0, [1e10, 0.0], 0), (1, [0.0078125, 0.0], 0), (2, [-3e2, 1.0], 0), (3, [0.00390625, 1e8], 0), (4, [1e3, -2e4], 0), (10, [-1e-9, 5e4], 0)]
+    got = found(spark.createDataFrame(rows, SCHEMA), 10)
+    assert got == plain(rows, 10)
+    assert {(q, i): s for q, _, i, s in got}[0, 1] == 2 * 2560000000000
+    # a score that 64 bits cannot hold is their limit
+    over = found(spark.createDataFrame([(0, [1e30, 1e30], 0), (1, [1e30, 0.0], 0), (2, [-1e30, 0.0], 0)], SCHEMA), 10)
+    assert over == [(0, 1, 1, (1 << 63) - 1), (0, 2, 2, 1 - (1 << 63))]
+
+
 @needs_tables
 def test_whole_table(spark):
     df = load(spark, "embeddings")
