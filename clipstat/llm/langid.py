@@ -4,8 +4,9 @@ Features: counts of the 1- to 3-grams of code points of the lower-cased text (ru
 letters count as one space), hashed into ``FEATURES`` cells, damped (1 + log), weighted by inverse
 document frequency over all learning documents and scaled to unit length.  Learning: FTRL-proximal
 with L1 and L2 penalties, one weight vector for each language.  The weights are fitted on a bounded
-sample (``MAX_TRAIN`` documents at most for all languages together, those of smallest hash); document
-frequencies and class counts cover every learning document.  Temperature: one number that divides
+sample (``MAX_TRAIN`` documents at most for all languages together, those of smallest hash), in which
+every language takes an equal share as far as it has documents; all languages are learned, at
+``FEATURES`` numbers each.  Document frequencies and class counts cover every learning document.  Temperature: one number that divides
 the scores, fitted on another bounded sample (``MAX_CALIBRATE``) by likelihood.
 """
 
@@ -26,7 +27,6 @@ FEATURES = 1 << 14
 GRAMS = 3
 MAX_TRAIN = 4000       # bound of the labelled sample that the weights are fitted on
 MAX_CALIBRATE = 1000   # bound of the labelled sample that the temperature is fitted on
-MAX_LANGUAGES = 256    # languages that are learned, those with most documents
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-3
 SLICE = 1 << 20        # characters whose n-grams are hashed at once
@@ -148,8 +148,7 @@ def learn(docs: DataFrame, cells: int = FEATURES, max_train: int = MAX_TRAIN, ma
     """Model from ``text, lang`` rows (both not null); a plain dict, so that it can be broadcast."""
     idf_df, n = document_frequency(docs, cells)
     idf = np.log((1.0 + n) / (1.0 + idf_df)) + 1.0
-    per_lang = docs.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("text").alias("texts")).orderBy(
-        F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    per_lang = docs.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("text").alias("texts")).collect()
     langs = sorted(r["lang"] for r in per_lang)
     model = {"langs": langs, "idf": idf, "w": np.zeros((cells, len(langs))), "t": 1.0}
     if not langs or not n:
@@ -235,7 +234,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told: no letters, or a score under ``min_score``."""
+    """``docs`` without the rows whose language cannot be told: no letters, or a score under ``min_score``.
+
+    Null and empty texts have no letters and go.  Texts of any length are judged whole; repeated rows are
+    judged alike and stay repeated; if no labelled row can be learned from, every row goes; an empty table
+    gives an empty result; other columns, whatever their names, pass through."""
     rows, guess = _predicted(docs, F.col("text"))
     judged = rows.withColumn("_llm_guess", guess)
     return judged.where((F.col("_llm_guess.lang_pred") != "und") & (F.col("_llm_guess.score") >= min_score)).drop("_llm_guess")

@@ -115,6 +115,15 @@ def test_a_language_a_thousand_times_smaller_keeps_its_share(spark, monkeypatch)
     assert all(12 <= drawn[0][lang] <= 35 for lang in "abcdef"), drawn[0]
 
 
+def test_three_hundred_languages_are_all_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    tongue = lambda n: [letters[n % 26] + letters[n // 26 % 26] + letters[(n * 7 + k) % 26] * 2 for k in range(3)]
+    rows = [(300 * k + n, " ".join(tongue(n) * (2 + k)), f"x{n:03d}", "a") for n in range(300) for k in range(8)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(documents(spark, rows)).collect()}
+    assert len(set(got.values())) == 300
+    assert np.mean([got[i] == la for i, _, la, _ in rows]) > 0.9
+
+
 def test_nothing_to_learn_from(spark):
     assert langid.identify(documents(spark, [])).count() == 0
     got = langid.identify(documents(spark, [(1, "text", None, "a"), (2, "more text", None, "b")])).collect()
