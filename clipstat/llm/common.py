@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW_KEY = ["_llm_file", "_llm_at"]
+
+
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with two columns that tell its rows apart: a hash of the Parquet file's path and the row's place
+    in the file.  However often and by whatever executors the rows are read, the key stays (unlike a
+    number given by the partition).  Rows that do not come straight from Parquet files are staged first."""
+    def key(rows: DataFrame) -> DataFrame:
+        meta = rows.select(*[quoted(c) for c in df.columns], F.xxhash64("_metadata.file_path").alias(ROW_KEY[0]),
+                           F.col("_metadata.row_index").alias(ROW_KEY[1]))
+        meta.schema  # analysed here
+        return meta
+
+    try:
+        return key(df)
+    except AnalysisException:
+        return key(stage(df, name))
+
+
 def ordered_stage(df: DataFrame, keys: list[Column], name: str) -> DataFrame:
     """``df`` sorted over the whole cluster, staged with ``_part`` (range) and ``_pos`` (place in it).
 

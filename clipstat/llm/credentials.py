@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import map_rows, small_batches, stage
+from clipstat.llm.common import map_rows, quoted, small_batches, stage
 
 # Fixed by the contract.
 ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -157,6 +157,10 @@ def mask_secrets(docs: DataFrame, owner: str = "source", repo: Column | None = N
     """``docs`` with every live-looking span masked in ``text`` (and ``n_chars``, if there, set to the
     new length); widely copied examples stay.  No row goes.
 
+    A null text stays null and an empty one empty; a text of any length is scanned whole; repeated rows are
+    masked alike, each on its own; a null owner is an owner of its own; an empty table gives an empty result;
+    other columns, whatever their names, pass through.
+
     Only rows that hold a candidate are staged; the values that look like examples are joined back
     to them by hash.  All other texts pass through unmoved.
     """
@@ -183,4 +187,4 @@ def mask_secrets(docs: DataFrame, owner: str = "source", repo: Column | None = N
     done = hit.join(known, "_llm_row", "left").withColumn("text", masked("text", "_llm_examples"))
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return plain.unionByName(done.select(*names))
+    return plain.select(*[quoted(c) for c in names]).unionByName(done.select(*[quoted(c) for c in names]))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import WORD, ordered_stage, stage, with_rank
+from clipstat.llm.common import ROW_KEY, WORD, ordered_stage, quoted, stage, with_rank, with_row_key
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -60,11 +60,11 @@ def uniform(doc_id: Column, size: Column, seed: str = SEED) -> Column:
     return (F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def plan(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, source, size, source_size, target, copies`` and ``_row``
-    (the row's number in this reading of ``docs``)."""
+def plan(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row of ``docs``: ``doc_id, source, size, source_size, target, copies``, ``_row``
+    (the row's number in this reading of ``docs``) and the columns ``keep``."""
     root = F.floor(F.sqrt(F.col("size").cast("double")) * 1024).cast("long")  # whole numbers sum alike in any order
-    sized = stage(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "source", words(F.col("text")).alias("size"))
+    sized = stage(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "source", words(F.col("text")).alias("size"), *keep)
                   .withColumn("root", root), "sizes")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("z"), F.sum(F.col("size").cast("decimal(38,0)") * F.col("root")).cast("double").alias("m"))
     share = targets(by_source, weights, max_copies).withColumnRenamed("source", "_source")
@@ -79,7 +79,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: s
     # running sums by source in the order of q: each range sums up its own rows; the offsets are one
     # row for each source and range
     keys = [F.col("source").asc_nulls_last(), F.col("q"), F.col("doc_id").asc_nulls_last(), F.col("size"), F.col("_row")]
-    ordered = ordered_stage(rows.select("_row", "doc_id", "source", "size", "z", "target", "whole", "rest", "q"), keys, "order")
+    ordered = ordered_stage(rows.select("_row", "doc_id", "source", "size", "z", "target", "whole", "rest", "q", *keep), keys, "order")
     parts = ordered.groupBy("source", "_part").agg(F.sum("size").alias("_sum"))
     before = F.coalesce(F.sum("_sum").over(Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = parts.select(F.col("source").alias("_s"), F.col("_part").alias("_p"), before.alias("_offset"))
@@ -88,7 +88,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: s
     summed = summed.join(offsets, (F.col("_part") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s")))
     more = (F.col("size") > 0) & (F.col("_offset") + F.col("_run") + F.col("size") / 2 <= F.col("rest"))
     copies = F.col("whole") + F.when((F.col("whole") < max_copies) & more, 1).otherwise(0)
-    return summed.select("_row", "doc_id", "source", "size", F.col("z").alias("source_size"), "target", copies.alias("copies"))
+    return summed.select("_row", "doc_id", "source", "size", F.col("z").alias("source_size"), "target", copies.alias("copies"), *keep)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
@@ -104,12 +104,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: st
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken (texts move once)."""
-    planned = plan(docs, weights, max_copies, seed)
-    copies = planned.where("copies > 0").select(F.col("doc_id").alias("_llm_id"), F.col("source").alias("_llm_s"), F.col("size").alias("_llm_size"), "copies")
-    # rows that are equal in these three are ranked side by side and share their copies evenly (rounded)
-    copies = copies.groupBy("_llm_id", "_llm_s", "_llm_size").agg(F.sum("copies").alias("_llm_sum"), F.count("*").alias("_llm_n"))
-    keyed = docs.withColumn("_llm_w", words(F.col("text")))
-    joined = keyed.join(copies, keyed["doc_id"].eqNullSafe(F.col("_llm_id")) & keyed["source"].eqNullSafe(F.col("_llm_s")) & (F.col("_llm_w") == F.col("_llm_size")))
-    times = F.round(F.col("_llm_sum") / F.col("_llm_n")).cast("int")
-    return joined.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), times)))).select(*[F.col(c) for c in docs.columns])
+    """The mix itself: rows of ``docs``, each exactly as often as :func:`plan` takes it (texts move once).
+
+    Rows are told apart by their place in the table, so rows that share an id, or are equal, or have no id,
+    each have copies of their own.  Null and empty texts have size 0: they come with the whole copies of their
+    source (a source without words has none).  Texts of any length are only counted and passed on; an
+    empty table gives an empty result; other columns, whatever their names, pass through."""
+    keyed = with_row_key(docs, "mix")
+    copies = plan(keyed, weights, max_copies, seed, tuple(ROW_KEY)).where("copies > 0").select(*ROW_KEY, F.col("copies").alias("_llm_copies"))
+    taken = keyed.join(stage(copies, "copies"), ROW_KEY)
+    each = taken.withColumn("_llm_copies", F.explode(F.sequence(F.lit(1), F.col("_llm_copies").cast("int"))))
+    return each.select(*[quoted(c) for c in docs.columns])

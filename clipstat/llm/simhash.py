@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import map_rows, stage
+from clipstat.llm.common import ROW_KEY, map_rows, quoted, stage, with_row_key
 
 SEED = 42
 LEAF_PAIRS = 16          # node pairs with at most so many fingerprint pairs are compared directly
@@ -62,14 +62,15 @@ def simhash(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(ones, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) of every row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` (signed 64-bit) of every row of ``docs``, and its long columns ``keep``."""
 
     def rows(it: Iterator[tuple]) -> Iterable[tuple]:
-        for doc_id, text in it:
-            yield doc_id, simhash(text, shingle)
+        for doc_id, text, *kept in it:
+            yield doc_id, simhash(text, shingle), *kept
 
-    return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, fp long", as_bytes=("text",))
+    schema = ", ".join(["doc_id long, fp long", *(f"{c} long" for c in keep)])
+    return map_rows(docs.select("doc_id", "text", *keep), rows, schema, as_bytes=("text",))
 
 
 # ---- trie traversal inside a task -------------------------------------------------------------
@@ -300,22 +301,28 @@ def star_components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())
 
 
+def _classes(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, cls, component_id``: the class of each fingerprint (named by one of its fingerprints) and the smallest
+    doc_id of the class."""
+    nodes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
+    roots = star_components(trie_self_join(nodes.select("fp"), max_bits))
+    linked = roots.join(nodes.withColumnRenamed("fp", "v"), "v")
+    least = linked.groupBy("root").agg(F.min("rep").alias("comp"))
+    linked = stage(linked.join(least, "root").select(F.col("v").alias("fp"), "root", "comp"), "linked")
+    return nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("cls"), F.coalesce("comp", "rep").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``doc_id, fp, component_id`` of every row of ``docs`` (``doc_id``, ``text``).
 
     ``component_id`` is the smallest doc_id that a chain of links reaches, the row's own included.
-    Null or wordless texts have fingerprint zero.  Rows with a null doc_id take part in the links;
-    they get the component of the rows they reach, null if none of these has an id.  Repeated rows
-    stay repeated.  An empty table gives an empty result.  Other columns are ignored.
+    Null or wordless texts have fingerprint zero; a text of any length is one row in one task.  Rows with a
+    null doc_id take part in the links; they get the component of the rows they reach, null if none of
+    these has an id.  Repeated rows stay repeated.  An empty table gives an empty result.  Other columns
+    are ignored.
     """
     fps = stage(fingerprints(docs, shingle), "simhash")
-    nodes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
-    roots = star_components(trie_self_join(nodes.select("fp"), max_bits))
-    linked = roots.join(nodes.withColumnRenamed("fp", "v"), "v")
-    least = linked.groupBy("root").agg(F.min("rep").alias("comp"))
-    linked = stage(linked.join(least, "root").select(F.col("v").alias("fp"), "comp"), "linked")
-    classes = nodes.join(linked, "fp", "left").select("fp", F.coalesce("comp", "rep").alias("component_id"))
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(_classes(fps, max_bits).drop("cls"), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex64(col):
@@ -323,10 +330,17 @@ def hex64(col):
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """Rows of ``docs`` without near copies: of each component the row with the smallest doc_id
-    stays (one row, if that id is repeated).  Rows without an id cannot be named as the smallest;
-    they stay, once per text."""
-    found = near_duplicates(docs, shingle, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_llm_kept"))
-    named = docs.join(kept, docs["doc_id"] == kept["_llm_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))
+    """One row of ``docs`` for each component, with all its columns: the one with the smallest doc_id, of
+    several with this id the one of least fingerprint, then any one.
+
+    Rows are told apart by their place in the table, so texts that share a doc_id without being near
+    copies all stay, and rows without an id (which come after those with one) lose their near copies like
+    others.  Null, empty and wordless texts have fingerprint zero and are one component.  Repeated rows are copies.
+    Texts of any length are compared whole; an empty table gives an empty result; other columns, whatever
+    their names, pass through."""
+    keyed = with_row_key(docs, "dedup")
+    fps = stage(fingerprints(keyed, shingle, tuple(ROW_KEY)), "simhash")
+    first = fps.join(_classes(fps, max_bits), "fp").groupBy("cls").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", *ROW_KEY)).alias("first"))
+    kept = stage(first.select(*[F.col(f"first.{c}").alias(c) for c in ROW_KEY]), "kept")
+    return keyed.join(kept, ROW_KEY, "left_semi").select(*[quoted(c) for c in docs.columns])

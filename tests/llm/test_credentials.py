@@ -107,3 +107,14 @@ def test_a_private_key_on_one_line_is_found_and_masked(spark):
     assert credentials.candidates(text) == [("token", 4, 4 + len(key), key)]
     masked = credentials.mask_secrets(documents(spark, [(1, text, "en", "a")])).collect()
     assert [r["text"] for r in masked] == [f"key {credentials.MASK} end"]
+
+
+def test_odd_column_names_pass_through(spark):
+    from pyspark.sql import functions as F
+
+    docs = documents(spark, [(1, "password=abcdefgh1 x", "en", "a"), (2, "plain", "en", "a"), (3, None, None, None), (4, "", "en", "a")], clash=True)
+    docs = docs.withColumn("a.b", F.lit("kept")).withColumn("c`d", F.lit(1))
+    got = credentials.mask_secrets(docs)
+    assert got.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "<secret> x", 2: "plain", 3: None, 4: ""}
+    assert {r["a.b"] for r in got.collect()} == {"kept"}

@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from clipstat.llm import mixing, registry
 from tests.llm.helpers import SF, awkward, documents, load, needs_tables
@@ -115,6 +116,24 @@ def test_documents_of_the_mix(spark):
     assert times == want and mixing.mixed_documents(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("ids", [lambda i: 7, lambda i: None, lambda i: i % 3])
+def test_rows_that_share_an_id_have_copies_of_their_own(spark, ids):
+    rows = [(ids(i), "w " * (12 if i % 2 else 20), "en", "a" if i < 70 else "b" if i < 100 else None) for i in range(120)]
+    rows += [(ids(0), None, "en", "a"), (ids(0), "", "en", "b")]
+    docs = documents(spark, rows, clash=True).withColumn("a.b", F.lit("kept")).repartition(3)
+    planned = mixing.mix(docs).collect()
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    taken, found = {}, {}
+    for r in planned:
+        taken[r["doc_id"], r["size"]] = taken.get((r["doc_id"], r["size"]), 0) + r["taken"]
+    for r in out.collect():
+        size = len((r["text"] or "").split())
+        found[r["doc_id"], size] = found.get((r["doc_id"], size), 0) + size
+    assert found == {k: v for k, v in taken.items() if v} | {k: v for k, v in found.items() if not v}
+    assert sum(found.values()) == sum(r["taken"] for r in planned) > 0
+
+
 @needs_tables
 def test_whole_table_equals_sql(spark):
     con = duckdb.connect()

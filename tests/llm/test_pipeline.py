@@ -70,7 +70,7 @@ def test_near_copies_leave_one_document(spark):
 
 def test_every_operator_has_a_query():
     names = [n for n in registry.QUERIES if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in registry.QUERIES
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in registry.QUERIES
     assert set(registry.QUERIES) <= set(entry.queries()) and set(registry.ORACLE) <= set(entry.oracle_sql())
 
 
@@ -78,7 +78,7 @@ def test_every_operator_has_a_query():
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         if os.path.exists(f"{SF}/{t}.parquet"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(registry.ORACLE[name])

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from clipstat.llm import simhash
@@ -134,7 +135,30 @@ def test_one_document_of_each_group_stays(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     want = {d for d, _, c in expected(rows) if d is not None and d == c}
     assert sorted(i for i in ids if i is not None) == sorted(want)
-    assert ids.count(None) == 2  # rows without an id stay, once per text
+    assert ids.count(None) == 0  # the rows without an id are copies of rows with one
+
+
+def words(seed, n=400):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
+
+
+def test_texts_that_share_an_id_stay_and_copies_without_an_id_go(spark):
+    a, b, c, d = (words(i) for i in range(4))
+    near = c.rsplit(" ", 1)[0] + " changed"  # within three bits of c, or else a text of its own
+    rows = [(1, a, "en", "x"), (1, b, "en", "x"), (1, b, "en", "y"), (2, a, "en", "x"), (None, c, "en", "x"), (None, c, "fr", "z"),
+            (None, near, "en", "x"), (None, d, "en", "x"), (3, d, "en", "x")]
+    odd = documents(spark, rows, clash=True).withColumn("a.b", F.lit("kept"))
+    kept = simhash.drop_near_duplicates(odd.repartition(4))
+    assert kept.columns == odd.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    linked = (simhash.simhash(c.encode()) ^ simhash.simhash(near.encode())) & ((1 << 64) - 1)
+    stays = [(1, a), (1, b), (3, d)]
+    if linked.bit_count() <= 3:
+        assert sorted(got[:3], key=str) == sorted(stays, key=str) and len(got) == 4 and got[3][1] in (c, near)
+    else:
+        assert got == sorted([*stays, (None, c), (None, near)], key=str)
+    assert {r["a.b"] for r in kept.collect()} == {"kept"}
 
 
 @needs_tables
