@@ -14,31 +14,34 @@ sidebars, forms, scripts, adverts, notices and reader comments are dropped.  If
 host whose pages share none, the page) has an article, main or article-body element, its slots are
 the main text, otherwise all slots that are left, without the template's own words.
 
-Inside the main region the pages of the host decide: a block that has the same text on every page that
-has it, and is on at least half of them, holds no slot and is dropped whatever its class is called; a
-block that only its class, id or role marks is dropped if ``MIN_PAGES`` pages have it, so that a section
-of one article stays.  Where the pages are too few for a template, the marks alone decide.
-
-Pages meet in chunks of ``CHUNK_PAGES`` to twice as many of one host (fewer only if the host has
-fewer), so a task never holds a host, and a host with a large share of all rows is dealt over many
-tasks.
+Inside the main region the template decides as well.  A container that every
+page has equally often and that holds no slot, only text that the template has too, is dropped whatever its
+class is called; so is one whose slots are links only, on every page (a menu).  Lists, tables and
+paragraphs that merely repeat are article text and stay.  A container that only its class, id or role
+marks is dropped if ``MIN_PAGES`` pages have it, so that a section of one article stays.  Where the pages
+are too few for a template, the marks alone decide.
+
+The pages of a host meet in groups of about ``GROUP_PAGES``, dealt by a hash of the page, so which pages are
+compared depends neither on their length nor on Spark's partitions, and a host with a large share of all
+rows is dealt over many tasks.  A group is held as compressed pages and 64-bit tokens.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import map_rows
+from clipstat.llm.common import map_rows, stage
 from clipstat.llm.urls import host_and_path
 
-CHUNK_PAGES = 128
-CHUNK_CHARS = 1 << 24  # a chunk also ends when its pages are so long together
+GROUP_PAGES = 128
 MIN_PAGES = 3          # distinct pages from which words can be told to be template
 
 # Elements whose content is never text, elements that start a new block, and those that make up paths.
@@ -55,8 +58,10 @@ DROP_WORD = set("ad ads advert adverts advertisement banner breadcrumb breadcrum
                 "popup promo promotion related replies reply respond share sidebar signup social sponsor sponsored subscribe "
                 "toolbar widget".split())
 MAIN_WORD = set("articlebody main".split())
-# Elements of the main region that are dropped if the host has them with one and the same text.
-REGION = set("details div header ol section table ul".split())
+# Containers of the main region that are dropped if the template has them without a slot, and those that
+# are if it has them with links only.
+REGION = set("details div header section".split())
+MENU = REGION | set("ol ul table".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -76,7 +81,8 @@ def _marks(attrs: str) -> tuple[str, frozenset]:
 
 
 class Page:
-    """Tokens of one page: ``items`` are (is tag, value, path number, drop, in main, name).
+    """Tokens of one page: ``items`` are (is tag, value, path number, drop, in main, name of a tag or whether the
+    text is a link's).
 
     ``drop`` is a tuple of path numbers inside the main region, if only words mark the elements there."""
 
@@ -84,15 +90,17 @@ class Page:
         self.items: list[tuple] = []
         self.has_main = False
         stack: list[tuple] = [("", False, False, paths.setdefault((), 0))]
-        at = 0
+        at, link = 0, False
         for m in _TOKEN.finditer(source):
             if m.start() > at:
-                self.items.append((False, source[at:m.start()], stack[-1][3], stack[-1][1], stack[-1][2], ""))
+                self.items.append((False, source[at:m.start()], stack[-1][3], stack[-1][1], stack[-1][2], link))
             at = m.end()
             name = m["name"]
             if not name:
                 continue
             name = name.lower()
+            if name == "a":
+                link = not m["close"]
             if m["close"]:
                 if name in CONTAINER:
                     for i in range(len(stack) - 1, 0, -1):
@@ -117,24 +125,34 @@ class Page:
                     dropped = True if named or not main or dropped is True else (*(dropped or ()), number)
                 stack.append((name, dropped, main, number))
         if at < len(source):
-            self.items.append((False, source[at:], stack[-1][3], stack[-1][1], stack[-1][2], ""))
-        self.units: list[tuple] | None = None
-
-    def tokens(self) -> list[tuple]:
-        """(path, tag) and (path, word) in page order; tags are kept apart from words by a leading ``<``."""
-        out: list[tuple] = []
-        for tag, value, path, *_ in self.items:
+            self.items.append((False, source[at:], stack[-1][3], stack[-1][1], stack[-1][2], link))
+
+    def tokens(self) -> tuple[np.ndarray, np.ndarray]:
+        """64-bit tokens (path, tag), (path, word) and (path, whole text) in page order, and the texts as rows
+        (path, first token, last token + 1, in main, link); the last token of a text is its whole."""
+        out: list[int] = []
+        texts: list[tuple] = []
+        for tag, value, path, _, inside, link in self.items:
             if tag:
-                out.append((path, "<" + value))
-            else:
-                out += [(path, w) for w in value.split()]
-        return out
+                out.append(tag_token(path, value))
+            elif words := value.split():
+                at = len(out)
+                out += [hash((path, w)) for w in words]
+                out.append(hash((path, "", *words)))
+                texts.append((path, at, len(out), inside, link))
+        return np.array(out, dtype=np.int64), np.array(texts, dtype=np.int64).reshape(-1, 5)
+
+
+def tag_token(path: int, value: str) -> int:
+    return hash((path, "<" + value))
 
 
-def template(pages: list[list[tuple]]) -> set:
-    """Template tokens of a chunk of distinct pages, each a list of tokens."""
+def template(pages: list) -> tuple[set, set]:
+    """Template tokens of a group of distinct pages, each a list of tokens, and the tokens of the steady classes,
+    whose vector is the same number on every page."""
     n = len(pages)
     support: Counter = Counter()
+    pages = [p.tolist() if isinstance(p, np.ndarray) else p for p in pages]
     for tokens in pages:
         support.update(set(tokens))
     frequent = {t for t, c in support.items() if 2 * c >= n}
@@ -147,6 +165,7 @@ def template(pages: list[list[tuple]]) -> set:
     for t in frequent:
         classes[tuple(len(w.get(t, ())) for w in places)].append(t)
     skeleton: set = set()
+    steady = {t for vector, members in classes.items() if min(vector) == max(vector) for t in members}
     # largest support first: a class is nested into those that are in already
     order = sorted(classes.items(), key=lambda c: (-sum(1 for k in c[0] if k), max(c[0]), -len(c[1]), sorted(c[1])[0]))
     marks: list[list[int]] | None = None  # places of the skeleton on every page
@@ -159,7 +178,7 @@ def template(pages: list[list[tuple]]) -> set:
             marks = [sorted(w[t][0] for t in skeleton) for w in places]
         elif marks is None or _nested(vector, valid, places, marks):
             skeleton.update(valid)
-    return skeleton
+    return skeleton, steady
 
 
 def _ordered(vector: tuple, members: list, places: list) -> list:
@@ -199,33 +218,43 @@ def _nested(vector: tuple, members: list, places: list, marks: list[list[int]])
     return True
 
 
-def regions(pages: list[Page], paths: dict) -> tuple[set, set]:
-    """Path numbers inside the main region that hold no slot (with all beneath them), and those on ``MIN_PAGES`` pages."""
+def regions(pages: list[tuple[np.ndarray, np.ndarray]], paths: dict, known: set, steady: set) -> set:
+    """Path numbers inside the main region that hold no text of the article (with all beneath them), from the
+    pages' tokens and texts."""
     above = {number: key for key, number in paths.items()}
-    on, texts = Counter(), defaultdict(set)
-    for page in pages:
-        own: dict[int, list] = defaultdict(list)
-        inner = set()
-        for tag, value, path, _, inside, _ in page.items:
-            own[path]  # also paths without text
-            if inside:
-                inner.add(path)
-            if not tag and (words := value.split()):
-                own[path] += words
-        beneath: dict[int, list] = defaultdict(list)
-        for path in sorted(own, reverse=True):  # a path has a larger number than the one above it
-            whole = hash((" ".join(own[path]), *beneath[path]))
-            on[path] += 1
-            if above[path]:
-                beneath[above[path][0]].append(whole)
-            if path in inner:
-                texts[path].add(whole)
-    fixed = {path for path, seen in texts.items() if len(seen) == 1 and on[path] >= MIN_PAGES and 2 * on[path] >= len(pages)
-             and above[path] and above[path][1] in REGION and above[path][0] in texts}
-    for path in sorted(texts):
-        if above[path] and above[path][0] in fixed:
+    inner, slots, unlinked, filled = set(), set(), set(), set()
+    for tokens, texts in pages:
+        for path, lo, hi, inside, link in texts.tolist():
+            if not inside:
+                continue
+            # a text is the template's if it is so as a whole or word by word
+            free = int(tokens[hi - 1]) in known or all(t in known for t in tokens[lo:hi - 1].tolist())
+            marks = [filled] + [slots] * (not free) + [unlinked] * (not link)
+            inner.add(path)
+            while path and any(path not in m for m in marks):
+                for m in marks:
+                    m.add(path)
+                path = above[path][0] if above[path] else 0
+    fixed = set()
+    for path in sorted(filled):
+        up, name, text = above[path]
+        if up in fixed:
+            fixed.add(path)
+        elif tag_token(up, f"{name} {text}") in steady and _in_main(path, above, inner) and (
+                (name in REGION and path not in slots) or (name in MENU and path not in unlinked)):
             fixed.add(path)
-    return fixed, {path for path, n in on.items() if n >= MIN_PAGES}
+    return fixed
+
+
+def _in_main(path: int, above: dict, inner: set) -> bool:
+    """Whether the element stands inside the main region (the region's own element does not)."""
+    up = above[path][0]
+    while up and above[up]:
+        _, name, text = above[up]
+        if name in ("article", "main") or MAIN_WORD & _marks_of(f"{name} {text}"):
+            return True
+        up = above[up][0]
+    return False
 
 
 def render(page: Page, known: set, main: bool, fixed: set = frozenset(), repeated: set | None = None) -> str:
@@ -252,31 +281,48 @@ def render(page: Page, known: set, main: bool, fixed: set = frozenset(), repeate
         if isinstance(dropped, tuple) and repeated is not None:
             dropped = not repeated.isdisjoint(dropped)
         if not dropped and (inside or not main) and not (main and path in fixed):
-            if not main and known and all((path, w) in known for w in value.split()):
+            if not main and known and _templates(path, value, known):
                 continue
             open_.append(entities.unescape(value))
     flush()
     return "\n".join(blocks)
 
 
-def extract_chunk(sources: list[str]) -> list[str]:
-    """Main text of each of some pages of one host."""
+def _templates(path: int, value: str, known: set) -> bool:
+    words = value.split()
+    return hash((path, "", *words)) in known or all(hash((path, w)) in known for w in words)
+
+
+def extract_group(sources: list[bytes]) -> Iterator[str]:
+    """Main text of each of some pages of one host (compressed by ``zlib``).  A page is parsed twice, so
+    that only tokens are held of all pages at once."""
     paths: dict = {}
-    parsed = {s: Page(s, paths) for s in dict.fromkeys(sources)}
-    tokens = [p.tokens() for p in parsed.values()]
-    known = template(tokens) if len(tokens) >= MIN_PAGES else set()
+    order = list(dict.fromkeys(sources))
+    read = lambda source: Page(zlib.decompress(source).decode(), paths)
+    tokens, on, anchors, has_main = [], Counter(), set(), {}
+    for source in order:
+        page = read(source)
+        tokens.append(page.tokens())
+        on.update({path for _, _, path, *_ in page.items})
+        has_main[source] = page.has_main
+        if page.has_main:
+            anchors |= {tag_token(path, value) for tag, value, path, _, _, name in page.items
+                        if tag and value[0] != "/" and (name in ("article", "main") or MAIN_WORD & _marks_of(value))}
+    enough = len(order) >= MIN_PAGES
+    known, steady = template([t for t, _ in tokens]) if enough else (set(), set())
     # does the template have a main region?  on hosts without a template each page answers for itself
-    tags = {t for t in known if t[1].startswith("<")}
-    anchored = {(path, "<" + value) for p in parsed.values() if p.has_main for tag, value, path, _, _, name in p.items
-                if tag and value[0] != "/" and (name in ("article", "main") or MAIN_WORD & _marks_of(value))}
-    shared = bool(tags & anchored)
-    fixed, repeated = regions(list(parsed.values()), paths) if len(tokens) >= MIN_PAGES else (set(), None)
-    done = {}
-    for s, p in parsed.items():
-        main = p.has_main and (shared or not tags or not _template_text(p, known))
-        # a main region that is the same on all pages is still the text
-        done[s] = render(p, known, main, fixed, repeated) or render(p, known, main, repeated=repeated)
-    return [done[s] for s in sources]
+    shared = bool(known & anchors)
+    fixed = regions(tokens, paths, known, steady) if known else set()
+    repeated = {path for path, n in on.items() if n >= MIN_PAGES} if enough else None
+    del tokens
+    done: dict[bytes, str] = {}
+    for source in sources:
+        if source not in done:
+            page = read(source)
+            main = page.has_main and (shared or not known or not _template_text(page, known))
+            # a main region that is the same on all pages is still the text
+            done[source] = render(page, known, main, fixed, repeated) or render(page, known, main, repeated=repeated)
+        yield done[source]
 
 
 def _marks_of(value: str) -> set:
@@ -286,49 +332,39 @@ def _marks_of(value: str) -> set:
 def _template_text(page: Page, known: set) -> bool:
     """Whether any text outside the main region is neither dropped nor template (so that the region that
     the page alone has may be one of several)."""
-    return any(not tag and not dropped and not inside and value.strip() and not all((path, w) in known for w in value.split())
+    return any(not tag and not dropped and not inside and value.strip() and not _templates(path, value, known)
                for tag, value, path, dropped, inside, _ in page.items)
 
 
-def extract(pages: DataFrame, chunk_pages: int = CHUNK_PAGES) -> DataFrame:
+def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages`` (``page_id, url, html``).
 
     A null html is empty and gives an empty text.  Pages whose URL is null or has no host are read as
-    one host.  Repeated rows stay repeated; identical pages count once in occurrence vectors.  An empty
-    table gives an empty result; other columns are ignored.
+    one host.  Repeated rows stay repeated; identical pages count once in occurrence vectors.  Pages of any
+    length are read whole.  An empty table gives an empty result; other columns are ignored.
     """
-    spark = pages.sparkSession
     rows = pages.select("page_id", "url", "html", host_and_path(F.col("url"))[0].alias("_host"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = rows.count()
-    # Hosts with more than a quarter of a task's even share: 4 x partitions of them at most.
-    share = max(chunk_pages, n // (4 * parts))
-    hot = rows.groupBy("_host").count().where(F.col("count") > share).select(
-        "_host", F.ceil(F.col("count") / share).alias("_lots"))
-    rows = rows.join(F.broadcast(hot), "_host", "left").select("page_id", "url", "html", "_host", F.pmod(
+    # written, so that Spark knows its size and broadcasts it only if that is small
+    lots = stage(rows.groupBy("_host").agg(F.ceil(F.count("*") / group_pages).alias("_lots")).where("_lots > 1"), "hosts")
+    rows = rows.join(lots, "_host", "left").select("page_id", "url", "html", "_host", F.pmod(
         F.xxhash64("page_id", "url"), F.coalesce("_lots", F.lit(1))).alias("_lot"))
-    dealt = rows.repartition(parts, "_host", "_lot").sortWithinPartitions("_host", "_lot", "page_id")
+    dealt = rows.repartition("_host", "_lot").sortWithinPartitions("_host", "_lot", "page_id", "url")
 
     def texts(it: Iterator[tuple]) -> Iterable[tuple]:
         held: list[tuple] = []
-        key, chars = None, 0
+        key = None
 
-        def done(some):
-            for (page_id, url, _), text in zip(some, extract_chunk([s for _, _, s in some])):
+        def done():
+            for (page_id, url, _), text in zip(held, extract_group([s for _, _, s in held])):
                 yield page_id, url, text, len(text)
 
-        for page_id, url, source, host, lot_ in it:
-            if held and ((host, lot_) != key or chars > 2 * CHUNK_CHARS):
-                yield from done(held)
-                held, chars = [], 0
-            elif len(held) >= 2 * chunk_pages:
-                yield from done(held[:chunk_pages])
-                held = held[chunk_pages:]
-                chars = sum(len(s) for _, _, s in held)
-            key = (host, lot_)
-            held.append((page_id, url, source or ""))
-            chars += len(source or "")
+        for page_id, url, source, host, lot in it:
+            if held and (host, lot) != key:
+                yield from done()
+                held = []
+            key = (host, lot)
+            held.append((page_id, url, zlib.compress((source or "").encode(), 1)))
         if held:
-            yield from done(held)
+            yield from done()
 
     return map_rows(dealt, texts, "page_id long, url string, text string, n_chars long")
