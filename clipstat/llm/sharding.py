@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipstat.llm.common import ordered_stage, with_rank
+from clipstat.llm.common import ROW_KEY, ordered_stage, quoted, with_rank, with_row_key
 from clipstat.llm.hilbert import hilbert_index
 
 SHARDS = 40
@@ -64,10 +64,15 @@ def shard(docs: DataFrame, shards: int = SHARDS, dims: tuple[str, str] = ("sourc
     ``size`` is the text's UTF-8 bytes (null: none) plus 16; ``law`` is ``rows`` (shards differ by one
     row at most); ``slot`` counts from 0 in each shard.  Null metadata sorts last and is a value like any
     other; rows that tie on every key take neighbouring slots; repeated rows stay repeated; an empty
-    table gives an empty result; other columns are ignored.  Texts are read once and never move.
+    table gives an empty result; other columns are ignored.  Texts of any length are read once and never move.
     """
+    return _placed(docs, shards, dims)
+
+
+def _placed(docs: DataFrame, shards: int, dims: tuple[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of :func:`shard`, and the columns ``keep``."""
     a, b = dims
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b"),
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *keep, "doc_id", F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b"),
                        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
                        text_crc32(F.col("text")).alias("text_crc32"))
     # Joins on a value that holds a third of the rows: the cells are one row for each distinct value,
@@ -76,28 +81,32 @@ def shard(docs: DataFrame, shards: int = SHARDS, dims: tuple[str, str] = ("sourc
         cells = value_cells(docs.select(F.col(a if column == "_a" else b).cast("string").alias(column)), column)
         cells = cells.withColumnRenamed("_cell", f"{column}_cell")
         rows = rows.join(cells, rows[column].eqNullSafe(cells["_value"]), "left").drop("_value")
-    rows = rows.select("_row", "doc_id", "size", "text_crc32", _curve("_a_cell", "_b_cell", size_cell(F.col("size"))).alias("curve"))
+    rows = rows.select("_row", *keep, "doc_id", "size", "text_crc32", _curve("_a_cell", "_b_cell", size_cell(F.col("size"))).alias("curve"))
     ordered = ordered_stage(rows, [F.col("curve"), F.col("doc_id").asc_nulls_last(), F.col("text_crc32"), F.col("_row")], "curve")
     total = ordered.count()
     numbered = with_rank(ordered).withColumn("shard", F.expr(f"cast(_rank * {shards} div {max(total, 1)} as int)"))
     first = F.expr(f"(shard * cast({max(total, 1)} as bigint) + {shards - 1}) div {shards}")
     return numbered.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-                           (F.col("_rank") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
+                           (F.col("_rank") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve", *keep)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, dims: tuple[str, str] = ("source", "lang")) -> DataFrame:
     """Write ``docs`` as one folder a shard, rows in slot order, and return the manifest: for each shard
     its rows, bytes and the smallest and largest value of every dimension, by which readers skip files.
 
-    Rows are matched to their shard by doc_id and text checksum; rows equal in both go to the shard of
-    the smallest slot among them."""
-    placed = shard(docs, shards, dims).groupBy("doc_id", "text_crc32").agg(F.min(F.struct("shard", "slot")).alias("_at"))
-    keyed = docs.withColumn("_crc", text_crc32(F.col("text")))
-    joined = keyed.join(placed.withColumnRenamed("doc_id", "_id"),
-                        keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("text_crc32")))
-    out = joined.select(*[keyed[c] for c in docs.columns], F.col("_at.shard").alias("_shard"), F.col("_at.slot").alias("_slot"))
-    out.repartition(shards, "_shard").sortWithinPartitions("_shard", "_slot").drop("_slot").write.partitionBy("_shard").parquet(path)
+    Rows are told apart by their place in the table, so equal rows spread like all others; other columns,
+    whatever their names, are written along.  Rows are ranged by shard and slot: a shard's files follow one
+    another in slot order, and a task writes about as much as any other.  An empty table writes no shard.
+    The shard's folders are named ``_shard=`` (longer, if a column has that name)."""
+    name = "_shard"
+    while name in docs.columns:
+        name += "_"
+    keyed = with_row_key(docs, "shards")
+    placed = _placed(keyed, shards, dims, tuple(ROW_KEY)).select(*ROW_KEY, F.col("shard").alias("_llm_shard"), F.col("slot").alias("_llm_slot"))
+    ranged = keyed.join(placed, ROW_KEY).repartitionByRange("_llm_shard", "_llm_slot").sortWithinPartitions("_llm_shard", "_llm_slot")
+    ranged.select(*[quoted(c) for c in docs.columns], F.col("_llm_shard").alias(name)).write.partitionBy(name).parquet(path)
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
-    return (docs.sparkSession.read.parquet(path).groupBy(F.col("_shard").alias("shard"))
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.IntegerType())])
+    return (docs.sparkSession.read.schema(schema).parquet(path).groupBy(F.col(name).alias("shard"))
             .agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"), F.min(size).alias("min_size"), F.max(size).alias("max_size"),
                  *[f(c).alias(f"{m}_{c}") for c in dims for m, f in (("min", F.min), ("max", F.max))]))

@@ -1,10 +1,12 @@
 """Hilbert curve, shard law and the written shards."""
 
 import itertools
+import math
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clipstat.llm import sharding
 from clipstat.llm.hilbert import hilbert_index
@@ -67,6 +69,46 @@ def test_written_shards_and_manifest(spark, tmp_dir):
     assert sum(r["rows"] for r in manifest.values()) == len(rows)
 
 
+def plain_shards(rows, shards):
+    """``(doc_id, checksum, shard, slot)`` by the definition: equal-depth cells, curve, one sort, equal runs."""
+    n = len(rows)
+
+    def cells(values):
+        order = sorted(values, key=lambda v: (v is None, v or ""))
+        return {v: 256 * order.index(v) // n for v in set(values)}
+
+    source, lang = cells([r[3] for r in rows]), cells([r[2] for r in rows])
+    size = [len((r[1] or "").encode()) + 16 for r in rows]
+    points = [[source[r[3]], lang[r[2]], min(255, math.floor(math.log2(z) * 8))] for r, z in zip(rows, size)]
+    curve = hilbert_index(np.array(points), 8).tolist()
+    crc = [zlib.crc32((r[1] or "").encode()) for r in rows]
+    order = sorted(range(n), key=lambda i: (curve[i], rows[i][0] is None, rows[i][0] or 0, crc[i]))
+    out, slot = [], {}
+    for rank, i in enumerate(order):
+        shard = rank * shards // n
+        out.append((rows[i][0], crc[i], shard, slot.setdefault(shard, 0)))
+        slot[shard] += 1
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("shards", [1, 7, 40])
+def test_shards_equal_the_plain_version(spark, shards):
+    rows = awkward(800) * 2 + [(100 + i, "x " * i, ["en", "fr", None, "de"][i % 4], ["a", "b", "b", "b", None][i % 5]) for i in range(120)]
+    got = sharding.shard(documents(spark, rows).repartition(3), shards).collect()
+    assert sorted(((r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in got), key=str) == plain_shards(rows, shards)
+
+
+def test_equal_rows_and_clashing_names_are_written_to_their_shards(spark, tmp_dir):
+    rows = [(7, "the same text", "en", "a")] * 100 + [(None, None, None, None)] * 20
+    docs = documents(spark, rows, clash=True).withColumn("_shard", F.lit("x")).withColumn("a.b", F.lit("y")).repartition(3)
+    manifest = {r["shard"]: r["rows"] for r in sharding.write_shards(docs, f"{tmp_dir}/shards", 8).collect()}
+    assert manifest == {s: 15 for s in range(8)}
+    back = spark.read.parquet(f"{tmp_dir}/shards")
+    assert set(back.columns) == {*docs.columns, "_shard_"} and back.count() == 120
+    assert {r["_shard"] for r in back.collect()} == {"x"}
+    assert sharding.write_shards(documents(spark, []), f"{tmp_dir}/none", 8).count() == 0
+
+
 @needs_tables
 def test_whole_table_prunes(spark):
     docs = load(spark, "documents")
