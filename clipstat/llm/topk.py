@@ -3,12 +3,15 @@
 Components are quantised to ``floor(256 * x)``; a component is a term and its value the term's
 weight.  Vectors are ordered so that similar ones are neighbours (by the nearest of a bounded
 sample of pivots) and cut into blocks of ``block`` rows.  The index keeps, for each block, the
-largest and smallest weight of every term and a forward index (ids and weights, one row each).
+largest and smallest weight of every term, its centre and the distance of the farthest row from it, and a
+forward index (ids and weights, one row each).
 
 A query's bound on a block is the sum over terms of the most that the term can add (largest weight
 for a positive query weight, smallest for a negative one).  Each query visits blocks in the order of
 their bounds, scores a whole block through its forward index and stops as soon as the next bound is
 below its k-th score (a block whose bound equals it is still scored, as a smaller id may win a tie).
+On the way it leaves out blocks whose rows are all too near their centre to reach that score: the product
+with a row is at most that with the centre plus the query's length times the distance.
 
 Blocks are held in groups and queries in chunks; a group meets a chunk in one task, after a first
 round that scores each query against its own group to start with a good k-th score.  Only pairs
@@ -63,12 +66,22 @@ class BlockIndex:
         self.ends = np.append(self.cuts[1:], len(ids))
         self.high = np.maximum.reduceat(weights, self.cuts, axis=0)
         self.low = np.minimum.reduceat(weights, self.cuts, axis=0)
+        real = weights.astype(np.float64)
+        self.centre = np.add.reduceat(real, self.cuts, axis=0) / (self.ends - self.cuts)[:, None]
+        away = np.linalg.norm(real - np.repeat(self.centre, self.ends - self.cuts, axis=0), axis=1)
+        self.radius = np.maximum.reduceat(away, self.cuts)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """Summed term maxima, ``[queries, blocks]``."""
         up, down = np.maximum(queries, 0), np.minimum(queries, 0)
         return _product(up, self.high) + _product(down, self.low)
 
+    def ball_bounds(self, queries: np.ndarray) -> np.ndarray:
+        """By centre and radius, ``[queries, blocks]``, in doubles and a little above the exact bound."""
+        q = queries.astype(np.float64)
+        length, far = np.linalg.norm(q, axis=1)[:, None], np.linalg.norm(self.centre, axis=1) + self.radius
+        return q @ self.centre.T + length * self.radius + 1e-9 * length * far + 1.0
+
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``a @ b.T`` of integers, exactly."""
@@ -81,21 +94,24 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(exact, -MOST, MOST).astype(np.int64)
 
 
-def search(index: BlockIndex, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int):
+def search(index: BlockIndex, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int, scored: list | None = None):
     """``query, vec_id, score`` of each query's best ``k`` rows of ``index`` (its own row excluded) that
-    reach ``floor[query]``, block at a time."""
-    bounds = index.bounds(queries)
+    reach ``floor[query]``, block at a time; the number of blocks that each query scored is added to ``scored``."""
+    bounds, balls = index.bounds(queries), index.ball_bounds(queries)
     order = np.argsort(-bounds, axis=1, kind="stable")
     for q in range(len(queries)):
         kth, best_s, best_i = floor[q], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         mine = queries[q:q + 1]
-        step, at = 1, 0
+        step, at, visited = 1, 0, 0
         row = order[q]
         while at < len(row) and bounds[q, row[at]] >= kth:
             take = row[at:at + step]
-            take = take[bounds[q, take] >= kth]
+            take = take[(bounds[q, take] >= kth) & (balls[q, take] >= kth)]
             at += step
             step = min(step * 2, 16)  # after the best block, a few at once
+            if not len(take):
+                continue
+            visited += len(take)
             rows = np.concatenate([np.arange(index.cuts[b], index.ends[b]) for b in take])
             s, i = _product(index.weights[rows], mine)[:, 0], index.ids[rows]
             keep = (s >= kth) & (i != query_ids[q])
@@ -106,6 +122,8 @@ def search(index: BlockIndex, query_ids: np.ndarray, queries: np.ndarray, floor:
             best_s, best_i = best_s[top], best_i[top]
             if len(best_s) == k:
                 kth = max(kth, best_s[-1])
+        if scored is not None:
+            scored.append(visited)
         for s, i in zip(best_s.tolist(), best_i.tolist()):
             yield int(query_ids[q]), i, s
 
@@ -203,7 +221,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
         return map_rows(work, rows, "query_id long, vec_id long, score long")
 
     def bounded(kth: DataFrame | None) -> DataFrame:
-        """``grp, chunk, best`` of the pairs in which a group-wide bound reaches a query's k-th score.
+        """``grp, chunk, best`` of the pairs in which a group-wide bound reaches a query's k-th score; without
+        k-th scores, of each chunk and list the group with the best bound for the chunk's sum.
 
         Small rows (term maxima of groups) meet whole chunks, never rows with rows."""
         tops = groups.select("grp", "high", "low")
@@ -215,6 +234,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
         # lists of 256 groups are dealt to every chunk
         lists = tops.groupBy(F.expr("grp div 256").alias("list")).agg(F.collect_list(F.struct("grp", "high", "low")).alias("tops"))
         numbers = [r["list"] for r in lists.select("list").collect()]
+        best_only = kth is None
         dealt = per_chunk.withColumn("list", F.explode(F.array(*[F.lit(x) for x in numbers]))).join(lists, "list")
 
         def rows(it: Iterator[tuple]) -> Iterable[tuple]:
@@ -226,6 +246,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
                 low = np.concatenate([_unpack(t["low"], dim) for t in tops])
                 bound = _product(np.maximum(q, 0), high) + _product(np.minimum(q, 0), low)
                 mean = _product(q.sum(axis=0, keepdims=True), high + low)[0]
+                if best_only:
+                    g = max(range(len(tops)), key=lambda i: (mean[i], tops[i]["grp"]))
+                    yield tops[g]["grp"], c, int(np.clip(mean[g], -MOST, MOST))
+                    continue
                 for g, t in enumerate(tops):
                     if (bound[:, g] >= start).any():
                         yield t["grp"], c, int(np.clip(mean[g], -MOST, MOST))

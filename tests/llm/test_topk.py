@@ -44,6 +44,27 @@ def test_equals_brute_force(spark, options):
     assert found(df, 10, **options) == plain(rows, 10)
 
 
+def test_blocks_are_left_out_where_vectors_differ():
+    """Rows around five centres: a query scores few of the blocks, and finds the same as a full scan."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 1, (5, 16)) * 256
+    rows = np.floor(np.repeat(centres, 200, axis=0) + rng.normal(0, 8, (1000, 16))).astype(np.int64)
+    index = topk.BlockIndex(np.arange(1000), rows, 20)
+    asked, scored = rows[::50], []
+    got = list(topk.search(index, np.arange(0, 1000, 50), asked, np.full(20, -topk.MOST), 5, scored))
+    want = []
+    for q in range(0, 1000, 50):
+        best = sorted((-int(s), i) for i, s in enumerate(rows @ rows[q]) if i != q)[:5]
+        want += [(q, i, -s) for s, i in best]
+    assert sorted(got) == sorted(want) and len(scored) == 20
+    assert sum(scored) < 0.3 * 20 * 50, sum(scored) / (20 * 50)
+    exact = rows[::50] @ rows.T
+    for b, (lo, hi) in enumerate(zip(index.cuts, index.ends)):
+        assert (index.bounds(asked)[:, b] >= exact[:, lo:hi].max(axis=1)).all() and (index.ball_bounds(asked)[:, b] >= exact[:, lo:hi].max(axis=1)).all()
+
+
 def test_awkward_rows(spark):
     rows = [(0, [1.0, 2.0], 0), (1, None, 0), (2, [float("nan"), 1.0], 0), (3, [float("inf"), 1.0], 0), (4, [None, 1.0], 0), (None, [1.0, 1.0], 0),
             (5, [0.5], 0), (6, [], 0), (10, [-1.0, 3.0], 0), (7, [1.0, 2.0], 0), (8, [1.0, 2.0], None), (0, [1.0, 2.0], 0)]
