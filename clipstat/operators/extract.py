@@ -131,6 +131,15 @@ def _rank_in(videos: DataFrame, by) -> DataFrame:
     return videos.withColumn("_rank", F.row_number().over(w))
 
 
+def _first_pages(videos: DataFrame, n: int, by) -> DataFrame:
+    """Pages of every playlist before which it has fewer than ``n`` videos, with their number ``_k``: one row a
+    page, counted before the shuffle."""
+    per_page = videos.groupBy(*by, "page_no").agg(F.count(F.lit(1)).alias("_k"))
+    w = Window.partitionBy(*by).orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_k").over(w), F.lit(0))
+    return per_page.withColumn("_before", before).where(F.col("_before") < n).drop("_before")
+
+
 def first_n(videos: DataFrame, n: int | None = DEFAULT_MAX_RESULTS, by=None) -> DataFrame:
     """First ``n`` videos in paging order (``TakeOrderedAndProject``: a bounded top-n);
     ``None`` keeps all.
@@ -138,16 +147,17 @@ def first_n(videos: DataFrame, n: int | None = DEFAULT_MAX_RESULTS, by=None) ->
     With ``by`` the first ``n`` of every playlist: ``row_number() <= n`` is planned as a
     partial ``WindowGroupLimit`` before the shuffle, so a channel holding a third of all
     rows still sends at most ``n`` rows per map task.  Spark plans it up to a session
-    threshold only, which is raised to ``n`` here.
+    threshold only; beyond it the pages that hold the first ``n`` are told first, and the
+    shuffle moves their videos.
     """
     if n is None:
         return videos
     if not by:
         return videos.orderBy("page_no", "pos").limit(n)
-    conf, key = videos.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(key, "1000")) < n:
-        conf.set(key, str(n))
-    return _rank_in(videos, list(by)).where(F.col("_rank") <= n).drop("_rank")
+    by = list(by)
+    if n > int(videos.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        videos = videos.join(_first_pages(videos, n, by).drop("_k"), [*by, "page_no"], "left_semi")
+    return _rank_in(videos, by).where(F.col("_rank") <= n).drop("_rank")
 
 
 def _summary_row(n: int | None, *keys) -> list:
@@ -169,14 +179,14 @@ def extraction_summary(videos: DataFrame, n: int | None = DEFAULT_MAX_RESULTS, b
     if n is None:
         counted = videos.groupBy(*by).agg(F.count(F.lit(1)).alias("videos_fetched"))
         return counted.select(*_summary_row(n, *by))
-    per_page = videos.groupBy(*by, "page_no").agg(F.count(F.lit(1)).alias("_k"))
-    if not by:
+    if by:
+        pages = _first_pages(videos, n, by)
+    else:
         # at least one video a page, so the first n pages always suffice
-        per_page = per_page.orderBy("page_no").limit(n)
-    w = Window.partitionBy(*by).orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_k").over(w), F.lit(0))
-    fetched = (per_page.withColumn("_before", before).where(F.col("_before") < n)
-                       .groupBy(*by).agg(F.coalesce(F.sum("_k"), F.lit(0)).cast("bigint").alias("videos_fetched")))
+        first = videos.groupBy("page_no").agg(F.count(F.lit(1)).alias("_k")).orderBy("page_no").limit(n)
+        w = Window.orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+        pages = first.withColumn("_before", F.coalesce(F.sum("_k").over(w), F.lit(0))).where(F.col("_before") < n)
+    fetched = pages.groupBy(*by).agg(F.coalesce(F.sum("_k"), F.lit(0)).cast("bigint").alias("videos_fetched"))
     return fetched.select(*_summary_row(n, *by))
 
 

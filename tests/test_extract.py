@@ -203,9 +203,17 @@ def test_many_playlists_match_one_at_a_time(spark):
         s = extract.extraction_summary(one_ids, 5).first()
         assert many_summary[pl] == (s.videos_fetched, s.videos_returned, s.quota_units)
     assert many_summary["A"] == (3, 3, 0) and many_summary["B"] == (1, 1, 0) and many_summary["C"] == (6, 5, 0)
-    for n in (5, 1500):  # beyond Spark's default threshold as well
-        plan = extract.first_n(ids, n, by=["playlist_id"])._jdf.queryExecution().executedPlan().toString()
-        assert "WindowGroupLimit" in plan
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
+    plan = extract.first_n(ids, 5, by=["playlist_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    try:
+        spark.conf.set(key, "3")  # beyond the threshold the pages are told first, with the same rows
+        beyond = extract.first_n(ids, 5, by=["playlist_id"])
+        assert sorted(tuple(r) for r in beyond.collect()) == many_first
+        assert "WindowGroupLimit" not in beyond._jdf.queryExecution().executedPlan().toString() and spark.conf.get(key) == "3"
+    finally:
+        spark.conf.set(key, old)
 
 
 def test_first_of_several_landed_names_counts(spark):
