@@ -112,6 +112,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPI
     empty table gives an empty result; other columns, whatever their names, pass through."""
     keyed = with_row_key(docs, "mix")
     copies = plan(keyed, weights, max_copies, seed, tuple(ROW_KEY)).where("copies > 0").select(*ROW_KEY, F.col("copies").alias("_llm_copies"))
-    taken = keyed.join(stage(copies, "copies"), ROW_KEY)
+    # the keys grow with the table: never broadcast, and the same plan at every size
+    taken = keyed.join(stage(copies, "copies").hint("merge"), ROW_KEY)
     each = taken.withColumn("_llm_copies", F.explode(F.sequence(F.lit(1), F.col("_llm_copies").cast("int"))))
     return each.select(*[quoted(c) for c in docs.columns])

@@ -343,4 +343,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -
     first = fps.join(_classes(fps, max_bits), "fp").groupBy("cls").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", *ROW_KEY)).alias("first"))
     kept = stage(first.select(*[F.col(f"first.{c}").alias(c) for c in ROW_KEY]), "kept")
-    return keyed.join(kept, ROW_KEY, "left_semi").select(*[quoted(c) for c in docs.columns])
+    # the keys grow with the table: never broadcast, and the same plan at every size
+    return keyed.join(kept.hint("merge"), ROW_KEY, "left_semi").select(*[quoted(c) for c in docs.columns])
