@@ -178,64 +178,48 @@ def _rotated(fp, band, width):
 def _tasks(nodes: DataFrame, max_bits: int, node_limit: int) -> DataFrame:
     """``task, side, first, code, fp``: which fingerprints meet in which pair of trie nodes.
 
-    Counts per node come to the driver only for nodes above ``node_limit``, of which there are
-    at most ``(max_bits + 1) * N / node_limit``.
+    Nodes above ``node_limit`` are met as pairs of their descendants, 8 bits deeper each round: a join of the
+    pairs that are left with the children of their nodes, which drops those beyond the error budget.  Nodes
+    and pairs are tables; nothing about them passes through the driver.
     """
-    spark = nodes.sparkSession
     bands = max_bits + 1
     width = 64 // bands
     dealt = nodes.select("fp", F.explode(F.array(*[
         F.struct(F.lit(b).alias("band"), _rotated(F.col("fp"), b, width).alias("code")) for b in range(bands)
     ])).alias("r")).select("fp", "r.*")
 
-    def node(depth):
-        return F.shiftrightunsigned("code", 64 - depth)
+    def at(depth):
+        return dealt.withColumn("node", F.shiftrightunsigned("code", 64 - depth) if depth < 64 else F.col("code"))
 
-    keyed = dealt.withColumn("node", node(width))
-    big = {(b, n): c for b, n, c in keyed.groupBy("band", "node").count()
-           .where(F.col("count") > node_limit).collect()}
-    root_task = F.xxhash64("band", "node")
-    if not big:
-        return keyed.select(root_task.alias("task"), F.lit(0).alias("side"), F.lit(width).alias("first"), "code", "fp")
-
-    def hot(keys, col="node"):
-        return F.broadcast(spark.createDataFrame(sorted(keys), f"band int, {col} long"))
-
-    parts = [keyed.join(hot(big), ["band", "node"], "left_anti").select(
-        root_task.alias("task"), F.lit(0).alias("side"), F.lit(width).alias("first"), "code", "fp")]
-    pairs = [(b, n, n, 0) for b, n in big]
+    keyed = at(width)
+    big = stage(keyed.groupBy("band", "node").count().where(F.col("count") > node_limit).select("band", "node"), "trie-big")
+    root = [F.xxhash64("band", "node").alias("task"), F.lit(0).alias("side"), F.lit(width).alias("first"), "code", "fp"]
+    if big.isEmpty():
+        return keyed.select(*root)
+    out = keyed.join(big, ["band", "node"], "left_anti").select(*root)
+    pairs = big.select("band", F.col("node").alias("p"), F.col("node").alias("q"), F.lit(0).alias("errors"))
     depth = width
-    while pairs:
+    while not pairs.isEmpty():
         step = min(8, 64 - depth)
-        parents = {(b, n) for b, p, q, _ in pairs for n in (p, q)}
-        under = dealt.withColumn("node", node(depth)).join(hot(parents), ["band", "node"], "left_semi")
+        parents = pairs.select("band", F.col("p").alias("node")).union(pairs.select("band", "q")).distinct()
+        deeper = F.shiftrightunsigned("code", 64 - depth - step) if depth + step < 64 else F.col("code")
+        kids = stage(at(depth).join(parents, ["band", "node"], "left_semi").groupBy("band", "node", deeper.alias("child")).count(), "trie-nodes")
         depth += step
-        size, kids = {}, {}
-        for b, n, c in under.groupBy("band", node(depth).alias("child")).count().collect():
-            size[b, n] = c
-            kids.setdefault((b, (n & ((1 << 64) - 1)) >> step), []).append(n)  # at depth 64 n is signed
-        done, todo = [], []
-        for b, p, q, e in pairs:
-            for x in kids.get((b, p), ()):
-                for y in kids.get((b, q), ()):
-                    if p == q and y < x:
-                        continue
-                    errors = e + ((x ^ y) & ((1 << step) - 1)).bit_count()
-                    if errors > max_bits:
-                        continue
-                    load = size[b, x] + (size[b, y] if x != y else 0)
-                    (done if load <= node_limit or depth == 64 else todo).append((b, x, y, errors))
-        pairs = todo
-        if done:
-            sides = spark.createDataFrame(
-                [(b, n, (depth << 40) + k, s)
-                 for k, (b, x, y, _) in enumerate(done) for s, n in enumerate((x, y) if x != y else (x,))],
-                "band int, node long, task long, side int")
-            parts.append(dealt.withColumn("node", node(depth)).join(F.broadcast(sides), ["band", "node"]).select(
-                "task", "side", F.lit(depth).alias("first"), "code", "fp"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        side = lambda parent, child, n: kids.select("band", F.col("node").alias(parent), F.col("child").alias(child), F.col("count").alias(n))
+        differ = F.bit_count(F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit((1 << step) - 1)))
+        met = (pairs.join(side("p", "x", "n_x"), ["band", "p"]).join(side("q", "y", "n_y"), ["band", "q"])
+               .where((F.col("p") != F.col("q")) | (F.col("x") <= F.col("y")))
+               .withColumn("errors", F.col("errors") + differ).where(F.col("errors") <= max_bits))
+        load = F.col("n_x") + F.when(F.col("x") != F.col("y"), F.col("n_y")).otherwise(0)
+        met = stage(met.select("band", F.col("x").alias("p"), F.col("y").alias("q"), "errors",
+                               ((load <= node_limit) | (F.lit(depth) == 64)).alias("small")), "trie-pairs")
+        # numbers of small pairs: the depth above the row's number
+        number = F.lit(depth << 56).bitwiseOR(F.monotonically_increasing_id())
+        numbered = met.where("small").withColumn("task", number)  # before the pair becomes two rows
+        sides = numbered.select("band", "task", "p", F.explode(F.array_distinct(F.array("p", "q"))).alias("node")).select(
+            "band", "node", "task", F.when(F.col("node") == F.col("p"), 0).otherwise(1).alias("side"))
+        out = out.unionByName(at(depth).join(sides, ["band", "node"]).select("task", "side", F.lit(depth).alias("first"), "code", "fp"))
+        pairs = met.where("not small").drop("small")
     return out
 
 
