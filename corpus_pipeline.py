@@ -13,27 +13,33 @@ from clipstat.llm.common import stage, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go."""
+    """Documents whose language cannot be told go: null and empty texts, texts without a letter, and scores
+    under the bound.  Texts of any length are judged whole, repeated rows alike; an empty table stays empty."""
     return langid.keep_identified(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays."""
+    """One document of each SimHash group stays: the smallest doc_id, null ids last, ties by fingerprint, then any
+    one.  Rows that share an id without being near copies all stay; an empty table stays empty."""
     return simhash.drop_near_duplicates(docs, shingle=3, max_bits=3)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Live-looking credentials are masked; documents stay."""
+    """Live-looking credentials are masked; documents stay, null, empty and repeated ones too.  Texts of any
+    length are scanned whole; an empty table stays empty."""
     return credentials.mask_secrets(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the target weights of its source ask for."""
+    """Each document as often as the target weights of its source ask for.  Equal rows and rows that share an id
+    have copies of their own; null sources are one source; null and empty texts weigh nothing; ties go by id
+    and size; an empty table stays empty."""
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences along the Hilbert curve, one row for each piece."""
+    """Token sequences along the Hilbert curve, one row for each piece.  Null and empty texts have their end token;
+    a text of any length is cut into pieces; repeated rows are packed each; an empty table gives no piece."""
     return packing.pack(docs)
 
 
