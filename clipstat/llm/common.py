@@ -56,17 +56,21 @@ def quoted(name: str) -> Column:
 def with_row_key(df: DataFrame, name: str) -> DataFrame:
     """``df`` with two columns that tell its rows apart: a hash of the Parquet file's path and the row's place
     in the file.  However often and by whatever executors the rows are read, the key stays (unlike a
-    number given by the partition).  Rows that do not come straight from Parquet files are staged first."""
+    number given by the partition).  Rows that do not come straight from Parquet files, or may have been
+    multiplied on the way (by a join or an explode), are staged first."""
     def key(rows: DataFrame) -> DataFrame:
         meta = rows.select(*[quoted(c) for c in df.columns], F.xxhash64("_metadata.file_path").alias(ROW_KEY[0]),
                            F.col("_metadata.row_index").alias(ROW_KEY[1]))
         meta.schema  # analysed here
         return meta
 
-    try:
-        return key(df)
-    except AnalysisException:
-        return key(stage(df, name))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    if all(line.strip(" :+-").split(" ")[0] in ("Project", "Filter", "Relation", "SubqueryAlias") for line in plan.strip().splitlines()):
+        try:
+            return key(df)
+        except AnalysisException:
+            pass
+    return key(stage(df, name))
 
 
 def ordered_stage(df: DataFrame, keys: list[Column], name: str) -> DataFrame:

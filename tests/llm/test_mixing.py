@@ -116,6 +116,20 @@ def test_documents_of_the_mix(spark):
     assert times == want and mixing.mixed_documents(documents(spark, [])).count() == 0
 
 
+def test_row_keys_tell_multiplied_rows_apart(spark, tmp_dir):
+    from clipstat.llm.common import ROW_KEY, with_row_key
+
+    spark.range(50).repartition(3).write.parquet(f"{tmp_dir}/t")
+    read = spark.read.parquet(f"{tmp_dir}/t")
+    twice = read.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    for df, n, staged in ((read, 50, False), (read.where("id < 20").select("id"), 20, False), (twice, 100, True), (read.join(read, "id"), 50, True),
+                          (read.unionByName(read), 100, True), (spark.range(7), 7, True)):
+        keyed = with_row_key(df, "keys")
+        assert keyed.columns == [*df.columns, *ROW_KEY] and keyed.select(*ROW_KEY).distinct().count() == n == keyed.count()
+        assert ("llm-keys" in "".join(keyed.inputFiles())) == staged
+    assert sorted(map(tuple, with_row_key(read, "keys").collect())) == sorted(map(tuple, with_row_key(read, "keys").repartition(7).collect()))
+
+
 @pytest.mark.parametrize("ids", [lambda i: 7, lambda i: None, lambda i: i % 3])
 def test_rows_that_share_an_id_have_copies_of_their_own(spark, ids):
     rows = [(ids(i), "w " * (12 if i % 2 else 20), "en", "a" if i < 70 else "b" if i < 100 else None) for i in range(120)]
