@@ -44,18 +44,25 @@ def _stop_bound(columns) -> Column:
                    F.min(F.when(~empty & no_token, F.col("page_no"))))
 
 
-def crawled_pages(pages: DataFrame, by=None) -> DataFrame:
+def crawl_bounds(pages: DataFrame, by) -> DataFrame:
+    """``(*by, _last)``: the last page each playlist's crawl reads, one row per playlist."""
+    return pages.groupBy(*by).agg(_stop_bound(pages.columns).alias("_last"))
+
+
+def crawled_pages(pages: DataFrame, by=None, bounds: DataFrame | None = None) -> DataFrame:
     """Pages (or their :func:`page_heads`) that the crawl reads, following the paging loop: stop before
     the first page with no ids and after the first page without a next-page token.
 
     ``by`` (e.g. ``["playlist_id"]``) crawls many playlists at once: the bound is one
-    aggregate row per playlist, joined back on the key (small, so AQE broadcasts it).
+    aggregate row per playlist, joined back on the key.  ``bounds`` are the :func:`crawl_bounds`
+    of these pages if they are staged: Spark then knows their size before it runs, and shuffles
+    no page where they are small.
     """
     if not by:
         bound = pages.agg(_stop_bound(pages.columns)).scalar()
         return pages.where(F.col("page_no") <= F.coalesce(bound, F.lit(MAX_PAGE)))
     by = list(by)
-    bounds = pages.groupBy(*by).agg(_stop_bound(pages.columns).alias("_last"))
+    bounds = crawl_bounds(pages, by) if bounds is None else bounds
     return (pages.join(bounds, by, "inner")
                  .where(F.col("page_no") <= F.coalesce(F.col("_last"), F.lit(MAX_PAGE))).drop("_last"))
 
@@ -115,7 +122,9 @@ def page_videos(pages: DataFrame, detail_pages: DataFrame, by=()) -> DataFrame:
     As the crawl appends response items as they come, order and multiplicity follow the
     response and not the id list: an id without an item vanishes, an id asked twice and
     answered once counts once.  Only the keys of the crawled pages are joined; a response
-    is never matched row by row.  An item without ``id`` fails the query.
+    is never matched row by row.  Where these keys are staged and few, Spark broadcasts them and takes
+    the join below whatever builds the responses, so responses outside the crawl are not shuffled.
+    An item without ``id`` fails the query.
     """
     keys = [*by, "page_no"]
     answered = detail_pages.join(pages.select(*keys), keys, "left_semi")

@@ -249,3 +249,52 @@ def test_crawl_from_heads_equals_the_crawl_from_pages(spark):
     heads = extract.page_heads(pages)
     assert heads.columns == ["page_no", "n_ids", "nextPageToken"]
     assert sorted(r.page_no for r in extract.crawled_pages(heads).collect()) == sorted(r.page_no for r in extract.crawled_pages(pages).collect()) == [1, 2]
+
+
+def shop_tables(spark, root, orders, parts=100):
+    """``lineitem`` of two lines an order and ``part``, as the fixtures read them; gives the rows back."""
+    lines = [(k, n, part) for k in range(orders) for n, part in ((1, k % parts), (2, (k * 7 + 1) % parts))]
+    spark.createDataFrame([(k, n, part, part % 7, float(n), 1.5 * part) for k, n, part in lines],
+                          "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double") \
+         .withColumn("l_shipdate", F.lit("1999-01-02 00:00:00").cast("timestamp_ntz")).write.parquet(f"{root}/lineitem.parquet")
+    spark.createDataFrame([(p, f"part {p}", p % 50 + 1) for p in range(parts)], "p_partkey bigint, p_name string, p_size int") \
+         .coalesce(1).write.parquet(f"{root}/part.parquet")
+    return lines
+
+
+def test_a_short_crawl_of_many_pages_is_joined_before_the_responses_are_built(spark, tmp_dir):
+    """All pages' heads are too large to be broadcast, the crawled pages' keys are not: the join by them
+    comes below the grouping of the responses, and no head is shuffled to meet its playlist's bound."""
+    from clipstat.plans import fixtures as fx
+    from clipstat.plans import registry
+
+    parts, want = {}, {}
+    for k, _, part in shop_tables(spark, tmp_dir, 30000):
+        parts.setdefault(k, set()).add(part)
+    for playlist in range(fx.PLAYLISTS):
+        fetched = 0
+        for k in range(playlist, 30000, fx.PLAYLISTS):
+            if k % 97 == 13 or fetched >= fx.CHANNEL_RESULTS:
+                break
+            fetched += sum((p % 50 + 1) % 10 != 0 for p in parts[k])
+            if k % 89 == 5:
+                break
+        if fetched:
+            want[f"U{playlist}"] = (fetched, min(fetched, fx.CHANNEL_RESULTS), fetched // 50 * 2)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64k")
+        made = registry.channel_summary(spark, tmp_dir)
+        assert {r.playlist_id: (r.videos_fetched, r.videos_returned, r.quota_units) for r in made.collect()} == want
+        for query in (made, registry.channel_extract(spark, tmp_dir)):
+            plan = query._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.index("collect_list") < plan.index("LeftSemi")
+        heads = spark.createDataFrame([("A", 1, 1, "t"), ("A", 2, 0, "t"), ("B", 1, 1, None), ("B", 2, 1, "t")],
+                                      "playlist_id string, page_no bigint, n_ids int, nextPageToken string")
+        extract.crawl_bounds(heads, ["playlist_id"]).write.parquet(f"{tmp_dir}/bounds")
+        crawl = extract.crawled_pages(heads, ["playlist_id"], spark.read.parquet(f"{tmp_dir}/bounds"))
+        assert sorted((r.playlist_id, r.page_no) for r in crawl.collect()) == [("A", 1), ("B", 1)]
+        assert "BroadcastHashJoin" in crawl._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
