@@ -120,9 +120,9 @@ def pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> Dat
     items in a fixed order.  Pages whose key leaves 13 modulo 97 have no items, pages whose
     key leaves 5 modulo 89 have no next-page token."""
     li = _read(fx, spark, sf_dir, "lineitem")
-    grouped = li.groupBy(F.col("l_orderkey").alias("page_no")).agg(F.sort_array(F.collect_list(
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")))
-        .alias("_lines"))
+    # equal line numbers and parts give equal items, so further columns cannot change their order
+    grouped = li.groupBy(F.col("l_orderkey").alias("page_no")).agg(
+        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("_lines"))
     item = lambda x: F.struct(F.struct(F.struct(x["l_partkey"].cast("string").alias("videoId"))
                                        .alias("resourceId")).alias("snippet"))
     key = F.col("page_no")
@@ -150,12 +150,11 @@ def detail_pages(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None)
     """Detail responses ``(playlist_id, page_no, items)``: each part of an order once, largest
     key first, without those that have no details."""
     li = _read(fx, spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page_no"), "l_partkey").distinct()
-    found = details(spark, sf_dir, fx).withColumn("_part", F.col("item.id").cast("bigint"))
-    grouped = (li.join(found, F.col("l_partkey") == F.col("_part"))
-                 .groupBy("page_no").agg(F.collect_list(F.struct((-F.col("_part")).alias("_part"), "item")).alias("_found")))
-    # maps cannot be sorted: order the keys, then take the items in that order
-    items = F.transform(F.array_sort("_found", lambda x, y: F.when(x["_part"] < y["_part"], -1)
-                                     .when(x["_part"] > y["_part"], 1).otherwise(0)), lambda x: x["item"])
+    found = _detailed_parts(fx, spark, sf_dir).select("p_partkey", "p_name", "p_size")
+    # a part's few columns are shuffled, its item (four times as large) is made from them afterwards
+    grouped = (li.join(found, F.col("l_partkey") == F.col("p_partkey"))
+                 .groupBy("page_no").agg(F.collect_list(F.struct("p_partkey", "p_name", "p_size")).alias("_found")))
+    items = F.transform(F.sort_array("_found", asc=False), lambda x: _video_item(x["p_partkey"], x["p_name"], x["p_size"]))
     return grouped.select(F.concat(F.lit("U"), (F.col("page_no") % PLAYLISTS).cast("string")).alias("playlist_id"),
                           "page_no", items.alias("items"))
 
@@ -187,21 +186,26 @@ def envelopes(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) ->
                                     {"ignoreNullFields": "true"}).alias("value"))
 
 
-def details(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
-    """Videos-API items (``schemas.VIDEO_ITEM``) for parts whose size is not a multiple
-    of ten; column ``item``."""
-    p = _read(fx, spark, sf_dir, "part").where(F.col("p_size") % 10 != 0)
-    p = p.withColumn("_secs", (F.col("p_partkey") * 37) % 4000)
-    key, size = F.col("p_partkey"), F.col("p_size")
+def _detailed_parts(fx, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(fx, spark, sf_dir, "part").where(F.col("p_size") % 10 != 0)
+
+
+def _video_item(key, name, size) -> "F.Column":
     published = F.concat(F.lit("2020-01-"), F.lpad((size % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z"))
-    item = F.struct(
+    return F.struct(
         key.cast("string").alias("id"),
-        F.create_map(F.lit("title"), F.col("p_name"), F.lit("publishedAt"), published).alias("snippet"),
+        F.create_map(F.lit("title"), name, F.lit("publishedAt"), published).alias("snippet"),
         F.create_map(F.lit("viewCount"), (size * 1000).cast("string"), F.lit("likeCount"), size.cast("string"),
                      F.lit("commentCount"), (key % 17).cast("string")).alias("statistics"),
-        F.create_map(F.lit("duration"), seconds_to_iso8601("_secs")).alias("contentDetails"),
+        F.create_map(F.lit("duration"), seconds_to_iso8601((key * 37) % 4000)).alias("contentDetails"),
     )
-    return p.select(item.alias("item"))
+
+
+def details(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:
+    """Videos-API items (``schemas.VIDEO_ITEM``) for parts whose size is not a multiple
+    of ten; column ``item``."""
+    p = _detailed_parts(fx, spark, sf_dir)
+    return p.select(_video_item(F.col("p_partkey"), F.col("p_name"), F.col("p_size")).alias("item"))
 
 
 def items(spark: SparkSession, sf_dir: str, fx: "Fixtures | None" = None) -> DataFrame:

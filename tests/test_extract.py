@@ -298,3 +298,27 @@ def test_a_short_crawl_of_many_pages_is_joined_before_the_responses_are_built(sp
         assert "BroadcastHashJoin" in crawl._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(key, old)
+
+
+def test_responses_are_grouped_from_few_columns_of_a_part(spark, tmp_dir):
+    """What is shuffled to group a page is a line's or a part's few columns: no item's maps, no prices or dates.
+    Repeated lines count once in a response, repeated parts each time; a null name is kept."""
+    from clipstat.plans import fixtures as fx
+
+    spark.createDataFrame([(1, 1, 3, 9.5), (1, 2, 4, 1.5), (1, 2, 4, 2.5), (1, 3, 5, 0.5), (2, 1, 10, 7.5), (2, 2, None, 7.5), (None, 1, 3, 1.5)],
+                          "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_extendedprice double") \
+         .selectExpr("*", "1 AS l_suppkey", "2.5D AS l_quantity", "TIMESTAMP_NTZ'1999-01-02 00:00:00' AS l_shipdate").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.createDataFrame([(3, "c", 1), (4, None, 30), (4, "d", 7), (5, "e", 12), (5, "e", 12), (10, "x", None)],
+                          "p_partkey bigint, p_name string, p_size int").write.parquet(f"{tmp_dir}/part.parquet")
+    answers = fx.detail_pages(spark, tmp_dir)
+    got = {r.page_no: (r.playlist_id, [(x["id"], x.snippet["title"], x.statistics["likeCount"], x.contentDetails["duration"]) for x in r["items"]])
+           for r in answers.collect()}
+    assert got == {1: ("U1", [("5", "e", "12", "PT3M5S"), ("5", "e", "12", "PT3M5S"), ("4", "d", "7", "PT2M28S"), ("3", "c", "1", "PT1M51S")]),
+                   None: (None, [("3", "c", "1", "PT1M51S")])}
+    assert answers.schema["items"].dataType.elementType == fx.details(spark, tmp_dir).schema["item"].dataType
+    asked = fx.pages(spark, tmp_dir)
+    assert {r.page_no: [x.snippet.resourceId.videoId for x in r["items"]] for r in asked.collect()} == {1: ["3", "4", "4", "5"], 2: ["10", None], None: ["3"]}
+    for made, absent in ((answers, ["map("]), (asked, ["l_shipdate", "l_extendedprice", "l_quantity"])):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("partial_collect_list"):]
+        assert [text for text in absent if text in below] == []
