@@ -71,12 +71,11 @@ def _resolved(spark: SparkSession, layout: LandedLayout, handles: DataFrame, mad
 
 
 def _crawled_videos(pages: DataFrame, detail_pages: DataFrame, made: list[str], by=()) -> DataFrame:
-    """Videos of the crawled pages as a work table; the pages are parsed once.  Of many playlists the bounds
-    and the keys of the crawled pages are staged too: their sizes decide how they are joined."""
+    """Videos of the crawled pages as a work table; the pages are parsed once.  Of many playlists the keys
+    of the crawled pages are staged too: their size decides how the responses are joined."""
     heads = work_table(extract.page_heads(pages, by), "heads", made)
     if by:
-        bounds = work_table(extract.crawl_bounds(heads, by), "bounds", made)
-        crawl = work_table(extract.crawled_pages(heads, by, bounds).select(*by, "page_no"), "crawl", made)
+        crawl = work_table(extract.crawled_pages(heads, list(by)).select(*by, "page_no"), "crawl", made)
     else:
         crawl = extract.crawled_pages(heads)
     return work_table(extract.page_videos(crawl, detail_pages, by), "videos", made)

@@ -100,12 +100,11 @@ def extraction_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _channel_videos(c: fx.Fixtures) -> DataFrame:
-    """Every playlist's crawl: both stop rules cut some playlist.  The bounds and the keys of the crawled
-    pages are staged, so that their sizes and not those of all pages decide how they are joined."""
+    """Every playlist's crawl: both stop rules cut some playlist.  The keys of the crawled pages are
+    staged, so that their size and not that of all pages decides how the responses are joined."""
     by = ["playlist_id"]
     heads = c.view(("all_heads",), lambda: extract.page_heads(fx.pages(c.spark, c.sf_dir, c), by), staged=True)
-    bounds = c.view(("bounds",), lambda: extract.crawl_bounds(heads, by), staged=True)
-    crawl = c.view(("crawl",), lambda: extract.crawled_pages(heads, by, bounds).select(*by, "page_no"), staged=True)
+    crawl = c.view(("crawl",), lambda: extract.crawled_pages(heads, by).select(*by, "page_no"), staged=True)
     return extract.page_videos(crawl, fx.detail_pages(c.spark, c.sf_dir, c), by)
 
 
